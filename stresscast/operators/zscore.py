@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stresscast.functions.scalar import ZSCORE_EPS
 from stresscast.operators.aggregates import fit_scalers
+from stresscast.operators.joins import attach_row
 
 
 def z_policy_a(x, mean, std, eps: float = ZSCORE_EPS) -> Column:
@@ -54,7 +55,7 @@ def standardize(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), po
 
 
 def _attach(df: DataFrame, st: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join the scaler row(s); with no keys the one global row is joined on a constant."""
+    """Join the scaler row(s); with no keys the one global row is attached to every row."""
     if keys:
         return df.join(st, list(keys), "left")
-    return df.withColumn("_k", F.lit(1)).join(F.broadcast(st.withColumn("_k", F.lit(1))), "_k", "left").drop("_k")
+    return attach_row(df, st)

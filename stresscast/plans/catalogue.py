@@ -89,3 +89,247 @@ QUERIES = {
     "weekly_to_daily_ffill": q_weekly_to_daily_ffill,
     "capacity_daily_median": q_capacity_daily_median,
 }
+
+
+# ------------------------------------------------------ batch 2: features, filters, evaluation
+from stresscast.functions.scalar import to_date_lenient  # noqa: E402
+from stresscast.operators.dedupe import keep_last  # noqa: E402
+from stresscast.operators.joins import lookup, semi_filter, union_by_name  # noqa: E402
+from stresscast.operators.windows import add_lags, log_return, rolling  # noqa: E402
+from stresscast.operators.zscore import standardize  # noqa: E402
+from stresscast.plans.design import forecast_inputs, stress_design, vol_design  # noqa: E402
+from stresscast.plans.evaluate import alert_table, baseline_vs_model, reliability  # noqa: E402
+from stresscast.operators.aggregates import describe  # noqa: E402
+from stresscast.operators.auc import exact_auc  # noqa: E402
+from stresscast.plans.score import score_points  # noqa: E402
+from stresscast.sources.stations import load_station_meta  # noqa: E402
+from stresscast.sources.tables import active_at, date_between, read_table, scan  # noqa: E402
+
+TRAIN_END = "1998-12-31"
+AS_OF = "1998-06-01"
+
+
+def q_log_return(spark, base):
+    s = storage_daily(spark, base)
+    return round_doubles(s.select("region", "date", log_return("working_gas_bcf", ["region"]).alias("log_ret")))
+
+
+def q_lag_features(spark, base):
+    cols = ["hdd_median", "working_gas_bcf", "all_qty_avail_median", "notice_active_count"]
+    f = add_lags(model_frame(spark, base), cols)
+    return round_doubles(f.select("pipeline", "date", *[f"{c}_lag1" for c in cols]))
+
+
+def q_rolling_sum7(spark, base):
+    f = model_frame(spark, base)
+    return f.select("pipeline", "date", rolling("stress_event", 7, "sum", min_periods=1).alias("stress_days_7d"))
+
+
+def q_rolling_mean5(spark, base):
+    f = model_frame(spark, base)
+    return round_doubles(f.select("pipeline", "date", rolling("hdd_median", 5, "mean", min_periods=1).alias("hdd_5d")))
+
+
+def q_rolling_mean3_gated(spark, base):
+    f = model_frame(spark, base)
+    return round_doubles(f.select("pipeline", "date", rolling("stress_event", 3).alias("op_3d"),
+                                  rolling(F.abs("hh_ret"), 3).alias("persist_3d")))
+
+
+def q_rolling_mean1095_gated(spark, base):
+    f = model_frame(spark, base)
+    return round_doubles(f.select("pipeline", "date", rolling("working_gas_bcf", 1095).alias("storage_mean_1095")))
+
+
+def q_stress_design(spark, base):
+    return round_doubles(stress_design(model_frame(spark, base)))
+
+
+def q_vol_design(spark, base):
+    return round_doubles(vol_design(model_frame(spark, base)))
+
+
+def q_forecast_inputs(spark, base):
+    return round_doubles(forecast_inputs(model_frame(spark, base), latest_only=True))
+
+
+def q_zscore_a(spark, base):
+    f, _ = standardize(model_frame(spark, base), ["hdd_median", "all_qty_avail_median"], ["pipeline"], "a")
+    return round_doubles(f.select("pipeline", "date", "hdd_median_z", "all_qty_avail_median_z"))
+
+
+def q_zscore_b(spark, base):
+    f, _ = standardize(model_frame(spark, base), ["working_gas_bcf", "notice_active_count"], ["pipeline"], "b")
+    return round_doubles(f.select("pipeline", "date", "working_gas_bcf_z", "notice_active_count_z"))
+
+
+def q_zscore_c(spark, base):
+    mf = model_frame(spark, base)
+    cols = ["hdd_median", "working_gas_bcf"]
+    from stresscast.operators.aggregates import fit_scalers
+    st = fit_scalers(mf.where(F.col("date") <= F.lit(TRAIN_END).cast("date")), cols, ["pipeline"])
+    f, _ = standardize(mf.where(F.col("date") > F.lit(TRAIN_END).cast("date")), cols, ["pipeline"], "c", stats=st)
+    return round_doubles(f.select("pipeline", "date", "hdd_median_z", "working_gas_bcf_z"))
+
+
+def q_daily_dedupe_last(spark, base):
+    o = read_table(spark, base, "orders").select(to_date_lenient("o_orderdate").alias("date"), "o_orderkey",
+                                                 "o_totalprice", "o_orderpriority")
+    return keep_last(o, ["date"], ["o_orderkey"])
+
+
+def _messy_station_map(spark, base):
+    sup = read_table(spark, base, "supplier").select("s_suppkey", "s_nationkey", "s_name")
+    geo = V.supplier_geo(spark, base)
+    j = sup.join(geo, "s_suppkey")
+    return j.select(F.concat(F.lit("  "), F.upper("pipeline"), F.lit(" ")).alias("pipeline"),
+                    F.concat(F.lit(" N"), F.col("s_nationkey").cast("string"), F.lit(" ")).alias("ghcnd_station_id"),
+                    F.col("s_name").alias("station_name"), F.col("s_suppkey").alias("_pos"))
+
+
+def q_station_dedupe_first(spark, base):
+    return load_station_meta(_messy_station_map(spark, base), None)
+
+
+def q_range_scan(spark, base):
+    li = read_table(spark, base, "lineitem")
+    d = F.to_date("l_shipdate")
+    return li.where(date_between(d, "1996-01-01", "1996-12-31")).select(
+        "l_orderkey", "l_linenumber", d.alias("date"), "l_quantity")
+
+
+def q_active_as_of(spark, base):
+    n = V.notice(spark, base)
+    return n.where(active_at("end_dt", AS_OF)).select("pipeline", "notice_id", "end_dt")
+
+
+def q_lookback_filter(spark, base):
+    p = V.price_daily(spark, base)
+    return round_doubles(p.where(F.col("date") >= F.date_sub(F.lit("2001-08-01").cast("date"), 60))
+                         .select("date", "henry_hub_usd_per_mmbtu"))
+
+
+def q_takewhile_cutoff(spark, base):
+    from stresscast.operators.filters import take_while_newer
+    o = read_table(spark, base, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    rows = o.select("o_custkey", "o_orderkey",
+                    F.when(F.col("o_orderkey") % 11 != 0, F.to_date("o_orderdate")).alias("posted"))
+    return take_while_newer(rows, "posted", "1998-01-01", ["o_custkey"], [F.col("o_orderkey").desc()])
+
+
+def q_scan_topk(spark, base):
+    li = read_table(spark, base, "lineitem")
+    return scan(li, where=F.col("l_returnflag") == "R",
+                columns=["l_orderkey", "l_linenumber", "l_shipdate", "l_quantity"],
+                sort=[F.col("l_shipdate").desc(), "l_orderkey", "l_linenumber"], limit=100)
+
+
+def _supplier_meta(spark, base):
+    sup = read_table(spark, base, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nat = read_table(spark, base, "nation").select("n_nationkey", "n_name")
+    return sup.join(nat, sup.s_nationkey == nat.n_nationkey).select(
+        F.concat(F.lit("ST"), F.col("s_suppkey").cast("string")).alias("ghcnd_station_id"),
+        F.col("s_name").alias("station_name"), F.col("n_name").alias("state"))
+
+
+def q_station_meta_lookup(spark, base):
+    sd = station_day(spark, base).select("ghcnd_station_id", "date", "tavg_c")
+    return round_doubles(lookup(sd, _supplier_meta(spark, base), "ghcnd_station_id"))
+
+
+def q_semi_station_filter(spark, base):
+    members = V.station_pipeline(spark, base).where(F.col("pipeline") == "europe").select("ghcnd_station_id")
+    sd = station_day(spark, base).select("ghcnd_station_id", "date", "tavg_c", "hdd")
+    return round_doubles(semi_filter(sd, members, "ghcnd_station_id"))
+
+
+def q_union_stations(spark, base):
+    raw = V.station_raw(spark, base)
+    sup = read_table(spark, base, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_acctbal")
+    r = raw.join(sup, "l_suppkey")
+    full = r.where(F.col("s_acctbal") >= 0).select("ghcnd_station_id", "DATE", "TAVG", "TMIN", "TMAX")
+    no_tavg = r.where(F.col("s_acctbal") < 0).select("ghcnd_station_id", "DATE", "TMIN", "TMAX")
+    u = union_by_name(normalize_station_rows(full), normalize_station_rows(no_tavg))
+    return round_doubles(u.select("ghcnd_station_id", "date", "tavg_c", "tmin_c", "tmax_c", "hdd"))
+
+
+def q_describe(spark, base):
+    return round_doubles(describe(V.scored(spark, base), "score"))
+
+
+def q_grouped_describe(spark, base):
+    return round_doubles(describe(V.scored(spark, base), "score", ["outcome"]))
+
+
+def q_alert_crosstab(spark, base):
+    return round_doubles(alert_table(V.scored(spark, base), "score", "outcome", 250.0))
+
+
+def q_auc(spark, base):
+    return round_doubles(exact_auc(V.scored(spark, base), "score", "outcome"))
+
+
+def q_naive_baseline_auc(spark, base):
+    return round_doubles(baseline_vs_model(V.scored(spark, base), "score", "outcome", keys=["user_id"],
+                                           order=["ts", "event_id"]))
+
+
+def q_reliability_quintile(spark, base):
+    return round_doubles(reliability(V.scored(spark, base), "score", "outcome", 5))
+
+
+def grid_draws(spark, n: int = 200):
+    """Fixed deterministic draw table for the oracle-checked scorer (d = 0 .. n-1)."""
+    d = F.col("id")
+    return spark.range(n).select(
+        (F.lit(-1.2) + d / F.lit(100.0)).alias("a"),
+        (F.lit(0.8) - d / F.lit(250.0)).alias("b_op"),
+        ((d % 7 - 3) / F.lit(10.0)).alias("b_persist"),
+        ((d % 11 - 5) / F.lit(20.0)).alias("b_hdd"),
+        ((d % 13 - 6) / F.lit(25.0)).alias("b_storage"))
+
+
+def scored_points(spark, base):
+    """M6 inputs at every day, persist/hdd/storage scaled per pipeline (policy C)."""
+    fi = forecast_inputs(model_frame(spark, base))
+    z, _ = standardize(fi, ["persist", "hdd", "storage"], ["pipeline"], "c", out_suffix="")
+    return z
+
+
+def q_score_stress_grid(spark, base):
+    pts = scored_points(spark, base)
+    return score_points(pts, grid_draws(spark), ["op", "persist", "hdd", "storage"], "stress", 0.30,
+                        keys=["pipeline"], id_cols=["date"], out_col="prob")
+
+
+QUERIES.update({
+    "log_return": q_log_return,
+    "lag_features": q_lag_features,
+    "rolling_sum7": q_rolling_sum7,
+    "rolling_mean5": q_rolling_mean5,
+    "rolling_mean3_gated": q_rolling_mean3_gated,
+    "rolling_mean1095_gated": q_rolling_mean1095_gated,
+    "stress_design": q_stress_design,
+    "vol_design": q_vol_design,
+    "forecast_inputs": q_forecast_inputs,
+    "zscore_a": q_zscore_a,
+    "zscore_b": q_zscore_b,
+    "zscore_c": q_zscore_c,
+    "daily_dedupe_last": q_daily_dedupe_last,
+    "station_dedupe_first": q_station_dedupe_first,
+    "range_scan": q_range_scan,
+    "active_as_of": q_active_as_of,
+    "lookback_filter": q_lookback_filter,
+    "takewhile_cutoff": q_takewhile_cutoff,
+    "scan_topk": q_scan_topk,
+    "station_meta_lookup": q_station_meta_lookup,
+    "semi_station_filter": q_semi_station_filter,
+    "union_stations": q_union_stations,
+    "describe": q_describe,
+    "grouped_describe": q_grouped_describe,
+    "alert_crosstab": q_alert_crosstab,
+    "auc": q_auc,
+    "naive_baseline_auc": q_naive_baseline_auc,
+    "reliability_quintile": q_reliability_quintile,
+    "score_stress_grid": q_score_stress_grid,
+})

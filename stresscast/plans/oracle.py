@@ -107,3 +107,240 @@ ORACLE = {
     "capacity_daily_median": sql_with("SELECT * FROM cap_median_v", "cap_median_v",
                                       round_cols=("all_qty_avail_median",)),
 }
+
+
+# ------------------------------------------------------ batch 2
+STAGE_SQL.update({
+    "fi_v": """
+        SELECT pipeline, date,
+               CASE WHEN count(stress_event) OVER w3 >= 3 THEN avg(stress_event) OVER w3 END AS op,
+               CASE WHEN count(abs(hh_ret)) OVER w3 >= 3 THEN avg(abs(hh_ret)) OVER w3 END AS persist,
+               hdd_median AS hdd,
+               working_gas_bcf - CASE WHEN count(working_gas_bcf) OVER w1095 >= 1095
+                                      THEN avg(working_gas_bcf) OVER w1095 END AS storage
+        FROM model_frame_v
+        WINDOW w3 AS (PARTITION BY pipeline ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
+               w1095 AS (PARTITION BY pipeline ORDER BY date ROWS BETWEEN 1094 PRECEDING AND CURRENT ROW)""",
+    "scored_points_v": """
+        SELECT f.pipeline, f.date, f.op,
+               CASE WHEN s.sp IS NULL OR s.sp = 0 THEN 0.0 ELSE (f.persist - s.mp) / s.sp END AS persist,
+               CASE WHEN s.sh IS NULL OR s.sh = 0 THEN 0.0 ELSE (f.hdd - s.mh) / s.sh END AS hdd,
+               CASE WHEN s.ss IS NULL OR s.ss = 0 THEN 0.0 ELSE (f.storage - s.ms) / s.ss END AS storage
+        FROM fi_v f JOIN (SELECT pipeline, avg(persist) AS mp, stddev_pop(persist) AS sp, avg(hdd) AS mh,
+                                 stddev_pop(hdd) AS sh, avg(storage) AS ms, stddev_pop(storage) AS ss
+                          FROM fi_v GROUP BY pipeline) s ON f.pipeline = s.pipeline""",
+    "grid_draws_v": """
+        SELECT CAST(-1.2 AS DOUBLE) + CAST(d AS DOUBLE) / CAST(100.0 AS DOUBLE) AS a,
+               CAST(0.8 AS DOUBLE) - CAST(d AS DOUBLE) / CAST(250.0 AS DOUBLE) AS b_op,
+               CAST(d % 7 - 3 AS DOUBLE) / CAST(10.0 AS DOUBLE) AS b_persist,
+               CAST(d % 11 - 5 AS DOUBLE) / CAST(20.0 AS DOUBLE) AS b_hdd,
+               CAST(d % 13 - 6 AS DOUBLE) / CAST(25.0 AS DOUBLE) AS b_storage
+        FROM (SELECT range AS d FROM range(200))""",
+})
+STAGE_DEPS.update({"fi_v": ["model_frame_v"], "scored_points_v": ["fi_v"]})
+ALL_SQL.update(STAGE_SQL)
+ALL_DEPS.update(STAGE_DEPS)
+
+_W = "WINDOW w AS (PARTITION BY pipeline ORDER BY date)"
+
+
+def _z(policy, x, m, s):
+    if policy == "a":
+        return f"({x} - {m}) / CASE WHEN {s} > 1e-8 THEN {s} ELSE 1.0 END"
+    return f"CASE WHEN {s} IS NULL OR {s} = 0 THEN 0.0 ELSE ({x} - {m}) / {s} END"
+
+
+_STRESS_DESIGN = f"""
+    SELECT pipeline, date, y,
+           {_z('a', 'hdd_lag1', 'avg(hdd_lag1) OVER p', 'stddev_pop(hdd_lag1) OVER p')} AS hdd_lag1,
+           {_z('a', 'storage_lag1', 'avg(storage_lag1) OVER p', 'stddev_pop(storage_lag1) OVER p')} AS storage_lag1,
+           {_z('a', 'cap_avail_lag1', 'avg(cap_avail_lag1) OVER p', 'stddev_pop(cap_avail_lag1) OVER p')} AS cap_avail_lag1,
+           {_z('a', 'notices_lag1', 'avg(notices_lag1) OVER p', 'stddev_pop(notices_lag1) OVER p')} AS notices_lag1
+    FROM (SELECT pipeline, date, stress_event AS y, lag(hdd_median) OVER w AS hdd_lag1,
+                 lag(working_gas_bcf) OVER w AS storage_lag1, lag(all_qty_avail_median) OVER w AS cap_avail_lag1,
+                 lag(notice_active_count) OVER w AS notices_lag1
+          FROM model_frame_v {_W})
+    WHERE y IS NOT NULL AND hdd_lag1 IS NOT NULL AND storage_lag1 IS NOT NULL AND cap_avail_lag1 IS NOT NULL
+          AND notices_lag1 IS NOT NULL
+    WINDOW p AS (PARTITION BY pipeline)"""
+
+_VOL_DESIGN = f"""
+    SELECT pipeline, date, y, op,
+           {_z('b', 'persist', 'avg(persist) OVER p', 'stddev_pop(persist) OVER p')} AS persist,
+           {_z('b', 'hdd', 'avg(hdd) OVER p', 'stddev_pop(hdd) OVER p')} AS hdd,
+           {_z('b', 'storage', 'avg(storage) OVER p', 'stddev_pop(storage) OVER p')} AS storage
+    FROM (SELECT pipeline, date, y, CAST(lag(op_stress) OVER w AS DOUBLE) AS op,
+                 CAST(lag(stress_days_7d) OVER w AS DOUBLE) AS persist, lag(hdd_5d) OVER w AS hdd,
+                 lag(storage_z) OVER w AS storage
+          FROM (SELECT pipeline, date, y, op_stress,
+                       CASE WHEN count(op_stress) OVER w7 >= 1 THEN sum(op_stress) OVER w7 END AS stress_days_7d,
+                       CASE WHEN count(hdd_median) OVER w5 >= 1 THEN avg(hdd_median) OVER w5 END AS hdd_5d,
+                       {_z('b', 'working_gas_bcf', 'smu', 'ssd')} AS storage_z
+                FROM (SELECT pipeline, date, abs(hh_ret) AS y, stress_event AS op_stress, hdd_median, working_gas_bcf,
+                             avg(working_gas_bcf) OVER (PARTITION BY pipeline) AS smu,
+                             stddev_pop(working_gas_bcf) OVER (PARTITION BY pipeline) AS ssd
+                      FROM model_frame_v)
+                WINDOW w7 AS (PARTITION BY pipeline ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
+                       w5 AS (PARTITION BY pipeline ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
+          {_W})
+    WHERE y IS NOT NULL AND op IS NOT NULL AND persist IS NOT NULL AND hdd IS NOT NULL AND storage IS NOT NULL
+    WINDOW p AS (PARTITION BY pipeline)"""
+
+_ZSC = """
+    SELECT m.pipeline, m.date,
+           CASE WHEN s.sh IS NULL OR s.sh = 0 THEN 0.0 ELSE (m.hdd_median - s.mh) / s.sh END AS hdd_median_z,
+           CASE WHEN s.sw IS NULL OR s.sw = 0 THEN 0.0 ELSE (m.working_gas_bcf - s.mw) / s.sw END AS working_gas_bcf_z
+    FROM model_frame_v m LEFT JOIN (
+        SELECT pipeline, avg(hdd_median) AS mh, stddev_pop(hdd_median) AS sh, avg(working_gas_bcf) AS mw,
+               stddev_pop(working_gas_bcf) AS sw
+        FROM model_frame_v WHERE date <= DATE '1998-12-31' GROUP BY pipeline) s ON m.pipeline = s.pipeline
+    WHERE m.date > DATE '1998-12-31'"""
+
+
+def _zs(policy, cols):
+    sel = ", ".join(f"{_z(policy, f'm.{c}', f's.m_{c}', f's.s_{c}')} AS {c}_z" for c in cols)
+    st = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in cols)
+    return (f"SELECT m.pipeline, m.date, {sel} FROM model_frame_v m LEFT JOIN "
+            f"(SELECT pipeline, {st} FROM model_frame_v GROUP BY pipeline) s ON m.pipeline = s.pipeline")
+
+
+_SCORED_DESCRIBE = """
+    SELECT {keys} CAST(count(score) AS BIGINT) AS count, avg(score) AS mean, stddev_samp(score) AS std,
+           CAST(min(score) AS DOUBLE) AS min, quantile_cont(score, 0.25) AS p25, quantile_cont(score, 0.5) AS p50,
+           quantile_cont(score, 0.75) AS p75, CAST(max(score) AS DOUBLE) AS max
+    FROM scored {group}"""
+
+_AUC = """
+    SELECT sum(CAST(p AS DOUBLE) * (CAST(below AS DOUBLE) + 0.5 * CAST(n AS DOUBLE)))
+             / (CAST(sum(p) AS DOUBLE) * CAST(sum(n) AS DOUBLE)) AS auc,
+           CAST(sum(p) AS BIGINT) AS n_pos, CAST(sum(n) AS BIGINT) AS n_neg
+    FROM (SELECT s, p, n, coalesce(sum(n) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                 AS below
+          FROM (SELECT {score} AS s, sum({label}) AS p, sum(1 - {label}) AS n FROM {src}
+                WHERE {score} IS NOT NULL AND {label} IS NOT NULL GROUP BY {score}))"""
+
+_BASELINE = """
+    SELECT * FROM (SELECT auc AS auc_baseline FROM ({auc_b})) AS x, (SELECT auc AS auc_model, n_pos, n_neg FROM ({auc_m})) AS y"""
+
+_BASE_ROWS = """(SELECT * FROM (SELECT score, outcome,
+        CASE WHEN count(outcome) OVER w30 >= 30 THEN avg(CAST(outcome AS DOUBLE)) OVER w30 END AS baseline
+     FROM scored WINDOW w30 AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))
+     WHERE baseline IS NOT NULL AND score IS NOT NULL AND outcome IS NOT NULL)"""
+
+_RELIABILITY = """
+    SELECT bin, q[bin + 1] AS bin_lo, q[bin + 2] AS bin_hi, avg(CAST(outcome AS DOUBLE)) AS observed_freq,
+           CAST(count(*) AS BIGINT) AS n
+    FROM (SELECT s.outcome, e.q,
+                 CASE WHEN s.score < e.q[1] THEN NULL WHEN s.score <= e.q[2] THEN 0 WHEN s.score <= e.q[3] THEN 1
+                      WHEN s.score <= e.q[4] THEN 2 WHEN s.score <= e.q[5] THEN 3 WHEN s.score <= e.q[6] THEN 4 END AS bin
+          FROM scored s, (SELECT quantile_cont(score, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS q FROM scored) e)
+    WHERE bin IS NOT NULL GROUP BY bin, q[bin + 1], q[bin + 2]"""
+
+_GRID = """
+    SELECT z.pipeline, z.date,
+           avg(CASE WHEN 1.0 / (1.0 + exp(-((((d.a + d.b_op * z.op) + d.b_persist * z.persist) + d.b_hdd * z.hdd)
+                                             + d.b_storage * z.storage))) > 0.3 THEN 1.0 ELSE 0.0 END) AS prob
+    FROM scored_points_v z, grid_draws_v d GROUP BY z.pipeline, z.date"""
+
+ORACLE.update({
+    "log_return": sql_with("""SELECT region, date, CASE WHEN working_gas_bcf > 0 THEN ln(working_gas_bcf) END
+                              - lag(CASE WHEN working_gas_bcf > 0 THEN ln(working_gas_bcf) END)
+                                OVER (PARTITION BY region ORDER BY date) AS log_ret FROM storage_daily_v""",
+                           "storage_daily_v", round_cols=("log_ret",)),
+    "lag_features": sql_with(f"""SELECT pipeline, date, lag(hdd_median) OVER w AS hdd_median_lag1,
+                                 lag(working_gas_bcf) OVER w AS working_gas_bcf_lag1,
+                                 lag(all_qty_avail_median) OVER w AS all_qty_avail_median_lag1,
+                                 lag(notice_active_count) OVER w AS notice_active_count_lag1
+                                 FROM model_frame_v {_W}""", "model_frame_v",
+                             round_cols=("hdd_median_lag1", "working_gas_bcf_lag1", "all_qty_avail_median_lag1")),
+    "rolling_sum7": sql_with("""SELECT pipeline, date, CASE WHEN count(stress_event) OVER w7 >= 1
+                                THEN CAST(sum(stress_event) OVER w7 AS BIGINT) END AS stress_days_7d FROM model_frame_v
+                                WINDOW w7 AS (PARTITION BY pipeline ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
+                             "model_frame_v"),
+    "rolling_mean5": sql_with("""SELECT pipeline, date, CASE WHEN count(hdd_median) OVER w5 >= 1
+                                 THEN avg(hdd_median) OVER w5 END AS hdd_5d FROM model_frame_v
+                                 WINDOW w5 AS (PARTITION BY pipeline ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
+                              "model_frame_v", round_cols=("hdd_5d",)),
+    "rolling_mean3_gated": sql_with("SELECT pipeline, date, op AS op_3d, persist AS persist_3d FROM fi_v", "fi_v",
+                                    round_cols=("op_3d", "persist_3d")),
+    "rolling_mean1095_gated": sql_with("""SELECT pipeline, date, CASE WHEN count(working_gas_bcf) OVER w >= 1095
+                                          THEN avg(working_gas_bcf) OVER w END AS storage_mean_1095 FROM model_frame_v
+                                          WINDOW w AS (PARTITION BY pipeline ORDER BY date
+                                                       ROWS BETWEEN 1094 PRECEDING AND CURRENT ROW)""",
+                                       "model_frame_v", round_cols=("storage_mean_1095",)),
+    "stress_design": sql_with(_STRESS_DESIGN, "model_frame_v",
+                              round_cols=("hdd_lag1", "storage_lag1", "cap_avail_lag1", "notices_lag1")),
+    "vol_design": sql_with(_VOL_DESIGN, "model_frame_v", round_cols=("y", "op", "persist", "hdd", "storage")),
+    "forecast_inputs": sql_with("""SELECT pipeline, date, op, persist, hdd, storage FROM (
+                                     SELECT *, row_number() OVER (PARTITION BY pipeline ORDER BY date DESC) AS rn
+                                     FROM fi_v) WHERE rn = 1""", "fi_v", round_cols=("op", "persist", "hdd", "storage")),
+    "zscore_a": sql_with(_zs("a", ["hdd_median", "all_qty_avail_median"]), "model_frame_v",
+                         round_cols=("hdd_median_z", "all_qty_avail_median_z")),
+    "zscore_b": sql_with(_zs("b", ["working_gas_bcf", "notice_active_count"]), "model_frame_v",
+                         round_cols=("working_gas_bcf_z", "notice_active_count_z")),
+    "zscore_c": sql_with(_ZSC, "model_frame_v", round_cols=("hdd_median_z", "working_gas_bcf_z")),
+    "daily_dedupe_last": """
+        SELECT date, o_orderkey, o_totalprice, o_orderpriority FROM (
+          SELECT CAST(o_orderdate AS DATE) AS date, o_orderkey, o_totalprice, o_orderpriority,
+                 row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) AS rn
+          FROM orders) WHERE rn = 1""",
+    "station_dedupe_first": sql_with("""
+        SELECT pipeline, ghcnd_station_id, station_name, CAST(NULL AS VARCHAR) AS state FROM (
+          SELECT lower(trim(pipeline)) AS pipeline, trim(ghcnd_station_id) AS ghcnd_station_id, station_name,
+                 row_number() OVER (PARTITION BY lower(trim(pipeline)), trim(ghcnd_station_id) ORDER BY pos) AS rn
+          FROM (SELECT '  ' || upper(g.pipeline) || ' ' AS pipeline, ' N' || CAST(s.s_nationkey AS VARCHAR) || ' '
+                         AS ghcnd_station_id, s.s_name AS station_name, s.s_suppkey AS pos
+                FROM supplier s JOIN supplier_geo g ON s.s_suppkey = g.s_suppkey))
+        WHERE rn = 1""", "supplier_geo"),
+    "range_scan": """SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS date, l_quantity FROM lineitem
+                     WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'""",
+    "active_as_of": sql_with("""SELECT pipeline, notice_id, end_dt FROM notice
+                                WHERE end_dt IS NULL OR end_dt >= TIMESTAMP '1998-06-01'""", "notice"),
+    "lookback_filter": sql_with("""SELECT date, henry_hub_usd_per_mmbtu FROM price_daily
+                                   WHERE date >= DATE '2001-08-01' - INTERVAL 60 DAY""", "price_daily",
+                                round_cols=("henry_hub_usd_per_mmbtu",)),
+    "takewhile_cutoff": """
+        SELECT o_custkey, o_orderkey, posted FROM (
+          SELECT o_custkey, o_orderkey, posted,
+                 sum(CASE WHEN posted IS NOT NULL AND posted < DATE '1998-01-01' THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS older
+          FROM (SELECT o_custkey, o_orderkey,
+                       CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS posted FROM orders))
+        WHERE older = 0 AND posted IS NOT NULL""",
+    "scan_topk": """SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem WHERE l_returnflag = 'R'
+                    ORDER BY l_shipdate DESC, l_orderkey, l_linenumber LIMIT 100""",
+    "station_meta_lookup": sql_with("""
+        SELECT d.ghcnd_station_id, d.date, d.tavg_c, m.station_name, m.state FROM station_day d LEFT JOIN (
+          SELECT 'ST' || CAST(s.s_suppkey AS VARCHAR) AS ghcnd_station_id, s.s_name AS station_name, n.n_name AS state
+          FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey) m ON d.ghcnd_station_id = m.ghcnd_station_id""",
+                                    "station_day", round_cols=("tavg_c",)),
+    "semi_station_filter": sql_with("""
+        SELECT ghcnd_station_id, date, tavg_c, hdd FROM station_day
+        WHERE ghcnd_station_id IN (SELECT ghcnd_station_id FROM station_pipeline WHERE pipeline = 'europe')""",
+                                    "station_day", "station_pipeline", round_cols=("tavg_c", "hdd")),
+    "union_stations": sql_with("""
+        SELECT ghcnd_station_id, date, tavg_c, tmin_c, tmax_c,
+               CASE WHEN tavg_c IS NOT NULL THEN greatest(0.0, 65.0 - (tavg_c * 9.0 / 5.0 + 32.0)) END AS hdd
+        FROM (SELECT r.ghcnd_station_id, r."DATE" AS date,
+                     coalesce(CASE WHEN s.s_acctbal >= 0 THEN r.TAVG / 10.0 END, (r.TMIN / 10.0 + r.TMAX / 10.0) / 2.0)
+                       AS tavg_c, r.TMIN / 10.0 AS tmin_c, r.TMAX / 10.0 AS tmax_c
+              FROM station_raw r JOIN supplier s ON r.l_suppkey = s.s_suppkey)""",
+                               "station_raw", round_cols=("tavg_c", "tmin_c", "tmax_c", "hdd")),
+    "describe": sql_with(_SCORED_DESCRIBE.format(keys="", group=""), "scored",
+                         round_cols=("mean", "std", "min", "p25", "p50", "p75", "max")),
+    "grouped_describe": sql_with(_SCORED_DESCRIBE.format(keys="outcome,", group="GROUP BY outcome"), "scored",
+                                 round_cols=("mean", "std", "min", "p25", "p50", "p75", "max")),
+    "alert_crosstab": sql_with("""
+        SELECT alert, CAST(sum(CASE WHEN outcome = 0 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS frac_0,
+               CAST(sum(CASE WHEN outcome = 1 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS frac_1
+        FROM (SELECT score > 250.0 AS alert, outcome FROM scored WHERE score IS NOT NULL AND outcome IS NOT NULL)
+        GROUP BY alert""", "scored", round_cols=("frac_0", "frac_1")),
+    "auc": sql_with(_AUC.format(score="score", label="outcome", src="scored"), "scored", round_cols=("auc",)),
+    "naive_baseline_auc": sql_with(_BASELINE.format(
+        auc_b=_AUC.format(score="baseline", label="outcome", src=_BASE_ROWS),
+        auc_m=_AUC.format(score="score", label="outcome", src=_BASE_ROWS)), "scored",
+        round_cols=("auc_baseline", "auc_model")),
+    "reliability_quintile": sql_with(_RELIABILITY, "scored", round_cols=("bin_lo", "bin_hi", "observed_freq")),
+    "score_stress_grid": sql_with(_GRID, "scored_points_v", "grid_draws_v", round_cols=("prob",)),
+})

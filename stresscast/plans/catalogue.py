@@ -333,3 +333,162 @@ QUERIES.update({
     "reliability_quintile": q_reliability_quintile,
     "score_stress_grid": q_score_stress_grid,
 })
+
+
+# ------------------------------------------------------ batch 3: merge, sources, fits, pages, stream
+from stresscast.operators.dedupe import assert_unique  # noqa: E402
+from stresscast.operators.filters import split_by  # noqa: E402
+from stresscast.operators.merge import keyed_merge, merge_stats  # noqa: E402
+from stresscast.sources.energy import normalize_prices, normalize_storage  # noqa: E402
+
+MERGE_EXISTING_AT = "2000-01-01 00:00:00"
+MERGE_NOW = "2001-01-01 00:00:00"
+
+
+def _price_by_status(spark, base, status_filter):
+    o = read_table(spark, base, "orders").select("o_orderdate", "o_totalprice", "o_orderstatus")
+    if status_filter is not None:
+        o = o.where(F.col("o_orderstatus") == status_filter)
+    g = o.groupBy(F.to_date("o_orderdate").alias("date")).agg((F.max("o_totalprice") / 1000.0).alias("_v"))
+    return g.select(F.lit("RNGWHHD").alias("series"), "date",
+                    F.when(F.dayofmonth("date") % 7 != 0, F.col("_v")).alias("henry_hub_usd_per_mmbtu"))
+
+
+def merged_prices(spark, base):
+    """Stored table = prices from fulfilled orders (first landing); batch = re-ingest of all orders
+    from 1998 on (corrections, new days; the ``units`` field is absent from the batch)."""
+    existing = (_price_by_status(spark, base, "F")
+                .withColumn("units", F.lit("$/MMBTU"))
+                .withColumn("created_at_utc", F.lit(MERGE_EXISTING_AT).cast("timestamp_ntz"))
+                .withColumn("updated_at", F.lit(MERGE_EXISTING_AT).cast("timestamp_ntz")))
+    batch = _price_by_status(spark, base, None).where(F.col("date") >= F.lit("1998-01-01").cast("date"))
+    return keyed_merge(existing, batch, ["series", "date"], MERGE_NOW)
+
+
+def q_keyed_merge(spark, base):
+    return round_doubles(merged_prices(spark, base))
+
+
+def q_merge_stats(spark, base):
+    return merge_stats(merged_prices(spark, base))
+
+
+def q_unique_check(spark, base):
+    return assert_unique(V.notice(spark, base), ["pipeline", "posted_dt"])
+
+
+def q_quarantine_split(spark, base):
+    cap = V.capacity(spark, base)
+    good = to_date_lenient(F.regexp_replace("Post_Date", r"^\s+|\s+$", "")).isNotNull() & \
+        F.regexp_replace("All_Qty_Avail", r"^\s+|\s+$", "").try_cast("double").isNotNull()
+    _, bad = split_by(cap, good)
+    return bad.select("pipeline", "Loc_Name", "Post_Date", "All_Qty_Avail")
+
+
+def energy_rows(spark, base):
+    """API-shaped rows (text values, hyphenated names) derived from orders, one per order:
+    unparsable period when o_orderkey % 13 = 0, value 'NA' when % 7 = 0, no series when % 5 = 0."""
+    o = read_table(spark, base, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    k = F.col("o_orderkey")
+    return o.select(
+        F.when(k % 13 == 0, F.lit("bad")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("period"),
+        F.when(k % 7 == 0, F.lit("NA")).otherwise(F.col("o_totalprice").cast("string")).alias("value"),
+        F.lit("$/MMBTU").alias("units"),
+        F.when(k % 5 != 0, F.lit("RNGWHHD")).alias("series"),
+        F.lit("Henry Hub Natural Gas Spot Price").alias("series-description"),
+        F.lit("NUS").alias("duoarea"), F.lit("U.S.").alias("area-name"))
+
+
+def q_normalize_prices(spark, base):
+    return round_doubles(normalize_prices(energy_rows(spark, base)))
+
+
+def q_normalize_storage(spark, base):
+    w = V.storage_weekly(spark, base)
+    rows = w.select(F.date_format("date", "yyyy-MM-dd").alias("period"),
+                    F.coalesce(F.col("working_gas_bcf").cast("string"), F.lit("NA")).alias("value"),
+                    F.lit("BCF").alias("units"), F.col("region").alias("area-name"))
+    return round_doubles(normalize_storage(rows, "lower48"))
+
+
+def q_fit_stress(spark, base):
+    from stresscast.plans.fit import fit_logistic
+    d = stress_design(model_frame(spark, base))
+    feats = [c for c in d.columns if c not in ("pipeline", "date", "y")]
+    params, _ = fit_logistic(d, feats, "y", ["pipeline"])
+    return params
+
+
+def q_fit_vol(spark, base):
+    from stresscast.plans.fit import fit_student_t
+    d = vol_design(model_frame(spark, base))
+    params, _ = fit_student_t(d, ["op", "persist", "hdd", "storage"], "y", ["pipeline"])
+    return params
+
+
+def q_score_vol(spark, base):
+    from stresscast.plans.backtest import vol_backtest
+    _, scored = vol_backtest(model_frame(spark, base), TRAIN_END, n_draws=500)
+    return scored.select("pipeline", "date", "p_vol_exceed")
+
+
+def q_backtest_stress(spark, base):
+    from stresscast.plans.backtest import stress_backtest
+    _, scored = stress_backtest(model_frame(spark, base), TRAIN_END)
+    return scored
+
+
+def q_backtest_vol(spark, base):
+    from stresscast.plans.backtest import vol_backtest
+    _, scored = vol_backtest(model_frame(spark, base), TRAIN_END)
+    return scored
+
+
+def q_backtest_stress_eval(spark, base):
+    from stresscast.plans.backtest import stress_backtest
+    _, scored = stress_backtest(model_frame(spark, base), TRAIN_END)
+    return exact_auc(scored, "p_stress", "stress_event", ["pipeline"])
+
+
+def q_page_list_extract(spark, base):
+    from stresscast.sources.pages import Selector, extract_list_rows
+    pages = read_table(spark, base, "pages")
+    return extract_list_rows(pages, row=Selector("li"), cell="li", link_contains=())
+
+
+def q_page_detail_extract(spark, base):
+    from stresscast.sources.pages import Selector, detail_fields, extract_detail
+    pages = read_table(spark, base, "pages")
+    return detail_fields(extract_detail(pages, heading=Selector("article"), body=Selector("div", None)))
+
+
+def q_stream_ingest(spark, base):
+    from stresscast.session import scratch_path
+    from stresscast.streaming.ingest import ingest, read_current
+    root = scratch_path(spark, "stream")
+    landing, table, ckpt = f"{root}/landing", f"{root}/table", f"{root}/checkpoint"
+    rows = energy_rows(spark, base).withColumn("drop", F.substring("period", 1, 4))
+    rows.write.partitionBy("drop").parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    ingest(spark, landing, schema, normalize_prices, table, ["series", "date"], ckpt, MERGE_NOW,
+           max_files_per_trigger=8)
+    return read_current(spark, table)
+
+
+QUERIES.update({
+    "keyed_merge": q_keyed_merge,
+    "merge_stats": q_merge_stats,
+    "unique_check": q_unique_check,
+    "quarantine_split": q_quarantine_split,
+    "normalize_prices": q_normalize_prices,
+    "normalize_storage": q_normalize_storage,
+    "fit_stress": q_fit_stress,
+    "fit_vol": q_fit_vol,
+    "score_vol": q_score_vol,
+    "backtest_stress": q_backtest_stress,
+    "backtest_vol": q_backtest_vol,
+    "backtest_stress_eval": q_backtest_stress_eval,
+    "page_list_extract": q_page_list_extract,
+    "page_detail_extract": q_page_detail_extract,
+    "stream_ingest": q_stream_ingest,
+})

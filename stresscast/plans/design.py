@@ -56,7 +56,7 @@ def _stats_window(keys: Sequence[str]):
 
 
 def stress_design(frame: DataFrame, keys: Sequence[str] = ("pipeline",), spec: FeatureSpec = STRESS_SPEC,
-                  with_scalers: bool = False):
+                  with_scalers: bool = False, scale_inputs: bool = True):
     """M2: y = target; lag-1 predictors; rows with any NULL dropped; z-score policy A per key.
 
     Scalers are kept under the lagged names. Returns the design frame (and the
@@ -67,6 +67,8 @@ def stress_design(frame: DataFrame, keys: Sequence[str] = ("pipeline",), spec: F
     d = frame.select(*keys, "date", F.col(spec.target).cast("int").alias("y"),
                      *[lag(c, 1, keys).alias(n) for n, c in src.items()])
     d = d.dropna(subset=["y", *src])
+    if not scale_inputs:
+        return d
     w = _stats_window(keys)
     stats = {n: (F.avg(n).over(w), F.stddev_pop(n).over(w)) for n in src}
     out = d.select(*keys, "date", "y", *[z_policy_a(n, m, s).alias(n) for n, (m, s) in stats.items()],
@@ -86,7 +88,8 @@ def stress_design(frame: DataFrame, keys: Sequence[str] = ("pipeline",), spec: F
 VOL_FEATURES = ("op", "persist", "hdd", "storage")
 
 
-def vol_design(frame: DataFrame, keys: Sequence[str] = ("pipeline",), with_scalers: bool = False):
+def vol_design(frame: DataFrame, keys: Sequence[str] = ("pipeline",), with_scalers: bool = False,
+               scale_inputs: bool = True):
     """M4: y = |hh_ret|; op stress, 7-day stress days, 5-day HDD mean, storage z (policy B
     over the whole frame); all lag-1; NULL rows dropped; persist/hdd/storage z-scored
     again with policy B; op left as is."""
@@ -110,6 +113,8 @@ def vol_design(frame: DataFrame, keys: Sequence[str] = ("pipeline",), with_scale
                          lag("stress_days_7d", 1, keys).cast("double").alias("persist"),
                          lag("hdd_5d", 1, keys).alias("hdd"),
                          lag("storage_z", 1, keys).alias("storage")).dropna(subset=["y", *VOL_FEATURES])
+    if not scale_inputs:
+        return lagged
     w = _stats_window(keys)
     zc = ("persist", "hdd", "storage")
     stats = {c: (F.avg(c).over(w), F.stddev_pop(c).over(w)) for c in zc}

@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from stresscast.session import cut_lineage
 
@@ -37,18 +37,39 @@ def _key_tuple(row, keys):
     return tuple(row[k] for k in keys)
 
 
-def _theta_table(spark: SparkSession, keys: Sequence[str], key_types, thetas: dict, names: Sequence[str]) -> DataFrame:
-    fields = [StructField(k, t) for k, t in zip(keys, key_types)] + [StructField(f"_t_{n}", DoubleType())
-                                                                     for n in names]
-    rows = [tuple(k) + tuple(float(v) for v in th) for k, th in thetas.items()]
-    return spark.createDataFrame(rows, StructType(fields))
+def _stats_pass(d: DataFrame, keys: Sequence[str], feats: Sequence[str], thetas: dict, fn, n_stats: int) -> dict:
+    """One pass over the design: per-partition numpy partial sums per model key, then a sum per
+    (key, statistic). Only keys x ``n_stats`` numbers are shuffled and collected.
 
+    ``fn(theta, Xa, y) -> 1-d array`` of additive statistics, with ``Xa`` the
+    design with a leading column of ones. ``thetas`` (one vector per key,
+    held by the driver) travels in the task closure.
+    """
+    keys = list(keys)
+    schema = StructType([StructField("_k", StringType()), StructField("_i", IntegerType()),
+                         StructField("_v", DoubleType())])
+    tk = {"\x1f".join(str(x) for x in k): np.asarray(v, float) for k, v in thetas.items()}
 
-def _attach_theta(design: DataFrame, theta: DataFrame, keys: Sequence[str]) -> DataFrame:
-    if keys:
-        return design.join(theta, list(keys))
-    from stresscast.operators.joins import attach_row
-    return attach_row(design, theta)
+    def part(it):
+        acc: dict = {}
+        for pdf in it:
+            if pdf.empty:
+                continue
+            ks = pdf[keys].astype(str).agg("\x1f".join, axis=1) if keys else pd.Series([""] * len(pdf))
+            for k, idx in ks.groupby(ks).groups.items():
+                g = pdf.loc[idx]
+                Xa = np.column_stack([np.ones(len(g))] + [g[f].to_numpy(float) for f in feats])
+                v = fn(tk[k], Xa, g["_y"].to_numpy(float))
+                acc[k] = acc[k] + v if k in acc else v
+        rows = [(k, i, float(x)) for k, v in acc.items() for i, x in enumerate(v)]
+        yield pd.DataFrame(rows, columns=["_k", "_i", "_v"])
+
+    got = (d.select(*keys, "_y", *feats).mapInPandas(part, schema)
+           .groupBy("_k", "_i").agg(F.sum("_v").alias("_v")).collect())
+    out: dict = {}
+    for r in got:
+        out.setdefault(r["_k"], np.zeros(n_stats))[r["_i"]] = r["_v"]
+    return {k: out.get("\x1f".join(str(x) for x in k), np.zeros(n_stats)) for k in thetas}
 
 
 def _prepare(design: DataFrame, keys, feats, y):
@@ -73,28 +94,22 @@ def fit_logistic(design: DataFrame, features: Sequence[str], y: str = "y", keys:
     key_rows = d.select(*keys).distinct().collect() if keys else [()]
     thetas = {(_key_tuple(r, keys) if keys else ()): np.zeros(p) for r in key_rows}
     prec = np.diag([1.0 / prior_sd_a ** 2] + [1.0 / prior_sd_b ** 2] * len(feats))
-    xs = [F.lit(1.0)] + [F.col(f) for f in feats]
+    iu = np.triu_indices(p)
     hess = {}
+
+    def newton_stats(theta, Xa, y):
+        mu = 1.0 / (1.0 + np.exp(-(Xa @ theta)))
+        H = Xa.T @ (Xa * (mu * (1.0 - mu))[:, None])
+        return np.concatenate([Xa.T @ (y - mu), H[iu]])
+
     for _ in range(max_iter):
-        th = _theta_table(spark, keys, key_types, thetas, names)
-        j = _attach_theta(d, th, keys)
-        eta = F.col("_t_a")
-        for f in feats:
-            eta = eta + F.col(f"_t_b_{f}") * F.col(f)
-        j = j.withColumn("_mu", 1.0 / (1.0 + F.exp(-eta)))
-        aggs = [F.sum((F.col("_y") - F.col("_mu")) * xs[i]).alias(f"g{i}") for i in range(p)]
-        aggs += [F.sum(F.col("_mu") * (1 - F.col("_mu")) * xs[i] * xs[k]).alias(f"h{i}_{k}")
-                 for i in range(p) for k in range(i, p)]
-        rows = j.groupBy(*keys).agg(*aggs).collect()
+        stats = _stats_pass(d, keys, feats, thetas, newton_stats, p + len(iu[0]))
         step = 0.0
-        for r in rows:
-            kt = _key_tuple(r, keys)
-            g = np.array([r[f"g{i}"] for i in range(p)]) - prec @ thetas[kt]
+        for kt, v in stats.items():
+            g = v[:p] - prec @ thetas[kt]
             H = np.zeros((p, p))
-            for i in range(p):
-                for k in range(i, p):
-                    H[i, k] = H[k, i] = r[f"h{i}_{k}"]
-            H = H + prec
+            H[iu] = v[p:]
+            H = H + np.triu(H, 1).T + prec
             delta = np.linalg.solve(H, g)
             thetas[kt] = thetas[kt] + delta
             hess[kt] = H
@@ -152,7 +167,7 @@ def draws_from_posterior(posterior: DataFrame, keys: Sequence[str] = (), n_chain
                 kh = zlib.crc32("\x1f".join(str(r[k]) for k in keys).encode())
                 p = len(r["mode"])
                 for c in range(n_chains):
-                    rng = np.random.Generator(np.random.Philox(key=[seed & 0xFFFFFFFF, kh, c]))
+                    rng = np.random.default_rng([seed & 0xFFFFFFFF, kh, c])
                     if is_vol:
                         w = np.asarray(r["nu_weight"], float)
                         idx = rng.choice(len(w), size=n_draws, p=w / w.sum())
@@ -186,7 +201,7 @@ def draws_from_posterior(posterior: DataFrame, keys: Sequence[str] = (), n_chain
 
 def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys: Sequence[str] = (),
                   prior_sd: float = 0.5, sigma_scale: float = 0.5, nu_rate: float = 0.1,
-                  nu_grid: Sequence[float] = NU_GRID, max_iter: int = 200, tol: float = 1e-9):
+                  nu_grid: Sequence[float] = NU_GRID, max_iter: int = 100, tol: float = 1e-6):
     """M5: robust regression MAP per key and per nu of the grid, by EM steps in one aggregate each.
 
     Returns ``(params, posterior)`` like :func:`fit_logistic`; ``params`` reports
@@ -204,45 +219,42 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
     init = {(_key_tuple(r, keys) if keys else ()): (r["m"], max(r["s"] or 0.0, 1e-6), r["n"]) for r in st.collect()}
     state = {kt: [[np.r_[m, np.zeros(len(feats))], s * s] for _ in range(G)] for kt, (m, s, _) in init.items()}
     prec = np.eye(p) / prior_sd ** 2
-    xs = [F.lit(1.0)] + [F.col(f) for f in feats]
-    tnames = [f"g{g}_{i}" for g in range(G) for i in range(p)] + [f"s{g}" for g in range(G)]
-    last = {}
-    for it in range(max_iter):
-        th = _theta_table(spark, keys, key_types, {kt: np.concatenate([np.r_[s[0], s[1]] for s in v])
-                                                   for kt, v in state.items()},
-                          [f"g{g}_{i}" for g in range(G) for i in list(range(p)) + ["s2"]])
-        j = _attach_theta(d, th, keys)
-        aggs = []
+    iu = np.triu_indices(p)
+    nq = len(iu[0])
+    per = p + nq + 3  # Xy, XX cells, sum w r^2, sum log1p, n
+
+    def em_stats(theta_all, Xa, y):
+        out = []
         for g, nu in enumerate(nu_grid):
-            mu = F.col(f"_t_g{g}_0")
-            for i, f in enumerate(feats, 1):
-                mu = mu + F.col(f"_t_g{g}_{i}") * F.col(f)
-            r = F.col("_y") - mu
-            s2 = F.col(f"_t_g{g}_s2")
+            th = theta_all[g * (p + 1): g * (p + 1) + p]
+            s2 = theta_all[g * (p + 1) + p]
+            r = y - Xa @ th
             w = (nu + 1.0) / (nu + r * r / s2)
-            aggs += [F.sum(w * xs[i] * F.col("_y")).alias(f"xy{g}_{i}") for i in range(p)]
-            aggs += [F.sum(w * xs[i] * xs[k]).alias(f"xx{g}_{i}_{k}") for i in range(p) for k in range(i, p)]
-            aggs += [F.sum(w * r * r).alias(f"wr{g}"), F.sum(F.log1p(r * r / (s2 * nu))).alias(f"ll{g}")]
-        aggs.append(F.count(F.lit(1)).alias("_n"))
-        rows = j.groupBy(*keys).agg(*aggs).collect()
+            XX = Xa.T @ (Xa * w[:, None])
+            out += [Xa.T @ (w * y), XX[iu], [float(np.sum(w * r * r)), float(np.sum(np.log1p(r * r / (s2 * nu)))),
+                                            float(len(y))]]
+        return np.concatenate([np.asarray(o, float) for o in out])
+
+    last = {}
+    for it in range(max_iter):
+        packed = {kt: np.concatenate([np.r_[st[0], st[1]] for st in v]) for kt, v in state.items()}
+        stats = _stats_pass(d, keys, feats, packed, em_stats, G * per)
         step = 0.0
-        for rw in rows:
-            kt = _key_tuple(rw, keys)
-            n = rw["_n"]
+        for kt, v in stats.items():
             for g, nu in enumerate(nu_grid):
+                blk = v[g * per:(g + 1) * per]
                 theta, s2 = state[kt][g]
                 XX = np.zeros((p, p))
-                for i in range(p):
-                    for k in range(i, p):
-                        XX[i, k] = XX[k, i] = rw[f"xx{g}_{i}_{k}"]
-                Xy = np.array([rw[f"xy{g}_{i}"] for i in range(p)])
+                XX[iu] = blk[p:p + nq]
+                XX = XX + np.triu(XX, 1).T
+                Xy = blk[:p]
+                S, ll, n = blk[p + nq], blk[p + nq + 1], blk[p + nq + 2]
                 A = XX / s2 + prec
                 new_theta = np.linalg.solve(A, Xy / s2)
-                S = rw[f"wr{g}"]
                 new_s2 = _sigma2_update(n, S, sigma_scale)
                 step = max(step, float(np.max(np.abs(new_theta - theta))), abs(math.sqrt(new_s2) - math.sqrt(s2)))
                 state[kt][g] = [new_theta, new_s2]
-                last[(kt, g)] = (A, rw[f"ll{g}"], n)
+                last[(kt, g)] = (A, ll, n)
         if step < tol:
             break
     modes, covs, extra = {}, {}, {}

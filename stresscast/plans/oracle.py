@@ -344,3 +344,65 @@ ORACLE.update({
     "reliability_quintile": sql_with(_RELIABILITY, "scored", round_cols=("bin_lo", "bin_hi", "observed_freq")),
     "score_stress_grid": sql_with(_GRID, "scored_points_v", "grid_draws_v", round_cols=("prob",)),
 })
+
+
+# ------------------------------------------------------ batch 3
+def _price_status(where):
+    return f"""SELECT 'RNGWHHD' AS series, date, CASE WHEN day(date) % 7 <> 0 THEN v END AS henry_hub_usd_per_mmbtu
+               FROM (SELECT CAST(o_orderdate AS DATE) AS date, max(o_totalprice) / 1000.0 AS v FROM orders {where}
+                     GROUP BY CAST(o_orderdate AS DATE))"""
+
+
+_MERGE = f"""
+    SELECT coalesce(e.series, i.series) AS series, coalesce(e.date, i.date) AS date,
+           CASE WHEN i.date IS NOT NULL THEN i.henry_hub_usd_per_mmbtu ELSE e.henry_hub_usd_per_mmbtu END
+             AS henry_hub_usd_per_mmbtu,
+           e.units,
+           CASE WHEN e.date IS NOT NULL THEN TIMESTAMP '2000-01-01 00:00:00' ELSE TIMESTAMP '2001-01-01 00:00:00' END
+             AS created_at_utc,
+           CASE WHEN i.date IS NOT NULL THEN TIMESTAMP '2001-01-01 00:00:00' ELSE TIMESTAMP '2000-01-01 00:00:00' END
+             AS updated_at,
+           CASE WHEN e.date IS NULL THEN 'insert' WHEN i.date IS NULL THEN 'keep'
+                WHEN e.henry_hub_usd_per_mmbtu IS NOT DISTINCT FROM i.henry_hub_usd_per_mmbtu THEN 'unchanged'
+                ELSE 'update' END AS _action
+    FROM (SELECT *, '$/MMBTU' AS units FROM ({_price_status("WHERE o_orderstatus = 'F'")})) e
+    FULL OUTER JOIN (SELECT * FROM ({_price_status("")}) WHERE date >= DATE '1998-01-01') i
+      ON e.series = i.series AND e.date = i.date"""
+
+_ENERGY_ROWS = """
+    SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'bad' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS period,
+           CASE WHEN o_orderkey % 7 = 0 THEN 'NA' ELSE CAST(o_totalprice AS VARCHAR) END AS value,
+           CASE WHEN o_orderkey % 5 <> 0 THEN 'RNGWHHD' END AS series
+    FROM orders"""
+
+ORACLE.update({
+    "keyed_merge": sql_with(_MERGE, round_cols=("henry_hub_usd_per_mmbtu",)),
+    "merge_stats": sql_with(f"""
+        SELECT CAST(count(*) FILTER (WHERE _action = 'insert') AS BIGINT) AS inserted,
+               CAST(count(*) FILTER (WHERE _action = 'update') AS BIGINT) AS modified,
+               CAST(count(*) FILTER (WHERE _action = 'unchanged') AS BIGINT) AS unchanged,
+               CAST(count(*) FILTER (WHERE _action = 'keep') AS BIGINT) AS kept,
+               CAST(count(*) FILTER (WHERE _action = 'unkeyed') AS BIGINT) AS unkeyed,
+               CAST(count(*) FILTER (WHERE _action IN ('insert', 'update')) AS BIGINT) AS upserts_or_updates
+        FROM ({_MERGE})"""),
+    "unique_check": sql_with("""SELECT pipeline, posted_dt, count(*) AS n_rows FROM notice
+                                GROUP BY pipeline, posted_dt HAVING count(*) > 1""", "notice"),
+    "quarantine_split": sql_with("""SELECT pipeline, Loc_Name, Post_Date, All_Qty_Avail FROM capacity
+                                    WHERE NOT (TRY_CAST(trim(Post_Date) AS DATE) IS NOT NULL
+                                               AND TRY_CAST(trim(All_Qty_Avail) AS DOUBLE) IS NOT NULL)""", "capacity"),
+    "normalize_prices": sql_with(f"""
+        SELECT strftime(d, '%Y-%m-%d') AS date, TRY_CAST(value AS DOUBLE) AS henry_hub_usd_per_mmbtu,
+               '$/MMBTU' AS units, coalesce(nullif(series, ''), 'RNGWHHD') AS series,
+               'Henry Hub Natural Gas Spot Price' AS series_description, 'NUS' AS duoarea, 'U.S.' AS area_name,
+               CAST(NULL AS VARCHAR) AS product, CAST(NULL AS VARCHAR) AS product_name,
+               CAST(NULL AS VARCHAR) AS process, CAST(NULL AS VARCHAR) AS process_name
+        FROM (SELECT TRY_CAST(period AS DATE) AS d, * FROM ({_ENERGY_ROWS})) WHERE d IS NOT NULL""",
+                                 round_cols=("henry_hub_usd_per_mmbtu",)),
+    "normalize_storage": sql_with("""
+        SELECT strftime(date, '%Y-%m-%d') AS date, 'lower48' AS region, working_gas_bcf, 'BCF' AS units,
+               'NW2_EPG0_SWO_R48_BCF' AS series, CAST(NULL AS VARCHAR) AS series_description,
+               CAST(NULL AS VARCHAR) AS duoarea, region AS area_name, CAST(NULL AS VARCHAR) AS product,
+               CAST(NULL AS VARCHAR) AS product_name, CAST(NULL AS VARCHAR) AS process,
+               CAST(NULL AS VARCHAR) AS process_name
+        FROM storage_weekly""", "storage_weekly", round_cols=("working_gas_bcf",)),
+})

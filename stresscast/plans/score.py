@@ -51,7 +51,7 @@ def exceed_probs(X: np.ndarray, draws: pd.DataFrame, feats: Sequence[str], kind:
         else:
             t = np.empty_like(L)
             for i in range(L.shape[0]):
-                rng = np.random.Generator(np.random.Philox(key=int(seeds[s + i]) & 0xFFFFFFFFFFFFFFFF))
+                rng = np.random.default_rng(int(seeds[s + i]) & 0xFFFFFFFFFFFFFFFF)
                 t[i] = rng.standard_t(nus)
             y = L + sig[None, :] * t
             out[s:s + CHUNK] = (y > threshold).mean(axis=1)

@@ -4,7 +4,8 @@ Semantics of the source's per-document upsert, re-expressed as one join:
 
 * incoming rows with an absent/NULL/empty key field are not merged; they are
   appended as they are (``_action = 'unkeyed'``) so nothing is lost;
-* several incoming rows with the same key: the latest by ``order_cols`` wins;
+* several incoming rows with the same key: the latest by ``order_cols`` wins
+  (order columns are batch metadata, not stored fields);
 * only fields *present in the batch* are set: a column missing from the
   incoming schema, or not listed in a row's ``fields_col`` array, keeps the
   stored value; a present field that is NULL overwrites with NULL;
@@ -48,7 +49,8 @@ def keyed_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], n
                 order_cols: Sequence = (), fields_col: str | None = None) -> DataFrame:
     keys = list(keys)
     now_c = F.lit(now).cast("timestamp_ntz")
-    inc_cols = [c for c in incoming.columns if c != fields_col and c not in META]
+    order_names = {c for c in order_cols if isinstance(c, str)}
+    inc_cols = [c for c in incoming.columns if c != fields_col and c not in META and c not in order_names]
     ex_cols = [c for c in existing.columns if c not in META]
     value_cols = [c for c in dict.fromkeys(ex_cols + inc_cols) if c not in keys]
     bad = bad_key(keys, fields_col, incoming.columns)
@@ -81,7 +83,7 @@ def keyed_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], n
     action = (F.when(~in_e, "insert").when(~in_i, "keep").when(changed, "update").otherwise("unchanged"))
     merged = j.select(*keys, *out, created.alias("created_at_utc"), updated.alias("updated_at"),
                       action.alias("_action"))
-    unk = unkeyed.drop(*([fields_col] if fields_col else []))
+    unk = unkeyed.drop(*([fields_col] if fields_col else []), *order_names)
     unk = unk.select(*[F.col(c) if c in unk.columns else F.lit(None).alias(c) for c in keys + value_cols],
                      now_c.alias("created_at_utc"), now_c.alias("updated_at"), F.lit("unkeyed").alias("_action"))
     return merged.unionByName(unk, allowMissingColumns=True)

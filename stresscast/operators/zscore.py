@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stresscast.functions.scalar import ZSCORE_EPS
@@ -43,13 +43,23 @@ def standardize(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), po
                 out_suffix: str = "_z", stats: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Fit (or reuse ``stats``) and apply a policy; returns (frame, scaler table).
 
-    The scaler table is small (one row per key) and is joined back on the keys;
-    AQE turns that join into a broadcast at run time when it is small.
+    Keyed statistics are window aggregates over ``partitionBy(keys)`` (meant for
+    day-grain frames, where a key holds at most one row per day); given
+    ``stats`` (one row per key) are joined on the keys; global statistics (no
+    keys) are one aggregate row attached to every row. The returned scaler
+    table is lazy and costs nothing unless used.
     """
     keys = list(keys)
-    st = stats if stats is not None else fit_scalers(df, cols, keys)
     fn = {"a": z_policy_a, "b": z_policy_b, "c": z_policy_c}[policy]
-    j = _attach(df, st, keys)
+    if stats is None and keys:
+        # keyed statistics as partition-window aggregates: one pass over the frame, no self-join
+        w = Window.partitionBy(*keys)
+        j = df.select("*", *[F.avg(c).over(w).alias(f"{c}__mean") for c in cols],
+                      *[F.stddev_pop(c).over(w).alias(f"{c}__std") for c in cols])
+        st = fit_scalers(df, cols, keys)
+    else:
+        st = stats if stats is not None else fit_scalers(df, cols, keys)
+        j = _attach(df, st, keys)
     out = j.withColumns({f"{c}{out_suffix}": fn(c, f"{c}__mean", f"{c}__std") for c in cols})
     return out.drop(*[f"{c}__{s}" for c in cols for s in ("mean", "std")]), st
 

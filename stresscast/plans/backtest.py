@@ -20,6 +20,7 @@ from stresscast.operators.zscore import z_policy_a, z_policy_c
 from stresscast.plans.design import VOL_FEATURES, stress_design, vol_design
 from stresscast.plans.fit import draws_from_posterior, fit_logistic, fit_student_t
 from stresscast.plans.score import score_points
+from stresscast.session import cut_lineage
 
 
 def _apply_scalers(test: DataFrame, scalers: DataFrame, feats: Sequence[str], keys: Sequence[str],
@@ -36,7 +37,8 @@ def stress_backtest(frame: DataFrame, train_end, keys: Sequence[str] = ("pipelin
                     n_draws: int = 1500, seed: int = 0, threshold: float = 0.30):
     """Returns (params, scored test rows ``keys, date, p_stress, stress_event``)."""
     keys = list(keys)
-    raw = stress_design(frame, keys, scale_inputs=False)
+    # the design is read by the fit, the test scoring and the outcome join: compute it once
+    raw = cut_lineage(stress_design(frame, keys, scale_inputs=False))
     feats = [c for c in raw.columns if c not in keys + ["date", "y"]]
     train, test = time_split(raw, "date", train_end)
     tr_design, scalers = stress_design_from_raw(train, feats, keys)
@@ -63,7 +65,7 @@ def vol_backtest(frame: DataFrame, train_end, keys: Sequence[str] = ("pipeline",
                  n_draws: int = 1000, seed: int = 0, threshold: float = 0.02):
     """E2 (+E7): returns (params, scored test rows ``keys, date, p_vol_exceed, realized_vol_exceed``)."""
     keys = list(keys)
-    raw = vol_design(frame, keys, scale_inputs=False)
+    raw = cut_lineage(vol_design(frame, keys, scale_inputs=False))
     train, test = time_split(raw, "date", train_end)
     from stresscast.operators.aggregates import fit_scalers, scalers_long
     from stresscast.operators.zscore import scaler_std_b, z_policy_b

@@ -34,7 +34,8 @@ def station_day(spark: SparkSession, base: str) -> DataFrame:
 
 def region_daily(spark: SparkSession, base: str) -> DataFrame:
     sd = station_day(spark, base).join(V.station_pipeline(spark, base), "ghcnd_station_id")
-    return aggregate_region_daily(sd)
+    # station days come from a group-by on (station, day): unique per station and day
+    return aggregate_region_daily(sd, stations_unique=True)
 
 
 def storage_daily(spark: SparkSession, base: str) -> DataFrame:

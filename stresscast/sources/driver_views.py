@@ -34,6 +34,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stresscast.operators.joins import broadcast_if_small
 from stresscast.sources.tables import read_table
 
 
@@ -50,10 +51,12 @@ def customer_geo(spark: SparkSession, base: str) -> DataFrame:
 def _geo(spark, base, df, nation_col):
     nat = read_table(spark, base, "nation").select("n_nationkey", "n_regionkey")
     reg = read_table(spark, base, "region").select("r_regionkey", "r_name")
-    return (df.join(nat, df[nation_col] == nat.n_nationkey)
-              .join(reg, nat.n_regionkey == reg.r_regionkey)
-              .withColumn("pipeline", F.lower("r_name"))
-              .withColumn("region_id", F.concat(F.lit("r"), F.col("r_regionkey").cast("string"))))
+    geo = (df.join(nat, df[nation_col] == nat.n_nationkey)
+             .join(reg, nat.n_regionkey == reg.r_regionkey)
+             .withColumn("pipeline", F.lower("r_name"))
+             .withColumn("region_id", F.concat(F.lit("r"), F.col("r_regionkey").cast("string"))))
+    # a dimension (one row per supplier/customer): broadcast when its checked size allows
+    return broadcast_if_small(geo)
 
 
 def station_raw(spark: SparkSession, base: str) -> DataFrame:

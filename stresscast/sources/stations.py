@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from stresscast.functions.scalar import (
     hdd_from_tavg_c, strip_ws, tenths, to_date_lenient,
@@ -69,9 +70,10 @@ def normalize_station_rows(raw: DataFrame, start=None, end=None) -> DataFrame:
     for c in MEASURES:
         if c not in d.columns:
             d = d.withColumn(c, F.lit(None).cast("string"))
+    is_date = isinstance(d.schema["DATE"].dataType, DateType)
     d = d.select(
         F.col("ghcnd_station_id"),
-        to_date_lenient("DATE").alias("date"),
+        (F.col("DATE") if is_date else to_date_lenient("DATE")).alias("date"),
         tenths("TAVG").alias("tavg_c"),
         tenths("TMIN").alias("tmin_c"),
         tenths("TMAX").alias("tmax_c"),

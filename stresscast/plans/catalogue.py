@@ -493,3 +493,68 @@ QUERIES.update({
     "page_detail_extract": q_page_detail_extract,
     "stream_ingest": q_stream_ingest,
 })
+
+
+# ------------------------------------------------------ batch 4: loaders (S2-S6), documents and manifest (K2-K4)
+from stresscast.sources.tables import (load_capacity, load_notices, load_price_daily, load_region_daily,  # noqa: E402
+                                       load_storage_weekly)
+
+
+def q_load_prices_range(spark, base):
+    return round_doubles(load_price_daily(V.price_daily(spark, base), "1997-01-01", "1997-12-31"))
+
+
+def q_load_storage_region(spark, base):
+    return round_doubles(load_storage_weekly(V.storage_weekly(spark, base), "1996-01-01", None, region="europe"))
+
+
+def q_load_region_daily_pipeline(spark, base):
+    return round_doubles(load_region_daily(region_daily(spark, base), "asia", "1998-01-01", "1998-12-31"))
+
+
+def q_load_capacity_range(spark, base):
+    c = load_capacity(V.capacity(spark, base), "1997-01-01", "1997-03-31")
+    return c.select("pipeline", "Loc_Name", "Post_Date_dt", "All_Qty_Avail")
+
+
+def q_load_notices_active(spark, base):
+    n = load_notices(V.notice(spark, base), "1998-01-01", "1998-03-31", only_active=True, as_of="1998-02-15")
+    return n.select("pipeline", "notice_id", "posted_dt", "end_dt")
+
+
+def _station_meta_table(spark, base):
+    return V.station_pipeline(spark, base).join(_supplier_meta(spark, base), "ghcnd_station_id")
+
+
+def q_station_documents(spark, base):
+    from stresscast.sources.sinks import station_day_documents
+    sd = station_day(spark, base).join(V.station_pipeline(spark, base).select("ghcnd_station_id", "pipeline"),
+                                       "ghcnd_station_id")
+    return station_day_documents(sd, _station_meta_table(spark, base), None, MERGE_NOW)
+
+
+def q_region_documents(spark, base):
+    from stresscast.sources.sinks import region_day_documents
+    return region_day_documents(region_daily(spark, base), MERGE_NOW)
+
+
+def q_run_manifest(spark, base):
+    from stresscast.sources.sinks import run_manifest
+    sd = station_day(spark, base).join(V.station_pipeline(spark, base).where(F.col("pipeline") == "europe"),
+                                       "ghcnd_station_id")
+    return run_manifest(spark, sd, pipeline="europe", region_id="r3", now=MERGE_NOW,
+                        outputs={"station_csv": "station_day.csv", "region_csv": "region_daily.csv"},
+                        date_filter={"start": None, "end": None},
+                        notes="median and mean across stations of station tavg and station HDD")
+
+
+QUERIES.update({
+    "load_prices_range": q_load_prices_range,
+    "load_storage_region": q_load_storage_region,
+    "load_region_daily_pipeline": q_load_region_daily_pipeline,
+    "load_capacity_range": q_load_capacity_range,
+    "load_notices_active": q_load_notices_active,
+    "station_documents": q_station_documents,
+    "region_documents": q_region_documents,
+    "run_manifest": q_run_manifest,
+})

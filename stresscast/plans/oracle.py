@@ -406,3 +406,26 @@ ORACLE.update({
                CAST(NULL AS VARCHAR) AS process_name
         FROM storage_weekly""", "storage_weekly", round_cols=("working_gas_bcf",)),
 })
+
+
+# ------------------------------------------------------ batch 4
+ORACLE.update({
+    "load_prices_range": sql_with("""SELECT date, henry_hub_usd_per_mmbtu, units, series FROM price_daily
+                                     WHERE date BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'""", "price_daily",
+                                  round_cols=("henry_hub_usd_per_mmbtu",)),
+    "load_storage_region": sql_with("""SELECT date, region, working_gas_bcf, units, series FROM storage_weekly
+                                       WHERE date >= DATE '1996-01-01' AND region = 'europe'""", "storage_weekly",
+                                    round_cols=("working_gas_bcf",)),
+    "load_region_daily_pipeline": sql_with("""SELECT * FROM region_daily_v WHERE pipeline = 'asia'
+                                              AND date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'""",
+                                           "region_daily_v",
+                                           round_cols=("tavg_c_median", "tavg_f_median", "hdd_median", "tavg_c_mean",
+                                                       "tavg_f_mean", "hdd_mean")),
+    "load_capacity_range": sql_with("""SELECT pipeline, Loc_Name, TRY_CAST(trim(Post_Date) AS DATE) AS Post_Date_dt,
+                                       All_Qty_Avail FROM capacity
+                                       WHERE TRY_CAST(trim(Post_Date) AS DATE) BETWEEN DATE '1997-01-01'
+                                         AND DATE '1997-03-31'""", "capacity"),
+    "load_notices_active": sql_with("""SELECT pipeline, notice_id, posted_dt, end_dt FROM notice
+                                       WHERE posted_dt >= TIMESTAMP '1998-01-01' AND posted_dt < TIMESTAMP '1998-04-01'
+                                         AND (end_dt IS NULL OR end_dt >= TIMESTAMP '1998-02-15')""", "notice"),
+})

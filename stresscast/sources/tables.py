@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from stresscast.functions.scalar import to_date_lenient, to_ts_lenient
 
@@ -90,7 +91,7 @@ def load_capacity(df: DataFrame, start=None, end=None, limit: int | None = None)
     d = (df.withColumn("Post_Date_dt", to_date_lenient("Post_Date"))
            .withColumn("Eff_Gas_Day_dt", to_date_lenient("Eff_Gas_Day") if "Eff_Gas_Day" in df.columns
                        else F.lit(None).cast("date")))
-    if "downloaded_at_utc" in d.columns:
+    if "downloaded_at_utc" in d.columns and isinstance(d.schema["downloaded_at_utc"].dataType, StringType):
         d = d.withColumn("downloaded_at_utc", to_ts_lenient("downloaded_at_utc"))
     d = d.where(date_between("Post_Date_dt", start, end))
     sort = ["Post_Date_dt"] + (["Post_Time"] if "Post_Time" in d.columns else [])
@@ -105,8 +106,8 @@ def load_notices(df: DataFrame, start=None, end=None, only_active: bool = False,
     """
     d = df
     for c in ("posted_dt", "effective_dt", "end_dt"):
-        if c in d.columns:
-            d = d.withColumn(c, to_ts_lenient(c))
+        if c in d.columns and isinstance(d.schema[c].dataType, StringType):
+            d = d.withColumn(c, to_ts_lenient(c))  # text at the edge; typed timestamps are kept as they are
     cond = F.lit(True)
     if start is not None:
         cond = cond & (F.col("posted_dt") >= F.lit(start).cast("timestamp"))

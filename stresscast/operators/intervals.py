@@ -73,19 +73,24 @@ def _islands(n: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def stress_from_notices_sweep(notices: DataFrame, keys: Sequence[str] = ("pipeline",), id_col: str = "notice_id",
                               critical_col: str | None = "critical") -> DataFrame:
-    """A3 (sweep plan): same result as :func:`stress_from_notices`, O(n) rows."""
+    """A3 (sweep plan): same result as :func:`stress_from_notices`, O(n) rows.
+
+    One pass over the notices: every interval is tagged kind 0 (any notice) and,
+    if critical, also kind 1; islands are merged per (keys, kind, id); each
+    island emits its +1/-1 pair through one explode (no union, so the input is
+    read once).
+    """
     keys = list(keys)
     n = _prepared(notices, keys, id_col, critical_col).where(F.col("_e") >= F.col("_s"))
-    all_isl = _islands(n.select(*keys, "_id", "_s", "_e"), keys)
-    crit_isl = _islands(n.where("_crit").select(*keys, "_id", "_s", "_e"), keys)
-
-    def deltas(isl, all_d, crit_d):
-        start = isl.select(*keys, F.col("_s").alias("date"), F.lit(all_d).alias("_da"), F.lit(crit_d).alias("_dc"))
-        stop = isl.select(*keys, F.date_add("_e", 1).alias("date"), F.lit(-all_d).alias("_da"),
-                          F.lit(-crit_d).alias("_dc"))
-        return start.unionByName(stop)
-
-    ev = (deltas(all_isl, 1, 0).unionByName(deltas(crit_isl, 0, 1))
+    kinds = F.when(F.col("_crit"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    tagged = n.select(*keys, F.explode(kinds).alias("_kind"), "_id", "_s", "_e")
+    isl = _islands(tagged, keys + ["_kind"])
+    ev = isl.select(*keys, "_kind", F.explode(F.array(
+        F.struct(F.col("_s").alias("date"), F.lit(1).alias("d")),
+        F.struct(F.date_add("_e", 1).alias("date"), F.lit(-1).alias("d")))).alias("_ev"))
+    ev = (ev.select(*keys, F.col("_ev.date").alias("date"),
+                    F.when(F.col("_kind") == 0, F.col("_ev.d")).otherwise(0).alias("_da"),
+                    F.when(F.col("_kind") == 1, F.col("_ev.d")).otherwise(0).alias("_dc"))
           .groupBy(*keys, "date").agg(F.sum("_da").alias("_da"), F.sum("_dc").alias("_dc")))
     w = Window.partitionBy(*keys).orderBy("date")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -11,11 +11,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 from stresscast.functions.scalar import to_date_lenient, to_ts_lenient
 
 
+def as_date(df: DataFrame, col: str):
+    """The column as DATE: kept when it already is one (so filters on it still reach the scan
+    or pass below an aggregate on it), day of a timestamp, lenient parse of text."""
+    t = df.schema[col].dataType
+    if isinstance(t, DateType):
+        return F.col(col)
+    if isinstance(t, (TimestampType, TimestampNTZType)):
+        return F.to_date(col)
+    return to_date_lenient(col)
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
@@ -44,7 +55,7 @@ def scan(df: DataFrame, *, where=None, columns: Sequence[str] | None = None,
     if where is not None:
         out = out.where(where)
     if parse_dates and date_col and date_col in out.columns:
-        out = out.withColumn(date_col, to_date_lenient(date_col))
+        out = out.withColumn(date_col, as_date(out, date_col))
     if columns:
         out = out.select(*columns)
     if sort:
@@ -56,7 +67,7 @@ def scan(df: DataFrame, *, where=None, columns: Sequence[str] | None = None,
 
 def load_price_daily(df: DataFrame, start=None, end=None) -> DataFrame:
     """Daily price in a closed range; ``value`` renamed to the model name."""
-    d = df.withColumn("date", to_date_lenient("date"))
+    d = df.withColumn("date", as_date(df, "date"))
     if "value" in d.columns:
         d = d.withColumnRenamed("value", "henry_hub_usd_per_mmbtu")
     return d.where(date_between("date", start, end)).select(
@@ -65,7 +76,7 @@ def load_price_daily(df: DataFrame, start=None, end=None) -> DataFrame:
 
 def load_storage_weekly(df: DataFrame, start=None, end=None, region: str | None = None) -> DataFrame:
     """S3: weekly storage in a range with optional region equality."""
-    d = df.withColumn("date", to_date_lenient("date"))
+    d = df.withColumn("date", as_date(df, "date"))
     if "value" in d.columns:
         d = d.withColumnRenamed("value", "working_gas_bcf")
     cond = date_between("date", start, end)
@@ -77,7 +88,7 @@ def load_storage_weekly(df: DataFrame, start=None, end=None, region: str | None
 def load_region_daily(df: DataFrame, pipeline: str | None = None, start=None, end=None,
                       region_id: str | None = None) -> DataFrame:
     """Pipeline equality (None = all pipelines) + optional range + optional region."""
-    d = df.withColumn("date", to_date_lenient("date"))
+    d = df.withColumn("date", as_date(df, "date"))
     cond = date_between("date", start, end)
     if pipeline is not None:
         cond = cond & (F.col("pipeline") == pipeline)

@@ -140,3 +140,18 @@ def yn_to_bool(x) -> Column:
     """'Y'/'N' to boolean; other values NULL."""
     s = F.upper(strip_ws(x))
     return F.when(s == "Y", True).when(s == "N", False)
+
+
+def parse_utc_strict(value) -> "datetime":
+    """F7 (driver side): a query bound as a UTC instant; anything unparsable raises.
+
+    Accepts 'YYYY-MM-DD' and ISO-8601 text (with or without an offset, naive = UTC).
+    """
+    from datetime import datetime, timezone
+    if isinstance(value, datetime):
+        return value if value.tzinfo else value.replace(tzinfo=timezone.utc)
+    s = str(value).strip()
+    if s.endswith("Z"):
+        s = s[:-1] + "+00:00"
+    d = datetime.fromisoformat(s)
+    return (d if d.tzinfo else d.replace(tzinfo=timezone.utc)).astimezone(timezone.utc)

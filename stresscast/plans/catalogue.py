@@ -205,9 +205,9 @@ def q_active_as_of(spark, base):
 
 
 def q_lookback_filter(spark, base):
+    from stresscast.operators.filters import lookback
     p = V.price_daily(spark, base)
-    return round_doubles(p.where(F.col("date") >= F.date_sub(F.lit("2001-08-01").cast("date"), 60))
-                         .select("date", "henry_hub_usd_per_mmbtu"))
+    return round_doubles(p.where(lookback("date", "2001-08-01", 60)).select("date", "henry_hub_usd_per_mmbtu"))
 
 
 def q_takewhile_cutoff(spark, base):
@@ -558,3 +558,15 @@ QUERIES.update({
     "region_documents": q_region_documents,
     "run_manifest": q_run_manifest,
 })
+
+
+def q_split_stats(spark, base):
+    """P12 + A11: rows, first and last day of the train and test splits of the model frame."""
+    from stresscast.operators.aggregates import split_stats
+    from stresscast.operators.filters import time_split
+    train, test = time_split(model_frame(spark, base), "date", TRAIN_END)
+    return (split_stats(train, keys=["pipeline"]).withColumn("split", F.lit("train"))
+            .unionByName(split_stats(test, keys=["pipeline"]).withColumn("split", F.lit("test"))))
+
+
+QUERIES["split_stats"] = q_split_stats

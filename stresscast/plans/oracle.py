@@ -429,3 +429,9 @@ ORACLE.update({
                                        WHERE posted_dt >= TIMESTAMP '1998-01-01' AND posted_dt < TIMESTAMP '1998-04-01'
                                          AND (end_dt IS NULL OR end_dt >= TIMESTAMP '1998-02-15')""", "notice"),
 })
+
+ORACLE["split_stats"] = sql_with("""
+    SELECT pipeline, CAST(count(*) AS BIGINT) AS rows, min(date) AS first_date, max(date) AS last_date,
+           CASE WHEN date <= DATE '1998-12-31' THEN 'train' ELSE 'test' END AS split
+    FROM model_frame_v GROUP BY pipeline, CASE WHEN date <= DATE '1998-12-31' THEN 'train' ELSE 'test' END""",
+    "model_frame_v")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
-from stresscast.functions.scalar import to_date_lenient, to_ts_lenient
+from stresscast.functions.scalar import parse_utc_strict, to_date_lenient, to_ts_lenient
 
 
 def as_date(df: DataFrame, col: str):
@@ -121,8 +121,11 @@ def load_notices(df: DataFrame, start=None, end=None, only_active: bool = False,
             d = d.withColumn(c, to_ts_lenient(c))  # text at the edge; typed timestamps are kept as they are
     cond = F.lit(True)
     if start is not None:
+        parse_utc_strict(start)  # a bad bound is an error, not an empty result
         cond = cond & (F.col("posted_dt") >= F.lit(start).cast("timestamp"))
     if end is not None:
+        parse_utc_strict(end)
+        # F8: the whole end day is included: posted < end + 1 day
         cond = cond & (F.col("posted_dt") < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp"))
     if only_active:
         if as_of is None:

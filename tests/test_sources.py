@@ -90,3 +90,34 @@ def test_capacity_csv_and_median(spark, tmpdir_path):
                                "content_type string, disposition string, url string")
     good, bad = split_downloads(dl)
     assert good.count() == 2 and [r["url"] for r in bad.collect()] == ["u2"]
+
+
+def test_sinks_documents_csv_manifest(spark, tmpdir_path):
+    from stresscast.functions.scalar import parse_utc_strict
+    from stresscast.sources.sinks import (price_documents, run_manifest, station_day_documents, storage_documents,
+                                          write_csv, write_manifest)
+    sd = spark.createDataFrame([("S1", dt.date(2024, 1, 1), 1.0, 0.0, 2.0, 30.0),
+                                ("S9", dt.date(2024, 1, 1), None, None, None, None)],
+                               "ghcnd_station_id string, date date, tavg_c double, tmin_c double, tmax_c double, hdd double")
+    meta = spark.createDataFrame([("p", "S1", "Boston", "MA")],
+                                 "pipeline string, ghcnd_station_id string, station_name string, state string")
+    docs = {r["ghcnd_station_id"]: r for r in station_day_documents(sd, meta, "p", "2024-02-01 00:00:00").collect()}
+    assert docs["S1"]["station_meta"]["station_name"] == "Boston" and docs["S9"]["station_meta"] is None
+    assert docs["S1"]["source"]["provider"] == "NOAA" and docs["S1"]["date"] == "2024-01-01"
+    pr = spark.createDataFrame([("2024-01-01", 2.5, "", "$/MMBTU")],
+                               "date string, henry_hub_usd_per_mmbtu double, series string, units string")
+    assert price_documents(pr, "2024-02-01").first()["series"] == "RNGWHHD"  # K5: empty series -> default
+    stg = spark.createDataFrame([("2024-01-05", "lower48", 3000.0, "NW2")],
+                                "date string, region string, working_gas_bcf double, series string")
+    assert storage_documents(stg, "2024-02-01").first()["value"] == 3000.0
+    write_csv(sd, f"{tmpdir_path}/csv")
+    back = spark.read.option("header", True).csv(f"{tmpdir_path}/csv")
+    assert back.count() == 2 and "tavg_c" in back.columns
+    m = run_manifest(spark, sd, pipeline="p", region_id="r", now="2024-02-01 00:00:00", outputs={"a": "b"},
+                     date_filter={"start": "2024-01-01", "end": None})
+    write_manifest(m, f"{tmpdir_path}/manifest")
+    got = spark.read.json(f"{tmpdir_path}/manifest").first()
+    assert got["n_stations"] == 2 and got["stations"] == ["S1", "S9"] and got["generated_at_utc"] == "2024-02-01T00:00:00Z"
+    assert parse_utc_strict("2024-01-02").isoformat() == "2024-01-02T00:00:00+00:00"
+    with pytest.raises(ValueError):
+        parse_utc_strict("yesterday")

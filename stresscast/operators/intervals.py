@@ -75,14 +75,17 @@ def stress_from_notices_sweep(notices: DataFrame, keys: Sequence[str] = ("pipeli
                               critical_col: str | None = "critical") -> DataFrame:
     """A3 (sweep plan): same result as :func:`stress_from_notices`, O(n) rows.
 
-    One pass over the notices: every interval is tagged kind 0 (any notice) and,
-    if critical, also kind 1; islands are merged per (keys, kind, id); each
+    One pass over the notices: every interval is tagged with kinds - 0: counts
+    toward distinct notices (non-NULL id), 1: critical, 2: covers the day at
+    all (a NULL-id notice adds a day and its critical flag but no count, as a
+    distinct count ignores NULLs); islands are merged per (keys, kind, id); each
     island emits its +1/-1 pair through one explode (no union, so the input is
     read once).
     """
     keys = list(keys)
     n = _prepared(notices, keys, id_col, critical_col).where(F.col("_e") >= F.col("_s"))
-    kinds = F.when(F.col("_crit"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    kinds = F.filter(F.array(F.when(F.col("_id").isNotNull(), F.lit(0)), F.when(F.col("_crit"), F.lit(1)), F.lit(2)),
+                     lambda k: k.isNotNull())
     tagged = n.select(*keys, F.explode(kinds).alias("_kind"), "_id", "_s", "_e")
     isl = _islands(tagged, keys + ["_kind"])
     ev = isl.select(*keys, "_kind", F.explode(F.array(
@@ -90,15 +93,18 @@ def stress_from_notices_sweep(notices: DataFrame, keys: Sequence[str] = ("pipeli
         F.struct(F.date_add("_e", 1).alias("date"), F.lit(-1).alias("d")))).alias("_ev"))
     ev = (ev.select(*keys, F.col("_ev.date").alias("date"),
                     F.when(F.col("_kind") == 0, F.col("_ev.d")).otherwise(0).alias("_da"),
-                    F.when(F.col("_kind") == 1, F.col("_ev.d")).otherwise(0).alias("_dc"))
-          .groupBy(*keys, "date").agg(F.sum("_da").alias("_da"), F.sum("_dc").alias("_dc")))
+                    F.when(F.col("_kind") == 1, F.col("_ev.d")).otherwise(0).alias("_dc"),
+                    F.when(F.col("_kind") == 2, F.col("_ev.d")).otherwise(0).alias("_dv"))
+          .groupBy(*keys, "date").agg(F.sum("_da").alias("_da"), F.sum("_dc").alias("_dc"),
+                                      F.sum("_dv").alias("_dv")))
     w = Window.partitionBy(*keys).orderBy("date")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seg = ev.select(*keys, F.col("date").alias("_from"),
                     F.sum("_da").over(run).alias("notice_active_count"),
                     F.sum("_dc").over(run).alias("_crit_n"),
+                    F.sum("_dv").over(run).alias("_cover"),
                     F.lead("date").over(w).alias("_to"))
-    seg = seg.where(F.col("notice_active_count") > 0)
+    seg = seg.where(F.col("_cover") > 0)
     out = seg.select(*keys, F.explode(F.sequence("_from", F.date_sub("_to", 1))).alias("date"),
                      "notice_active_count", (F.col("_crit_n") > 0).cast("int").alias("critical_active"))
     return _finish(out, keys)

@@ -155,9 +155,10 @@ def list_notices(rows: DataFrame, cutoff_date, time_cell: int = 1) -> DataFrame:
     """S11 filters: posted time from a cell (normalize-space, fixed format), rows with no time or
     no link skipped, take-while newer than the cutoff per page in row order (P11)."""
     d = rows.withColumn("posted_dt", parse_notice_ts(normalize_space(F.get("cells", time_cell))))
-    d = d.where(F.col("detail_url").isNotNull())
     d = d.withColumn("_pd", F.to_date("posted_dt"))
-    return take_while_newer(d, "_pd", cutoff_date, ["page_id"], ["row_pos"]).drop("_pd")
+    # the cutoff is checked before the link: an old row without a link still ends the scan
+    kept = take_while_newer(d, "_pd", cutoff_date, ["page_id"], ["row_pos"]).drop("_pd")
+    return kept.where(F.col("detail_url").isNotNull())
 
 
 DETAIL_SCHEMA = StructType([StructField("page_id", LongType()), StructField("url", StringType()),

@@ -21,6 +21,8 @@ def fixture(spark):
         ("p", "copy", T(1), T(3), T(6), True),
         ("p", "nullcrit", T(8), T(8), T(9), None),
         ("q", "other", T(2), T(2), T(2), False),               # second pipeline
+        ("q", None, T(4), T(4), T(5), True),                   # NULL id: covers days, flags critical, no count
+        ("q", None, T(5), T(5), T(6), False),
     ]
     return spark.createDataFrame(data, SCHEMA)
 
@@ -36,6 +38,7 @@ def test_expand_semantics(spark):
     assert ("p", 7) not in by
     assert by[("p", 8)] == (1, 0) and by[("p", 9)] == (1, 0)   # null critical -> not critical
     assert by[("q", 2)] == (1, 0)
+    assert by[("q", 4)] == (0, 1) and by[("q", 5)] == (0, 1) and by[("q", 6)] == (0, 0)
     assert all(r["stress_event"] == r["critical_active"] for r in out)
     assert unusable_notices(fixture(spark)).count() == 1
 
@@ -51,7 +54,7 @@ def test_sweep_equals_expand_random(spark):
     data = []
     for i in range(400):
         pid = rnd.choice(["a", "b", "c"])
-        nid = f"n{rnd.randrange(60)}"
+        nid = f"n{rnd.randrange(60)}" if rnd.random() > 0.05 else None
         s = dt.datetime(2024, 1, 1) + dt.timedelta(days=rnd.randrange(40), hours=rnd.randrange(24))
         e = s + dt.timedelta(days=rnd.randrange(-3, 12)) if rnd.random() > 0.1 else None
         eff = s if rnd.random() > 0.1 else None

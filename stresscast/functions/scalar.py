@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 HDD_BASE_F = 65.0  # heating-degree-day base temperature, degrees Fahrenheit
 NOTICE_TS_FORMAT = "M/d/yyyy h:mm:ss a"  # month/day/year 12-hour clock with AM/PM
 ZSCORE_EPS = 1e-8  # z-score policy A: std at or below this divides by 1
+WHITESPACE = " \t\n\u000b\f\r"  # characters stripped as whitespace (same set as the regex class \s)
 
 
 def _c(x) -> Column:
@@ -102,8 +103,8 @@ def clamp_low(x, lo: float) -> Column:
 
 
 def strip_ws(x) -> Column:
-    """strip all leading/trailing whitespace (Spark's trim removes spaces only)."""
-    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+    """strip all leading/trailing whitespace (plain ``trim`` removes spaces only)."""
+    return F.trim(_c(x), F.lit(WHITESPACE))
 
 
 def normalize_space(x) -> Column:
@@ -113,7 +114,7 @@ def normalize_space(x) -> Column:
 
 def clean_text_list(arr) -> Column:
     """strip every element, drop nulls and blanks."""
-    stripped = F.transform(_c(arr), lambda s: F.regexp_replace(s, r"^\s+|\s+$", ""))
+    stripped = F.transform(_c(arr), lambda s: F.trim(s, F.lit(WHITESPACE)))
     return F.filter(stripped, lambda s: s.isNotNull() & (s != ""))
 
 

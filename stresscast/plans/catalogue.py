@@ -380,8 +380,8 @@ def q_unique_check(spark, base):
 
 def q_quarantine_split(spark, base):
     cap = V.capacity(spark, base)
-    good = to_date_lenient(F.regexp_replace("Post_Date", r"^\s+|\s+$", "")).isNotNull() & \
-        F.regexp_replace("All_Qty_Avail", r"^\s+|\s+$", "").try_cast("double").isNotNull()
+    from stresscast.functions.scalar import strip_ws, to_double
+    good = to_date_lenient(strip_ws("Post_Date")).isNotNull() & to_double(strip_ws("All_Qty_Avail")).isNotNull()
     _, bad = split_by(cap, good)
     return bad.select("pipeline", "Loc_Name", "Post_Date", "All_Qty_Avail")
 

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from stresscast.functions.scalar import clean_text_list, critical_flag, normalize_space, parse_notice_ts, safe_get
+from stresscast.functions.scalar import (clean_text_list, critical_flag, normalize_space, parse_notice_ts, safe_get,
+                                         strip_ws)
 from stresscast.operators.filters import take_while_newer
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -191,7 +192,7 @@ def detail_fields(detail: DataFrame, list_posted: DataFrame | None = None, keep_
     fields, §8 Q22) unless ``keep_blanks``. A missing posted time falls back to
     the list page's time when ``list_posted`` (url, posted_dt) is given.
     """
-    h = F.transform("heading", lambda s: F.regexp_replace(s, r"^\s+|\s+$", "")) if keep_blanks \
+    h = F.transform("heading", lambda s: strip_ws(s)) if keep_blanks \
         else clean_text_list("heading")
     d = detail.withColumn("_h", h)
 

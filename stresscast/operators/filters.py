@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,18 +25,25 @@ def clamp_cutoff_days(value, default: int = 1) -> int:
     return max(v, 0)
 
 
-def take_while_newer(rows: DataFrame, time_col: str, cutoff, list_keys: Sequence[str], position: Sequence) -> DataFrame:
-    """Per list (``list_keys``) in ``position`` order, keep rows until the first row older
-    than ``cutoff`` (that row and all after it are dropped); rows without a time are skipped
-    and do not stop the scan.
+def take_while_newer(rows: DataFrame, time_col: str, cutoff, list_keys: Sequence[str], position) -> DataFrame:
+    """Per list (``list_keys``) in ascending ``position`` order, keep rows until the first row
+    older than ``cutoff`` (that row and all after it are dropped); rows without a time are
+    skipped and do not stop the scan.
 
-    A running count of older rows over the list's order is 0 exactly for the
-    kept prefix; the window is partitioned by list, so lists scan in parallel.
+    No ordered window: the stop position of each list is ``min(position)`` over its
+    older rows (a partially aggregated group-by, so one huge list is combined on
+    the mappers), joined back on the list key; rows before it are kept.
+    ``position`` is a column name or expression, ascending (use ``-col`` for
+    newest-first lists keyed by an increasing id).
     """
     t = F.col(time_col)
-    older = F.when(t.isNotNull() & (t < F.lit(cutoff).cast("date")), 1).otherwise(0)
-    w = Window.partitionBy(*list_keys).orderBy(*position).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn("_older", F.sum(older).over(w)).where((F.col("_older") == 0) & t.isNotNull()).drop("_older")
+    pos = F.col(position) if isinstance(position, str) else position
+    older = t.isNotNull() & (t < F.lit(cutoff).cast("date"))
+    d = rows.withColumn("_pos", pos)
+    stops = d.where(older).groupBy(*list_keys).agg(F.min("_pos").alias("_stop"))
+    kept = d.join(stops, list(list_keys), "left")
+    return kept.where(t.isNotNull() & (F.col("_stop").isNull() | (F.col("_pos") < F.col("_stop")))) \
+        .drop("_pos", "_stop")
 
 
 def time_split(df: DataFrame, date_col: str, train_end) -> tuple[DataFrame, DataFrame]:

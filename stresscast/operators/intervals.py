@@ -62,7 +62,14 @@ def stress_from_notices(notices: DataFrame, keys: Sequence[str] = ("pipeline",),
 
 
 def _islands(n: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Merge overlapping or touching [s, e] day intervals of the same id."""
+    """Merge overlapping or touching [s, e] day intervals of the same id.
+
+    Copies of one id are first reduced to the latest end per start day (a
+    partial aggregation, so a notice re-posted millions of times is combined on
+    the mappers); the ordered window then sees at most one row per start day
+    of each id.
+    """
+    n = n.groupBy(*keys, "_id", "_s").agg(F.max("_e").alias("_e"))
     w = Window.partitionBy(*keys, "_id").orderBy("_s", "_e")
     prev_end = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(prev_end.isNull() | (F.col("_s") > F.date_add(prev_end, 1)), 1).otherwise(0)

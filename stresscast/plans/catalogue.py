@@ -215,7 +215,8 @@ def q_takewhile_cutoff(spark, base):
     o = read_table(spark, base, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
     rows = o.select("o_custkey", "o_orderkey",
                     F.when(F.col("o_orderkey") % 11 != 0, F.to_date("o_orderdate")).alias("posted"))
-    return take_while_newer(rows, "posted", "1998-01-01", ["o_custkey"], [F.col("o_orderkey").desc()])
+    # newest-first list per customer: descending order key = ascending position -o_orderkey
+    return take_while_newer(rows, "posted", "1998-01-01", ["o_custkey"], -F.col("o_orderkey"))
 
 
 def q_scan_topk(spark, base):

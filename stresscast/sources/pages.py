@@ -158,7 +158,7 @@ def list_notices(rows: DataFrame, cutoff_date, time_cell: int = 1) -> DataFrame:
     d = rows.withColumn("posted_dt", parse_notice_ts(normalize_space(F.get("cells", time_cell))))
     d = d.withColumn("_pd", F.to_date("posted_dt"))
     # the cutoff is checked before the link: an old row without a link still ends the scan
-    kept = take_while_newer(d, "_pd", cutoff_date, ["page_id"], ["row_pos"]).drop("_pd")
+    kept = take_while_newer(d, "_pd", cutoff_date, ["page_id"], "row_pos").drop("_pd")
     return kept.where(F.col("detail_url").isNotNull())
 
 

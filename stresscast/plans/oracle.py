@@ -224,7 +224,9 @@ _BASELINE = """
 
 _BASE_ROWS = """(SELECT * FROM (SELECT score, outcome,
         CASE WHEN count(outcome) OVER w30 >= 30 THEN avg(CAST(outcome AS DOUBLE)) OVER w30 END AS baseline
-     FROM scored WINDOW w30 AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))
+     FROM (SELECT user_id, date_trunc('hour', ts) AS hour, max(outcome) AS outcome, max(score) AS score
+           FROM scored GROUP BY user_id, date_trunc('hour', ts))
+     WINDOW w30 AS (PARTITION BY user_id ORDER BY hour ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))
      WHERE baseline IS NOT NULL AND score IS NOT NULL AND outcome IS NOT NULL)"""
 
 _RELIABILITY = """

@@ -30,6 +30,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 from stresscast.session import cut_lineage
 
+DRIVER_SUM_MAX = 2_000_000  # partial sums summed on the driver up to this many numbers
 NU_GRID = (2.5, 3.0, 4.0, 5.0, 7.0, 10.0, 15.0, 20.0, 30.0, 50.0)
 
 
@@ -64,11 +65,17 @@ def _stats_pass(d: DataFrame, keys: Sequence[str], feats: Sequence[str], thetas:
         rows = [(k, i, float(x)) for k, v in acc.items() for i, x in enumerate(v)]
         yield pd.DataFrame(rows, columns=["_k", "_i", "_v"])
 
-    got = (d.select(*keys, "_y", *feats).mapInPandas(part, schema)
-           .groupBy("_k", "_i").agg(F.sum("_v").alias("_v")).collect())
+    partial = d.select(*keys, "_y", *feats).mapInPandas(part, schema)
     out: dict = {}
-    for r in got:
-        out.setdefault(r["_k"], np.zeros(n_stats))[r["_i"]] = r["_v"]
+    n_numbers = d.rdd.getNumPartitions() * max(len(thetas), 1) * n_stats
+    if n_numbers <= DRIVER_SUM_MAX:
+        # few partial rows (partitions x keys x stats, known before the job): sum them on the
+        # driver and save the reduce stage
+        for r in partial.collect():
+            out.setdefault(r["_k"], np.zeros(n_stats))[r["_i"]] += r["_v"]
+    else:
+        for r in partial.groupBy("_k", "_i").agg(F.sum("_v").alias("_v")).collect():
+            out.setdefault(r["_k"], np.zeros(n_stats))[r["_i"]] = r["_v"]
     return {k: out.get("\x1f".join(str(x) for x in k), np.zeros(n_stats)) for k in thetas}
 
 

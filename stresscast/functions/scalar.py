@@ -125,15 +125,18 @@ def safe_get(arr, idx: int, default: str = "") -> Column:
     return F.coalesce(F.get(_c(arr), idx), F.lit(default))
 
 
-def critical_flag(label, legacy_truthy: bool = False) -> Column:
+def critical_flag(label, legacy_truthy: bool = False, legacy_substring: bool = False) -> Column:
     """P14 + §8 Q1/Q2: is a notice label critical.
 
     Default: lower-cased label contains 'critical' but not 'non-critical'.
+    ``legacy_substring`` keeps the plain substring test (so 'Non-Critical' counts);
     ``legacy_truthy`` keeps the source behaviour where every notice counts.
     """
     if legacy_truthy:
         return F.lit(True)
     s = F.lower(_c(label))
+    if legacy_substring:
+        return s.contains("critical")
     return s.contains("critical") & ~s.contains("non-critical") & ~s.contains("noncritical")
 
 

@@ -70,13 +70,21 @@ def merge_batch(spark: SparkSession, root: str, batch: DataFrame, epoch: int, ke
 
 def ingest(spark: SparkSession, source: str, schema: StructType, normalize: Callable[[DataFrame], DataFrame],
            table_root: str, keys: Sequence[str], checkpoint: str, now, fmt: str = "parquet",
-           order_cols: Sequence = (), max_files_per_trigger: int | None = None) -> list[dict]:
-    """Run the stream until everything landed so far is merged; returns per-batch statistics."""
+           order_cols: Sequence = (), max_files_per_trigger: int | None = None,
+           event_time: str | None = None, lookback: str | None = None) -> list[dict]:
+    """Run the stream until everything landed so far is merged; returns per-batch statistics.
+
+    With ``event_time`` and ``lookback`` (e.g. '60 days') a key re-sent within the
+    lookback is dropped instead of merged (``dropDuplicatesWithinWatermark``; use
+    it when late rows must not overwrite: the default merge applies corrections).
+    """
     stats: list[dict] = []
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = normalize(reader.load(source))
+    if event_time and lookback:
+        rows = rows.withWatermark(event_time, lookback).dropDuplicatesWithinWatermark(list(keys))
 
     def each(batch: DataFrame, epoch: int):
         s = merge_batch(spark, table_root, batch, epoch, keys, now, order_cols)

@@ -67,3 +67,22 @@ def test_stream_ingest_idempotent(spark, tmpdir_path):
     t = {r["date"]: r["henry_hub_usd_per_mmbtu"] for r in read_current(spark, table).collect()}
     assert t == {"2024-01-01": 1.0, "2024-01-02": 2.5, "2024-01-03": 3.0}
     assert ingest(*args) == []  # nothing new landed: no batch, table unchanged
+
+
+def test_stream_lookback_drops_resent_keys(spark, tmpdir_path):
+    from stresscast.sources.energy import normalize_prices
+    from stresscast.streaming.ingest import ingest, read_current
+
+    def typed(df):
+        return normalize_prices(df).withColumn("_t", F.to_timestamp("date"))
+
+    schema = "period string, value string, series string"
+    land, table = f"{tmpdir_path}/landing", f"{tmpdir_path}/table"
+    spark.createDataFrame([("2024-01-02", "2.0", "RNGWHHD")], schema).write.parquet(f"{land}/night=1")
+    sch = spark.read.parquet(f"{land}/night=1").schema
+    args = (spark, land, sch, typed, table, ["series", "date"], f"{tmpdir_path}/ck", "2024-02-01 00:00:00")
+    ingest(*args, event_time="_t", lookback="60 days")
+    spark.createDataFrame([("2024-01-02", "9.0", "RNGWHHD")], schema).write.parquet(f"{land}/night=2")
+    ingest(*args, event_time="_t", lookback="60 days")
+    t = {r["date"]: r["henry_hub_usd_per_mmbtu"] for r in read_current(spark, table).collect()}
+    assert t == {"2024-01-02": 2.0}  # the re-sent key inside the lookback was dropped, not merged

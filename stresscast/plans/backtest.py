@@ -62,8 +62,16 @@ def stress_design_from_raw(raw: DataFrame, feats: Sequence[str], keys: Sequence[
 
 
 def vol_backtest(frame: DataFrame, train_end, keys: Sequence[str] = ("pipeline",), n_chains: int = 4,
-                 n_draws: int = 1000, seed: int = 0, threshold: float = 0.02):
-    """E2 (+E7): returns (params, scored test rows ``keys, date, p_vol_exceed, realized_vol_exceed``)."""
+                 n_draws: int = 1000, seed: int = 0, threshold: float = 0.02, inputs: str = "design"):
+    """E2 (+E7): returns (params, scored test rows ``keys, date, p_vol_exceed, realized_vol_exceed``).
+
+    ``inputs="design"`` scores each test day with the same lagged features the
+    model was fitted on. ``inputs="forecast"`` reproduces the source's back-test
+    (§8 Q7): op / persist / hdd / storage recomputed as of every test day from
+    the *test rows only* (W10: window columns over the test split, one pass),
+    scaled with the training scalers; a NULL input (e.g. storage before 1095
+    test rows, §8 Q6) scores 0 like NaN did.
+    """
     keys = list(keys)
     raw = cut_lineage(vol_design(frame, keys, scale_inputs=False))
     train, test = time_split(raw, "date", train_end)
@@ -76,7 +84,13 @@ def vol_backtest(frame: DataFrame, train_end, keys: Sequence[str] = ("pipeline",
     scalers = scalers_long(st, zc, keys).withColumn("std", scaler_std_b("std"))
     params, post = fit_student_t(tr, list(VOL_FEATURES), "y", keys)
     draws = draws_from_posterior(post, keys, n_chains, n_draws, seed)
-    te = _apply_scalers(test, scalers, zc, keys, "c")
+    if inputs == "forecast":
+        from stresscast.plans.design import forecast_inputs
+        test_frame = frame.where(F.col("date") > F.lit(train_end).cast("date"))
+        pts = forecast_inputs(test_frame, keys)
+        te = _apply_scalers(pts, scalers, zc, keys, "c")
+    else:
+        te = _apply_scalers(test, scalers, zc, keys, "c")
     scored = score_points(te, draws, list(VOL_FEATURES), "vol", threshold, keys=keys, id_cols=["date"],
                           out_col="p_vol_exceed", seed=seed)
     realized = test.select(*keys, "date", (F.col("y") > F.lit(threshold)).cast("int").alias("realized_vol_exceed"))

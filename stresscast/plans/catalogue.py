@@ -576,3 +576,22 @@ def q_split_stats(spark, base):
 
 
 QUERIES["split_stats"] = q_split_stats
+
+
+def q_backtest_vol_source_inputs(spark, base):
+    """E2 as the source computes it: forecast inputs from the test rows only (W10), training scalers."""
+    from stresscast.plans.backtest import vol_backtest
+    _, scored = vol_backtest(model_frame(spark, base), TRAIN_END, inputs="forecast")
+    return scored
+
+
+def q_backtest_vol_reliability(spark, base):
+    """E6 on the volatility back-test: realized exceedance frequency per score quintile
+    (probabilities tie often, so duplicate quintile edges leave bins empty instead of raising)."""
+    from stresscast.plans.backtest import vol_backtest
+    _, scored = vol_backtest(model_frame(spark, base), TRAIN_END)
+    return reliability(scored, "p_vol_exceed", "realized_vol_exceed", 5, strict=False)
+
+
+QUERIES["backtest_vol_source_inputs"] = q_backtest_vol_source_inputs
+QUERIES["backtest_vol_reliability"] = q_backtest_vol_reliability

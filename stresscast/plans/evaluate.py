@@ -45,10 +45,11 @@ def qcut(df: DataFrame, score: str, q: int = 5, keys: Sequence[str] = (), strict
              .drop("_edges"))
 
 
-def reliability(df: DataFrame, score: str, outcome: str, q: int = 5, keys: Sequence[str] = ()) -> DataFrame:
+def reliability(df: DataFrame, score: str, outcome: str, q: int = 5, keys: Sequence[str] = (),
+                strict: bool = True) -> DataFrame:
     """E6 (+A8): observed outcome frequency per score quintile."""
     keys = list(keys)
-    b = qcut(df, score, q, keys).where(F.col("bin").isNotNull())
+    b = qcut(df, score, q, keys, strict=strict).where(F.col("bin").isNotNull())
     return b.groupBy(*keys, "bin", "bin_lo", "bin_hi").agg(
         F.avg(F.col(outcome).cast("double")).alias("observed_freq"), F.count(F.lit(1)).cast("bigint").alias("n"))
 

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
 HEAVY = {"fit_stress", "fit_vol", "score_vol", "backtest_stress", "backtest_vol", "backtest_stress_eval",
-         "stream_ingest"}
+         "stream_ingest", "backtest_vol_source_inputs", "backtest_vol_reliability"}
 
 
 def norm(v):

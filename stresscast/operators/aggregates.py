@@ -87,18 +87,27 @@ DESCRIBE_COLS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 def describe(df: DataFrame, col: str, keys: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max.
 
-    Not ``DataFrame.summary()``, whose quantiles are approximate.
+    Quartiles are exact by default through :func:`exact_quantiles` (distributed;
+    no group's values are gathered in one task); ``approx=True`` uses
+    ``percentile_approx``. Not ``DataFrame.summary()``, whose quantiles are
+    approximate.
     """
+    keys = list(keys)
     x = F.col(col)
+    base = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"), F.max(x).alias("max")]
     if approx:
-        q = F.percentile_approx(x, [0.25, 0.5, 0.75], 100000)
+        g = df.groupBy(*keys).agg(*base, F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).alias("_q"))
+        g = g.select("*", *[F.col("_q")[i].alias(f"_p{i}") for i in range(3)])
     else:
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    g = df.groupBy(*keys).agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                              F.min(x).alias("min"), q.alias("_q"), F.max(x).alias("max"))
+        from stresscast.operators.joins import attach_row
+        from stresscast.operators.quantiles import exact_quantiles
+        g = df.groupBy(*keys).agg(*base)
+        q = exact_quantiles(df, col, [0.25, 0.5, 0.75], keys, prefix="_p")
+        g = g.join(q, keys, "left") if keys else attach_row(g, q)
     return g.select(*keys, F.col("count").cast("bigint").alias("count"), "mean", "std",
-                    F.col("min").cast("double").alias("min"), F.col("_q")[0].cast("double").alias("p25"),
-                    F.col("_q")[1].cast("double").alias("p50"), F.col("_q")[2].cast("double").alias("p75"),
+                    F.col("min").cast("double").alias("min"), F.col("_p0").cast("double").alias("p25"),
+                    F.col("_p1").cast("double").alias("p50"), F.col("_p2").cast("double").alias("p75"),
                     F.col("max").cast("double").alias("max"))
 
 

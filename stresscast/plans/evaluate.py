@@ -14,9 +14,10 @@ from stresscast.operators.windows import rolling
 
 
 def qcut_edges(df: DataFrame, score: str, q: int = 5, keys: Sequence[str] = ()) -> DataFrame:
-    """F23 edges: linear-interpolated quantiles 0, 1/q, ..., 1 (one row per key)."""
-    probs = F.array(*[F.lit(i / q) for i in range(q + 1)])
-    return df.groupBy(*keys).agg(F.percentile(F.col(score), probs).alias("_edges"))
+    """F23 edges: linear-interpolated quantiles 0, 1/q, ..., 1 (one row per key), exact and distributed."""
+    from stresscast.operators.quantiles import exact_quantiles
+    e = exact_quantiles(df, score, [i / q for i in range(q + 1)], keys, prefix="_e")
+    return e.select(*keys, F.array(*[F.col(f"_e{i}") for i in range(q + 1)]).alias("_edges"))
 
 
 def qcut(df: DataFrame, score: str, q: int = 5, keys: Sequence[str] = (), strict: bool = True) -> DataFrame:

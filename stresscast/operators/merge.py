@@ -5,7 +5,8 @@ Semantics of the source's per-document upsert, re-expressed as one join:
 * incoming rows with an absent/NULL/empty key field are not merged; they are
   appended as they are (``_action = 'unkeyed'``) so nothing is lost;
 * several incoming rows with the same key: the latest by ``order_cols`` wins
-  (order columns are batch metadata, not stored fields);
+  (order columns are batch metadata, not stored fields; without them, arrival
+  order), so the result always has one row per key;
 * only fields *present in the batch* are set: a column missing from the
   incoming schema, or not listed in a row's ``fields_col`` array, keeps the
   stored value; a present field that is NULL overwrites with NULL;
@@ -56,8 +57,10 @@ def keyed_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], n
     bad = bad_key(keys, fields_col, incoming.columns)
     unkeyed = incoming.where(bad)
     good = incoming.where(~bad)
-    if order_cols:
-        good = keep_last(good, keys, list(order_cols))
+    # several rows per key: the latest wins; without an explicit order, arrival order (the
+    # batch's partition/row order) stands in for the source's document order
+    order = list(order_cols) if order_cols else [F.monotonically_increasing_id()]
+    good = keep_last(good, keys, order)
 
     e = existing.select(*keys, *[F.col(c).alias(f"_e_{c}") for c in value_cols if c in ex_cols],
                         *[F.col(m).alias(f"_e_{m}") if m in existing.columns else F.lit(None).cast("timestamp_ntz")

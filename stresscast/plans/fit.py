@@ -243,17 +243,14 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
         return np.concatenate([np.asarray(o, float) for o in out])
 
     last = {}
-
-    def em_map(st: dict) -> tuple[dict, float]:
-        """One EM pass for every key and nu: returns the updated state and the largest change."""
-        packed = {kt: np.concatenate([np.r_[x[0], x[1]] for x in v]) for kt, v in st.items()}
+    for it in range(max_iter):
+        packed = {kt: np.concatenate([np.r_[st[0], st[1]] for st in v]) for kt, v in state.items()}
         stats = _stats_pass(d, keys, feats, packed, em_stats, G * per)
-        new, step = {}, 0.0
+        step = 0.0
         for kt, v in stats.items():
-            new[kt] = []
             for g, nu in enumerate(nu_grid):
                 blk = v[g * per:(g + 1) * per]
-                theta, s2 = st[kt][g]
+                theta, s2 = state[kt][g]
                 XX = np.zeros((p, p))
                 XX[iu] = blk[p:p + nq]
                 XX = XX + np.triu(XX, 1).T
@@ -265,43 +262,9 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
                 S = max(wyy - 2.0 * float(new_theta @ Xy) + float(new_theta @ XX @ new_theta), 0.0)
                 new_s2 = _sigma2_update(n, S, sigma_scale)
                 step = max(step, float(np.max(np.abs(new_theta - theta))), abs(math.sqrt(new_s2) - math.sqrt(s2)))
-                new[kt].append([new_theta, new_s2])
+                state[kt][g] = [new_theta, new_s2]
                 last[(kt, g)] = (A, ll, n)
-        return new, step
-
-    def vec(x):
-        return np.r_[x[0], math.log(x[1])]
-
-    # SQUAREM (squared extrapolation of the EM map): two EM passes, one extrapolated point
-    # (step length clamped at <= -1, sigma^2 extrapolated on the log scale), one stabilizing EM
-    # pass. An invalid extrapolation falls back to the second EM point.
-    passes = 0
-    while passes < max_iter:
-        s1, step1 = em_map(state)
-        passes += 1
-        if step1 < tol:
-            state = s1
-            break
-        s2_, step2 = em_map(s1)
-        passes += 1
-        if step2 < tol:
-            state = s2_
-            break
-        ext = {}
-        for kt in state:
-            ext[kt] = []
-            for g in range(G):
-                z0, z1, z2 = vec(state[kt][g]), vec(s1[kt][g]), vec(s2_[kt][g])
-                r, v = z1 - z0, z2 - 2.0 * z1 + z0
-                nv = float(np.linalg.norm(v))
-                alpha = -float(np.linalg.norm(r)) / nv if nv > 0 else -1.0
-                alpha = min(alpha, -1.0)
-                z = z0 - 2.0 * alpha * r + alpha * alpha * v
-                ok = np.all(np.isfinite(z)) and abs(z[-1]) < 50
-                ext[kt].append([z[:-1], math.exp(z[-1])] if ok else s2_[kt][g])
-        state, step3 = em_map(ext)
-        passes += 1
-        if step3 < tol:
+        if step < tol:
             break
     modes, covs, extra = {}, {}, {}
     for kt, v in state.items():

@@ -228,7 +228,7 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
     prec = np.eye(p) / prior_sd ** 2
     iu = np.triu_indices(p)
     nq = len(iu[0])
-    per = p + nq + 4  # Xy, XX cells, sum w r^2, sum log1p, n, sum w y^2
+    per = p + nq + 3  # Xy, XX cells, sum w r^2, sum log1p, n
 
     def em_stats(theta_all, Xa, y):
         out = []
@@ -239,7 +239,7 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
             w = (nu + 1.0) / (nu + r * r / s2)
             XX = Xa.T @ (Xa * w[:, None])
             out += [Xa.T @ (w * y), XX[iu], [float(np.sum(w * r * r)), float(np.sum(np.log1p(r * r / (s2 * nu)))),
-                                            float(len(y)), float(np.sum(w * y * y))]]
+                                            float(len(y))]]
         return np.concatenate([np.asarray(o, float) for o in out])
 
     last = {}
@@ -255,11 +255,9 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
                 XX[iu] = blk[p:p + nq]
                 XX = XX + np.triu(XX, 1).T
                 Xy = blk[:p]
-                ll, n, wyy = blk[p + nq + 1], blk[p + nq + 2], blk[p + nq + 3]
+                S, ll, n = blk[p + nq], blk[p + nq + 1], blk[p + nq + 2]
                 A = XX / s2 + prec
                 new_theta = np.linalg.solve(A, Xy / s2)
-                # M-step for sigma^2 with the NEW coefficients: sum w (y - X theta)^2 from the same statistics
-                S = max(wyy - 2.0 * float(new_theta @ Xy) + float(new_theta @ XX @ new_theta), 0.0)
                 new_s2 = _sigma2_update(n, S, sigma_scale)
                 step = max(step, float(np.max(np.abs(new_theta - theta))), abs(math.sqrt(new_s2) - math.sqrt(s2)))
                 state[kt][g] = [new_theta, new_s2]

@@ -79,3 +79,15 @@ def test_exact_quantiles_match_percentile(spark, n_buckets):
     for k in ("a", "b", "c", "d"):
         assert got[k] == pytest.approx(exp[k], abs=1e-12), k
     assert "e" not in got  # no values: no row (describe fills NULL)
+
+
+def test_describe_empty_and_all_null(spark):
+    empty = spark.createDataFrame([], "score double")
+    r = describe(empty, "score").first()
+    assert r["count"] == 0 and r["p25"] is None and r["p50"] is None and r["max"] is None
+    nulls = spark.createDataFrame([(None,), (None,)], "score double")
+    r = describe(nulls, "score").first()
+    assert r["count"] == 0 and r["mean"] is None and r["p75"] is None
+    single = spark.createDataFrame([(2.5,)], "score double")
+    r = describe(single, "score").first()
+    assert (r["count"], r["p25"], r["p50"], r["p75"], r["std"]) == (1, 2.5, 2.5, 2.5, None)

@@ -85,3 +85,16 @@ def test_vol_scoring_seeded_reproducible(spark):
     a = score_points(pts, draws, ["x"], "vol", 0.02, keys=["k"], seed=7).toPandas().sort_values("date")
     b = score_points(pts, draws, ["x"], "vol", 0.02, keys=["k"], seed=7).toPandas().sort_values("date")
     assert list(a["prob"]) == list(b["prob"])
+
+
+def test_vol_backtest_both_input_modes(spark):
+    from pyspark.sql import functions as F
+    from stresscast.plans.backtest import vol_backtest
+    from stresscast.plans.catalogue import TRAIN_END, model_frame
+    frame = model_frame(spark, "/root/testdata/sf0.001")
+    for mode in ("design", "forecast"):
+        _, scored = vol_backtest(frame, TRAIN_END, n_chains=2, n_draws=100, inputs=mode)
+        r = scored.agg(F.count("*").alias("n"), F.min("p_vol_exceed").alias("lo"), F.max("p_vol_exceed").alias("hi"),
+                       F.min("date").alias("first")).first()
+        assert r["n"] > 0 and 0.0 <= r["lo"] <= r["hi"] <= 1.0, mode
+        assert str(r["first"]) > TRAIN_END

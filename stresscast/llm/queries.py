@@ -5,10 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresscast.llm import simhash
+from stresscast.llm import chat_snapshots, mixing, simhash, wu_manber
 from stresscast.llm.common import read_table
 
 
+def op4_sainte_lague_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all ``documents`` to the weights 5, 2, 1 over the sources."""
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+def op6_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contamination of ``documents`` by 13-word windows of ``benchmark``."""
+    found = wu_manber.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op7_chat_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations of ``conversations``, rendered."""
+    return chat_snapshots.render_conversations(read_table(spark, sf_dir, "conversations"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicates of ``documents``: 4-word shingles, at most 4 differing bits."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -16,7 +33,8 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_sainte_lague_mixing": op4_sainte_lague_mixing,
+    "op6_wu_manber_decontamination": op6_wu_manber_decontamination,
+    "op7_chat_snapshot_collapse": op7_chat_snapshot_collapse,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
-
-ORACLE: dict[str, str] = {}

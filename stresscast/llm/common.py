@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,3 +42,9 @@ def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFr
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def process_cache() -> dict:
+    """A dictionary of the Python process itself: what a task puts here serves the later tasks of its worker."""
+    import types
+    return vars(sys.modules.setdefault("_stresscast_process_cache", types.ModuleType("_stresscast_process_cache")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresscast.llm import chat_snapshots, mixing, simhash, wu_manber
+from stresscast.llm import chat_snapshots, mixing, simhash, token_transducer, wu_manber
 from stresscast.llm.common import read_table
 
 
@@ -32,9 +32,18 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of ``documents`` by the word-end BPE of 49k tokens; texts over 2048 tokens are marked."""
+    import public_tokenizers
+    found = token_transducer.token_counts(read_table(spark, sf_dir, "documents"),
+                                          public_tokenizers.path("word_bpe_49k.json"))
+    return found.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 QUERIES = {
     "op4_sainte_lague_mixing": op4_sainte_lague_mixing,
     "op6_wu_manber_decontamination": op6_wu_manber_decontamination,
     "op7_chat_snapshot_collapse": op7_chat_snapshot_collapse,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_transducer_token_counts": op10_transducer_token_counts,
 }

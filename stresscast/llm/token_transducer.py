@@ -43,6 +43,10 @@ CONTRACTED = "stmd"
 CONTRACTED_TWO = {"r": "e", "v": "e", "l": "l"}
 #: White space as Unicode defines it.
 WHITE_SPACE = (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+#: Where Unicode 16 added letters and numbers (Python's own tables may be older).
+UNICODE_16 = ((0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D85),
+              (0x10EC2, 0x10EC4), (0x11380, 0x113D3), (0x116D0, 0x116E3), (0x11BC0, 0x11BF9), (0x13460, 0x143FA),
+              (0x16100, 0x16139), (0x16D40, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5FA))
 #: Letters that are lower-cased other than by str.lower (a final sigma is a sigma like others).
 LOWER_CASED = (("\u03a3", "\u03c3"), ("\ua7cb", "\u0264"), ("\ua7dc", "\u019b"))
 HOLD, CLEAR = 0, 1
@@ -57,13 +61,17 @@ def byte_alphabet() -> list[str]:
 
 
 def character_classes() -> np.ndarray:
-    """LETTER, NUMBER, SPACE or OTHER for every code point, by the newest Unicode data at hand."""
+    """LETTER, NUMBER, SPACE or OTHER for every code point, as of Unicode 16 (the tokenizers library's tables)."""
     import regex
     table = np.full(0x110000, OTHER, np.uint8)
     every = "".join(map(chr, (c for c in range(0x110000) if not 0xD800 <= c < 0xE000)))
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
         for run in regex.findall(pattern, every):
             table[[ord(c) for c in run]] = kind
+    late = np.fromiter((unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)), bool, 0x110000)
+    for first, last in UNICODE_16:
+        late[first:last + 1] = False
+    table[late] = OTHER
     table[list(WHITE_SPACE)] = SPACE
     return table
 

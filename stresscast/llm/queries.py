@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresscast.llm import chat_snapshots, mixing, simhash, token_transducer, wu_manber
+from stresscast.llm import chat_snapshots, mixing, simhash, suffix_dedup, token_transducer, wu_manber
 from stresscast.llm.common import read_table
 
 
@@ -32,6 +32,14 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_suffix_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of ``documents`` covered by 200-byte strings that start more than once."""
+    found = suffix_dedup.repeated_bytes(read_table(spark, sf_dir, "documents"), length=200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        "kept_sha256")
+
+
 def op10_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of ``documents`` by the word-end BPE of 49k tokens; texts over 2048 tokens are marked."""
     import public_tokenizers
@@ -45,5 +53,6 @@ QUERIES = {
     "op6_wu_manber_decontamination": op6_wu_manber_decontamination,
     "op7_chat_snapshot_collapse": op7_chat_snapshot_collapse,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_suffix_merge_dedup": op9_suffix_merge_dedup,
     "op10_transducer_token_counts": op10_transducer_token_counts,
 }

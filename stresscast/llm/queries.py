@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresscast.llm import chat_snapshots, mixing, simhash, suffix_dedup, token_transducer, wu_manber
+from stresscast.llm import chat_snapshots, mixing, pu_quality, simhash, suffix_dedup, token_transducer, wu_manber
 from stresscast.llm.common import read_table
 
 
+def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of ``documents``, learned from positive and unlabelled texts."""
+    return pu_quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_sainte_lague_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all ``documents`` to the weights 5, 2, 1 over the sources."""
     return mixing.mix(read_table(spark, sf_dir, "documents"))
@@ -49,6 +54,7 @@ def op10_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_pu_quality": op2_pu_quality,
     "op4_sainte_lague_mixing": op4_sainte_lague_mixing,
     "op6_wu_manber_decontamination": op6_wu_manber_decontamination,
     "op7_chat_snapshot_collapse": op7_chat_snapshot_collapse,

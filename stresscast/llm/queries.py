@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresscast.llm import chat_snapshots, mixing, pu_quality, simhash, suffix_dedup, token_transducer, wu_manber
+from stresscast.llm import chat_snapshots, decision_list, mixing, pu_quality, simhash, suffix_dedup, token_transducer, wu_manber
 from stresscast.llm.common import read_table
 
 
@@ -19,6 +19,13 @@ def op4_sainte_lague_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op5_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics of ``documents`` and the verdict of rules learned from ``labels``."""
+    found = decision_list.judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                        "kept", "rule")
+
+
 def op6_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contamination of ``documents`` by 13-word windows of ``benchmark``."""
     found = wu_manber.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -56,6 +63,7 @@ def op10_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_pu_quality": op2_pu_quality,
     "op4_sainte_lague_mixing": op4_sainte_lague_mixing,
+    "op5_decision_list_rules": op5_decision_list_rules,
     "op6_wu_manber_decontamination": op6_wu_manber_decontamination,
     "op7_chat_snapshot_collapse": op7_chat_snapshot_collapse,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresscast.llm import chat_snapshots, decision_list, mixing, pu_quality, simhash, suffix_dedup, token_transducer, wu_manber
+from stresscast.llm import chat_snapshots, decision_list, mixing, pu_quality, secret_scan, simhash, suffix_dedup, token_transducer, wu_manber
 from stresscast.llm.common import read_table
 
 
@@ -14,6 +14,15 @@ def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op3_randomness_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in ``documents``: known shapes and runs of characters that the randomness tests find."""
+    found = secret_scan.scan(read_table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(secret_scan.as_text(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.as_text(F.col("spans")).alias("spans"))
+
+
 def op4_sainte_lague_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all ``documents`` to the weights 5, 2, 1 over the sources."""
     return mixing.mix(read_table(spark, sf_dir, "documents"))
@@ -62,6 +71,7 @@ def op10_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_pu_quality": op2_pu_quality,
+    "op3_randomness_secret_scan": op3_randomness_secret_scan,
     "op4_sainte_lague_mixing": op4_sainte_lague_mixing,
     "op5_decision_list_rules": op5_decision_list_rules,
     "op6_wu_manber_decontamination": op6_wu_manber_decontamination,

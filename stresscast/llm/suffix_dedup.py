@@ -434,8 +434,8 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                   .select("k1", "k2", "t", "places", "same"), "candidates")
 
     around = _contexts(cand.select("k1", "k2", "t", "places"), length, piece)
-    around = staged(around.select("k1", "k2", "at", "ctx", "suffix", "before"), "around")
-    members = around.select("k1", "k2", "at", "ctx").distinct()
+    # The bytes are cut out of the candidates again rather than written: they are many times the texts.
+    members = staged(around.select("k1", "k2", "at", "ctx").distinct(), "members")
     payload = around.groupBy("ctx").agg(F.first("suffix").alias("suffix"), F.first("before").alias("before"))
     contexts = payload.join(members.groupBy("ctx").agg(F.count("*").alias("copies")), "ctx")
     repeats = _repeated_contexts(contexts, length, piece, max_group)

@@ -425,7 +425,9 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     anchors = staged(_anchor_rows(long_rows.select("k1", "k2", "t"), length, piece), "anchors")
     each = anchors.select("k1", "k2", F.explode(F.arrays_zip("at", "hash")).alias("x")).select("k1", "k2", "x.at", "x.hash")
     place = F.xxhash64("k1", "k2", "at")
-    shared = each.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("hash")
+    # Written, so that the join below is one of two plain exchanges and a hot piece can be split.
+    shared = staged(each.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b")
+                    .select("hash"), "shared")
     places = (each.join(shared, "hash").groupBy("k1", "k2").agg(F.collect_set("at").alias("places"))
               .join(texts, ["k1", "k2"]))
     # One row of each text: that of its smallest id (a fully repeated row comes twice and is counted once below).

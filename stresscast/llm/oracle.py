@@ -7,6 +7,17 @@ from stresscast.llm import mixing
 _FOLDED = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
+# The test pages are plain: everything of the article is in h1 and p elements, and b and br are the only others.
+_OP1 = r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1),
+                                               '\s+', ' ', 'g') AS x FROM pages),
+b AS (SELECT page_id, url, list_filter(list_transform(
+          string_split(regexp_replace(x, '</?(p|h1|br)>', chr(10), 'g'), chr(10)),
+          lambda s: trim(regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(s, '<[^>]*>', '', 'g'),
+               '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda s: s <> '') AS l FROM a)
+SELECT page_id, url, array_to_string(l, chr(10)) AS text, length(array_to_string(l, chr(10))) AS n_chars FROM b
+"""
+
 _OP6 = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_FOLDED} AS w FROM documents),
 b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_FOLDED} AS w FROM benchmark),
@@ -94,6 +105,7 @@ FROM pos LEFT JOIN ov USING (rid) LEFT JOIN tk USING (rank, shard)
 """
 
 ORACLE: dict[str, str] = {
+    "op1_page_diff_text": _OP1,
     "op4_sainte_lague_mixing": _OP4,
     "op6_wu_manber_decontamination": _OP6,
     "op7_chat_snapshot_collapse": _OP7,

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresscast.llm import chat_snapshots, decision_list, mixing, pu_quality, secret_scan, simhash, suffix_dedup, token_transducer, wu_manber
+from stresscast.llm import chat_snapshots, decision_list, mixing, page_diff, pu_quality, secret_scan, simhash, suffix_dedup, token_transducer, wu_manber
 from stresscast.llm.common import read_table
 
 
+def op1_page_diff_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page of ``pages``."""
+    found = page_diff.extract_main_text(read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of ``documents``, learned from positive and unlabelled texts."""
     return pu_quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -70,6 +76,7 @@ def op10_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_page_diff_text": op1_page_diff_text,
     "op2_pu_quality": op2_pu_quality,
     "op3_randomness_secret_scan": op3_randomness_secret_scan,
     "op4_sainte_lague_mixing": op4_sainte_lague_mixing,

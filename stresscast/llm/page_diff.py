@@ -44,6 +44,9 @@ CHROME_NAMES = frozenset("""ad ads adv advert adverts advertisement advertisemen
 comment comments consent cookie cookies disqus footer header masthead menu menus modal nav navbar navigation newsletter notice
 notices popup promo promos promotion related replies reply share sharing sidebar sidebars social sponsor sponsored subscribe
 toolbar widget widgets""".split())
+#: Names that say little beside one of the second group ("entry-header", "content with-sidebar").
+WEAK_NAMES = frozenset("banner banners header sidebar sidebars toolbar widget widgets".split())
+CONTENT_NAMES = frozenset("article body content entry main post story text".split())
 #: An open element of these is closed by a start tag of the same group.
 IMPLIED_ENDS = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
                 "th": ("td", "th"), "option": ("option",)}
@@ -83,7 +86,10 @@ class _Reader(HTMLParser):
             return CHROME
         if tag == "header" and self.zone() != CONTENT:
             return CHROME
-        if tag not in ("body", "html", "main") and names & CHROME_NAMES:
+        named = names & CHROME_NAMES
+        if named and names & CONTENT_NAMES:
+            named -= WEAK_NAMES
+        if named and tag not in ("body", "html", "main"):
             return CHROME
         return CONTENT if tag in ("article", "main") else None
 

@@ -43,8 +43,9 @@ def op5_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contamination of ``documents`` by 13-word windows of ``benchmark``."""
-    found = wu_manber.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = wu_manber.contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 

@@ -19,9 +19,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stresscast.llm.common import docs_with, staged
@@ -267,6 +268,19 @@ def similar_links(fps: DataFrame, max_bits: int = 4, short_run: int = SHORT_RUN,
     return links.unionByName(met.mapInArrow(across, "a long, b long")).distinct()
 
 
+def fingerprint_groups(fps: DataFrame, max_bits: int = 4) -> DataFrame:
+    """``(fp, root, component_id)`` of each distinct fingerprint of ``(doc_id, fp)``.
+
+    ``root`` names the component by a fingerprint, ``component_id`` is the smallest ``doc_id`` in it (null if all are).
+    """
+    least = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    roots = connected_components(similar_links(least.select("fp"), max_bits))
+    rooted = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rooted.select("fp", "root").join(named, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """``(doc_id, fp, component_id)`` per document row; documents whose fingerprints link share a component.
 
@@ -275,10 +289,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
     component is null if no other document is in it. Empty table: no rows.
     """
     own = staged(fingerprints(docs, shingle=shingle), "fingerprints")
-    least = own.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = connected_components(similar_links(least.select("fp"), max_bits))
-    rooted = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    lookup = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return own.join(lookup, "fp").select("doc_id", "fp", "component_id")
+    return own.join(fingerprint_groups(own, max_bits), "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """The document of the smallest id of each group of near-duplicates, all columns as they are.
+
+    Of several rows with that id (a repeated row, another version) one stays, by the hash of its text.
+    """
+    own = staged(fingerprints(docs, shingle=shingle), "fingerprints")
+    groups = fingerprint_groups(own, max_bits).withColumnRenamed("fp", "group_fp")
+
+    @F.pandas_udf("long")
+    def fp(texts: pd.Series) -> pd.Series:
+        return pd.Series([_signed(simhash64(t, shingle)) for t in texts], dtype="int64")
+
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    marked = docs.select(row, fp(docs["text"].cast("binary")).alias("fp"))
+    first = marked.join(groups, (F.col("fp") == F.col("group_fp")) & F.col("row.doc_id").eqNullSafe(F.col("component_id")))
+    rank = F.row_number().over(Window.partitionBy("root").orderBy(F.sha2(F.col("row.text").cast("binary"), 256)))
+    return first.withColumn("rank", rank).where("rank = 1").select("row.*")

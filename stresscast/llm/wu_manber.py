@@ -6,8 +6,8 @@ skipped because no window ends there, blocks that do end a window lead to a buck
 windows, and each candidate is compared word by word.
 
 The machines travel to the tasks in shards of bounded size (``shard_bytes`` of window text), so any
-benchmark size works: each shard is one pass over the documents, and passes are merged by document.
-Documents are never shuffled with their texts.
+benchmark size works: each shard is one pass over the documents that adds to the hits of the passes before it.
+Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -85,8 +85,8 @@ class Machine:
             end += 1
 
 
-def _scan(docs: DataFrame, shard, all_rows: bool) -> DataFrame:
-    """Hits of one broadcast shard (list of item, window, m) in every document."""
+def _scan(rows: DataFrame, shard) -> DataFrame:
+    """Adds the hits of one broadcast shard (list of item, window, m) to ``(row, t, n_words, starts, lengths, items)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_length: dict[int, dict[bytes, list[str]]] = defaultdict(lambda: defaultdict(list))
@@ -94,59 +94,43 @@ def _scan(docs: DataFrame, shard, all_rows: bool) -> DataFrame:
             by_length[m][window].append(item)
         machines = [Machine(m, windows) for m, windows in sorted(by_length.items())]
         for b in batches:
-            keep, n_words, starts, lengths, items = [], [], [], [], []
-            for row, text in enumerate(b.column(b.num_columns - 1)):
+            n_words, columns = [], ([], [], [])
+            for text, *known in zip(b.column(1), *(b.column(i).to_pylist() for i in (3, 4, 5))):
                 words = fold_words(text.as_py())
                 found = [(at, k.m, ids) for k in machines for at, ids in k.search(words)]
-                if not found and not all_rows:
-                    continue
-                keep.append(row)
                 n_words.append(len(words))
-                starts.append([f[0] for f in found])
-                lengths.append([f[1] for f in found])
-                items.append(sorted({i for f in found for i in f[2]}))
-            rows = b.select(list(range(b.num_columns - 1))).take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*rows.columns, pa.array(n_words, pa.int64()), pa.array(starts, pa.list_(pa.int64())),
-                 pa.array(lengths, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-                [*rows.schema.names, "n_words", "starts", "lengths", "items"])
-
-    keys = ", ".join(f"{c} {t}" for c, t in docs.dtypes[:-1])
-    return docs.mapInArrow(run, f"{keys}, n_words long, starts array<long>, lengths array<long>, items array<string>")
-
-
-def find_windows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 size: int = 13, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``(doc_id, n_words, starts, lengths, items)`` per document row: every occurrence of a benchmark window.
-
-    ``starts`` and ``lengths`` are word positions, ``items`` the sorted ids (as strings) of the items whose
-    windows occur. Null and empty texts have no words; items without words have no windows; repeated
-    items and repeated document rows are allowed. An empty benchmark leaves empty lists.
+                columns[0].append(known[0] + [f[0] for f in found])
+                columns[1].append(known[1] + [f[1] for f in found])
+                columns[2].append(sorted({*known[2], *(i for f in found for i in f[2])}))
+            types = (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n_words, pa.int64()),
+                                              *map(pa.array, columns, types)], b.schema.names)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def find_windows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", size: int = 13,
+                 shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """``(row, n_words, starts, lengths, items)`` per document row: every occurrence of a benchmark window.
+
+    ``row`` holds the document's columns. ``starts`` and ``lengths`` are word positions, ``items`` the sorted ids (as
+    strings) of the items whose windows occur. Null and empty texts have no words; items without words have no
+    windows; repeated items and repeated document rows are allowed. An empty benchmark leaves empty lists.
     """
     spark = docs.sparkSession
     windows = staged(item_windows(benchmark, size=size), "windows")
     total = windows.agg(F.sum(F.length("window") + F.length("item") + 64)).first()[0] or 0
     n = total // shard_bytes + 1
     windows = windows.withColumn("shard", F.pmod(F.xxhash64("window", "m"), F.lit(n)))
-    shards = [spark.sparkContext.broadcast([(r.item, bytes(r.window), r.m) for r in
-                                            windows.where(F.col("shard") == k).toLocalIterator()]) for k in range(n)]
-    doc = F.col(id_col).cast("long").alias("doc_id")
-    text = F.col(text_col).cast("binary").alias("t")
-    rows = docs_with(docs, id_col, text_col)
-    if n == 1:
-        return _scan(rows.select(doc, text), shards[0], True)
-    # The document's identity is its id and its text, so that passes meet without the texts.
-    keyed = rows.select(doc, F.sha2(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")), 256).alias("same"), text)
-    passes = [_scan(keyed, s, k == 0).withColumn("copies", F.lit(int(k == 0))) for k, s in enumerate(shards)]
-    merged = passes[0]
-    for p in passes[1:]:
-        merged = merged.unionByName(p)
-    return (merged.groupBy("doc_id", "same").agg(
-        F.max("n_words").alias("n_words"), F.sum("copies").alias("copies"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("starts", "lengths")))).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-        .select("doc_id", "n_words", F.col("hits.starts").alias("starts"), F.col("hits.lengths").alias("lengths"),
-                "items", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy"))
+    longs = F.array().cast("array<long>")
+    found = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].cast("binary").alias("t"),
+                        F.lit(0).cast("long").alias("n_words"), longs.alias("starts"), longs.alias("lengths"),
+                        F.array().cast("array<string>").alias("items"))
+    for k in range(n):
+        shard = spark.sparkContext.broadcast([(r.item, bytes(r.window), r.m) for r in
+                                              windows.where(F.col("shard") == k).toLocalIterator()])
+        found = _scan(staged(found, "hits") if k else found, shard)
+    return found.drop("t")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -159,7 +143,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
         spans, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")),
         lambda acc, x: F.struct((acc["n"] + F.greatest(x["e"] - F.greatest(x["s"], acc["end"]), F.lit(0))).alias("n"),
                                 F.greatest(acc["end"], x["e"]).alias("end")), lambda acc: acc["n"])
-    return (find_windows(docs, benchmark, **options).withColumn("n_hit", union)
+    return (find_windows(docs, benchmark, **options).withColumn("n_hit", union.cast("long"))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))))
 
 

@@ -10,9 +10,9 @@ and is minimised by damped Newton steps. R_neg estimates a mean of losses and mu
 al. 2017): a step that would take it below -beta is replaced by the best step along which R_neg stays as it is.
 Labels of bad documents are used for the prior alone.
 
-Scale: one pass over the texts gives a table of short feature vectors; each Newton step is one pass over that
-table that sums on the executors a fixed number of statistics (the square of the features). No sample, no cap:
-P, U, means and deviations cover all rows.
+Scale: one pass over the texts gives a table of short feature vectors; each Newton step, all its step sizes
+included, is one pass over that table that sums on the executors a fixed number of statistics (the square of the
+features). No sample, no cap: P, U, means and deviations cover all rows.
 """
 
 from __future__ import annotations
@@ -101,30 +101,37 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _sums(marked: DataFrame, weights: np.ndarray, mean, scale) -> np.ndarray:
-    """Per class (U, then P): rows, softplus(f), f, x, s(f) x, and the curvature matrix, summed over the table."""
-    p = len(weights)
+    """For several weight vectors, per class (U, then P): rows, softplus(f), f, x, s(f) x, and the curvature, summed.
+
+    Each task gives one row of sums; they are added up in one more task and one row comes back.
+    """
+    k, p = weights.shape
+    width = 3 + 2 * p + p * p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, 3 + 2 * p + p * p))
+        total = np.zeros((k, 2, width))
         for b in batches:
             x = standardised(b.column(0).flatten().to_numpy().reshape(-1, p - 1), mean, scale)
             positive = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for k, rows in enumerate((x, x[positive])):
-                f = rows @ weights
-                s = 1 / (1 + np.exp(-np.clip(f, -700, 700)))
-                total[k] += np.concatenate(([len(rows), np.logaddexp(0, f).sum(), f.sum()], rows.sum(axis=0), s @ rows,
-                                            (rows.T @ ((s * (1 - s))[:, None] * rows)).ravel()))
-        flat = total.ravel()
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["i", "v"])
+            for c, rows in enumerate((x, x[positive])):
+                for j, w in enumerate(weights):
+                    f = rows @ w
+                    s = 1 / (1 + np.exp(-np.clip(f, -700, 700)))
+                    total[j, c] += np.concatenate(([len(rows), np.logaddexp(0, f).sum(), f.sum()], rows.sum(axis=0), s @ rows,
+                                                   (rows.T @ ((s * (1 - s))[:, None] * rows)).ravel()))
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], ["v"])
 
-    out = np.zeros(2 * (3 + 2 * p + p * p))
-    for i, v in marked.select("x", "positive").mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v")).collect():
-        out[i] = v
-    return out.reshape(2, -1)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = sum((b.column(0).flatten().to_numpy().reshape(-1, 2 * k * width).sum(axis=0) for b in batches), np.zeros(2 * k * width))
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["v"])
+
+    schema = "v array<double>"
+    parts = marked.select("x", "positive").mapInArrow(run, schema).repartition(1).mapInArrow(add, schema).collect()
+    return np.array(parts[0].v if parts else np.zeros(2 * k * width)).reshape(k, 2, width)
 
 
 def fit(features: DataFrame, labels: DataFrame, max_steps: int = 100, ridge: float = 1e-3,
-        tolerance: float = 1e-5, beta: float = 1e-3) -> Model:
+        tolerance: float = 1e-4, beta: float = 1e-3) -> Model:
     """Fit on a feature table and ``labels (doc_id, quality)`` of the rows that may be learned from.
 
     A document with several labels is good if all say 1. Null labels and ids are no labels. Without documents or
@@ -145,45 +152,48 @@ def fit(features: DataFrame, labels: DataFrame, max_steps: int = 100, ridge: flo
     penalty = np.full(p, ridge)
     penalty[-1] = 0.0
 
-    def at(w: np.ndarray):
-        u, q = _sums(marked, w, mean, scale)
-        if not u[0] or not q[0]:
-            return None
-        soft, soft_p, mean_p = u[1] / u[0], q[1] / q[0], q[2] / q[0]
-        risk = soft - prior * mean_p + penalty @ (w * w) / 2
-        gradient = u[3 + p:3 + 2 * p] / u[0] - prior * q[3:3 + p] / q[0] + penalty * w
-        curvature = u[3 + 2 * p:].reshape(p, p) / u[0] + np.diag(penalty + 1e-9)
-        down = u[3 + p:3 + 2 * p] / u[0] - prior * q[3 + p:3 + 2 * p] / q[0]
-        return risk, gradient, curvature, soft - prior * soft_p, down
+    def at(trials: list[np.ndarray]) -> list[tuple]:
+        """Risk, gradient, curvature, R_neg and its gradient at some weights, in one pass."""
+        out = []
+        for w, (u, q) in zip(trials, _sums(marked, np.array(trials), mean, scale)):
+            if not u[0] or not q[0]:
+                return []
+            soft, soft_p, mean_p = u[1] / u[0], q[1] / q[0], q[2] / q[0]
+            risk = soft - prior * mean_p + penalty @ (w * w) / 2
+            gradient = u[3 + p:3 + 2 * p] / u[0] - prior * q[3:3 + p] / q[0] + penalty * w
+            curvature = u[3 + 2 * p:].reshape(p, p) / u[0] + np.diag(penalty + 1e-9)
+            down = u[3 + p:3 + 2 * p] / u[0] - prior * q[3 + p:3 + 2 * p] / q[0]
+            out.append((risk, gradient, curvature, soft - prior * soft_p, down))
+        return out
 
     def model(step: int) -> Model:
         return Model(tuple(w.tolist()), mean, scale, prior, step, float(np.abs(state[1]).max()), float(state[3]))
 
     w = np.zeros(p)
     w[-1] = math.log(prior / (1 - prior))
-    state = at(w)
-    if state is None:
+    first = at([w])
+    if not first:
         return Model(tuple(w.tolist()), mean, scale, prior, 0, 0.0, 0.0)
+    state = first[0]
     for step in range(1, max_steps + 1):
         risk, gradient, curvature, negative, down = state
         free = -np.linalg.solve(curvature, gradient)
         side = np.linalg.solve(curvature, down)
         along = free - side * (down @ free) / (down @ side + 1e-300)
+        if -gradient @ free < tolerance:
+            return model(step)
+        # All step sizes of both directions are tried in one pass; the first that serves is taken.
+        moves = []
         for move in (free, along):
-            if -gradient @ move < tolerance:
-                return model(step)
-            size = min(1.0, 10 / float(np.abs(move).max()))
-            while size > 1e-3:
-                trial = at(w + size * move)
-                if trial[0] <= risk + 1e-4 * size * (gradient @ move) and trial[3] >= min(-beta, negative):
-                    break
-                size /= 2
-            else:
-                continue
-            break
+            most = min(1.0, 10 / float(np.abs(move).max()))
+            if -gradient @ move >= tolerance:
+                moves += [most * size * move for size in (1, 1 / 2, 1 / 4, 1 / 16, 1 / 64)]
+        for move, trial in zip(moves, at([w + m for m in moves])):
+            if trial[0] <= risk + 1e-4 * (gradient @ move) and trial[3] >= min(-beta, negative):
+                w, state = w + move, trial
+                break
         else:  # every step forward would take the negative risk below its bound
             return model(step)
-        w, state = w + size * move, trial
     raise RuntimeError(f"the risk has not settled after {max_steps} steps")
 
 

@@ -440,7 +440,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     members = staged(around.select("k1", "k2", "at", "ctx").distinct(), "members")
     payload = around.groupBy("ctx").agg(F.first("suffix").alias("suffix"), F.first("before").alias("before"))
     contexts = payload.join(members.groupBy("ctx").agg(F.count("*").alias("copies")), "ctx")
-    repeats = _repeated_contexts(contexts, length, piece, max_group)
+    repeats = staged(_repeated_contexts(contexts, length, piece, max_group), "repeats")
 
     spans = (members.join(repeats, "ctx").groupBy("k1", "k2").agg(F.collect_list(F.struct(
         (F.col("at") - F.col("most")).alias("s"), (F.col("at") - F.col("least") + length).alias("e"))).alias("found")))

@@ -47,10 +47,16 @@ def tenths(x) -> Column:
     return to_double(x) / 10.0
 
 
+#: Day formats other than ISO, in the order they are tried.
+DATE_FORMATS = ("M/d/yyyy", "M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm", "yyyy/M/d", "yyyyMMdd")
+
+
 def to_date_lenient(x) -> Column:
-    """lenient date parse (strings, timestamps, dates); bad gives NULL."""
+    """lenient date parse (strings, timestamps, dates): ISO first, then ``DATE_FORMATS`` in order; bad gives NULL."""
     v = _c(x)
-    return F.coalesce(v.try_cast("date"), F.to_date(F.try_to_timestamp(v.cast("string"))))
+    text = strip_ws(v.cast("string"))
+    return F.coalesce(v.try_cast("date"), F.to_date(F.try_to_timestamp(text)),
+                      *[F.to_date(F.try_to_timestamp(F.upper(text), F.lit(f))) for f in DATE_FORMATS])
 
 
 def to_ts_lenient(x) -> Column:

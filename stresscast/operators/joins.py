@@ -16,26 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check: counts at most ``max_rows + 1`` rows of the
-    (dimension) table; above the bound the table is returned as is and the join
-    stays a shuffle join. Use for dimension tables whose static size estimate is
-    unreliable (e.g. joined dimensions)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a single-row table (e.g. global statistics) to every row.
 
-    The one-row side is broadcast (its size is fixed); the join is an equi-join
-    on a constant, not a cross product.
+    A one-row product: Spark plans it as a nested-loop join with the single row broadcast, so
+    rows pass through one by one and none is added.
     """
-    return (df.withColumn("_one", F.lit(1))
-              .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one", "left").drop("_one"))
+    return df.join(F.broadcast(one_row))
 
 
 def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str] | str, how: str = "left") -> DataFrame:

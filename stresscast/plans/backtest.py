@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from stresscast.operators.filters import time_split
 from stresscast.operators.zscore import z_policy_a, z_policy_c
-from stresscast.plans.design import VOL_FEATURES, stress_design, vol_design
+from stresscast.plans.design import VOL_FEATURES, storage_from_level, stress_design, vol_lagged
+from stresscast.plans.evaluate import realized_exceed
 from stresscast.plans.fit import draws_from_posterior, fit_logistic, fit_student_t
 from stresscast.plans.score import score_points
 from stresscast.session import cut_lineage
@@ -28,25 +29,34 @@ def _apply_scalers(test: DataFrame, scalers: DataFrame, feats: Sequence[str], ke
     wide = scalers.groupBy(*keys).pivot("feature", list(feats)).agg(F.first("mean").alias("m"),
                                                                     F.first("std").alias("s"))
     j = test.join(wide, list(keys), "left")
-    fn = z_policy_a if policy == "a" else z_policy_c
+    fn = z_policy_a if policy == "a" else (lambda x, m, s: F.when(F.col(x).isNotNull(), z_policy_c(x, m, s)))
     return j.select(*[c for c in test.columns if c not in feats],
                     *[fn(f, f"{f}_m", f"{f}_s").alias(f) for f in feats])
 
 
 def stress_backtest(frame: DataFrame, train_end, keys: Sequence[str] = ("pipeline",), n_chains: int = 4,
-                    n_draws: int = 1500, seed: int = 0, threshold: float = 0.30):
-    """Returns (params, scored test rows ``keys, date, p_stress, stress_event``)."""
+                    n_draws: int = 1500, seed: int = 0, threshold: float = 0.30, inputs: str = "history",
+                    null_as_zero: bool = False):
+    """Returns (params, scored test rows ``keys, date, p_stress, stress_event``), one row per test row.
+
+    ``inputs="history"``: a test day's lagged features may come from train days; ``"test_rows"``: from test rows
+    only, as the source computes them. An unknown input gives a NULL score (0 with ``null_as_zero``, as there).
+    """
     keys = list(keys)
     # the design is read by the fit, the test scoring and the outcome join: compute it once
-    raw = cut_lineage(stress_design(frame, keys, scale_inputs=False))
+    raw = cut_lineage(stress_design(frame, keys, scale_inputs=False, keep_nulls=True))
     feats = [c for c in raw.columns if c not in keys + ["date", "y"]]
     train, test = time_split(raw, "date", train_end)
-    tr_design, scalers = stress_design_from_raw(train, feats, keys)
+    tr_design, scalers = stress_design_from_raw(train.dropna(subset=["y", *feats]), feats, keys)
     params, post = fit_logistic(tr_design, feats, "y", keys)
     draws = draws_from_posterior(post, keys, n_chains, n_draws, seed)
-    te = _apply_scalers(test, scalers, feats, keys, "a")
-    scored = score_points(te, draws, feats, "stress", threshold, keys=keys, id_cols=["date"], out_col="p_stress")
-    out = scored.join(test.select(*keys, "date", F.col("y").alias("stress_event")), keys + ["date"])
+    points = test
+    if inputs == "test_rows":
+        points = stress_design(time_split(frame, "date", train_end)[1], keys, scale_inputs=False, keep_nulls=True)
+    te = _apply_scalers(points, scalers, feats, keys, "a")
+    scored = score_points(te, draws, feats, "stress", threshold, keys=keys, id_cols=["date"], out_col="p_stress",
+                          null_as_zero=null_as_zero)
+    out = scored.join(test.select(*keys, "date", F.col("y").alias("stress_event")), keys + ["date"], "left")
     return params, out
 
 
@@ -62,22 +72,26 @@ def stress_design_from_raw(raw: DataFrame, feats: Sequence[str], keys: Sequence[
 
 
 def vol_backtest(frame: DataFrame, train_end, keys: Sequence[str] = ("pipeline",), n_chains: int = 4,
-                 n_draws: int = 1000, seed: int = 0, threshold: float = 0.02, inputs: str = "design"):
-    """E2 (+E7): returns (params, scored test rows ``keys, date, p_vol_exceed, realized_vol_exceed``).
+                 n_draws: int = 1000, seed: int = 0, threshold: float = 0.02, inputs: str = "design",
+                 null_as_zero: bool = False):
+    """E2 (+E7): returns (params, scored test rows ``keys, date, p_vol_exceed, realized_vol_exceed``), one per test row.
 
+    The frame is split first; every statistic (storage level, scalers) comes from the train rows.
     ``inputs="design"`` scores each test day with the same lagged features the
     model was fitted on. ``inputs="forecast"`` reproduces the source's back-test
     (§8 Q7): op / persist / hdd / storage recomputed as of every test day from
     the *test rows only* (W10: window columns over the test split, one pass),
-    scaled with the training scalers; a NULL input (e.g. storage before 1095
-    test rows, §8 Q6) scores 0 like NaN did.
+    scaled with the training scalers. A NULL input (e.g. storage before 1095
+    test rows, §8 Q6) gives a NULL score, or 0 with ``null_as_zero``, like NaN did.
     """
     keys = list(keys)
-    raw = cut_lineage(vol_design(frame, keys, scale_inputs=False))
+    raw = cut_lineage(vol_lagged(frame, keys))
     train, test = time_split(raw, "date", train_end)
+    train_frame, test_frame = time_split(frame, "date", train_end)
     from stresscast.operators.aggregates import fit_scalers, scalers_long
     from stresscast.operators.zscore import scaler_std_b, z_policy_b
     zc = ["persist", "hdd", "storage"]
+    train = cut_lineage(storage_from_level(train, train_frame, keys).dropna(subset=["y", *VOL_FEATURES]))
     st = fit_scalers(train, zc, keys)
     tr = train.join(st, keys, "left").select(*keys, "date", "y", "op",
                                              *[z_policy_b(c, f"{c}__mean", f"{c}__std").alias(c) for c in zc])
@@ -86,12 +100,11 @@ def vol_backtest(frame: DataFrame, train_end, keys: Sequence[str] = ("pipeline",
     draws = draws_from_posterior(post, keys, n_chains, n_draws, seed)
     if inputs == "forecast":
         from stresscast.plans.design import forecast_inputs
-        test_frame = frame.where(F.col("date") > F.lit(train_end).cast("date"))
-        pts = forecast_inputs(test_frame, keys)
-        te = _apply_scalers(pts, scalers, zc, keys, "c")
+        points = forecast_inputs(test_frame, keys)
     else:
-        te = _apply_scalers(test, scalers, zc, keys, "c")
+        points = storage_from_level(test, train_frame, keys)
+    te = _apply_scalers(points, scalers, zc, keys, "c")
     scored = score_points(te, draws, list(VOL_FEATURES), "vol", threshold, keys=keys, id_cols=["date"],
-                          out_col="p_vol_exceed", seed=seed)
-    realized = test.select(*keys, "date", (F.col("y") > F.lit(threshold)).cast("int").alias("realized_vol_exceed"))
-    return params, scored.join(realized, keys + ["date"])
+                          out_col="p_vol_exceed", seed=seed, null_as_zero=null_as_zero)
+    realized = test.select(*keys, "date", realized_exceed("y", threshold).alias("realized_vol_exceed"))
+    return params, scored.join(realized, keys + ["date"], "left")

@@ -7,6 +7,7 @@ same), so engines that sum in a different order still compare equal.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -107,6 +108,8 @@ from stresscast.sources.stations import load_station_meta  # noqa: E402
 from stresscast.sources.tables import active_at, date_between, read_table, scan  # noqa: E402
 
 TRAIN_END = "1998-12-31"
+#: Ends the train rows of the back-tests: the test rows of a pipeline then exceed the 1095 of the storage mean.
+BACKTEST_END = "1998-06-30"
 AS_OF = "1998-06-01"
 
 
@@ -285,7 +288,7 @@ def q_reliability_quintile(spark, base):
     return round_doubles(reliability(V.scored(spark, base), "score", "outcome", 5))
 
 
-def grid_draws(spark, n: int = 200):
+def grid_draws(spark, n: int = 6000):
     """Fixed deterministic draw table for the oracle-checked scorer (d = 0 .. n-1)."""
     d = F.col("id")
     return spark.range(n).select(
@@ -435,25 +438,25 @@ def q_fit_vol(spark, base):
 
 def q_score_vol(spark, base):
     from stresscast.plans.backtest import vol_backtest
-    _, scored = vol_backtest(model_frame(spark, base), TRAIN_END, n_draws=500)
+    _, scored = vol_backtest(model_frame(spark, base), BACKTEST_END)
     return scored.select("pipeline", "date", "p_vol_exceed")
 
 
 def q_backtest_stress(spark, base):
     from stresscast.plans.backtest import stress_backtest
-    _, scored = stress_backtest(model_frame(spark, base), TRAIN_END)
+    _, scored = stress_backtest(model_frame(spark, base), BACKTEST_END)
     return scored
 
 
 def q_backtest_vol(spark, base):
     from stresscast.plans.backtest import vol_backtest
-    _, scored = vol_backtest(model_frame(spark, base), TRAIN_END)
+    _, scored = vol_backtest(model_frame(spark, base), BACKTEST_END)
     return scored
 
 
 def q_backtest_stress_eval(spark, base):
     from stresscast.plans.backtest import stress_backtest
-    _, scored = stress_backtest(model_frame(spark, base), TRAIN_END)
+    _, scored = stress_backtest(model_frame(spark, base), BACKTEST_END)
     return exact_auc(scored, "p_stress", "stress_event", ["pipeline"])
 
 
@@ -581,7 +584,7 @@ QUERIES["split_stats"] = q_split_stats
 def q_backtest_vol_source_inputs(spark, base):
     """E2 as the source computes it: forecast inputs from the test rows only (W10), training scalers."""
     from stresscast.plans.backtest import vol_backtest
-    _, scored = vol_backtest(model_frame(spark, base), TRAIN_END, inputs="forecast")
+    _, scored = vol_backtest(model_frame(spark, base), BACKTEST_END, inputs="forecast")
     return scored
 
 
@@ -589,9 +592,101 @@ def q_backtest_vol_reliability(spark, base):
     """E6 on the volatility back-test: realized exceedance frequency per score quintile
     (probabilities tie often, so duplicate quintile edges leave bins empty instead of raising)."""
     from stresscast.plans.backtest import vol_backtest
-    _, scored = vol_backtest(model_frame(spark, base), TRAIN_END)
+    _, scored = vol_backtest(model_frame(spark, base), BACKTEST_END)
     return reliability(scored, "p_vol_exceed", "realized_vol_exceed", 5, strict=False)
 
 
 QUERIES["backtest_vol_source_inputs"] = q_backtest_vol_source_inputs
 QUERIES["backtest_vol_reliability"] = q_backtest_vol_reliability
+
+
+# ------------------------------------------------------ batch 5: back-test days, gradients at the modes, dates
+def q_backtest_days_stress(spark, base):
+    """Every test day with its outcome; whether the score is known follows the inputs."""
+    from stresscast.plans.backtest import stress_backtest
+    _, scored = stress_backtest(model_frame(spark, base), BACKTEST_END)
+    return scored.select("pipeline", "date", "stress_event", F.col("p_stress").isNotNull().alias("scored"))
+
+
+def q_backtest_days_vol(spark, base):
+    """Every test day with its realized exceedance; whether the score is known follows the inputs."""
+    from stresscast.plans.backtest import vol_backtest
+    _, scored = vol_backtest(model_frame(spark, base), BACKTEST_END)
+    return scored.select("pipeline", "date", "realized_vol_exceed", F.col("p_vol_exceed").isNotNull().alias("scored"))
+
+
+def q_backtest_days_vol_source(spark, base):
+    """E2 with inputs from the test rows only (W10): scored from the 1095th test row on."""
+    from stresscast.plans.backtest import vol_backtest
+    _, scored = vol_backtest(model_frame(spark, base), BACKTEST_END, inputs="forecast")
+    return scored.select("pipeline", "date", "realized_vol_exceed", F.col("p_vol_exceed").isNotNull().alias("scored"))
+
+
+def _mode(params, keys):
+    wide = params.groupBy(*keys).pivot("param").agg(F.first("estimate"))
+    return wide.select(*keys, *[F.col(c).alias(f"_{c}") for c in wide.columns if c not in keys])
+
+
+def _gradient_rows(df, keys, parts):
+    """One row per (key, parameter): the mean gradient, rounded, without a negative zero."""
+    sums = df.groupBy(*keys).agg(*[(F.sum(v) / F.count(F.lit(1))).alias(n) for n, v in parts.items()])
+    return sums.select(*keys, F.explode(F.array(*[F.struct(F.lit(n).alias("param"), (F.round(n, 5) + 0.0).alias("gradient"))
+                                                  for n in parts])).alias("_g")).select(*keys, "_g.*")
+
+
+def q_fit_stress_gradient(spark, base):
+    """M3: gradient of the log posterior at the returned mode, per row of the design."""
+    from stresscast.plans.fit import fit_logistic
+    d = stress_design(model_frame(spark, base))
+    feats = [c for c in d.columns if c not in ("pipeline", "date", "y")]
+    params, _ = fit_logistic(d, feats, "y", ["pipeline"])
+    n = F.count(F.lit(1)).over(Window.partitionBy("pipeline"))
+    j = d.join(_mode(params, ["pipeline"]), "pipeline").withColumn("_n", n)
+    logit = F.col("_a")
+    for f in feats:
+        logit = logit + F.col(f"_b_{f}") * F.col(f)
+    miss = F.col("y") - 1 / (1 + F.exp(-logit))
+    parts = {"a": miss - F.col("_a") / (2.25 * F.col("_n"))}
+    parts |= {f"b_{f}": miss * F.col(f) - F.col(f"_b_{f}") / F.col("_n") for f in feats}
+    return _gradient_rows(j, ["pipeline"], parts)
+
+
+def q_fit_vol_gradient(spark, base):
+    """M5: gradient of the log posterior of (a, b, log sigma) at the returned mode, per row of the design."""
+    from stresscast.plans.fit import fit_student_t
+    d = vol_design(model_frame(spark, base))
+    feats = ["op", "persist", "hdd", "storage"]
+    params, _ = fit_student_t(d, feats, "y", ["pipeline"])
+    n = F.count(F.lit(1)).over(Window.partitionBy("pipeline"))
+    j = d.join(_mode(params, ["pipeline"]), "pipeline").withColumn("_n", n)
+    mean = F.col("_a")
+    for f in feats:
+        mean = mean + F.col(f"_b_{f}") * F.col(f)
+    s2 = F.col("_sigma") * F.col("_sigma")
+    r = F.col("y") - mean
+    pull = (F.col("_nu") + 1) * r / (F.col("_nu") * s2 + r * r)
+    parts = {"a": pull * s2 - F.col("_a") * s2 / (0.25 * F.col("_n"))}
+    parts |= {f"b_{f}": (pull * F.col(f) - F.col(f"_b_{f}") / (0.25 * F.col("_n"))) * s2 for f in feats}
+    parts["log_sigma"] = pull * r - 1 + (1 - s2 / 0.25) / F.col("_n")
+    return _gradient_rows(j, ["pipeline"], parts)
+
+
+def q_lenient_dates(spark, base):
+    """order days written in five ways, some of them not a date."""
+    d = F.col("o_orderdate").cast("date")
+    k = F.col("o_orderkey") % 6
+    text = (F.when(k == 0, F.date_format(d, "yyyy-MM-dd")).when(k == 1, F.date_format(d, "MM/dd/yyyy"))
+            .when(k == 2, F.date_format(d, "M/d/yyyy")).when(k == 3, F.concat(F.lit(" "), F.date_format(d, "yyyyMMdd")))
+            .when(k == 4, F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" 10:30:00"))).otherwise(F.lit("13/45/n.a.")))
+    o = read_table(spark, base, "orders").select("o_orderkey", text.alias("text"))
+    return o.select("o_orderkey", to_date_lenient("text").alias("date"))
+
+
+QUERIES.update({
+    "backtest_days_stress": q_backtest_days_stress,
+    "backtest_days_vol": q_backtest_days_vol,
+    "backtest_days_vol_source": q_backtest_days_vol_source,
+    "fit_stress_gradient": q_fit_stress_gradient,
+    "fit_vol_gradient": q_fit_vol_gradient,
+    "lenient_dates": q_lenient_dates,
+})

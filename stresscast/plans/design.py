@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stresscast.operators.joins import attach_row
 from stresscast.operators.windows import lag, rolling
 from stresscast.operators.zscore import scaler_std_b, z_policy_a, z_policy_b
 
@@ -56,9 +57,11 @@ def _stats_window(keys: Sequence[str]):
 
 
 def stress_design(frame: DataFrame, keys: Sequence[str] = ("pipeline",), spec: FeatureSpec = STRESS_SPEC,
-                  with_scalers: bool = False, scale_inputs: bool = True):
+                  with_scalers: bool = False, scale_inputs: bool = True, keep_nulls: bool = False):
     """M2: y = target; lag-1 predictors; rows with any NULL dropped; z-score policy A per key.
 
+    ``scale_inputs=False`` gives the raw lagged features, with ``keep_nulls`` on every row of the frame.
+
     Scalers are kept under the lagged names. Returns the design frame (and the
     scaler table as ``keys, feature, mean, std`` when ``with_scalers``).
     """
@@ -66,7 +69,8 @@ def stress_design(frame: DataFrame, keys: Sequence[str] = ("pipeline",), spec: F
     src = spec.resolve(frame.columns)
     d = frame.select(*keys, "date", F.col(spec.target).cast("int").alias("y"),
                      *[lag(c, 1, keys).alias(n) for n, c in src.items()])
-    d = d.dropna(subset=["y", *src])
+    if not (keep_nulls and not scale_inputs):
+        d = d.dropna(subset=["y", *src])
     if not scale_inputs:
         return d
     w = _stats_window(keys)
@@ -88,31 +92,45 @@ def stress_design(frame: DataFrame, keys: Sequence[str] = ("pipeline",), spec: F
 VOL_FEATURES = ("op", "persist", "hdd", "storage")
 
 
+def vol_lagged(frame: DataFrame, keys: Sequence[str] = ("pipeline",)) -> DataFrame:
+    """The volatility features of every row of the frame before any scaling or dropping: ``y`` = |hh_ret|, ``op``,
+    ``persist`` (7-day stress days), ``hdd`` (5-day mean) and ``level`` (working gas), all but y by one row.
+
+    Operational stress is the first of stress_event and critical_active that the frame has, NULL as 0.
+    """
+    keys = list(keys)
+    if "hh_ret" not in frame.columns:
+        raise KeyError("vol_design requires hh_ret")
+    hdd_col = "hdd_median" if "hdd_median" in frame.columns else "hdd_mean"
+    op_src = [c for c in ("stress_event", "critical_active") if c in frame.columns][:1]
+    op = F.coalesce(*[F.col(c).cast("int") for c in op_src], F.lit(0))
+    base = frame.select(*keys, "date", F.abs("hh_ret").alias("y"), op.alias("op_stress"), hdd_col, "working_gas_bcf")
+    base = base.select(*keys, "date", "y", "op_stress", "working_gas_bcf",
+                       rolling("op_stress", 7, "sum", keys, min_periods=1).alias("stress_days_7d"),
+                       rolling(hdd_col, 5, "mean", keys, min_periods=1).alias("hdd_5d"))
+    return base.select(*keys, "date", "y",
+                       lag("op_stress", 1, keys).cast("double").alias("op"),
+                       lag("stress_days_7d", 1, keys).cast("double").alias("persist"),
+                       lag("hdd_5d", 1, keys).alias("hdd"),
+                       lag("working_gas_bcf", 1, keys).alias("level"))
+
+
+def storage_from_level(lagged: DataFrame, frame: DataFrame, keys: Sequence[str] = ("pipeline",)) -> DataFrame:
+    """Replaces ``level`` by ``storage``, its z-score (policy B) with the mean and deviation of ``frame`` per key."""
+    keys = list(keys)
+    stats = frame.groupBy(*keys).agg(F.avg("working_gas_bcf").alias("_m"), F.stddev_pop("working_gas_bcf").alias("_s"))
+    z = F.when(F.col("level").isNotNull(), z_policy_b("level", "_m", "_s"))
+    joined = lagged.join(stats, keys, "left") if keys else attach_row(lagged, stats)
+    return joined.withColumn("storage", z).drop("level", "_m", "_s")
+
+
 def vol_design(frame: DataFrame, keys: Sequence[str] = ("pipeline",), with_scalers: bool = False,
                scale_inputs: bool = True):
     """M4: y = |hh_ret|; op stress, 7-day stress days, 5-day HDD mean, storage z (policy B
     over the whole frame); all lag-1; NULL rows dropped; persist/hdd/storage z-scored
     again with policy B; op left as is."""
     keys = list(keys)
-    if "hh_ret" not in frame.columns:
-        raise KeyError("vol_design requires hh_ret")
-    hdd_col = "hdd_median" if "hdd_median" in frame.columns else "hdd_mean"
-    op_src = [c for c in ("stress_event", "critical_active") if c in frame.columns]
-    op = F.coalesce(*[F.col(c).cast("int") for c in op_src], F.lit(0)) if op_src else F.lit(0)
-    w_all = _stats_window(keys)
-    base = frame.select(
-        *keys, "date", F.abs("hh_ret").alias("y"), op.alias("op_stress"), hdd_col, "working_gas_bcf",
-        F.avg("working_gas_bcf").over(w_all).alias("_smu"), F.stddev_pop("working_gas_bcf").over(w_all).alias("_ssd"))
-    base = base.select(
-        *keys, "date", "y", "op_stress",
-        rolling("op_stress", 7, "sum", keys, min_periods=1).alias("stress_days_7d"),
-        rolling(hdd_col, 5, "mean", keys, min_periods=1).alias("hdd_5d"),
-        z_policy_b("working_gas_bcf", "_smu", "_ssd").alias("storage_z"))
-    lagged = base.select(*keys, "date", "y",
-                         lag("op_stress", 1, keys).cast("double").alias("op"),
-                         lag("stress_days_7d", 1, keys).cast("double").alias("persist"),
-                         lag("hdd_5d", 1, keys).alias("hdd"),
-                         lag("storage_z", 1, keys).alias("storage")).dropna(subset=["y", *VOL_FEATURES])
+    lagged = storage_from_level(vol_lagged(frame, keys), frame, keys).dropna(subset=["y", *VOL_FEATURES])
     if not scale_inputs:
         return lagged
     w = _stats_window(keys)

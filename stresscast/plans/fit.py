@@ -30,63 +30,72 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 
 from stresscast.session import cut_lineage
 
-DRIVER_SUM_MAX = 2_000_000  # partial sums summed on the driver up to this many numbers
-NU_GRID = (2.5, 3.0, 4.0, 5.0, 7.0, 10.0, 15.0, 20.0, 30.0, 50.0)
+# Support of nu = 2 + Exponential(0.1): the grid ends where the prior has e^-12 left beyond it.
+NU_GRID = (2.05, 2.5, 3.0, 4.0, 5.0, 7.0, 10.0, 15.0, 20.0, 30.0, 50.0, 80.0, 122.0)
+KEY_SEPARATOR = "\x1f"
 
 
 def _key_tuple(row, keys):
     return tuple(row[k] for k in keys)
 
 
-def _stats_pass(d: DataFrame, keys: Sequence[str], feats: Sequence[str], thetas: dict, fn, n_stats: int) -> dict:
-    """One pass over the design: per-partition numpy partial sums per model key, then a sum per
-    (key, statistic). Only keys x ``n_stats`` numbers are shuffled and collected.
+def _key_code(kt) -> str:
+    return KEY_SEPARATOR.join("" if x is None else str(x) for x in kt)
+
+
+def _stats_pass(d: DataFrame, feats: Sequence[str], thetas: dict, fn, n_stats: int) -> dict:
+    """One pass over the prepared design: per-partition numpy partial sums per model key, then a sum per
+    (key, statistic) on the executors. Only keys x ``n_stats`` numbers come back.
 
     ``fn(theta, Xa, y) -> 1-d array`` of additive statistics, with ``Xa`` the
     design with a leading column of ones. ``thetas`` (one vector per key,
     held by the driver) travels in the task closure.
     """
-    keys = list(keys)
     schema = StructType([StructField("_k", StringType()), StructField("_i", IntegerType()),
                          StructField("_v", DoubleType())])
-    tk = {"\x1f".join(str(x) for x in k): np.asarray(v, float) for k, v in thetas.items()}
+    tk = {_key_code(k): np.asarray(v, float) for k, v in thetas.items()}
 
     def part(it):
         acc: dict = {}
         for pdf in it:
             if pdf.empty:
                 continue
-            ks = pdf[keys].astype(str).agg("\x1f".join, axis=1) if keys else pd.Series([""] * len(pdf))
-            for k, idx in ks.groupby(ks).groups.items():
-                g = pdf.loc[idx]
-                Xa = np.column_stack([np.ones(len(g))] + [g[f].to_numpy(float) for f in feats])
-                v = fn(tk[k], Xa, g["_y"].to_numpy(float))
+            codes, names = pd.factorize(pdf["_k"])
+            Xa = np.column_stack([np.ones(len(pdf))] + [pdf[f].to_numpy(float) for f in feats])
+            y = pdf["_y"].to_numpy(float)
+            for i, k in enumerate(names):
+                at = codes == i
+                v = fn(tk[k], Xa[at], y[at])
                 acc[k] = acc[k] + v if k in acc else v
         rows = [(k, i, float(x)) for k, v in acc.items() for i, x in enumerate(v)]
         yield pd.DataFrame(rows, columns=["_k", "_i", "_v"])
 
-    partial = d.select(*keys, "_y", *feats).mapInPandas(part, schema)
+    partial = d.select("_k", "_y", *feats).mapInPandas(part, schema)
     out: dict = {}
-    n_numbers = d.rdd.getNumPartitions() * max(len(thetas), 1) * n_stats
-    if n_numbers <= DRIVER_SUM_MAX:
-        # few partial rows (partitions x keys x stats, known before the job): sum them on the
-        # driver and save the reduce stage
-        for r in partial.collect():
-            out.setdefault(r["_k"], np.zeros(n_stats))[r["_i"]] += r["_v"]
-    else:
-        for r in partial.groupBy("_k", "_i").agg(F.sum("_v").alias("_v")).collect():
-            out.setdefault(r["_k"], np.zeros(n_stats))[r["_i"]] = r["_v"]
-    return {k: out.get("\x1f".join(str(x) for x in k), np.zeros(n_stats)) for k in thetas}
+    for r in partial.groupBy("_k", "_i").agg(F.sum("_v").alias("_v")).collect():
+        out.setdefault(r["_k"], np.zeros(n_stats))[r["_i"]] = r["_v"]
+    return {k: out.get(_key_code(k), np.zeros(n_stats)) for k in thetas}
 
 
 def _prepare(design: DataFrame, keys, feats, y):
-    d = design.select(*keys, F.col(y).cast("double").alias("_y"), *[F.col(f).cast("double").alias(f) for f in feats])
-    d = d.dropna()
+    """Target, features, keys and the key code, built once for all passes; rows with a NULL are left out."""
+    code = F.concat_ws(KEY_SEPARATOR, *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]) if keys else F.lit("")
+    d = design.select(*keys, code.alias("_k"), F.col(y).cast("double").alias("_y"),
+                      *[F.col(f).cast("double").alias(f) for f in feats])
+    d = d.dropna(subset=["_y", *feats])
     return cut_lineage(d)
 
 
+class NotConverged(RuntimeError):
+    """A fit used up its passes; carries the number of passes and the last step."""
+
+    def __init__(self, passes: int, step: float) -> None:
+        super().__init__(f"no convergence after {passes} passes (last step {step:.3g})")
+        self.passes, self.step = passes, step
+
+
 def fit_logistic(design: DataFrame, features: Sequence[str], y: str = "y", keys: Sequence[str] = (),
-                 prior_sd_a: float = 1.5, prior_sd_b: float = 1.0, max_iter: int = 50, tol: float = 1e-9):
+                 prior_sd_a: float = 1.5, prior_sd_b: float = 1.0, max_iter: int = 50, tol: float = 1e-8):
     """M3: MAP logistic regression per key by Newton steps. Returns ``(params, posterior)``.
 
     ``params``: keys, param, estimate, std_error (Laplace). ``posterior``:
@@ -110,7 +119,7 @@ def fit_logistic(design: DataFrame, features: Sequence[str], y: str = "y", keys:
         return np.concatenate([Xa.T @ (y - mu), H[iu]])
 
     for _ in range(max_iter):
-        stats = _stats_pass(d, keys, feats, thetas, newton_stats, p + len(iu[0]))
+        stats = _stats_pass(d, feats, thetas, newton_stats, p + len(iu[0]))
         step = 0.0
         for kt, v in stats.items():
             g = v[:p] - prec @ thetas[kt]
@@ -123,6 +132,8 @@ def fit_logistic(design: DataFrame, features: Sequence[str], y: str = "y", keys:
             step = max(step, float(np.max(np.abs(delta))))
         if step < tol:
             break
+    else:
+        raise NotConverged(max_iter, step)
     return _outputs(spark, keys, key_types, names, thetas, {k: np.linalg.inv(h) for k, h in hess.items()})
 
 
@@ -208,7 +219,7 @@ def draws_from_posterior(posterior: DataFrame, keys: Sequence[str] = (), n_chain
 
 def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys: Sequence[str] = (),
                   prior_sd: float = 0.5, sigma_scale: float = 0.5, nu_rate: float = 0.1,
-                  nu_grid: Sequence[float] = NU_GRID, max_iter: int = 100, tol: float = 1e-6):
+                  nu_grid: Sequence[float] = NU_GRID, max_iter: int = 500, tol: float = 1e-7):
     """M5: robust regression MAP per key and per nu of the grid, by EM steps in one aggregate each.
 
     Returns ``(params, posterior)`` like :func:`fit_logistic`; ``params`` reports
@@ -242,10 +253,11 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
                                             float(len(y))]]
         return np.concatenate([np.asarray(o, float) for o in out])
 
-    last = {}
+    def pack():
+        return {kt: np.concatenate([np.r_[st[0], st[1]] for st in v]) for kt, v in state.items()}
+
     for it in range(max_iter):
-        packed = {kt: np.concatenate([np.r_[st[0], st[1]] for st in v]) for kt, v in state.items()}
-        stats = _stats_pass(d, keys, feats, packed, em_stats, G * per)
+        stats = _stats_pass(d, feats, pack(), em_stats, G * per)
         step = 0.0
         for kt, v in stats.items():
             for g, nu in enumerate(nu_grid):
@@ -255,31 +267,54 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
                 XX[iu] = blk[p:p + nq]
                 XX = XX + np.triu(XX, 1).T
                 Xy = blk[:p]
-                S, ll, n = blk[p + nq], blk[p + nq + 1], blk[p + nq + 2]
-                A = XX / s2 + prec
-                new_theta = np.linalg.solve(A, Xy / s2)
+                S, n = blk[p + nq], blk[p + nq + 2]
+                new_theta = np.linalg.solve(XX / s2 + prec, Xy / s2)
                 new_s2 = _sigma2_update(n, S, sigma_scale)
                 step = max(step, float(np.max(np.abs(new_theta - theta))), abs(math.sqrt(new_s2) - math.sqrt(s2)))
                 state[kt][g] = [new_theta, new_s2]
-                last[(kt, g)] = (A, ll, n)
         if step < tol:
             break
+    else:
+        raise NotConverged(max_iter, step)
+
+    # One more pass at the final state: the exact curvature in (a, b, log sigma) and the likelihood.
+    width = nq + p + 3
+
+    def curvature_stats(theta_all, Xa, y):
+        out = []
+        for g, nu in enumerate(nu_grid):
+            th, s2 = theta_all[g * (p + 1): g * (p + 1) + p], theta_all[g * (p + 1) + p]
+            r = y - Xa @ th
+            q = nu * s2 + r * r
+            h = (nu + 1.0) * (nu * s2 - r * r) / (q * q)
+            c = (nu + 1.0) * 2.0 * nu * s2 * r / (q * q)
+            out += [(Xa.T @ (Xa * h[:, None]))[iu], Xa.T @ c,
+                    [float(np.sum(c * r)), float(np.sum(np.log1p(r * r / (s2 * nu)))), float(len(y))]]
+        return np.concatenate([np.asarray(o, float) for o in out])
+
+    final = _stats_pass(d, feats, pack(), curvature_stats, G * width)
+    spacing = np.gradient(np.asarray(nu_grid, float))
     modes, covs, extra = {}, {}, {}
     for kt, v in state.items():
         lps, gm, gc = [], [], []
         for g, nu in enumerate(nu_grid):
             theta, s2 = v[g]
-            A, ll, n = last[(kt, g)]
+            blk = final[kt][g * width:(g + 1) * width]
+            H = np.zeros((p + 1, p + 1))
+            H[:p, :p][iu] = blk[:nq]
+            H[:p, :p] = H[:p, :p] + np.triu(H[:p, :p], 1).T + prec
+            H[:p, p] = H[p, :p] = blk[nq:nq + p]
+            H[p, p] = blk[nq + p] + 2.0 * s2 / sigma_scale ** 2
+            ll, n = blk[nq + p + 1], blk[nq + p + 2]
             loglik = n * (math.lgamma((nu + 1) / 2) - math.lgamma(nu / 2) - 0.5 * math.log(nu * math.pi * s2)) \
                 - (nu + 1) / 2 * ll
-            lp = loglik - 0.5 * float(theta @ prec @ theta) - s2 / (2 * sigma_scale ** 2) + \
+            # log posterior density of (a, b, log sigma, nu) at the mode ...
+            lp = loglik - 0.5 * float(theta @ prec @ theta) - s2 / (2 * sigma_scale ** 2) + 0.5 * math.log(s2) + \
                 math.log(nu_rate) - nu_rate * (nu - 2.0)
-            lps.append(lp)
-            cov = np.zeros((p + 1, p + 1))
-            cov[:p, :p] = np.linalg.inv(A)
-            cov[p, p] = 1.0 / (2.0 * n + 4.0 * s2 / sigma_scale ** 2)
+            # ... times the volume of its normal approximation and the grid cell of nu
+            lps.append(lp - 0.5 * np.linalg.slogdet(H)[1] + math.log(spacing[g]))
             gm.append([float(x) for x in np.r_[theta, 0.5 * math.log(s2)]])
-            gc.append([float(x) for x in cov.ravel()])
+            gc.append([float(x) for x in np.linalg.inv(H).ravel()])
         lps = np.array(lps)
         wts = np.exp(lps - lps.max())
         wts = wts / wts.sum()
@@ -295,6 +330,7 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
 
 
 def _sigma2_update(n: float, S: float, scale: float) -> float:
-    """argmax over s = sigma^2 of -n/2 log s - S/(2 s) - s/(2 scale^2): s^2/scale^2 + n s - S = 0."""
-    a = 1.0 / scale ** 2
+    """argmax over log sigma, with s = sigma^2, of -(n - 1)/2 log s - S/(2 s) - s/(2 scale^2): the half-normal
+    density of sigma gains a factor sigma in log sigma. Root of s^2/scale^2 + (n - 1) s - S = 0."""
+    a, n = 1.0 / scale ** 2, n - 1.0
     return (-n + math.sqrt(n * n + 4.0 * a * S)) / (2.0 * a)

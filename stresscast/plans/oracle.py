@@ -135,7 +135,7 @@ STAGE_SQL.update({
                CAST(d % 7 - 3 AS DOUBLE) / CAST(10.0 AS DOUBLE) AS b_persist,
                CAST(d % 11 - 5 AS DOUBLE) / CAST(20.0 AS DOUBLE) AS b_hdd,
                CAST(d % 13 - 6 AS DOUBLE) / CAST(25.0 AS DOUBLE) AS b_storage
-        FROM (SELECT range AS d FROM range(200))""",
+        FROM (SELECT range AS d FROM range(6000))""",
 })
 STAGE_DEPS.update({"fi_v": ["model_frame_v"], "scored_points_v": ["fi_v"]})
 ALL_SQL.update(STAGE_SQL)
@@ -240,7 +240,8 @@ _RELIABILITY = """
 
 _GRID = """
     SELECT z.pipeline, z.date,
-           avg(CASE WHEN 1.0 / (1.0 + exp(-((((d.a + d.b_op * z.op) + d.b_persist * z.persist) + d.b_hdd * z.hdd)
+           avg(CASE WHEN z.op IS NULL OR z.persist IS NULL OR z.hdd IS NULL OR z.storage IS NULL THEN NULL
+                    WHEN 1.0 / (1.0 + exp(-((((d.a + d.b_op * z.op) + d.b_persist * z.persist) + d.b_hdd * z.hdd)
                                              + d.b_storage * z.storage))) > 0.3 THEN 1.0 ELSE 0.0 END) AS prob
     FROM scored_points_v z, grid_draws_v d GROUP BY z.pipeline, z.date"""
 
@@ -437,3 +438,34 @@ ORACLE["split_stats"] = sql_with("""
            CASE WHEN date <= DATE '1998-12-31' THEN 'train' ELSE 'test' END AS split
     FROM model_frame_v GROUP BY pipeline, CASE WHEN date <= DATE '1998-12-31' THEN 'train' ELSE 'test' END""",
     "model_frame_v")
+
+_TEST_DAYS = """
+    SELECT pipeline, date, {outcome}, {known} AS scored FROM (
+        SELECT *, lag(hdd) OVER w AS hdd_lag, lag(working_gas_bcf) OVER w AS gas_lag, lag(all_qty_avail_median) OVER w AS cap_lag,
+               lag(notice_active_count) OVER w AS notices_lag, lag(date) OVER w AS day_lag, lag(hdd_5d) OVER w AS hdd_5d_lag
+        FROM (SELECT *, hdd_median AS hdd, avg(hdd_median) OVER (PARTITION BY pipeline ORDER BY date
+                        ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS hdd_5d FROM model_frame_v)
+        WINDOW w AS (PARTITION BY pipeline ORDER BY date))
+    WHERE date > DATE '1998-06-30'"""
+
+ORACLE["backtest_days_stress"] = sql_with(_TEST_DAYS.format(
+    outcome="stress_event",
+    known="hdd_lag IS NOT NULL AND gas_lag IS NOT NULL AND cap_lag IS NOT NULL AND notices_lag IS NOT NULL"), "model_frame_v")
+ORACLE["backtest_days_vol"] = sql_with(_TEST_DAYS.format(
+    outcome="CASE WHEN abs(hh_ret) > 0.02 THEN 1 WHEN hh_ret IS NOT NULL THEN 0 END AS realized_vol_exceed",
+    known="day_lag IS NOT NULL AND hdd_5d_lag IS NOT NULL AND gas_lag IS NOT NULL"), "model_frame_v")
+ORACLE["backtest_days_vol_source"] = sql_with("""
+    SELECT pipeline, date, CASE WHEN abs(hh_ret) > 0.02 THEN 1 WHEN hh_ret IS NOT NULL THEN 0 END AS realized_vol_exceed,
+           count(stress_event) OVER w3 = 3 AND count(hh_ret) OVER w3 = 3 AND hdd_median IS NOT NULL
+           AND working_gas_bcf IS NOT NULL AND count(working_gas_bcf) OVER w1095 = 1095 AS scored
+    FROM model_frame_v WHERE date > DATE '1998-06-30'
+    WINDOW w3 AS (PARTITION BY pipeline ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
+           w1095 AS (PARTITION BY pipeline ORDER BY date ROWS BETWEEN 1094 PRECEDING AND CURRENT ROW)""", "model_frame_v")
+_MODELS = """SELECT DISTINCT pipeline, param, 0.0::DOUBLE AS gradient FROM model_frame_v,
+             (SELECT unnest([{names}]) AS param)"""
+ORACLE["fit_stress_gradient"] = sql_with(_MODELS.format(
+    names="'a', 'b_hdd_lag1', 'b_storage_lag1', 'b_cap_avail_lag1', 'b_notices_lag1'"), "model_frame_v")
+ORACLE["fit_vol_gradient"] = sql_with(_MODELS.format(
+    names="'a', 'b_op', 'b_persist', 'b_hdd', 'b_storage', 'log_sigma'"), "model_frame_v")
+ORACLE["lenient_dates"] = """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 6 < 5 THEN CAST(o_orderdate AS DATE) END AS date FROM orders"""

@@ -4,12 +4,10 @@ Every point needs every posterior draw of its model. Instead of a cross join
 (points x draws rows), each point's exceedance probability is computed inside
 an Arrow-batched pandas function as an (points x draws) numpy block, in chunks:
 
-* draws per key (one model per pipeline): ``cogroup`` points and draws by the
-  key and ``applyInPandas``; a group holds one pipeline's points (day grain)
-  and its draws (``n_chains * n_draws`` rows);
-* one global model: the draw table is bounded by ``n_chains * n_draws`` and
-  checked against ``max_draws`` before it is shipped to the tasks; points are
-  scored with ``mapInPandas`` where they lie, no shuffle.
+Points are dealt into ``SALTS`` parts per model by a hash of their keys, each part
+meets a copy of its model's draw table (``n_chains * n_draws`` rows) by
+``cogroup``, so one model's points spread over many tasks and no draw table
+passes through the driver. A global model is the case without keys.
 """
 
 from __future__ import annotations
@@ -23,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 CHUNK = 512
+#: Parts that one model's points are dealt into; every part gets a copy of the draw table.
+SALTS = 16
 
 
 def _logit_block(X: np.ndarray, a: np.ndarray, B: list[np.ndarray]) -> np.ndarray:
@@ -60,13 +60,13 @@ def exceed_probs(X: np.ndarray, draws: pd.DataFrame, feats: Sequence[str], kind:
 
 def score_points(points: DataFrame, draws: DataFrame, features: Sequence[str], kind: str = "stress",
                  threshold: float = 0.30, keys: Sequence[str] = (), id_cols: Sequence[str] = ("date",),
-                 out_col: str = "prob", null_as_zero: bool = True, seed: int = 0, max_draws: int = 200_000,
+                 out_col: str = "prob", null_as_zero: bool = False, seed: int = 0,
                  intercept: str = "a", coef_prefix: str = "b_", min_nu: float = 2.1, strict: bool = False) -> DataFrame:
     """Score every point against the posterior draws of its model.
 
     Features without a coefficient in ``draws`` are skipped (``strict`` raises
-    instead, §8 Q3). A point with a NULL used feature scores 0.0 like the
-    source (NaN > t is false) or NULL with ``null_as_zero=False``.
+    instead, §8 Q3). A point with a NULL used feature scores NULL, or with
+    ``null_as_zero`` 0.0 like the source (NaN > t is false).
     """
     keys, id_cols = list(keys), list(id_cols)
     used = [f for f in features if f"{coef_prefix}{f}" in draws.columns]
@@ -78,34 +78,32 @@ def score_points(points: DataFrame, draws: DataFrame, features: Sequence[str], k
     pts = points.select(*pcols, *[F.col(f).cast("double").alias(f) for f in used], seed_col)
     schema = StructType([f for f in pts.schema.fields if f.name in pcols] + [StructField(out_col, DoubleType())])
 
+    def ids(pdf: pd.DataFrame) -> pd.DataFrame:
+        # Arrow-backed columns of several batches do not convert back; plain lists do.
+        return pd.DataFrame({c: pdf[c].tolist() for c in pcols})
+
     def run(pdf: pd.DataFrame, dr: pd.DataFrame) -> pd.DataFrame:
         X = pdf[used].to_numpy(float) if used else np.zeros((len(pdf), 0))
         pr = exceed_probs(X, dr, used, kind, threshold, intercept, coef_prefix, min_nu=min_nu,
                           seeds=pdf["_seed"].to_numpy())
         if not null_as_zero and used:
             pr = np.where(np.isnan(X).any(axis=1), np.nan, pr)
-        res = pdf[pcols].copy()
+        res = ids(pdf)
         res[out_col] = pr
         return res
 
-    if keys and all(k in draws.columns for k in keys):
-        def grouped(pdf: pd.DataFrame, dr: pd.DataFrame) -> pd.DataFrame:
-            if pdf.empty:
-                return pd.DataFrame({c: [] for c in schema.fieldNames()})
-            if dr.empty:
-                res = pdf[pcols].copy()
-                res[out_col] = np.nan
-                return res
-            return run(pdf, dr)
-        return (pts.groupBy(*keys).cogroup(draws.select(*keys, *dcols).groupBy(*keys))
-                .applyInPandas(grouped, schema))
-
-    n = draws.count()
-    if n > max_draws:
-        raise ValueError(f"{n} global draws exceed max_draws={max_draws}; key the draws per model instead")
-    dr = draws.select(*dcols).toPandas()
-
-    def mapped(it):
-        for pdf in it:
-            yield run(pdf, dr)
-    return pts.mapInPandas(mapped, schema)
+    own = [k for k in keys if k in draws.columns] if keys and all(k in draws.columns for k in keys) else []
+
+    def grouped(pdf: pd.DataFrame, dr: pd.DataFrame) -> pd.DataFrame:
+        if dr.empty:
+            res = ids(pdf)
+            res[out_col] = np.nan
+            return res
+        return run(pdf, dr)
+
+    parts = pts.withColumn("_part", F.pmod("_seed", F.lit(SALTS)))
+    copies = draws.select(*own, *dcols, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_part"))
+    # No copy for a part without points.
+    copies = copies.join(parts.select(*own, "_part").distinct(), [*own, "_part"], "left_semi")
+    return (parts.groupBy(*own, "_part").cogroup(copies.groupBy(*own, "_part")).applyInPandas(grouped, schema)
+            .withColumn(out_col, F.when(~F.isnan(out_col), F.col(out_col))))

@@ -34,7 +34,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresscast.operators.joins import broadcast_if_small
 from stresscast.sources.tables import read_table
 
 
@@ -56,7 +55,7 @@ def _geo(spark, base, df, nation_col):
              .withColumn("pipeline", F.lower("r_name"))
              .withColumn("region_id", F.concat(F.lit("r"), F.col("r_regionkey").cast("string"))))
     # a dimension (one row per supplier/customer): broadcast when its checked size allows
-    return broadcast_if_small(geo)
+    return geo
 
 
 def station_raw(spark: SparkSession, base: str) -> DataFrame:

@@ -75,12 +75,3 @@ def test_duplicate_keys_without_order_keep_one(spark):
     m = keyed_merge(existing(spark), inc, ["series", "date"], NOW)
     got = [r for r in m.collect() if r["date"] == "2024-01-09"]
     assert len(got) == 1 and got[0]["value"] == 2.0  # arrival order: the later row wins
-
-
-def test_broadcast_if_small_checks_size(spark):
-    from stresscast.operators.joins import broadcast_if_small
-    df = spark.range(10)
-    small = broadcast_if_small(df, max_rows=100)
-    big = broadcast_if_small(df, max_rows=5)
-    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()

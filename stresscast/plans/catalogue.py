@@ -395,7 +395,7 @@ def q_quarantine_split(spark, base):
     return bad.select("pipeline", "Loc_Name", "Post_Date", "All_Qty_Avail")
 
 
-def energy_rows(spark, base):
+def energy_rows(spark, base, sequence=False):
     """API-shaped rows (text values, hyphenated names) derived from orders, one per order:
     unparsable period when o_orderkey % 13 = 0, value 'NA' when % 7 = 0, no series when % 5 = 0."""
     o = read_table(spark, base, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
@@ -406,7 +406,8 @@ def energy_rows(spark, base):
         F.lit("$/MMBTU").alias("units"),
         F.when(k % 5 != 0, F.lit("RNGWHHD")).alias("series"),
         F.lit("Henry Hub Natural Gas Spot Price").alias("series-description"),
-        F.lit("NUS").alias("duoarea"), F.lit("U.S.").alias("area-name"))
+        F.lit("NUS").alias("duoarea"), F.lit("U.S.").alias("area-name"),
+        *([F.col("o_orderkey").alias("sequence")] if sequence else []))
 
 
 def q_normalize_prices(spark, base):
@@ -477,12 +478,13 @@ def q_stream_ingest(spark, base):
     from stresscast.streaming.ingest import ingest, read_current
     root = scratch_path(spark, "stream")
     landing, table, ckpt = f"{root}/landing", f"{root}/table", f"{root}/checkpoint"
-    rows = energy_rows(spark, base).withColumn("drop", F.substring("period", 1, 4))
-    rows.write.partitionBy("drop").parquet(landing)
+    rows = energy_rows(spark, base, sequence=True)
+    # files that do not follow the keys: a day's rows land in several drops and batches
+    rows.withColumn("drop", F.col("sequence") % 12).write.partitionBy("drop").parquet(landing)
     schema = spark.read.parquet(landing).schema
-    ingest(spark, landing, schema, normalize_prices, table, ["series", "date"], ckpt, MERGE_NOW,
-           max_files_per_trigger=8)
-    return read_current(spark, table)
+    ingest(spark, landing, schema, lambda r: normalize_prices(r, ["sequence"]), table, ["series", "date"], ckpt, MERGE_NOW,
+           order_cols=["sequence"], max_files_per_trigger=4)
+    return round_doubles(read_current(spark, table).select("series", "date", "henry_hub_usd_per_mmbtu", "sequence"))
 
 
 QUERIES.update({

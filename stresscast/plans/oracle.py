@@ -469,3 +469,9 @@ ORACLE["fit_vol_gradient"] = sql_with(_MODELS.format(
     names="'a', 'b_op', 'b_persist', 'b_hdd', 'b_storage', 'log_sigma'"), "model_frame_v")
 ORACLE["lenient_dates"] = """
     SELECT o_orderkey, CASE WHEN o_orderkey % 6 < 5 THEN CAST(o_orderdate AS DATE) END AS date FROM orders"""
+ORACLE["stream_ingest"] = sql_with("""
+    SELECT series, strftime(d, '%Y-%m-%d') AS date, v AS henry_hub_usd_per_mmbtu, sequence FROM (
+        SELECT 'RNGWHHD' AS series, CAST(o_orderdate AS DATE) AS d,
+               CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS v, o_orderkey AS sequence,
+               row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) AS rn
+        FROM orders WHERE o_orderkey % 13 <> 0) WHERE rn = 1""", round_cols=("henry_hub_usd_per_mmbtu",))

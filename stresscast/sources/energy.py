@@ -10,6 +10,8 @@ rename, typing and defaulting.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,27 +31,29 @@ def read_energy_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path)
 
 
-def _typed(rows: DataFrame, value_name: str, default_series: str) -> DataFrame:
+def _typed(rows: DataFrame, value_name: str, default_series: str, carry: Sequence[str] = ()) -> DataFrame:
     cols = {RENAMES.get(c, c): c for c in rows.columns}
     if "date" not in cols or "value" not in cols:
-        raise ValueError(f"Unexpected schema. Columns: {rows.columns}")
+        raise ValueError(f"rows need a date and a value column, found {sorted(rows.columns)}")
 
     def src(name):
         return F.col(f"`{cols[name]}`").cast("string") if name in cols else F.lit(None).cast("string")
 
     d = rows.select(to_date_lenient(src("date")).alias("_d"), to_double(src("value")).alias(value_name),
-                    *[src(c).alias(c) for c in META_COLS])
+                    *[src(c).alias(c) for c in META_COLS], *carry)
     d = d.where(F.col("_d").isNotNull())
     return d.withColumn("series", F.coalesce(F.nullif(F.col("series"), F.lit("")), F.lit(default_series)))
 
 
-def normalize_prices(rows: DataFrame) -> DataFrame:
+def normalize_prices(rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Daily price table: date (YYYY-MM-DD), henry_hub_usd_per_mmbtu, units, series, ... (fixed order).
 
+    ``carry`` names columns to take along as they are (a sequence number for a later merge).
+
     A missing or empty series takes the default id (the write-side rule).
     """
-    d = _typed(rows, "henry_hub_usd_per_mmbtu", DEFAULT_PRICE_SERIES)
-    return d.select(format_date("_d").alias("date"), "henry_hub_usd_per_mmbtu", *META_COLS)
+    d = _typed(rows, "henry_hub_usd_per_mmbtu", DEFAULT_PRICE_SERIES, carry)
+    return d.select(format_date("_d").alias("date"), "henry_hub_usd_per_mmbtu", *META_COLS, *carry)
 
 
 def normalize_storage(rows: DataFrame, region: str) -> DataFrame:

@@ -52,13 +52,14 @@ def test_detail_fields(spark):
 def test_stream_ingest_idempotent(spark, tmpdir_path):
     from stresscast.sources.energy import normalize_prices
     from stresscast.streaming.ingest import ingest, read_current
-    schema = "period string, value string, series string"
+    schema = "period string, value string, series string, seq int"
     land, table = f"{tmpdir_path}/landing", f"{tmpdir_path}/table"
-    night1 = [("2024-01-01", "1.0", "RNGWHHD"), ("2024-01-02", "2.0", "RNGWHHD")]
-    night2 = [("2024-01-02", "2.5", "RNGWHHD"), ("2024-01-03", "3.0", "RNGWHHD")]  # overlap: a correction
+    night1 = [("2024-01-01", "1.0", "RNGWHHD", 1), ("2024-01-02", "2.0", "RNGWHHD", 2)]
+    night2 = [("2024-01-02", "2.5", "RNGWHHD", 3), ("2024-01-03", "3.0", "RNGWHHD", 4)]  # overlap: a correction
     spark.createDataFrame(night1, schema).write.parquet(f"{land}/night=1")
     sch = spark.read.parquet(f"{land}/night=1").schema
-    args = (spark, land, sch, normalize_prices, table, ["series", "date"], f"{tmpdir_path}/ck", "2024-02-01 00:00:00")
+    args = (spark, land, sch, lambda r: normalize_prices(r, ["seq"]), table, ["series", "date"], f"{tmpdir_path}/ck",
+            "2024-02-01 00:00:00", ["seq"])
     s1 = ingest(*args)
     assert sum(s["inserted"] for s in s1) == 2
     spark.createDataFrame(night2, schema).write.parquet(f"{land}/night=2")
@@ -68,21 +69,32 @@ def test_stream_ingest_idempotent(spark, tmpdir_path):
     assert t == {"2024-01-01": 1.0, "2024-01-02": 2.5, "2024-01-03": 3.0}
     assert ingest(*args) == []  # nothing new landed: no batch, table unchanged
 
+    # a second feed with its own checkpoint, whose epochs start at 0 again, and rows older than the stored ones
+    other = f"{tmpdir_path}/other"
+    spark.createDataFrame([("2024-01-05", "5.0", "RNGWHHD", 5), ("2024-01-02", "0.1", "RNGWHHD", 0)], schema).write.parquet(other)
+    again = (spark, other, spark.read.parquet(other).schema, *args[3:6], f"{tmpdir_path}/ck2", *args[7:])
+    assert sum(s["inserted"] for s in ingest(*again)) == 1
+    t = {r["date"]: r["henry_hub_usd_per_mmbtu"] for r in read_current(spark, table).collect()}
+    assert t == {"2024-01-01": 1.0, "2024-01-02": 2.5, "2024-01-03": 3.0, "2024-01-05": 5.0}
+    # a replaced checkpoint reads everything again and changes nothing
+    ingest(*args[:6], f"{tmpdir_path}/ck3", *args[7:])
+    assert {r["date"]: r["henry_hub_usd_per_mmbtu"] for r in read_current(spark, table).collect()} == t
+
 
 def test_stream_lookback_drops_resent_keys(spark, tmpdir_path):
     from stresscast.sources.energy import normalize_prices
     from stresscast.streaming.ingest import ingest, read_current
 
     def typed(df):
-        return normalize_prices(df).withColumn("_t", F.to_timestamp("date"))
+        return normalize_prices(df, ["seq"]).withColumn("_t", F.to_timestamp("date"))
 
-    schema = "period string, value string, series string"
+    schema = "period string, value string, series string, seq int"
     land, table = f"{tmpdir_path}/landing", f"{tmpdir_path}/table"
-    spark.createDataFrame([("2024-01-02", "2.0", "RNGWHHD")], schema).write.parquet(f"{land}/night=1")
+    spark.createDataFrame([("2024-01-02", "2.0", "RNGWHHD", 2)], schema).write.parquet(f"{land}/night=1")
     sch = spark.read.parquet(f"{land}/night=1").schema
-    args = (spark, land, sch, typed, table, ["series", "date"], f"{tmpdir_path}/ck", "2024-02-01 00:00:00")
+    args = (spark, land, sch, typed, table, ["series", "date"], f"{tmpdir_path}/ck", "2024-02-01 00:00:00", ["seq"])
     ingest(*args, event_time="_t", lookback="60 days")
-    spark.createDataFrame([("2024-01-02", "9.0", "RNGWHHD")], schema).write.parquet(f"{land}/night=2")
+    spark.createDataFrame([("2024-01-02", "9.0", "RNGWHHD", 9)], schema).write.parquet(f"{land}/night=2")
     ingest(*args, event_time="_t", lookback="60 days")
     t = {r["date"]: r["henry_hub_usd_per_mmbtu"] for r in read_current(spark, table).collect()}
     assert t == {"2024-01-02": 2.0}  # the re-sent key inside the lookback was dropped, not merged

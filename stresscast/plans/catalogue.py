@@ -464,7 +464,8 @@ def q_backtest_stress_eval(spark, base):
 def q_page_list_extract(spark, base):
     from stresscast.sources.pages import Selector, extract_list_rows
     pages = read_table(spark, base, "pages")
-    return extract_list_rows(pages, row=Selector("li"), cell="li", link_contains=())
+    found = extract_list_rows(pages, row=Selector("li"), cell="li", link_contains=())
+    return found.select("page_id", "row_pos", "row_text", "href", "detail_url", F.size("cells").alias("n_cells"))
 
 
 def q_page_detail_extract(spark, base):

@@ -475,3 +475,11 @@ ORACLE["stream_ingest"] = sql_with("""
                CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS v, o_orderkey AS sequence,
                row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) AS rn
         FROM orders WHERE o_orderkey % 13 <> 0) WHERE rn = 1""", round_cols=("henry_hub_usd_per_mmbtu",))
+
+_DECODED = "regexp_replace(replace({}, '&quot;', '\"'), '&amp;?', '&', 'g')"
+ORACLE["page_list_extract"] = f"""
+    SELECT page_id, CAST(i - 1 AS INTEGER) AS row_pos, {_DECODED.format("x[i]")} AS row_text, {_DECODED.format("h[i]")} AS href,
+           regexp_extract(url, '^[a-z]+://[^/]+') || {_DECODED.format("h[i]")} AS detail_url, 1::INTEGER AS n_cells
+    FROM (SELECT page_id, url, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS h,
+                 regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS x FROM pages),
+         unnest(range(1, len(h) + 1)) AS u(i)"""

@@ -52,10 +52,12 @@ class _Walker(HTMLParser):
         self.cell_buf: list[str] | None = None
         self.heading: list[str] = []
         self.head_depth = 0
+        self.in_text = False  # no tag since the last text: an entity or reference continues the node
         self.body_parts: list[str] = []
         self.body_depth = 0
 
     def handle_starttag(self, tag, attrs):
+        self.in_text = False
         a = {k: (v or "") for k, v in attrs}
         opens_row = self.cur is None and self.row_sel.match(tag, a)
         if opens_row:
@@ -82,6 +84,7 @@ class _Walker(HTMLParser):
             self.stack.append((tag, opens_row, opens_head, opens_body))
 
     def handle_endtag(self, tag):
+        self.in_text = False
         if tag in VOID or not any(t == tag for t, *_ in self.stack):
             return
         while self.stack:
@@ -106,7 +109,11 @@ class _Walker(HTMLParser):
             if self.cell_buf is not None:
                 self.cell_buf.append(data)
         if self.head_depth:
-            self.heading.append(data)
+            if self.in_text and self.heading:
+                self.heading[-1] += data
+            else:
+                self.heading.append(data)
+        self.in_text = True
         if self.body_depth:
             self.body_parts.append(raw)
 
@@ -122,13 +129,15 @@ class _Walker(HTMLParser):
         self._text(unescape(f"&#{name};"), f"&#{name};")
 
 
+#: Parts of the addresses that lead to a notice.
+DETAIL_LINKS = ("NoticeDetail", "NoticesDetail", "Notice")
 LIST_SCHEMA = StructType([StructField("page_id", LongType()), StructField("row_pos", IntegerType()),
                           StructField("cells", ArrayType(StringType())), StructField("row_text", StringType()),
                           StructField("href", StringType()), StructField("detail_url", StringType())])
 
 
 def extract_list_rows(pages: DataFrame, row: Selector = Selector("tr"), cell: str = "td",
-                      link_contains: tuple[str, ...] = ("NoticeDetail", "NoticesDetail", "Notice")) -> DataFrame:
+                      link_contains: tuple[str, ...] = DETAIL_LINKS) -> DataFrame:
     """S11 parse: rows holding a matching link; link = second-last cell's link, else the row's first link;
     absolute URL from the page URL. Empty ``link_contains`` accepts any link."""
 

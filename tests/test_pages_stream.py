@@ -98,3 +98,10 @@ def test_stream_lookback_drops_resent_keys(spark, tmpdir_path):
     ingest(*args, event_time="_t", lookback="60 days")
     t = {r["date"]: r["henry_hub_usd_per_mmbtu"] for r in read_current(spark, table).collect()}
     assert t == {"2024-01-02": 2.0}  # the re-sent key inside the lookback was dropped, not merged
+
+
+def test_entities_do_not_split_heading_nodes(spark):
+    from stresscast.sources.pages import Selector, extract_detail
+    html = '<div id="headingData"><span>TSP</span><span>Smith &amp; Co &#233;</span><b>x</b>&lt;y</div>'
+    pages = spark.createDataFrame([(1, "http://h.example/1", html)], "page_id long, url string, html string")
+    assert extract_detail(pages, heading=Selector("div", "headingData")).first()["heading"] == ["TSP", "Smith & Co é", "x", "<y"]

@@ -104,9 +104,31 @@ SELECT doc_id, size, source_size, target,
 FROM pos LEFT JOIN ov USING (rid) LEFT JOIN tk USING (rank, shard)
 """
 
+# Bytes as two hex digits each; every window of 200 is listed.
+_OP9 = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT rid, unnest(list_transform(range(0, len(h) // 400 + 1), lambda q: substr(h, CAST(400 * q + 1 AS BIGINT), 800))) AS b,
+             unnest(range(0, len(h) // 400 + 1)) AS q FROM d),
+l AS (SELECT rid, q, list_transform(range(0, greatest(0, least(200, len(b) // 2 - 199))),
+                                    lambda i: md5(substr(b, CAST(2 * i + 1 AS BIGINT), 400))) AS l FROM b),
+w AS (SELECT rid, unnest(l) AS k, 200 * q + unnest(range(0, len(l))) AS p FROM l),
+r AS (SELECT rid, p, coalesce(p > lag(p) OVER (PARTITION BY rid ORDER BY p) + 200, true) AS fresh
+      FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+g AS (SELECT rid, p, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY rid ORDER BY p) AS g FROM r),
+s AS (SELECT rid, min(p) AS s, max(p) + 200 AS e FROM g GROUP BY rid, g),
+k AS (SELECT rid, s, e, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY s), 0) AS before FROM s),
+t AS (SELECT rid, CAST(sum(e - s) AS BIGINT) AS n_removed, count(*) AS n_spans, max(e) AS last,
+             string_agg(substr(h, 2 * before + 1, 2 * (s - before)), '' ORDER BY s) AS head
+      FROM k JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (rid)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_page_diff_text": _OP1,
     "op4_sainte_lague_mixing": _OP4,
     "op6_wu_manber_decontamination": _OP6,
+    "op9_suffix_merge_dedup": _OP9,
     "op7_chat_snapshot_collapse": _OP7,
 }

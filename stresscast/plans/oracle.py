@@ -483,3 +483,28 @@ ORACLE["page_list_extract"] = f"""
     FROM (SELECT page_id, url, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS h,
                  regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS x FROM pages),
          unnest(range(1, len(h) + 1)) AS u(i)"""
+
+
+def _upsert_sql(table: str, keys: tuple[str, ...], values: tuple[str, ...]) -> str:
+    cols = ", ".join(keys + values)
+    stored = f"""(SELECT {", ".join(keys)}, {", ".join(f"{v} + CASE WHEN day(date) % 2 = 0 THEN 1 ELSE 0 END AS {v}" for v in values)}
+                  FROM {table} WHERE day(date) % 3 <> 0)"""
+    sent = f"(SELECT {cols} FROM {table} WHERE day(date) % 3 <> 1 AND day(date) {{}} 29)"
+    same = " AND ".join(f"e.{v} IS NOT DISTINCT FROM i.{v}" for v in values)
+    old, new = "TIMESTAMP '2000-01-01 00:00:00'", "TIMESTAMP '2001-01-01 00:00:00'"
+    return sql_with(f"""
+        SELECT {", ".join(f"coalesce(e.{k}, i.{k}) AS {k}" for k in keys)},
+               {", ".join(f"CASE WHEN i.date IS NOT NULL THEN i.{v} ELSE e.{v} END AS {v}" for v in values)},
+               CASE WHEN e.date IS NOT NULL THEN {old} ELSE {new} END AS created_at_utc,
+               CASE WHEN i.date IS NOT NULL THEN {new} ELSE {old} END AS updated_at,
+               CASE WHEN e.date IS NULL THEN 'insert' WHEN i.date IS NULL THEN 'keep' WHEN {same} THEN 'unchanged'
+                    ELSE 'update' END AS _action
+        FROM {stored} e FULL OUTER JOIN {sent.format("<>")} i ON {" AND ".join(f"e.{k} = i.{k}" for k in keys)}
+        UNION ALL
+        SELECT CAST(NULL AS VARCHAR), {", ".join((*keys[1:], *values))}, {new}, {new}, 'unkeyed' FROM {sent.format("=")}""",
+                    table, round_cols=tuple(v for v in values if v != "n_stations_used"))
+
+
+ORACLE["upsert_station_days"] = _upsert_sql("station_day", ("ghcnd_station_id", "date"), ("tavg_c", "hdd"))
+ORACLE["upsert_region_days"] = _upsert_sql("region_daily_v", ("pipeline", "date"), ("hdd_median", "n_stations_used"))
+ORACLE["upsert_storage"] = _upsert_sql("storage_weekly", ("region", "date"), ("working_gas_bcf",))

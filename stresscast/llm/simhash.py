@@ -304,6 +304,8 @@ def one_of_each_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> D
     def fp(texts: pd.Series) -> pd.Series:
         return pd.Series([_signed(simhash64(t, shingle)) for t in texts], dtype="int64")
 
+    # Else the optimizer evaluates it twice, once for a filter on non-null join keys.
+    fp = fp.asNondeterministic()
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
     marked = docs.select(row, fp(docs["text"].cast("binary")).alias("fp"))
     first = marked.join(groups, (F.col("fp") == F.col("group_fp")) & F.col("row.doc_id").eqNullSafe(F.col("component_id")))

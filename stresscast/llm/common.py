@@ -16,6 +16,7 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 
 def docs_with(docs: DataFrame, *cols: str) -> DataFrame:
     """Only the named columns, so that extra columns of the input can never clash with an operator's own."""
+    small_batches(docs)
     return docs.select(*[docs[c] for c in cols])
 
 
@@ -48,3 +49,15 @@ def process_cache() -> dict:
     """A dictionary of the Python process itself: what a task puts here serves the later tasks of its worker."""
     import types
     return vars(sys.modules.setdefault("_stresscast_process_cache", types.ModuleType("_stresscast_process_cache")))
+
+
+#: Rows of a batch that travels to Python. Texts are long: Spark's default of 10,000 holds tens of MB at a time.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The frame itself; from now on its session sends texts to Python in batches of at most ``BATCH_ROWS`` rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(name, "10000")) > BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stresscast.llm.common import docs_with, staged
+from stresscast.llm.common import docs_with, small_batches, staged
 
 #: Window text that one broadcast machine may hold.
 SHARD_BYTES = 16 << 20
@@ -123,6 +123,7 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     n = total // shard_bytes + 1
     windows = windows.withColumn("shard", F.pmod(F.xxhash64("window", "m"), F.lit(n)))
     longs = F.array().cast("array<long>")
+    small_batches(docs)
     found = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].cast("binary").alias("t"),
                         F.lit(0).cast("long").alias("n_words"), longs.alias("starts"), longs.alias("lengths"),
                         F.array().cast("array<string>").alias("items"))

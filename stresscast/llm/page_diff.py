@@ -10,9 +10,9 @@ Content lines are never deleted: pages that hold copies of one article would los
 articles share a passage. A page with content lines is its content lines; a page without is its open lines less
 the shared ones (all of them if nothing else is left: a copy tells nothing about the template).
 
-Scale: one range exchange by (host, path), so a hot host spreads over many tasks; each task streams its pages in
-order and holds three of them. The first and last page of a task meet their neighbours in a second, small pass
-over two pages a task.
+Scale: pages are dealt into parts of consecutive addresses by bounds that a first pass over the addresses alone finds,
+so a hot host is many parts. Each part is streamed in order, three pages at a time. The first and last page of
+a part meet their neighbours in a small stream of two pages a part. Pages are shuffled once and not written.
 """
 
 from __future__ import annotations
@@ -23,11 +23,12 @@ from html.parser import HTMLParser
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stresscast.llm.common import docs_with, staged
+from stresscast.llm.common import docs_with
 
 CONTENT, OPEN, CHROME = "content", "open", "chrome"
 #: Elements that start and end a block of text.
@@ -52,6 +53,10 @@ IMPLIED_ENDS = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd
                 "th": ("td", "th"), "option": ("option",)}
 
 
+#: Characters of host and path that bounds between parts are made of.
+BOUND_CHARS = 200
+
+
 class Line(NamedTuple):
     zone: str
     text: str
@@ -232,33 +237,45 @@ class _Memory:
         return self.known[id(page)][1]
 
 
-def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Answers for the inner pages of a sorted partition; its first and last page with their inner neighbour."""
-    read = _Memory()
-    out: list[tuple] = []
+def _within(inner: bool):
+    """Over pages sorted by (part, host, path): answers for the inner pages of each part, or its first and last page
+    with their inner neighbours."""
 
     def edge(page: Page, near: Page | None, side: int) -> tuple:
         near = near if near and near.host == page.host else None
         return (side, *page, *((near.url, near.path, near.html) if near else (None, None, None)), None, None,
                 near.page_id if near else None, None)
 
-    before = page = None
-    first = True
-    for row in _rows(batches):
-        after = Page(*row)
-        if page is not None:
-            if first:
-                out.append(edge(page, after, 2))  # its inner neighbour comes after it
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = _Memory()
+        out: list[tuple] = []
+        before = page = None
+        part, first = None, True
+
+        def last() -> None:
+            if page is not None and not inner:
+                out.append(edge(page, before, 1))  # its inner neighbour came before it, if there is one
+
+        for row in _rows(batches):
+            after = Page(*row[1:])
+            if row[0] != part:
+                last()
+                before = page = None
+                part, first = row[0], True
+            if page is not None:
+                if inner and not first:
+                    out.append(_answer(page, before, after, read))
+                elif first and not inner:
+                    out.append(edge(page, after, 2))  # its inner neighbour comes after it
                 first = False
-            else:
-                out.append(_answer(page, before, after, read))
-        before, page = page, after
-        if len(out) >= 256:
-            yield _batch(out)
-            out = []
-    if page is not None:
-        out.append(edge(page, before, 1))  # its inner neighbour came before it, if there is one
-    yield _batch(out)
+            before, page = page, after
+            if len(out) >= 64:
+                yield _batch(out)
+                out = []
+        last()
+        yield _batch(out)
+
+    return run
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +321,18 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         F.col(html_col).alias("html"))
     keys = ["host", "path", "page_id", "url"]
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    read = staged(rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys).mapInArrow(_within, _OUT), "pages")
-    # Two pages of each task, in order, in one stream.
-    edges = read.where("edge > 0").repartition(1).sortWithinPartitions(*keys).mapInArrow(_across, _OUT)
-    return read.where("edge = 0").unionByName(edges).select("page_id", "url", "text", "n_chars", "partner_id", "n_shared")
+    # Parts of consecutive pages, by bounds from the addresses alone: the same for both passes below.
+    place = F.substring(F.concat_ws("\n", "host", "path"), 1, BOUND_CHARS)
+    sizes = rows.select(place.alias("place")).repartitionByRange(n, "place").groupBy(F.spark_partition_id()).agg(F.min("place"))
+    bounds = np.array(sorted(r[1] for r in sizes.collect()), object)
+
+    @F.pandas_udf("int")
+    def part_of(places: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, places.to_numpy(object), "right"), dtype="int32")
+
+    dealt = rows.select(part_of(place).alias("part"), *rows.columns).repartition(n, "part").sortWithinPartitions("part", *keys)
+    edges = dealt.mapInArrow(_within(False), _OUT)
+    # Two pages of each part, in order, in one stream.
+    settled = edges.repartition(1).sortWithinPartitions(*keys).mapInArrow(_across, _OUT)
+    return dealt.mapInArrow(_within(True), _OUT).unionByName(settled).select(
+        "page_id", "url", "text", "n_chars", "partner_id", "n_shared")

@@ -4,6 +4,12 @@ Sources get integer numbers of equal blocks by highest quotients of their target
 go to its shards (hash buckets of documents) the same way; inside a shard the documents, in seeded
 order, form one row of words that is cut into blocks, and seeded block ranks say which are taken.
 
+A block grows with the corpus, so a source of less than ``LEAST_BLOCKS`` blocks is given its target in words, and the
+shards of a source share words where a block is not small beside them. What shards cannot take (``cap`` times their words)
+goes to the source's other shards. Error of a source, in words: at most 1/2 if it is given words; otherwise at most
+``block * (1/2 + (n/2 + 1) * part)``, where ``part`` is its part of what the n sources given blocks get. That is less
+than about ``1 / LEAST_BLOCKS`` of its target.
+
 Scale: texts are read once for their word counts; everything after works on (id, source, size) rows. A
 source is cut into shards of about ``shard_rows`` documents, so a hot source is many windows. The number
 of blocks is a parameter and not the size of the corpus. Only per-source rows meet in one task.
@@ -20,6 +26,8 @@ WEIGHTS = (5, 2, 1)
 #: Resolution of the apportionment: blocks that the whole mix is made of.
 N_BLOCKS = 1 << 18
 SHARD_ROWS = 4096
+#: Sources (and, on average, shards) of fewer blocks than this are apportioned in words.
+LEAST_BLOCKS = 256
 
 
 def _seeded(seed: int, *cols: Column | str) -> Column:
@@ -90,12 +98,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sizes = staged(rows, "sizes")
     total = sizes.agg(F.sum("size")).first()[0] or 0
     block = max(1, -(-int(total * share) // n_blocks))
-    targets = source_targets(sizes, weights, share, cap).withColumns(
-        {"blocks": F.lit(int(total * share) // block), "shards": F.ceil(F.col("n_docs") / shard_rows), "one": F.lit(1)})
-    quotas = staged(sainte_lague(targets, ["one"], "rank", "target", "blocks", "quota"), "quotas")
+    targets = source_targets(sizes, weights, share, cap).withColumn(
+        "small", F.lit(block > 1) & (F.col("target") < LEAST_BLOCKS * block)).withColumns(
+        {"exact": F.when(F.col("small"), F.round("target").cast("long")).otherwise(F.lit(0)),
+         "shards": F.ceil(F.col("n_docs") / shard_rows), "one": F.lit(1)})
+    in_blocks = targets.withColumns({
+        "blocks": F.expr(f"({int(total * share)} - sum(exact) over (partition by one)) div {block}"),
+        "votes": F.when(F.col("small"), F.lit(0.0)).otherwise(F.col("target"))})
+    quotas = sainte_lague(in_blocks, ["one"], "rank", "votes", "blocks", "won")
+    # Words of the source, and its seats: words if a block is not small beside its shards.
+    quotas = (quotas.withColumn("goal", F.when(F.col("small"), F.col("exact")).otherwise(
+                    F.least(F.col("won") * block, F.col("source_size") * cap)))
+              .withColumn("in_words", F.col("small") | (F.lit(block > 1) & (F.col("source_size") < LEAST_BLOCKS * block * F.col("shards"))))
+              .withColumn("unit", F.when(F.col("in_words"), F.lit(1)).otherwise(F.lit(block)).cast("long"))
+              .withColumn("quota", F.when(F.col("in_words"), F.col("goal")).otherwise(F.col("won"))))
+    quotas = staged(quotas, "quotas")
 
     s = sizes.alias("s")
-    q = quotas.select(F.col("source").alias("src"), "rank", "source_size", "target", "quota", "shards").alias("q")
+    q = quotas.select(F.col("source").alias("src"), "rank", "source_size", "target", "goal", "unit", "quota", "shards").alias("q")
     mark = _seeded(seed, "doc_id", "size")
     placed = (s.join(q, F.col("source").eqNullSafe(F.col("src")))
               .withColumn("mark", mark)
@@ -103,11 +123,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # A shard's documents in seeded order are one row of words: each document has a place in it.
     w = Window.partitionBy("rank", "shard").orderBy("mark", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = staged(placed.withColumn("upto", F.sum("size").over(w)).select(
-        "doc_id", "size", "rank", "shard", "source_size", "target", "quota", (F.col("upto") - F.col("size")).alias("at"), "upto"), "placed")
+        "doc_id", "size", "rank", "shard", "source_size", "target", "goal", "unit", "quota", (F.col("upto") - F.col("size")).alias("at"), "upto"), "placed")
 
-    shards = placed.groupBy("rank", "shard", "quota").agg(F.sum("size").alias("words"))
+    shards = placed.groupBy("rank", "shard", "goal", "unit", "quota").agg(F.sum("size").alias("words"))
     shards = sainte_lague(shards, ["rank"], "shard", "words", "quota", "got").withColumn(
-        "take", F.least(F.col("got") * block, F.col("words") * cap))
+        "take", F.least(F.col("got") * F.col("unit"), F.col("words") * cap))
+    # What shards could not take goes to the room that others have, by whole words of running shares.
+    every = Window.partitionBy("rank")
+    upto = every.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    shards = (shards.withColumn("left", F.greatest(F.lit(0), F.col("goal") - F.sum("take").over(every)))
+              .withColumn("room", F.col("words") * cap - F.col("take"))
+              .withColumns({"rooms": F.sum("room").over(every), "room_upto": F.sum("room").over(upto)})
+              .withColumn("take", F.col("take") + F.when(F.col("left") > 0, F.expr(
+                  "cast(cast(left as decimal(19)) * room_upto div rooms as bigint)"
+                  " - cast(cast(left as decimal(19)) * (room_upto - room) div rooms as bigint)")).otherwise(F.lit(0))))
     shards = (shards.withColumn("whole", F.when(F.col("words") > 0, F.expr("take div words")).otherwise(F.lit(0)))
               .withColumn("part", F.col("take") - F.col("whole") * F.col("words")))
     shards = staged(shards.select("rank", "shard", "words", "whole", "part"), "shards")

@@ -86,3 +86,31 @@ def test_empty_and_blank(make_docs):
     docs = make_docs([(1, " "), (2, None, None)])
     assert {tuple(r) for r in mixing.mix(docs).collect()} == {(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)}
     assert mixing.mix(docs.where("doc_id < 0")).count() == 0
+
+
+@pytest.mark.parametrize("shard_rows", [7, 4096])
+def test_sources_far_below_a_block(make_docs, shard_rows):
+    texts = [("huge", 600, 100), ("a", 1, 100), ("b", 10, 10), ("tiny", 1, 1), ("blank", 3, 0), (None, 4, 2)]
+    rows = [(i * 1000 + k, "w " * n, s) for i, (s, docs, n) in enumerate(texts) for k in range(docs)]
+    size = {s: docs * n for s, docs, n in texts}
+    want = targets(size)
+    by_id = {i: s for i, _, s in rows}
+    # A block of 1805 and of 5 words: the small sources are full at 1 to 200 words, and no document may lose them.
+    for n_blocks in (50, 20_000):
+        taken = defaultdict(int)
+        for r in mixing.mix(make_docs(rows), n_blocks=n_blocks, shard_rows=shard_rows).collect():
+            taken[by_id[r.doc_id]] += r.taken
+            assert 0 <= r.taken <= 2 * r.size and (r.source_size > 100 or r.taken == 2 * r.size)
+        assert all(abs(taken[s] - want[s]) <= 1 for s in size if s != "huge"), (taken, want)
+        assert abs(taken["huge"] - want["huge"]) <= 1 + 2 * (90_000 // n_blocks + 1) * (n_blocks > 50)
+
+
+def test_capped_source_fills_its_shards(make_docs):
+    rng = random.Random(18)
+    rows = [(k, "w " * rng.randrange(1, 9), "a") for k in range(300)]
+    rows += [(1000 + k, "w " * 50, "b") for k in range(300)]
+    want = 2 * sum(len(t) // 2 for _, t, s in rows if s == "a")
+    for n_blocks in (100, 1000, 3000):  # blocks of 250, 25 and 9 words; shards of about 15
+        out = mixing.mix(make_docs(rows), n_blocks=n_blocks, shard_rows=3).where("doc_id < 1000").agg(F.sum("taken")).first()[0]
+        block = -(-int(1.5 * (want // 2 + 15_000)) // n_blocks)
+        assert want - block * (n_blocks > 1000) <= out <= want

@@ -1,6 +1,8 @@
 """Secret scans: three known shapes, and a battery of randomness tests for secrets of no known shape.
 
-Every long run of token characters is a candidate. Its encoding is inferred from its characters, and within
+Every long run of token characters is a candidate. '=' ends it as padding or separates a name from its value. A run
+that mixes + or / with - or _ fits no encoding and gives its longest parts without the ones and without the others. A
+candidate's encoding is inferred from its characters, and within
 that alphabet three tests ask whether the characters look drawn at random: chi-squared uniformity, the runs
 test about the middle of the alphabet, and the lag-1 serial correlation, combined by Fisher's method. A short
 word passes such tests for want of power, so a second p-value asks the opposite: how likely is a chi-squared
@@ -27,8 +29,11 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 LEAST_VALUE = 8
-#: Candidates for the battery: whole runs of token characters.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+#: Candidates for the battery: whole runs of token characters. '=' belongs to one only as padding at its end.
+LEAST_RUN = 20
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{20,}(?:=+(?![A-Za-z0-9+/_=-]))?|[A-Za-z0-9+/_-]{2,19}=+(?![A-Za-z0-9+/_=-]))"
+#: Parts of a run of mixed alphabets that fit base64 and base64url.
+PARTS = (r"[A-Za-z0-9+/]{20,}=*|[A-Za-z0-9+/]{2,19}=+", r"[A-Za-z0-9_-]{20,}=*|[A-Za-z0-9_-]{2,19}=+")
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 #: Encodings in the order they are tried: name, characters a token must be made of, alphabet in code order.
 ENCODINGS = (
@@ -67,6 +72,22 @@ def _spans(text: Column, pattern: str) -> Column:
     return F.when(text.rlike(pattern), walked).otherwise(none)
 
 
+def _candidates(text: Column) -> Column:
+    """Spans of the runs to test; a run of mixed alphabets gives its parts, which may overlap."""
+    def long(spans: Column) -> Column:
+        return F.filter(spans, lambda s: F.length(s["m"]) >= LEAST_RUN)
+
+    def parts(run: Column, pattern: str) -> Column:
+        return F.transform(long(_spans(run["m"], pattern)), lambda p: F.struct(
+            (run["start"] + p["start"]).alias("start"), (run["start"] + p["end"]).alias("end"), p["m"].alias("m")))
+
+    def fitting(run: Column) -> Column:
+        mixed = run["m"].rlike("[+/]") & run["m"].rlike("[_-]")
+        return F.when(mixed, F.array_distinct(F.concat(*[parts(run, p) for p in PARTS]))).otherwise(F.array(run))
+
+    return F.flatten(F.transform(long(_spans(text, CANDIDATE)), fitting))
+
+
 def _upper_tail(z: Column) -> Column:
     """P(Z > z) of the normal distribution; a continued fraction keeps its relative accuracy far out."""
     x = F.abs(z)
@@ -198,7 +219,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate:
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = staged(docs_with(docs, id_col, text_col).select(
-        F.col(id_col).cast("long").alias("doc_id"), _base(text).alias("base"), _tested(_spans(text, CANDIDATE)).alias("tests")), "scan")
+        F.col(id_col).cast("long").alias("doc_id"), _base(text).alias("base"), _tested(_candidates(text)).alias("tests")), "scan")
     return found.withColumn("spans", _found(thresholds(found, rate), least_random))
 
 
@@ -206,7 +227,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]", rate
            least_random: float = 0.01) -> DataFrame:
     """The documents with every secret replaced by ``mark``; other columns stay as they are, null texts too."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    tests = _tested(_spans(text, CANDIDATE))
+    tests = _tested(_candidates(text))
     limits = thresholds(docs.select(tests.alias("tests")), rate)
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
     marked = docs.select(row, _base(text).alias("base"), tests.alias("tests"), text.alias("text"))

@@ -59,6 +59,36 @@ def test_battery_finds_random_strings_and_leaves_words(make_docs):
     assert hits >= 54
 
 
+def test_battery_finds_values_after_names_and_parts_of_mixed_runs(make_docs):
+    rng = random.Random(21)
+    plain = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    forms = [("AWS_SECRET_ACCESS_KEY=", "+/", " end"), ("AccountKey=", "+/", "==;EndpointSuffix=core"), ("?sig=", "", "&se=2030"),
+             ("x=y=", "-_", "=next"), ("live_key-", "+/", " end"), ("files/of/", "-_", "/raw"), ("export KEY==", "+/", "==")]
+    rows, where = [], {}
+    for i in range(280):
+        before, extra, after = forms[i % len(forms)]
+        value = rng.choice(plain) + "".join(rng.choice(plain + extra) for _ in range(42)) + (2 * extra + rng.choice(plain))
+        rows.append((i, f"é some text {before}{value}{after} internationalization=configuration snake_case/and-kebab/names_and-paths"))
+        where[i] = rows[-1][1].index(value), len(value), after
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secret_scan.scan(make_docs(rows)).collect()}
+    texts = {r.doc_id: r.text for r in secret_scan.redact(make_docs(rows)).collect()}
+    hits = [0] * len(forms)
+    for i, t in rows:
+        start, n, after = where[i]
+        found = [s for s in got[i] if s[0] <= start and s[2] >= start + n]
+        # Padding belongs to the span, a separator does not.
+        assert all(s[1] == 3 and s[2] == start + n + 2 * after.startswith("==") for s in found), (t, found)
+        assert all(s[0] < start + n and s[2] > start for s in got[i]), (t, got[i])
+        assert not found or t[start:start + n] not in texts[i]
+        hits[i % len(forms)] += bool(found)
+    assert min(hits) >= 34, hits
+
+
+def test_padding_of_nothing(make_docs):
+    texts = ["a" + "=" * 30, "=" * 40, "ab" + "=" * 18 + "c", "== " + "q" * 19 + "="]
+    assert all(r.spans == [] for r in secret_scan.scan(make_docs(list(enumerate(texts)))).collect())
+
+
 def test_normal_tail(spark):
     zs = [-8.0, -2.5, -1.0, 0.0, 0.7, 1.9, 2.0, 3.0, 6.0, 12.0]
     got = spark.createDataFrame([(z,) for z in zs], "z double").select(secret_scan._upper_tail(F.col("z"))).collect()

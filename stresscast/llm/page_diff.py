@@ -2,8 +2,9 @@
 
 A page is read into text lines, one per block, each with its zone: *content* (inside an ``article`` or ``main``),
 *chrome* (inside a menu, header, footer, sidebar, notice, advert, form or comment section, by element, role or
-class), or *open* (anywhere else). Pages of a host are sorted by URL path; a page's partner is the neighbour that
-shares the longer beginning of the path. The lines of the two pages are aligned by a longest common subsequence,
+class), or *open* (anywhere else). Pages of a host are sorted by URL path; a page's partner is the nearest page
+of another URL before or after it, the one that shares the longer beginning of the path. Rows of one URL are neighbours
+and have the same partner. The lines of the two pages are aligned by a longest common subsequence,
 and shared lines are deleted as template.
 
 Content lines are never deleted: pages that hold copies of one article would lose it, and so would pages whose
@@ -11,13 +12,16 @@ articles share a passage. A page with content lines is its content lines; a page
 the shared ones (all of them if nothing else is left: a copy tells nothing about the template).
 
 Scale: pages are dealt into parts of consecutive addresses by bounds that a first pass over the addresses alone finds,
-so a hot host is many parts. Each part is streamed in order, three pages at a time. The first and last page of
-a part meet their neighbours in a small stream of two pages a part. Pages are shuffled once and not written.
+so a hot host is many parts. Each part is streamed in order; beside the page, the last page of another URL is held, and
+the rows of one URL wait (on local disk if they are many) for the next URL. The first and last URL of a part meet their
+neighbours in a small stream. Pages are shuffled once and not written.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+import tempfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from typing import NamedTuple
@@ -198,8 +202,10 @@ def main_text(lines: list[Line], partner: list[Line]) -> tuple[str, int]:
     return "\n".join(content), sum(shared)
 
 
-_PAGE = "page_id long, url string, host string, path string, html string"
-_OUT = f"edge int, {_PAGE}, near_url string, near_path string, near_html string, text string, n_chars long, partner_id long, n_shared long"
+_PAGE = "part int, ghost boolean, page_id long, url string, host string, path string, html string"
+_OUT = "page_id long, url string, text string, n_chars long, partner_id long, n_shared long"
+#: Rows of one URL that wait in memory for the next URL.
+WAITING_ROWS = 64
 
 
 def _rows(pages: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -207,20 +213,21 @@ def _rows(pages: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in b.columns))
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    names = [x.strip().split(" ") for x in _OUT.split(",")]
-    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names = [x.strip().split(" ") for x in schema.split(",")]
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[t]) for i, (_, t) in enumerate(names)],
                                       [n for n, _ in names])
 
 
-def _answer(page: Page, before: Page | None, after: Page | None, read) -> tuple:
-    partner = before if page.nearness(before) >= page.nearness(after) else after
-    if page.nearness(partner) < 0:
-        partner = None
-    text, shared = main_text(read(page), read(partner) if partner else [])
-    return (0, page.page_id, page.url, None, None, None, None, None, None, text, len(text),
-            partner.page_id if partner else None, shared)
+def _batches(rows: Iterator[tuple], schema: str) -> Iterator[pa.RecordBatch]:
+    out: list[tuple] = []
+    for row in rows:
+        out.append(row)
+        if len(out) >= 64:
+            yield _batch(out, schema)
+            out = []
+    yield _batch(out, schema)
 
 
 class _Memory:
@@ -237,72 +244,95 @@ class _Memory:
         return self.known[id(page)][1]
 
 
-def _within(inner: bool):
-    """Over pages sorted by (part, host, path): answers for the inner pages of each part, or its first and last page
-    with their inner neighbours."""
-
-    def edge(page: Page, near: Page | None, side: int) -> tuple:
-        near = near if near and near.host == page.host else None
-        return (side, *page, *((near.url, near.path, near.html) if near else (None, None, None)), None, None,
-                near.page_id if near else None, None)
+class _Run:
+    """The rows of one URL in a part; many of them wait in a local file of the task's own. Ghosts are only neighbours."""
+
+    def __init__(self, part: int, first: Page) -> None:
+        self.part, self.first, self.last = part, first, first
+        self.pages: list[Page] = []
+        self.file = None
+
+    def add(self, page: Page, ghost: bool) -> None:
+        self.last = page
+        if not ghost:
+            self.pages.append(page)
+        if len(self.pages) >= WAITING_ROWS:
+            self.file = self.file or tempfile.TemporaryFile()
+            pickle.dump([tuple(x) for x in self.pages], self.file)
+            self.pages = []
+
+    def __iter__(self) -> Iterator[Page]:
+        if self.file:
+            end = self.file.tell()
+            self.file.seek(0)
+            while self.file.tell() < end:
+                yield from (Page(*x) for x in pickle.load(self.file))
+        yield from self.pages
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Run | None, _Run, _Run | None]]:
+    """Each URL of sorted pages, between the URLs before and after it in its part."""
+    def each() -> Iterator[_Run | None]:
+        run = None
+        for part, ghost, *page in _rows(batches):
+            now = Page(*page)
+            if run is None or run.part != part or run.first.url != now.url:
+                if run is not None:
+                    yield run
+                run = _Run(part, now)
+            run.add(now, ghost)
+        if run is not None:
+            yield run
+        yield None
+
+    before = run = None
+    for after in each():
+        if run is not None:
+            yield (before if before and before.part == run.part else None, run,
+                   after if after and after.part == run.part else None)
+        before, run = run, after
+
+
+def _answers(edges: bool):
+    """Over pages sorted by part and address: answers for the inner URLs of each part, or for all URLs of an edge."""
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        read = _Memory()
+        for before, run, after in _runs(batches):
+            if not edges and not (before and after):
+                continue
+            near = [x for x in (before and before.last, after and after.first) if run.first.nearness(x) >= 0]
+            partner = max(near, key=run.first.nearness, default=None)
+            lines = read(partner) if partner else []
+            for page in run:
+                text, shared = main_text(read(page), lines)
+                yield page.page_id, page.url, text, len(text), partner.page_id if partner else None, shared
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = _Memory()
-        out: list[tuple] = []
-        before = page = None
-        part, first = None, True
-
-        def last() -> None:
-            if page is not None and not inner:
-                out.append(edge(page, before, 1))  # its inner neighbour came before it, if there is one
-
-        for row in _rows(batches):
-            after = Page(*row[1:])
-            if row[0] != part:
-                last()
-                before = page = None
-                part, first = row[0], True
-            if page is not None:
-                if inner and not first:
-                    out.append(_answer(page, before, after, read))
-                elif first and not inner:
-                    out.append(edge(page, after, 2))  # its inner neighbour comes after it
-                first = False
-            before, page = page, after
-            if len(out) >= 64:
-                yield _batch(out)
-                out = []
-        last()
-        yield _batch(out)
+        return _batches(answered(batches), _OUT)
 
     return run
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Answers for the edge pages, sorted like the pages: the outer neighbour is the next edge page."""
-    read = _Memory()
-    out: list[tuple] = []
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first and last URL of each part with one page of their neighbours inside it, and a page of each for the part
+    before and the part after."""
 
-    def settled(before, now, after) -> tuple:
-        page, near, side = now
-        outer_before, outer_after = before and before[0], after and after[0]
-        if side == 2:
-            return _answer(page, outer_before, near, read)
-        return _answer(page, near or outer_before, outer_after, read)
-
-    before = now = None
-    for side, page_id, url, host, path, html, near_url, near_path, near_html, _, _, near_id, _ in _rows(batches):
-        near = None if near_path is None else Page(near_id, near_url, host, near_path, near_html)
-        after = Page(page_id, url, host, path, html), near, side
-        if now is not None:
-            out.append(settled(before, now, after))
-        before, now = now, after
-        if len(out) >= 256:
-            yield _batch(out)
-            out = []
-    if now is not None:
-        out.append(settled(before, now, None))
-    yield _batch(out)
+    def found() -> Iterator[tuple]:
+        for before, run, after in _runs(batches):
+            if before and after:
+                continue
+            yield from ((run.part, False, *page) for page in run)
+            if before:
+                yield (run.part, True, *before.last)
+            else:
+                yield (run.part - 1, True, *run.first)
+            if after:
+                yield (run.part, True, *after.first)
+            else:
+                yield (run.part + 1, True, *run.last)
+
+    return _batches(found(), _PAGE)
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -319,7 +349,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)).alias("host"),
         F.regexp_extract(url, r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1).alias("path"),
         F.col(html_col).alias("html"))
-    keys = ["host", "path", "page_id", "url"]
+    keys = ["host", "path", "url", "page_id", "html"]
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     # Parts of consecutive pages, by bounds from the addresses alone: the same for both passes below.
     place = F.substring(F.concat_ws("\n", "host", "path"), 1, BOUND_CHARS)
@@ -330,9 +360,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     def part_of(places: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(bounds, places.to_numpy(object), "right"), dtype="int32")
 
-    dealt = rows.select(part_of(place).alias("part"), *rows.columns).repartition(n, "part").sortWithinPartitions("part", *keys)
-    edges = dealt.mapInArrow(_within(False), _OUT)
-    # Two pages of each part, in order, in one stream.
-    settled = edges.repartition(1).sortWithinPartitions(*keys).mapInArrow(_across, _OUT)
-    return dealt.mapInArrow(_within(True), _OUT).unionByName(settled).select(
-        "page_id", "url", "text", "n_chars", "partner_id", "n_shared")
+    dealt = rows.select(part_of(place).alias("part"), F.lit(False).alias("ghost"), *rows.columns).repartition(n, "part")
+    dealt = dealt.sortWithinPartitions("part", *keys)
+    # Every part has pages, so the parts beside one have the numbers beside its own.
+    edges = dealt.mapInArrow(_edges, _PAGE).repartition(n, "part").sortWithinPartitions("part", *keys)
+    return dealt.mapInArrow(_answers(False), _OUT).unionByName(edges.mapInArrow(_answers(True), _OUT))

@@ -60,3 +60,29 @@ def test_differencing_and_pairs(spark):
     assert got["http://big.example/a/copy"].text == "" and got[None].text == "no url" and got[None].partner_id is None
     assert all(r.n_chars == len(r.text) for r in got.values())
     assert page_diff.extract_main_text(df.where("page_id < 0")).count() == 0
+
+
+def test_rows_of_one_url_have_the_same_partner(spark):
+    rng = random.Random(22)
+    pages = site("big.example", 40, rng)
+    rows = [(i, u, h) for i, (u, h) in enumerate(pages)]
+    rows += [(0, *pages[0])] * 2 + [(100 + k, *pages[7]) for k in range(200)]  # repeated rows, and recrawls
+    rows += [(300 + 10 * k + j, *pages[j]) for k in range(3) for j in range(10, 14)]
+    rows += [(400 + 2 * k + j, f"http://q.example/index.php?id={j}", f"<p>top</p><p>story {j}</p><p>end</p>") for k in range(4) for j in range(2)]
+    rows += [(500 + k, "http://lone.example/", f"<p>lone {k}</p>") for k in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    old, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for n in ("1", "3", "50"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        seen.append(sorted(tuple(r) for r in page_diff.extract_main_text(df).select("page_id", "url", "text", "n_shared", "partner_id").fillna(-1).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == len(rows)
+    url_of = {i: u for i, u, _ in rows}
+    partners = {}
+    for i, u, text, _, partner in seen[0]:
+        assert partners.setdefault(u, partner) == partner and url_of.get(partner) != u, (i, u, partner)
+        if "lone" in u:
+            assert partner == -1 and text == f"lone {i - 500}"
+        else:
+            story = f"story {u[-1]}" if "q.example" in u else f"story big.example {[p for p, _ in pages].index(u)}"
+            assert partner >= 0 and text == story, (i, u, text)

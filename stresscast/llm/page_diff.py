@@ -49,8 +49,17 @@ CHROME_NAMES = frozenset("""ad ads adv advert adverts advertisement advertisemen
 comment comments consent cookie cookies disqus footer header masthead menu menus modal nav navbar navigation newsletter notice
 notices popup promo promos promotion related replies reply share sharing sidebar sidebars social sponsor sponsored subscribe
 toolbar widget widgets""".split())
+#: A class or id with one of these tells of the page's state ("has-sidebar", "menu-open"), not what the element is.
+STATE_NAMES = frozenset("has with no not without is hide show open closed layout enabled disabled active collapsed expanded".split())
+#: Inside content a class or id names chrome only if it has no word but chrome names and these.
+PART_NAMES = frozenset("""area articles bar block box button buttons container form icons items label link links list media placeholder
+posts section signup slot tools unit wrap wrapper""".split())
+#: Elements that names never make chrome: headings have ids made of their text.
+NEVER_NAMED = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
 #: Names that say little beside one of the second group ("entry-header", "content with-sidebar").
 WEAK_NAMES = frozenset("banner banners header sidebar sidebars toolbar widget widgets".split())
+#: Elements a head may hold; any other closes it.
+HEAD_TAGS = frozenset("html head base link meta title style script noscript template".split())
 CONTENT_NAMES = frozenset("article body content entry main post story text".split())
 #: An open element of these is closed by a start tag of the same group.
 IMPLIED_ENDS = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -90,19 +99,36 @@ class _Reader(HTMLParser):
             self.lines.append(Line(self.zone(), text))
 
     def opens(self, tag: str, attrs: dict[str, str | None]) -> str | None:
-        names = set(re.split(r"[^a-z]+", f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()))
         if tag in CHROME_TAGS or "hidden" in attrs or (attrs.get("role") or "").lower() in CHROME_ROLES:
             return CHROME
-        if tag == "header" and self.zone() != CONTENT:
+        within = self.zone() == CONTENT
+        if tag == "header" and not within:
             return CHROME
-        named = names & CHROME_NAMES
-        if named and names & CONTENT_NAMES:
-            named -= WEAK_NAMES
-        if named and tag not in ("body", "html", "main"):
+        if tag not in NEVER_NAMED and self.named_chrome(tag, attrs, within):
             return CHROME
         return CONTENT if tag in ("article", "main") else None
 
+    @staticmethod
+    def named_chrome(tag: str, attrs: dict[str, str | None], within: bool) -> bool:
+        ids = "" if within and tag == "section" else attrs.get("id") or ""  # sections have the ids of their headings
+        each = [set(re.split(r"[^a-z]+", x)) - {""} for x in f"{attrs.get('class') or ''} {ids}".lower().split()]
+        names = set().union(*each)
+        if within:
+            each = [x for x in each if x <= CHROME_NAMES | PART_NAMES]
+        named = CHROME_NAMES & set().union(*[x for x in each if not x & STATE_NAMES])
+        return bool(named - WEAK_NAMES if names & CONTENT_NAMES else named)
+
+    def leave_head(self) -> None:
+        at = next((i for i, (t, _) in enumerate(self.stack) if t == "head"), None)
+        if at is not None:
+            del self.stack[at:]
+
+    def in_head(self) -> bool:
+        return bool(self.stack) and self.stack[-1][0] == "head"
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "body" or tag not in HEAD_TAGS and self.in_head():
+            self.leave_head()
         if tag in BLOCKS:
             self.end_block()
         if tag in VOID:
@@ -115,6 +141,8 @@ class _Reader(HTMLParser):
         self.stack.append((tag, self.opens(tag, dict(attrs))))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in HEAD_TAGS and self.in_head():
+            self.leave_head()
         if tag in BLOCKS:
             self.end_block()
 
@@ -127,6 +155,8 @@ class _Reader(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.in_head() and data.strip():
+            self.leave_head()
         if not any(t in UNSEEN for t, _ in self.stack):
             self.parts.append(data)
 

@@ -18,6 +18,26 @@ def test_lines_and_zones():
     assert [x.text for x in page_diff.page_lines("</p></b>a<p>b" + "<i>" * 3000 + "c")] == ["a", "bc"]
 
 
+def test_names_and_heads_do_not_empty_pages():
+    def zones(html):
+        return [tuple(x) for x in page_diff.page_lines(html)]
+    for wrapper in ('id="page" class="has-sidebar"', 'class="wrap menu-open"', 'class="layout-with-sidebar no-comments"'):
+        assert zones(f"<body><div {wrapper}><article><p>a</article><p>b</div>") == [(CONTENT, "a"), (OPEN, "b")]
+    assert zones('<article class="post social"><h2 id="social-impact">S</h2><section id="related-work"><p>r</p></section>'
+                 '<section id="comments"><h3 id="comments">C</h3></section><div class="related-work">w</div></article>') == [
+                     (CONTENT, x) for x in ("S", "r", "C", "w")]
+    assert zones('<h2 id="social-impact">S</h2><main class="share"><p>m</main>') == [(OPEN, "S"), (CONTENT, "m")]
+    # Chrome stays chrome.
+    for part in ('class="share-buttons"', 'class="ad"', 'id="comments"', 'class="x related-posts"'):
+        assert zones(f"<article><p>a<div {part}><p>x</div></article>") == [(CONTENT, "a"), (CHROME, "x")], part
+    for part in ('class="sidebar"', 'id="cookie-banner"', 'class="left-sidebar"', 'class="site-footer"'):
+        assert zones(f"<div {part}><p>x</div><p>a") == [(CHROME, "x"), (OPEN, "a")], part
+    for head in ("<html><head><title>T</title><body><p>x", "<head><title>T</title><p>x", "<head><meta a=b><div>x</div>",
+                 "<head><title>T</title>x", "<head><title>T</title><noscript><p>n</p></noscript><body>x", "<head><script>1</script><br/>x",
+                 "<head><title>T</title></head><body>x"):
+        assert zones(head) == [(OPEN, "x")], head
+
+
 def test_common_lines():
     def longest(a, b):
         best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]

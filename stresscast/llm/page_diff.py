@@ -12,7 +12,7 @@ articles share a passage. A page with content lines is its content lines; a page
 the shared ones (all of them if nothing else is left: a copy tells nothing about the template).
 
 Scale: pages are dealt into parts of consecutive addresses by bounds that a first pass over the addresses alone finds,
-so a hot host is many parts. Each part is streamed in order; beside the page, the last page of another URL is held, and
+so a hot host or path is many parts; only the rows of one URL are always in one. Each part is streamed in order; beside the page, the last page of another URL is held, and
 the rows of one URL wait (on local disk if they are many) for the next URL. The first and last URL of a part meet their
 neighbours in a small stream. Pages are shuffled once and not written.
 """
@@ -66,10 +66,6 @@ IMPLIED_ENDS = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd
                 "th": ("td", "th"), "option": ("option",)}
 
 
-#: Characters of host and path that bounds between parts are made of.
-BOUND_CHARS = 200
-
-
 class Line(NamedTuple):
     zone: str
     text: str
@@ -382,7 +378,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     keys = ["host", "path", "url", "page_id", "html"]
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     # Parts of consecutive pages, by bounds from the addresses alone: the same for both passes below.
-    place = F.substring(F.concat_ws("\n", "host", "path"), 1, BOUND_CHARS)
+    place = F.concat_ws("\n", "host", "path", "url")
     sizes = rows.select(place.alias("place")).repartitionByRange(n, "place").groupBy(F.spark_partition_id()).agg(F.min("place"))
     bounds = np.array(sorted(r[1] for r in sizes.collect()), object)
 

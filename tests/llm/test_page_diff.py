@@ -106,3 +106,12 @@ def test_rows_of_one_url_have_the_same_partner(spark):
         else:
             story = f"story {u[-1]}" if "q.example" in u else f"story big.example {[p for p, _ in pages].index(u)}"
             assert partner >= 0 and text == story, (i, u, text)
+
+
+def test_one_path_is_many_parts(spark):
+    for path in ("index.php", "p" * 300 + "/"):
+        df = spark.createDataFrame([(i, f"http://q.example/{path}?id={i}", f"<p>top</p><p>story {i}</p>") for i in range(400)],
+                                   "page_id long, url string, html string")
+        out = page_diff.extract_main_text(df).selectExpr("text", "page_id", "spark_partition_id() as part").collect()
+        assert all(r.text == f"story {r.page_id}" for r in out) and len(out) == 400
+        assert len({r.part for r in out}) >= 3

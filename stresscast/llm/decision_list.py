@@ -6,8 +6,9 @@ right there often enough; the documents it covers leave, and the next rule is gr
 rule that holds decides, and documents under no rule are kept.
 
 Scale and style: only DataFrame functions touch rows. The statistics of a text are array expressions within
-its row, so nothing is shuffled for them. Learning works on a table of bin numbers of the labelled documents: every
-growing step is one map-side combined count per (feature, bin, label), a few hundred rows for any input.
+its row, so nothing is shuffled for them. Learning works on a table of bin numbers of the labelled documents that no rule
+has taken yet, with new thresholds for every rule: every growing step is one map-side combined count per (feature, bin,
+label), one or two thousand rows for any input.
 """
 
 from __future__ import annotations
@@ -22,8 +23,12 @@ from stresscast.llm.common import docs_with, staged, words_of
 
 #: Statistics that rules may test; all are rates, so they mean the same for short and long texts.
 RATES = ("symbol_rate", "dup_line_rate", "repeat_rate", "upper_rate", "shout_rate", "word_length", "echo_rate")
-#: Candidate thresholds per statistic: quantiles of the labelled documents.
+#: Candidate thresholds per statistic: so many quantiles of the labelled documents and of their values above 0, four times
+#: as many of the bad documents, and both tails down to ``LEAST_TAIL``.
 N_CUTS = 32
+LEAST_TAIL = 1 / 8192
+#: Thresholds that a value's bin is sought among at a time.
+STEP = 16
 
 
 def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -101,17 +106,33 @@ class Rule:
 
 
 def _cuts(table: DataFrame, n_cuts: int) -> dict[str, list[float]]:
-    """Candidate thresholds: distinct quantiles of each statistic over the labelled documents."""
-    shares = [i / n_cuts for i in range(n_cuts)]
-    found = table.agg(*[F.percentile_approx(r, F.array(*map(F.lit, shares)), 10_000).alias(r) for r in RATES]).first()
-    return {r: sorted(set(found[r] or [])) for r in RATES}
+    """Candidate thresholds: distinct quantiles of each statistic over the labelled documents and over parts of them."""
+    def shares(n: int) -> Column:
+        tails = [2.0 ** -k for k in range(1, 64) if LEAST_TAIL <= 2.0 ** -k < 1 / n]
+        return F.array(*map(F.lit, [i / n for i in range(n + 1)] + tails + [1 - t for t in tails]))
+
+    def among(rate: str, part: Column | None, n: int) -> Column:
+        return F.percentile_approx(F.col(rate) if part is None else F.when(part, F.col(rate)), shares(n), 10_000)
+
+    found = table.agg(*[among(r, part, n).alias(f"{r}_{i}") for r in RATES for i, (part, n) in enumerate((
+        (None, n_cuts), (F.col(r) > 0, n_cuts), (F.col("bad"), 4 * n_cuts), (F.col("bad") & (F.col(r) > 0), 4 * n_cuts)))]).first()
+    return {r: sorted({x for i in range(4) for x in found[f"{r}_{i}"] or []}) for r in RATES}
 
 
 def _binned(table: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
-    """Bin number of each statistic: how many thresholds it is above."""
+    """Bin number of each statistic: how many thresholds it is above (first every ``STEP``-th, then those between two)."""
+    def below(rate: str, among: Column) -> Column:
+        return F.size(F.filter(among, lambda c: c < F.col(rate)))
+
     def above(rate: str) -> Column:
-        return F.size(F.filter(F.array(*map(F.lit, cuts[rate])), lambda c: c < F.col(rate))) if cuts[rate] else F.lit(0)
-    return table.select("bad", "grow", *[above(r).alias(r) for r in RATES])
+        if not cuts[rate]:
+            return F.lit(0)
+        every = F.array(*map(F.lit, cuts[rate][STEP - 1::STEP])).cast("array<double>")
+        return below(rate, every) * STEP
+
+    out = table.select("bad", "grow", *RATES, *[above(r).alias(f"_{r}") for r in RATES])
+    return out.select("bad", "grow", *[(F.col(f"_{r}") + below(r, F.slice(
+        F.array(*map(F.lit, cuts[r])).cast("array<double>"), F.col(f"_{r}") + 1, STEP))).alias(r) for r in RATES])
 
 
 def _where(conditions: list[tuple[str, bool, int]]) -> Column:
@@ -169,10 +190,10 @@ def learn(statistics: DataFrame, labels: DataFrame, max_rules: int = 16, max_con
         (F.min("quality") == 0).alias("bad"))
     table = staged(statistics.join(known, "doc_id").select(
         "bad", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 0).alias("grow"), *RATES), "labelled")
-    cuts = _cuts(table, n_cuts)
-    rows = staged(_binned(table, cuts), "binned")
-    rules: list[Rule] = []
+    left, rules = table, []
     for _ in range(max_rules):
+        cuts = _cuts(left, n_cuts)
+        rows = staged(_binned(left, cuts), "binned")
         conditions: list[tuple[str, bool, int]] = []
         while len(conditions) < max_conditions:
             profile = _profile(rows.where(F.col("grow") & _where(conditions)))
@@ -195,7 +216,7 @@ def learn(statistics: DataFrame, labels: DataFrame, max_rules: int = 16, max_con
         if not bad or bad < least_precision * (bad + good):
             break
         rules.append(Rule(tuple(_centred(table, Condition(r, a, cuts[r][i])) for r, a, i in conditions[:k]), bad, good))
-        rows = rows.where(~_where(conditions[:k]))
+        left = left.where(~rules[-1].column())
     return rules
 
 

@@ -59,6 +59,28 @@ def test_learns_planted_rules(spark, make_docs):
     assert all(got[i].rule for i in want if not want[i] and not got[i].base_failed)
 
 
+def test_learns_rare_kinds(spark):
+    rng = random.Random(23)
+    rows = []
+    for i in range(10_000):
+        rates = {r: rng.random() * 0.4 for r in decision_list.RATES}
+        rates["dup_line_rate"] = rng.random() * 0.3 if i % 100 == 1 else 0.0  # mostly constant
+        kind = "upper" if i % 100 == 0 else "dup" if i % 120 == 7 else "symbol" if i % 10 == 5 else None
+        if kind == "upper":
+            rates["upper_rate"] = 0.5 + rng.random() / 2
+        elif kind == "dup":
+            rates["dup_line_rate"] = 0.31 + rng.random() / 2
+        elif kind == "symbol":
+            rates["symbol_rate"] = 0.6 + rng.random() / 3
+        rows.append((i, kind, *[rates[r] for r in decision_list.RATES]))
+    df = spark.createDataFrame(rows, "doc_id long, kind string, " + ", ".join(f"{r} double" for r in decision_list.RATES))
+    labels = df.selectExpr("doc_id", "int(kind is null) as quality")
+    rules = decision_list.learn(df, labels)
+    caught = df.withColumn("rule", decision_list.decision(rules))
+    share = {r.kind: r.share for r in caught.groupBy("kind").agg(F.avg(F.col("rule").isNotNull().cast("int")).alias("share")).collect()}
+    assert share[None] <= 0.001 and all(share[k] >= 0.95 for k in ("upper", "dup", "symbol")), (share, list(map(str, rules)))
+
+
 def test_no_labels_and_empty(spark, make_docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     rows, _ = documents(random.Random(13), 10)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresscast.llm import chat_snapshots, decision_list, mixing, page_diff, pu_quality, secret_scan, simhash, suffix_dedup, token_transducer, wu_manber
+from stresscast.llm import (chat_snapshots, decision_list, mixing, packing, page_diff, pu_quality, secret_scan, simhash,
+                            suffix_dedup, token_transducer, wu_manber)
 from stresscast.llm.common import read_table
 
 
@@ -76,6 +77,13 @@ def op10_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` as tokens of the byte-level BPE of 50k, packed into windows of 1024."""
+    import public_tokenizers
+    found = packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), window=1024)
+    return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_page_diff_text": op1_page_diff_text,
     "op2_pu_quality": op2_pu_quality,
@@ -87,4 +95,5 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_suffix_merge_dedup": op9_suffix_merge_dedup,
     "op10_transducer_token_counts": op10_transducer_token_counts,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }

@@ -21,8 +21,9 @@ row is packed on its own; equal lengths go in by their row number. An empty tabl
 
 from __future__ import annotations
 
-import itertools
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -34,32 +35,56 @@ from stresscast.llm.common import docs_with, process_cache, staged
 
 #: Characters that reach the tokenizer's library in one call; longer texts are cut where no token can cross.
 CHUNK = 1 << 20
-#: Distinct pieces of text whose ids a worker remembers.
-REMEMBERED = 200_000
-#: The split of the byte-level tokenizer into pieces that are merged on their own (fixed by the vocabulary file).
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters whose class every Unicode version since 6.0 agrees on: Latin, Greek, Cyrillic, punctuation, kana, Han.
-COMMON = r"[\n\r\t\x20-\x7E\xA0-ɏΑ-ΡΣ-ϿЀ-ҁҊ-ԣ‐-‧ぁ-ゖァ-ヺ一-龥]*"
+#: Distinct pieces of text in each of a worker's two generations.
+REMEMBERED = 300_000
+#: Characters that every Unicode version since 6.0 classes alike: Latin, Greek, Cyrillic, punctuation, kana, Han.
+COMMON = "\t\n\r\x20-\x7E\xA0-\u024F\u0391-\u03A1\u03A3-\u03FF\u0400-\u0481\u048A-\u0523\u2010-\u2027\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FA5"
+
+
+def piece_pattern() -> re.Pattern:
+    """The tokenizer's split into pieces that are merged on their own, for texts of common characters only.
+
+    A short ending after an apostrophe; or letters, digits or other signs, with the space before them; or white space,
+    of which the last character is left to what follows.
+    """
+    import unicodedata
+    common = re.compile(f"[{COMMON}]")
+    of = {"L": [], "N": [], "blank": [], "other": []}
+    for c in map(chr, range(0xA000)):
+        if common.match(c):
+            kind = unicodedata.category(c)[0]
+            of[kind if kind in "LN" else "blank" if c.isspace() else "other"].append(re.escape(c))
+    letter, digit, blank, other = ("".join(of[k]) for k in ("L", "N", "blank", "other"))
+    endings = "|".join("'" + e for e in ("s", "t", "re", "ve", "m", "ll", "d"))  # fixed values of the tokenizer
+    return re.compile(f"{endings}| ?[{letter}]+| ?[{digit}]+| ?[{other}]+|[{blank}]+(?![^{blank}])|[{blank}]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """What the byte-level vocabulary writes for each byte: visible Latin-1 characters as they are, the others in order from U+0100."""
+    shown = {b for first, last in (("!", "~"), ("¡", "¬"), ("®", "ÿ")) for b in range(ord(first), ord(last) + 1)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + hidden.index(b)) if b in hidden else chr(b) for b in range(256)}
 
 
 class ByteTokens:
-    """Ids by the ``tokenizers`` library: it encodes each distinct piece once, equal pieces are looked up.
+    """Ids by the ``tokenizers`` library: its model merges each distinct piece once, equal pieces are looked up.
 
     A text with a special token's string or a character that two Unicode versions may class differently goes to the
-    library as it is.
+    library as it is. Pieces are kept in two generations; when the young one is full the old one is forgotten, so pieces in
+    use stay known.
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.pieces = regex.compile(PIECES)
-        self.common = regex.compile(COMMON)
-        self.break_at = regex.compile(r"(?<=\S) (?=\S)")
-        self.known = _Known(self.library)
+        self.pieces = piece_pattern()
+        self.common = re.compile(f"[{COMMON}]*")
+        self.break_at = re.compile(r"(?<=\S) (?=\S)")
+        self.letters = byte_letters()
+        self.young, self.old = {}, {}
 
     def chunks(self, text: str):
         """The text in parts; a part ends only before a single space between two other characters."""
@@ -72,33 +97,32 @@ class ByteTokens:
             at = found.start()
         yield text[at:] if at else text
 
+    def learn(self, pieces: set) -> None:
+        """Makes every piece a young one: an old one moves, a new one is merged by the library's model."""
+        if len(self.young) + len(pieces) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        new = pieces.difference(self.young)
+        merge = self.library.model.tokenize
+        for piece in new:
+            ids = self.old.get(piece)
+            if ids is None:
+                ids = array("I", [t.id for t in merge(piece.encode().decode("latin-1").translate(self.letters))]).tobytes()
+            self.young[piece] = ids
+
     def ids(self, text: str) -> np.ndarray:
         parts = []
         for part in self.chunks(text):
             if not self.common.fullmatch(part) or any(s in part for s in self.specials):
-                parts.append(np.array(self.library.encode(part, add_special_tokens=False).ids, np.uint32))
+                parts.append(np.array(self.library.encode(part, add_special_tokens=False).ids, "<u4"))
             else:
-                found = map(self.known.__getitem__, self.pieces.findall(part))
-                parts.append(np.fromiter(itertools.chain.from_iterable(found), np.uint32))
+                pieces = self.pieces.findall(part)
+                distinct = set(pieces)
+                if not distinct <= self.young.keys():
+                    self.learn(distinct)
+                parts.append(np.frombuffer(b"".join(map(self.young.__getitem__, pieces)), "<u4"))
         return np.concatenate(parts)
 
 
-class _Known(dict):
-    """Ids of pieces; a new piece asks the library. Emptied when it is full."""
-
-    def __init__(self, library):
-        super().__init__()
-        self.library = library
-
-    def __missing__(self, piece: str):
-        ids = tuple(self.library.encode(piece, add_special_tokens=False).ids)
-        if len(piece) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
 def _tokenizer(path: str) -> ByteTokens:
     cache = process_cache()
     if ("byte tokens", path) not in cache:

@@ -125,10 +125,43 @@ SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS
 FROM d LEFT JOIN t USING (rid)
 """
 
+_OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT doc_id, part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+             100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS c,
+             regexp_matches(text, '[#$%&*|]') AS d, coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false) AS e FROM d),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+             || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS fails
+      FROM f LEFT JOIN l USING (doc_id)),
+n AS (SELECT part, fails, good, toxic, count(*) AS n FROM m GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM x p, x q, x r, x s, x t
+      WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+s AS (SELECT n.*, filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS filter,
+             contains(fails, filter_order[step]) AS here,
+             step > 1 AND len(translate(fails, filter_order[1:step - 1], '')) < len(fails) AS before
+      FROM n, o, range(1, 6) AS r(step)),
+g AS (SELECT part, filter_order, step, filter, CAST(coalesce(sum(n) FILTER (NOT here AND NOT before), 0) AS BIGINT) AS kept,
+             CAST(coalesce(sum(n) FILTER (here AND NOT before), 0) AS BIGINT) AS removed,
+             CAST(coalesce(sum(n) FILTER (here AND before), 0) AS BIGINT) AS redundant,
+             CAST(coalesce(sum(n) FILTER (fails = filter), 0) AS BIGINT) AS unique_fails,
+             CAST(coalesce(sum(n) FILTER (here AND NOT before AND good), 0) AS BIGINT) AS good_lost,
+             CAST(coalesce(sum(n) FILTER (here AND NOT before AND toxic), 0) AS BIGINT) AS toxic_lost
+      FROM s GROUP BY part, filter_order, step, filter)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM g
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_page_diff_text": _OP1,
     "op4_sainte_lague_mixing": _OP4,
     "op6_wu_manber_decontamination": _OP6,
     "op9_suffix_merge_dedup": _OP9,
     "op7_chat_snapshot_collapse": _OP7,
+    "op12_filter_interaction_audit": _OP12,
 }

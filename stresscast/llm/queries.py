@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresscast.llm import (chat_snapshots, decision_list, mixing, packing, page_diff, pu_quality, secret_scan, simhash,
-                            suffix_dedup, token_transducer, wu_manber)
+from stresscast.llm import (chat_snapshots, decision_list, filter_audit, mixing, packing, page_diff, pu_quality,
+                            secret_scan, simhash, suffix_dedup, token_transducer, whitening, wu_manber)
 from stresscast.llm.common import read_table
 
 
@@ -77,6 +77,16 @@ def op10_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op11_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``embeddings`` on their 16 leading principal components, whitened."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=16, scale=64, shift=1_000_000)
+
+
+def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of ``documents`` in each of their 120 orders, by language."""
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` as tokens of the byte-level BPE of 50k, packed into windows of 1024."""
     import public_tokenizers
@@ -95,5 +105,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_suffix_merge_dedup": op9_suffix_merge_dedup,
     "op10_transducer_token_counts": op10_transducer_token_counts,
+    "op11_feast_whitening": op11_feast_whitening,
+    "op12_filter_interaction_audit": op12_filter_interaction_audit,
     "op13_best_fit_packing": op13_best_fit_packing,
 }

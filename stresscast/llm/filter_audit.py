@@ -1,10 +1,13 @@
 """How text filters interact: what each removes, alone and after others, in every order of application.
 
 Two of the five filters read a sparse document-term matrix. It is built in shards: a task encodes the words of a run
-of documents by a dictionary of its own and writes one shard in compressed-sparse-row form with that dictionary. The
-distinct words of all shards get global numbers without gaps, the shards' dictionaries (not their entries) are joined to
-them, and each shard is rewritten to the global numbers. So a word crosses the network once a shard, however often it
-occurs. Row sums of the matrix are the numbers of words, the non-zeros of a row the numbers of distinct words.
+of documents by a dictionary of its own and writes one shard in compressed-sparse-row form with that dictionary, whose
+words are dealt into buckets by a hash. The tasks of the second step each number the distinct words of one bucket over all
+shards; a word's global id is its bucket and its number in it. Each shard is then rewritten to the global ids. So a word
+crosses the network once a shard, however often it occurs, and in one row with the others of its bucket. Row sums
+of the matrix are the numbers of words, the non-zeros of a row the numbers of distinct words.
+
+The number of buckets follows the bytes of text, so a bucket's dictionary stays in the megabytes at any size.
 
 The other flags are made in the same pass over the texts. What is left of a document is its id, part, text hash and
 flags; copies are found by hash without any pair, and the documents are counted by part, failures and labels. All orders
@@ -18,6 +21,7 @@ without an id are ignored. Extra columns do not matter. An empty table gives no
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from itertools import permutations
 
@@ -31,6 +35,8 @@ from stresscast.llm.common import docs_with, staged
 
 #: UTF-8 bytes of text in a shard before it is closed (a longer text is a shard of its own length).
 SHARD_BYTES = 8 << 20
+#: UTF-8 bytes of text for each bucket of the dictionary.
+BUCKET_BYTES = 4 << 20
 #: The filters in the order of their bits.
 FILTERS = "ABCDE"
 #: Characters of filter D (fixed by the result contract).
@@ -38,32 +44,41 @@ SYMBOLS = b"#$%&*|"
 UPPER = bytes(range(65, 91))
 
 
-def _narrow(values: np.ndarray) -> bytes:
-    """Unsigned integers in as few bytes each as the largest needs; the reader knows how many there are."""
-    top = int(values.max(initial=0))
-    return values.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32).tobytes()
+def _pack(values: np.ndarray) -> bytes:
+    """Unsigned integers below 2^32, byte plane by byte plane: the high ones are mostly zeros and compress away."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
 
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
-def _widen(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, {0: np.uint8, 1: np.uint8, 2: np.uint16, 4: np.uint32}[len(raw) // n if n else 0]).astype(np.int64)
+
+def _list(values: pa.Array) -> pa.ListArray:
+    """One row that holds all values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def local_shards(docs: DataFrame) -> DataFrame:
     """Rows of the matrix in shards, each with the words of its own columns: written once, in the shared folder.
 
     Per shard: ``shard``, the arrays ``doc_id``, ``part``, ``text_hash``, ``flags`` (bits of C and D) and ``row_size``
-    (non-zeros of each row), ``indices`` and ``counts`` (packed integers), and ``words``.
+    (non-zeros of each row), ``indices`` and ``counts`` (packed integers), and ``words``: the column's words by bucket, in the
+    order of the columns, each bucket's as one text with a line feed between words (no word holds one).
     """
     docs = docs_with(docs, "doc_id", "text", "lang")
     id_type = docs.schema["doc_id"].dataType
     text = F.coalesce("text", F.lit(""))
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    n_buckets = max(1, -(-size // BUCKET_BYTES))
     source = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("part"), text.alias("text"),
                          F.unhex(F.sha2(text, 256)).alias("text_hash"))
     array = lambda t: T.ArrayType(t)
+    bucket = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("n", T.IntegerType()),
+                           T.StructField("joined", T.StringType())])
     schema = T.StructType([T.StructField(n, t) for n, t in (
         ("shard", T.LongType()), ("doc_id", array(id_type)), ("part", array(T.StringType())),
         ("text_hash", array(T.BinaryType())), ("flags", array(T.IntegerType())), ("row_size", array(T.LongType())),
-        ("indices", T.BinaryType()), ("counts", T.BinaryType()), ("words", array(T.StringType())))])
+        ("indices", T.BinaryType()), ("counts", T.BinaryType()), ("words", array(bucket)))])
 
     def encode(batches):
         from pyspark import TaskContext
@@ -71,15 +86,22 @@ def local_shards(docs: DataFrame) -> DataFrame:
         kept, codes, bits, sizes, index, counts, held = [], {}, [], [], [], [], 0
 
         def close():
-            one = lambda values, t: pa.array([values], pa.list_(t))
             rows = pa.Table.from_batches(kept).combine_chunks()
-            whole = lambda c: pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows[c].combine_chunks())
-            flat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+            flat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+            words = list(codes)
+            deal = np.fromiter((zlib.crc32(w) % n_buckets for w in words), np.int64, len(words))
+            order = np.argsort(deal, kind="stable")
+            column = np.empty(len(words), np.uint32)
+            column[order] = np.arange(len(words), dtype=np.uint32)
+            numbers, starts, ns = np.unique(deal[order], return_index=True, return_counts=True)
+            texts = [b"\n".join(words[k] for k in order[a:a + n]).decode() for a, n in zip(starts, ns)]
+            by_bucket = pa.StructArray.from_arrays(
+                [pa.array(numbers, pa.int64()), pa.array(ns, pa.int32()), pa.array(texts, pa.string())], ["bucket", "n", "joined"])
             return pa.RecordBatch.from_arrays(
-                [pa.array([shard]), whole("doc_id"), whole("part"), whole("text_hash"), one(bits, pa.int32()),
-                 one(sizes, pa.int64()), pa.array([_narrow(flat(index))], pa.binary()),
-                 pa.array([_narrow(flat(counts))], pa.binary()), one([w.decode() for w in codes], pa.string())],
-                names=schema.names)
+                [pa.array([shard]), *(_list(rows[c].combine_chunks()) for c in ("doc_id", "part", "text_hash")),
+                 _list(pa.array(bits, pa.int32())), _list(pa.array(sizes, pa.int64())),
+                 pa.array([_pack(column[flat(index)])], pa.binary()), pa.array([_pack(flat(counts))], pa.binary()),
+                 _list(by_bucket)], names=schema.names)
 
         for batch in batches:
             done = 0
@@ -90,8 +112,8 @@ def local_shards(docs: DataFrame) -> DataFrame:
                 upper = len(raw) - len(raw.translate(None, UPPER))
                 bits.append((100 * upper > 3 * len(text)) << 2 | (len(raw) > len(raw.translate(None, SYMBOLS))) << 3)
                 sizes.append(len(found))
-                index.append(np.fromiter((codes.setdefault(w, len(codes)) for w in found), np.int64, len(found)))
-                counts.append(np.fromiter(found.values(), np.int64, len(found)))
+                index.append(np.fromiter((codes.setdefault(w, len(codes)) for w in found), np.uint32, len(found)))
+                counts.append(np.fromiter(found.values(), np.uint32, len(found)))
                 held += len(raw)
                 if held >= SHARD_BYTES or i == batch.num_rows - 1:
                     kept.append(batch.select(["doc_id", "part", "text_hash"]).slice(done, i + 1 - done))
@@ -106,36 +128,44 @@ def local_shards(docs: DataFrame) -> DataFrame:
     return staged(source.mapInArrow(encode, schema), "matrix")
 
 
+def _by_bucket(shards: DataFrame) -> DataFrame:
+    return shards.select("shard", F.inline("words")).groupBy("bucket")
+
+
+def _numbered(rows: pa.Table):
+    """Numbers of the words of one bucket, in the order in which they first occur: per shard its numbers, and the dictionary."""
+    rows, known = rows.sort_by("shard"), {}
+    numbers = [np.fromiter((known.setdefault(w, len(known)) for w in text.as_py().split("\n")), np.uint32, n.as_py())
+               for text, n in zip(rows["joined"], rows["n"])]
+    return rows, numbers, known
+
+
 def dictionary(shards: DataFrame) -> DataFrame:
-    """Every distinct word of all shards once, numbered from 0 without gaps: ``word``, ``word_id``."""
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("at", T.LongType()),
-                           T.StructField("deal", T.IntegerType())])
+    """Every distinct word of all shards once, with its global id: ``word``, ``word_id``."""
+    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("word_id", T.LongType())])
 
-    def number(batches):
-        from pyspark import TaskContext
-        at, deal = 0, TaskContext.get().partitionId()
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.arange(at, at + batch.num_rows)),
-                 pa.array(np.full(batch.num_rows, deal, np.int32))], names=schema.names)
-            at += batch.num_rows
-
-    numbered = staged(words.mapInArrow(number, schema), "words")
-    # one row a task that wrote words
-    before = Window.orderBy("deal").rowsBetween(Window.unboundedPreceding, -1)
-    first = numbered.groupBy("deal").count().select(
-        "deal", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
-    return numbered.join(F.broadcast(first), "deal").select("word", (F.col("first") + F.col("at")).alias("word_id"))
-
-
-def term_matrix(shards: DataFrame, words: DataFrame) -> DataFrame:
-    """The shards in global word numbers: rows sorted by ``indices`` (array of word ids), ``counts`` beside them."""
-    local = shards.select("shard", F.posexplode("words").alias("at", "word"))
-    ids = (local.join(words, "word").groupBy("shard")
-           .agg(F.sort_array(F.collect_list(F.struct("at", "word_id"))).alias("ids")))
-    joined = shards.withColumn("n_words", F.size("words")).drop("words").join(
-        ids.select("shard", F.col("ids.word_id").alias("ids")), "shard", "left")
+    def words(key, rows):
+        known = _numbered(rows)[2]
+        first = key[0].as_py() << 32
+        return pa.table([pa.array(list(known), pa.string()), pa.array(np.arange(first, first + len(known)))], names=schema.names)
+
+    return _by_bucket(shards).applyInArrow(words, schema)
+
+
+def term_matrix(shards: DataFrame) -> DataFrame:
+    """The shards in global word ids: rows sorted by ``indices`` (array of word ids), ``counts`` beside them."""
+    ids_schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("bucket", T.LongType()),
+                               T.StructField("ids", T.BinaryType())])
+
+    def number(key, rows):
+        rows, numbers, _ = _numbered(rows)
+        return pa.table([rows["shard"], rows["bucket"], pa.array([_pack(n) for n in numbers], pa.binary())],
+                        names=ids_schema.names)
+
+    ids = _by_bucket(shards).applyInArrow(number, ids_schema).groupBy("shard").agg(
+        F.sort_array(F.collect_list(F.struct("bucket", "ids"))).alias("ids"))
+    joined = shards.withColumn("n_words", F.aggregate("words", F.lit(0), lambda n, w: n + w["n"])).drop("words").join(
+        ids, "shard", "left")
     kept = ["shard", "doc_id", "part", "text_hash", "flags", "row_size"]
     schema = T.StructType([*(shards.schema[c] for c in kept), T.StructField("indices", T.ArrayType(T.LongType())),
                            T.StructField("counts", T.ArrayType(T.LongType()))])
@@ -145,15 +175,14 @@ def term_matrix(shards: DataFrame, words: DataFrame) -> DataFrame:
             for row in range(batch.num_rows):
                 get = lambda c: batch.column(c)[row]  # noqa: B023, E731
                 sizes = np.asarray(get("row_size").values, np.int64)
-                ids = np.asarray(get("ids").values if get("ids").is_valid else [], np.int64)
+                buckets = get("ids").as_py() or []
+                ids = np.concatenate([(b["bucket"] << 32) + _unpack(b["ids"]) for b in buckets] or [np.zeros(0, np.int64)])
                 if len(ids) != get("n_words").as_py():
                     raise ValueError("a word of a shard is not in the dictionary")
-                n = int(sizes.sum())
-                columns = ids[_widen(get("indices").as_py(), n)]
+                columns = ids[_unpack(get("indices").as_py())]
                 of_row = np.repeat(np.arange(len(sizes)), sizes)
                 order = np.lexsort((columns, of_row))
-                out = [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.array(v[order]))
-                       for v in (columns, _widen(get("counts").as_py(), n))]
+                out = [_list(pa.array(v[order])) for v in (columns, _unpack(get("counts").as_py()))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(row, 1) for c in kept), *out], names=schema.names)
 
     return joined.mapInArrow(rewrite, schema)
@@ -190,7 +219,7 @@ def failures(docs: DataFrame, min_words: int = 200, min_distinct: int = 50) -> D
     A: fewer than ``min_words`` words. B: fewer than ``min_distinct`` distinct words of a hundred.
     """
     shards = local_shards(docs)
-    rows = row_totals(term_matrix(shards, dictionary(shards)))
+    rows = row_totals(term_matrix(shards))
     few = (F.col("n_words") < min_words).cast("int")
     same = (100 * F.col("n_distinct") < min_distinct * F.col("n_words")).cast("int") * 2
     return rows.select("doc_id", "part", "text_hash", (F.col("flags") + few + same).alias("mask"))

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from stresscast.llm.common import docs_with, staged
 
 #: UTF-8 bytes of text in a shard before it is closed (a longer text is a shard of its own length).
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: UTF-8 bytes of text for each bucket of the dictionary.
 BUCKET_BYTES = 4 << 20
 #: The filters in the order of their bits.
@@ -152,20 +152,33 @@ def dictionary(shards: DataFrame) -> DataFrame:
     return _by_bucket(shards).applyInArrow(words, schema)
 
 
-def term_matrix(shards: DataFrame) -> DataFrame:
-    """The shards in global word ids: rows sorted by ``indices`` (array of word ids), ``counts`` beside them."""
-    ids_schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("bucket", T.LongType()),
-                               T.StructField("ids", T.BinaryType())])
+def _with_ids(shards: DataFrame) -> DataFrame:
+    """The shards, each with the global ids of its columns by bucket in place of its words."""
+    schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("bucket", T.LongType()),
+                           T.StructField("ids", T.BinaryType())])
 
     def number(key, rows):
         rows, numbers, _ = _numbered(rows)
-        return pa.table([rows["shard"], rows["bucket"], pa.array([_pack(n) for n in numbers], pa.binary())],
-                        names=ids_schema.names)
+        return pa.table([rows["shard"], rows["bucket"], pa.array([_pack(n) for n in numbers], pa.binary())], names=schema.names)
 
-    ids = _by_bucket(shards).applyInArrow(number, ids_schema).groupBy("shard").agg(
+    ids = _by_bucket(shards).applyInArrow(number, schema).groupBy("shard").agg(
         F.sort_array(F.collect_list(F.struct("bucket", "ids"))).alias("ids"))
-    joined = shards.withColumn("n_words", F.aggregate("words", F.lit(0), lambda n, w: n + w["n"])).drop("words").join(
+    return shards.withColumn("n_words", F.aggregate("words", F.lit(0), lambda n, w: n + w["n"])).drop("words").join(
         ids, "shard", "left")
+
+
+def _entries(batch: pa.RecordBatch, row: int):
+    """One shard in global ids: non-zeros of each row, column ids and counts of all entries."""
+    get = lambda c: batch.column(c)[row]
+    buckets = get("ids").as_py() or []
+    ids = np.concatenate([(b["bucket"] << 32) + _unpack(b["ids"]) for b in buckets] or [np.zeros(0, np.int64)])
+    if len(ids) != get("n_words").as_py() or len(np.unique(ids)) != len(ids):
+        raise ValueError("the words of a shard have no global ids of their own")
+    return np.asarray(get("row_size").values, np.int64), ids[_unpack(get("indices").as_py())], _unpack(get("counts").as_py())
+
+
+def term_matrix(shards: DataFrame) -> DataFrame:
+    """The shards in global word ids: rows sorted by ``indices`` (array of word ids), ``counts`` beside them."""
     kept = ["shard", "doc_id", "part", "text_hash", "flags", "row_size"]
     schema = T.StructType([*(shards.schema[c] for c in kept), T.StructField("indices", T.ArrayType(T.LongType())),
                            T.StructField("counts", T.ArrayType(T.LongType()))])
@@ -173,24 +186,20 @@ def term_matrix(shards: DataFrame) -> DataFrame:
     def rewrite(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                get = lambda c: batch.column(c)[row]  # noqa: B023, E731
-                sizes = np.asarray(get("row_size").values, np.int64)
-                buckets = get("ids").as_py() or []
-                ids = np.concatenate([(b["bucket"] << 32) + _unpack(b["ids"]) for b in buckets] or [np.zeros(0, np.int64)])
-                if len(ids) != get("n_words").as_py():
-                    raise ValueError("a word of a shard is not in the dictionary")
-                columns = ids[_unpack(get("indices").as_py())]
-                of_row = np.repeat(np.arange(len(sizes)), sizes)
-                order = np.lexsort((columns, of_row))
-                out = [_list(pa.array(v[order])) for v in (columns, _unpack(get("counts").as_py()))]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(row, 1) for c in kept), *out], names=schema.names)
-
-    return joined.mapInArrow(rewrite, schema)
-
-
-def row_totals(matrix: DataFrame) -> DataFrame:
-    """Per document: ``doc_id``, ``part``, ``text_hash``, ``flags``, ``n_words`` (row sum), ``n_distinct`` (non-zeros)."""
-    element = lambda c: matrix.schema[c].dataType.elementType
+                sizes, columns, counts = _entries(batch, row)
+                order = np.lexsort((columns, np.repeat(np.arange(len(sizes)), sizes)))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(row, 1) for c in kept),
+                                                  *(_list(pa.array(v[order])) for v in (columns, counts))], names=schema.names)
+
+    return _with_ids(shards).mapInArrow(rewrite, schema)
+
+
+def row_totals(shards: DataFrame) -> DataFrame:
+    """Per document: ``doc_id``, ``part``, ``text_hash``, ``flags``, ``n_words`` (row sum), ``n_distinct`` (non-zeros).
+
+    The totals are taken where the shard gets its global ids, so the entries do not travel back and forth.
+    """
+    element = lambda c: shards.schema[c].dataType.elementType
     kept = ["doc_id", "part", "text_hash", "flags"]
     schema = T.StructType([*(T.StructField(c, element(c)) for c in kept), T.StructField("n_words", T.LongType()),
                            T.StructField("n_distinct", T.LongType())])
@@ -198,19 +207,14 @@ def row_totals(matrix: DataFrame) -> DataFrame:
     def total(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                values = lambda c: batch.column(c)[row].values  # noqa: B023, E731
-                ends = np.concatenate([[0], np.cumsum(np.asarray(values("row_size"), np.int64))])
-                running = lambda v: np.concatenate([[0], np.cumsum(v)])
-                counts, columns = np.asarray(values("counts"), np.int64), np.asarray(values("indices"), np.int64)
-                new = np.ones(len(columns), bool)
-                new[1:] = columns[1:] != columns[:-1]
-                new[ends[:-1][ends[:-1] < len(columns)]] = True
-                sums, nonzero = running(counts), running(new & (counts > 0))
+                sizes, _, counts = _entries(batch, row)  # the columns of a row are different ones
+                ends = np.cumsum(sizes)
+                sums, nonzero = (np.concatenate([[0], np.cumsum(v)]) for v in (counts, counts > 0))
                 yield pa.RecordBatch.from_arrays(
-                    [*(values(c) for c in kept), pa.array(sums[ends[1:]] - sums[ends[:-1]]),
-                     pa.array(nonzero[ends[1:]] - nonzero[ends[:-1]])], names=schema.names)
+                    [*(batch.column(c)[row].values for c in kept), pa.array(sums[ends] - sums[ends - sizes]),
+                     pa.array(nonzero[ends] - nonzero[ends - sizes])], names=schema.names)
 
-    return matrix.select(*kept, "row_size", "indices", "counts").mapInArrow(total, schema)
+    return _with_ids(shards).mapInArrow(total, schema)
 
 
 def failures(docs: DataFrame, min_words: int = 200, min_distinct: int = 50) -> DataFrame:
@@ -219,7 +223,7 @@ def failures(docs: DataFrame, min_words: int = 200, min_distinct: int = 50) -> D
     A: fewer than ``min_words`` words. B: fewer than ``min_distinct`` distinct words of a hundred.
     """
     shards = local_shards(docs)
-    rows = row_totals(term_matrix(shards))
+    rows = row_totals(shards)
     few = (F.col("n_words") < min_words).cast("int")
     same = (100 * F.col("n_distinct") < min_distinct * F.col("n_words")).cast("int") * 2
     return rows.select("doc_id", "part", "text_hash", (F.col("flags") + few + same).alias("mask"))

@@ -2,9 +2,9 @@
 
 All of them are ``groupBy().agg()`` with built-in aggregate functions, so
 Spark plans partial (map-side) aggregation before the shuffle; a hot group
-key is combined on every mapper first. Exact medians/percentiles keep value
-counts per group; they are exact by contract (``approx=True`` trades that for
-``percentile_approx`` where groups are unbounded).
+key is combined on every mapper first. Medians and quartiles are exact and come
+from ranks over ranges of value counts (``operators/ranks.py``): no buffer or
+task holds the values of a group.
 """
 
 from __future__ import annotations
@@ -15,49 +15,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stresscast.functions.scalar import c_to_f, strip_ws, to_date_lenient, to_double
+from stresscast.operators.ranks import counted_ranges, join_null_safe, medians, quantiles_of
 
 REGION_DAILY_COLS = ("pipeline", "region_id", "date", "n_stations_used", "tavg_c_median", "tavg_f_median",
                      "hdd_median", "tavg_c_mean", "tavg_f_mean", "hdd_mean")
 
 
-def _median(c: str, approx: bool) -> Column:
-    return F.percentile_approx(c, 0.5, 100000) if approx else F.median(c)
-
-
 def aggregate_region_daily(station_day: DataFrame, keys: Sequence[str] = ("pipeline", "region_id"),
-                           station_col: str = "ghcnd_station_id", approx: bool = False,
-                           stations_unique: bool = False) -> DataFrame:
+                           station_col: str = "ghcnd_station_id", stations_unique: bool = False) -> DataFrame:
     """A1: per (keys, date) over stations with a temperature.
 
     Rows without ``tavg_c`` are dropped; distinct stations, median and mean of
     tavg_c and hdd, Fahrenheit of the median and the mean. ``stations_unique``
-    states that the input has at most one row per (station, date) (e.g. it is
-    the output of a group-by on those keys); the distinct count is then a
-    plain count, which saves the extra aggregation level Spark plans for a
-    DISTINCT aggregate. The result is the same.
+    states that the input has at most one row with a station per (station, date) (e.g. it is
+    the output of a group-by on those keys); the number of stations is then the number of
+    rows and the input is read once. Otherwise stations are counted in a second pass over
+    the station column. The result is the same.
     """
-    keys = list(keys)
+    by = [*keys, "date"]
     v = station_day.where(F.col("tavg_c").isNotNull())
-    n_st = F.count(F.col(station_col)) if stations_unique else F.count_distinct(station_col)
-    g = v.groupBy(*keys, "date").agg(
-        n_st.alias("n_stations_used"),
-        _median("tavg_c", approx).alias("tavg_c_median"),
-        F.avg("tavg_c").alias("tavg_c_mean"),
-        _median("hdd", approx).alias("hdd_median"),
-        F.avg("hdd").alias("hdd_mean"),
-    )
-    return g.select(*keys, "date", F.col("n_stations_used").cast("bigint").alias("n_stations_used"),
+    g = medians(v, ["tavg_c", "hdd"], by)
+    if stations_unique:
+        g = g.withColumn("n_stations_used", F.col("tavg_c_n"))
+    else:
+        g = join_null_safe(g, v.groupBy(*by).agg(F.count_distinct(station_col).alias("n_stations_used")), by)
+    return g.select(*by, F.col("n_stations_used").cast("bigint").alias("n_stations_used"),
                     "tavg_c_median", c_to_f("tavg_c_median").alias("tavg_f_median"), "hdd_median",
                     "tavg_c_mean", c_to_f("tavg_c_mean").alias("tavg_f_mean"), "hdd_mean")
 
 
 def capacity_daily_median(cap: DataFrame, keys: Sequence[str] = ("pipeline",), date_col: str = "Post_Date",
-                          qty_col: str = "All_Qty_Avail", approx: bool = False) -> DataFrame:
+                          qty_col: str = "All_Qty_Avail") -> DataFrame:
     """A2: daily median of the available quantity; bad dates dropped, bad numbers ignored."""
-    keys = list(keys)
+    by = [*keys, "date"]
     d = cap.select(*keys, to_date_lenient(strip_ws(F.col(date_col).cast("string"))).alias("date"),
                    to_double(strip_ws(F.col(qty_col).cast("string"))).alias("_q")).where(F.col("date").isNotNull())
-    return d.groupBy(*keys, "date").agg(_median("_q", approx).alias("all_qty_avail_median"))
+    return medians(d, ["_q"], by).select(*by, F.col("_q_median").alias("all_qty_avail_median"))
 
 
 def fit_scalers(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -84,31 +77,30 @@ def exceed_prob(col, threshold: float) -> Column:
 DESCRIBE_COLS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def describe(df: DataFrame, col: str, keys: Sequence[str] = (), approx: bool = False) -> DataFrame:
+def describe(df: DataFrame, col: str, keys: Sequence[str] = ()) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max.
 
-    Quartiles are exact by default through :func:`exact_quantiles` (distributed;
-    no group's values are gathered in one task); ``approx=True`` uses
-    ``percentile_approx``. Not ``DataFrame.summary()``, whose quantiles are
-    approximate.
+    All from one table of value counts (``operators/ranks.py``), so the input is read
+    once. A key without values has count 0 and NULL statistics; without keys there is always one row. Not
+    ``DataFrame.summary()``, whose quantiles are approximate.
     """
     keys = list(keys)
-    x = F.col(col)
-    base = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"), F.max(x).alias("max")]
-    if approx:
-        g = df.groupBy(*keys).agg(*base, F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).alias("_q"))
-        g = g.select("*", *[F.col("_q")[i].alias(f"_p{i}") for i in range(3)])
-    else:
-        from stresscast.operators.joins import attach_row
-        from stresscast.operators.quantiles import exact_quantiles
-        g = df.groupBy(*keys).agg(*base)
-        q = exact_quantiles(df, col, [0.25, 0.5, 0.75], keys, prefix="_p")
-        g = g.join(q, keys, "left") if keys else attach_row(g, q)
-    return g.select(*keys, F.col("count").cast("bigint").alias("count"), "mean", "std",
-                    F.col("min").cast("double").alias("min"), F.col("_p0").cast("double").alias("p25"),
-                    F.col("_p1").cast("double").alias("p50"), F.col("_p2").cast("double").alias("p75"),
-                    F.col("max").cast("double").alias("max"))
+    x, c, n = F.col("_x"), F.col("_c"), F.col("count")
+    # a row without a value is kept with weight 0, so that its key is in the result
+    weighted = df.select(*keys, F.coalesce(F.col(col).cast("double"), F.lit(0.0)).alias("_x"),
+                         F.col(col).isNotNull().cast("long").alias("_w"))
+    table = counted_ranges(weighted, keys, "_x", {"_c": F.sum("_w")})
+    known = F.when(c > 0, x)
+    base = table.groupBy(*keys).agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("count"), F.sum(x * c).alias("_sum"),
+                                    F.min(known).alias("min"), F.max(known).alias("max"))
+    base = base.withColumn("mean", F.col("_sum") / F.nullif(n, F.lit(0)))
+    spread = join_null_safe(table, base.select(*keys, "mean"), keys).groupBy(*keys).agg(
+        F.sum(c * F.pow(x - F.col("mean"), 2)).alias("_squares"))
+    quartiles = quantiles_of(table.where("_c > 0"), keys, "_x", [0.25, 0.5, 0.75], "_c", "_p").drop("_c_all")
+    g = join_null_safe(join_null_safe(base, spread, keys, "left"), quartiles, keys, "left")
+    return g.select(*keys, n.cast("bigint").alias("count"), "mean",
+                    F.when(n > 1, F.sqrt(F.col("_squares") / (n - 1))).alias("std"), "min",
+                    F.col("_p0").alias("p25"), F.col("_p1").alias("p50"), F.col("_p2").alias("p75"), "max")
 
 
 def grouped_mean(df: DataFrame, by: Sequence[str], col: str, name: str | None = None) -> DataFrame:

@@ -1,66 +1,34 @@
 """Exact ROC AUC as a distributed DataFrame plan (A10).
 
 AUC = sum over positives of (negatives with a lower score + half the negatives
-with an equal score) / (P * N), the rank statistic with ties at mid-rank.
-
-Plan (no global ordered window, nothing collected):
-
-1. ``groupBy(keys, score)`` -> positives and negatives per distinct score
-   (partial aggregation, so a score value held by a third of all rows is one
-   row after the map side).
-2. Scores are cut into ``n_buckets`` ordered ranges by approximate quantile
-   edges (edges only balance the work; the result stays exact).
-3. Per (keys, bucket) negative totals -> a running sum over buckets gives the
-   negatives in all lower buckets (a table of keys x buckets rows).
-4. Within each (keys, bucket) a running sum over distinct scores gives the
-   negatives below each score inside its bucket.
+with an equal score) / (P * N), the rank statistic with ties at mid-rank. The
+negatives below a score are its range's offset within the key plus a running sum
+inside the range (``operators/ranks.py``); the input is read once, nothing is
+collected and no window is unbounded.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _bucket_expr(score: str, edges: list[float]):
-    """Index of the range a score falls into, by binary search over sorted edges."""
-    if not edges:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(e)) for e in edges])
-    # number of edges strictly below the score = bucket index
-    return F.size(F.filter(arr, lambda e: e < F.col(score)))
+from stresscast.operators.ranks import RANGE, counted_ranges, join_null_safe, range_totals, running_before
 
 
-def exact_auc(df: DataFrame, score: str = "score", label: str = "outcome", keys: Sequence[str] = (),
-              n_buckets: int = 64) -> DataFrame:
+def exact_auc(df: DataFrame, score: str = "score", label: str = "outcome", keys: Sequence[str] = ()) -> DataFrame:
     """One row per key: ``auc``, ``n_pos``, ``n_neg``. NULL scores/labels are left out.
 
-    AUC is NULL when a key has only one class (undefined).
+    AUC is NULL when a key has only one class (undefined). Without keys an input without rows gives one row.
     """
     keys = list(keys)
-    d = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    per_score = d.groupBy(*keys, score).agg(
-        F.sum(F.col(label).cast("long")).alias("_p"),
-        F.sum((1 - F.col(label).cast("long"))).alias("_n"))
-    edges: list[float] = []
-    if n_buckets > 1:
-        qs = [i / n_buckets for i in range(1, n_buckets)]
-        got = per_score.approxQuantile(score, qs, 0.001)
-        edges = sorted(set(got))
-    b = per_score.withColumn("_b", _bucket_expr(score, edges))
-    wb = Window.partitionBy(*keys).orderBy("_b")
-    bucket_tot = (b.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-                  .withColumn("_below_b", F.coalesce(F.sum("_bn").over(
-                      wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                  .drop("_bn"))
-    ws = Window.partitionBy(*keys, "_b").orderBy(score)
-    within = b.withColumn("_below_s", F.coalesce(F.sum("_n").over(
-        ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    j = within.join(bucket_tot, keys + ["_b"])
-    contrib = F.col("_p") * (F.col("_below_b") + F.col("_below_s") + F.col("_n") * 0.5)
-    g = j.groupBy(*keys).agg(F.sum(contrib).alias("_u"), F.sum("_p").alias("n_pos"), F.sum("_n").alias("n_neg"))
+    y = F.col(label).cast("long")
+    table = counted_ranges(df.where(F.col(label).isNotNull()), keys, score, {"_p": F.sum(y), "_n": F.sum(1 - y)})
+    offsets = range_totals(table, keys, ["_n"]).select(*keys, RANGE, "_n_before")
+    rows = join_null_safe(table.withColumn("_below", running_before(keys, score, "_n")), offsets, [*keys, RANGE])
+    wins = F.col("_p") * (F.col("_n_before") + F.col("_below") + F.col("_n") * 0.5)
+    g = rows.groupBy(*keys).agg(F.sum(wins).alias("_u"), F.sum("_p").alias("n_pos"), F.sum("_n").alias("n_neg"))
     return g.select(*keys, F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
                                   F.col("_u") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"),
                     F.col("n_pos").cast("bigint").alias("n_pos"), F.col("n_neg").cast("bigint").alias("n_neg"))

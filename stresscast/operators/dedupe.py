@@ -38,12 +38,13 @@ def ensure_daily(df: DataFrame, keys: Sequence[str] = (), date_col: str = "date"
                  tie_breakers: Sequence = ()) -> DataFrame:
     """Lenient date, drop null dates, one row per (keys, date), last wins.
 
-    "Last" follows ``tie_breakers`` (e.g. an ingest time); the source system's
-    unstable sort made this arbitrary (§8 Q12).
+    "Last" follows ``tie_breakers`` (e.g. an ingest time), without them the other
+    columns in their order; the source system's unstable sort made this
+    arbitrary (§8 Q12).
     """
     from stresscast.functions.scalar import to_date_lenient
     d = df.withColumn(date_col, to_date_lenient(date_col)).where(F.col(date_col).isNotNull())
-    order = list(tie_breakers) or [F.lit(0)]
+    order = list(tie_breakers) or [c for c in d.columns if c != date_col and c not in keys]
     return keep_last(d, list(keys) + [date_col], order)
 
 

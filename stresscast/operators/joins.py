@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a single-row table (e.g. global statistics) to every row.
 
-    A one-row product: Spark plans it as a nested-loop join with the single row broadcast, so
-    rows pass through one by one and none is added.
+    The row is a scalar subquery: it is computed once and becomes a constant of the projection. An empty table
+    gives NULLs, more than one row is an error.
     """
-    return df.join(F.broadcast(one_row))
+    row = one_row.select(F.struct(*one_row.columns).alias("_row")).scalar()
+    return df.withColumn("_row", row).select(*df.columns, *[F.col("_row")[c].alias(c) for c in one_row.columns])
 
 
 def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str] | str, how: str = "left") -> DataFrame:

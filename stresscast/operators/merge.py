@@ -4,12 +4,17 @@ Semantics of the source's per-document upsert, re-expressed as one join:
 
 * incoming rows with an absent/NULL/empty key field are not merged; they are
   appended as they are (``_action = 'unkeyed'``) so nothing is lost;
-* several incoming rows with the same key: the latest by ``order_cols`` wins
-  (order columns are batch metadata, not stored fields; without them, arrival
-  order), so the result always has one row per key;
+* several incoming rows with the same key: the latest by ``order_cols`` wins, so
+  the result always has one row per key (order columns given by name are batch
+  metadata and not stored; expressions leave the columns as fields). The order is
+  required, so that the winner never depends on the order of arrival;
 * only fields *present in the batch* are set: a column missing from the
   incoming schema, or not listed in a row's ``fields_col`` array, keeps the
   stored value; a present field that is NULL overwrites with NULL;
+* nested documents are merged field by field at any depth: a struct of the batch
+  sets its own fields and keeps the stored ones it lacks (``fields_col`` may name single
+  fields as ``struct.field``; a struct named itself is present with all its fields). A present
+  struct that is NULL as a whole overwrites with NULL;
 * ``created_at_utc`` is set on first insert and kept afterwards;
   ``updated_at`` is refreshed for every matched or inserted key;
 * ``_action``: insert / update (some value changed) / unchanged / keep
@@ -26,11 +31,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from stresscast.operators.dedupe import keep_last
 
 META = ("created_at_utc", "updated_at")
 
+#: Values of ``_action`` and what their number is called.
+ACTIONS = {"insert": "inserted", "update": "modified", "unchanged": "unchanged", "keep": "kept", "unkeyed": "unkeyed"}
+
 
 def bad_key(keys: Sequence[str], fields_col: str | None = None, columns: Sequence[str] = ()) -> Column:
     """Row predicate: some key field is absent, NULL or empty text."""
@@ -46,8 +55,54 @@ def bad_key(keys: Sequence[str], fields_col: str | None = None, columns: Sequenc
     return cond
 
 
+def _same(old: DataType | None, new: DataType | None) -> bool:
+    """Whether merging leaves the stored type as it is, so that old and new value can be compared."""
+    if old is None or new is None:
+        return True
+    if isinstance(old, StructType) and isinstance(new, StructType):
+        names = set(old.fieldNames())
+        return all(f.name in names and _same(old[f.name].dataType, f.dataType) for f in new)
+    return old == new or not isinstance(old, StructType) and not isinstance(new, StructType)
+
+
+def merged_field(path: str, old: Column, old_type: DataType | None, new: Column, new_type: DataType, matched: Column,
+                 fields: Column | None) -> Column:
+    """The stored value, or the incoming one where the row is matched and names the field; structs field by field."""
+    named = matched if fields is None else matched & F.array_contains(fields, path)
+    if not (isinstance(new_type, StructType) and (old_type is None or isinstance(old_type, StructType))):
+        return F.when(named, new).otherwise(old)
+    held = {f.name: f.dataType for f in old_type} if old_type is not None else {}
+    sent = {f.name: f.dataType for f in new_type}
+    # a struct that is named has all its fields named; otherwise its fields may be
+    parts, any_named = [], named
+    for name in dict.fromkeys([*held, *sent]):
+        before = old[name] if name in held else F.lit(None).cast(sent.get(name))
+        if name not in sent:
+            parts.append(before.alias(name))
+            continue
+        single = F.lit(False) if fields is None else matched & F.exists(
+            fields, lambda f, at=f"{path}.{name}": (f == at) | f.startswith(at + "."))  # noqa: B023
+        inner = None if fields is None else F.when(named, F.array_append(fields, f"{path}.{name}")).otherwise(fields)
+        parts.append(merged_field(f"{path}.{name}", before, held.get(name), new[name], sent[name], matched, inner).alias(name))
+        any_named = any_named | single
+    merged = F.struct(*parts)
+    kept = old if set(held) >= set(sent) and old_type is not None else F.when(old.isNotNull(), merged)
+    return F.when(named & new.isNull(), F.lit(None)).when(any_named, merged).otherwise(kept)
+
+
+def flattened(df: DataFrame, separator: str = "_") -> DataFrame:
+    """Every field of every struct as a column of its own (``struct_field``); the order of fields is kept."""
+    def leaves(column: Column, data_type: DataType, name: str):
+        if not isinstance(data_type, StructType):
+            return [column.alias(name)]
+        return [leaf for f in data_type for leaf in leaves(column[f.name], f.dataType, f"{name}{separator}{f.name}")]
+    return df.select(*[leaf for f in df.schema for leaf in leaves(F.col(f"`{f.name}`"), f.dataType, f.name)])
+
+
 def keyed_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], now,
-                order_cols: Sequence = (), fields_col: str | None = None) -> DataFrame:
+                order_cols: Sequence, fields_col: str | None = None) -> DataFrame:
+    if not order_cols:
+        raise ValueError("order_cols must say which of several rows of a key wins")
     keys = list(keys)
     now_c = F.lit(now).cast("timestamp_ntz")
     order_names = {c for c in order_cols if isinstance(c, str)}
@@ -57,10 +112,7 @@ def keyed_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], n
     bad = bad_key(keys, fields_col, incoming.columns)
     unkeyed = incoming.where(bad)
     good = incoming.where(~bad)
-    # several rows per key: the latest wins; without an explicit order, arrival order (the
-    # batch's partition/row order) stands in for the source's document order
-    order = list(order_cols) if order_cols else [F.monotonically_increasing_id()]
-    good = keep_last(good, keys, order)
+    good = keep_last(good, keys, list(order_cols))
 
     e = existing.select(*keys, *[F.col(c).alias(f"_e_{c}") for c in value_cols if c in ex_cols],
                         *[F.col(m).alias(f"_e_{m}") if m in existing.columns else F.lit(None).cast("timestamp_ntz")
@@ -71,15 +123,16 @@ def keyed_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], n
     in_e, in_i = F.col("_in_e").isNotNull(), F.col("_in_i").isNotNull()
 
     out, changed = [], F.lit(False)
+    types = {c: (existing.schema[c].dataType if c in ex_cols else None,
+                 incoming.schema[c].dataType if c in inc_cols else None) for c in value_cols}
     for c in value_cols:
-        old = F.col(f"_e_{c}") if c in ex_cols else F.lit(None)
-        if c in inc_cols:
-            take = in_i & (F.array_contains("_i_fields", c) if fields_col else F.lit(True))
-            new = F.when(take, F.col(f"_i_{c}")).otherwise(old)
-        else:
-            new = old
-        out.append(new.alias(c))
-        changed = changed | ~old.eqNullSafe(new)
+        old, new = types[c]
+        # the incoming type decides between two simple types, as a later write does
+        old_col = F.col(f"_e_{c}") if old is not None else F.lit(None).cast(new)
+        value = old_col if new is None else merged_field(
+            c, old_col, old, F.col(f"_i_{c}"), new, in_i, F.col("_i_fields") if fields_col else None)
+        out.append(value.alias(c))
+        changed = changed | ~old_col.eqNullSafe(value) if _same(old, new) else changed | (in_i & value.isNotNull())
     created = F.when(in_e, F.col("_e_created_at_utc")).otherwise(now_c)
     created = F.when(in_i, F.coalesce(F.col("_e_created_at_utc"), now_c)).otherwise(created)
     updated = F.when(in_i, now_c).otherwise(F.col("_e_updated_at"))
@@ -95,39 +148,11 @@ def keyed_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], n
 def merge_stats(merged: DataFrame) -> DataFrame:
     """Counts per action and the source's 'upserted or modified' number."""
     a = F.col("_action")
-    return merged.agg(
-        F.sum(F.when(a == "insert", 1).otherwise(0)).cast("bigint").alias("inserted"),
-        F.sum(F.when(a == "update", 1).otherwise(0)).cast("bigint").alias("modified"),
-        F.sum(F.when(a == "unchanged", 1).otherwise(0)).cast("bigint").alias("unchanged"),
-        F.sum(F.when(a == "keep", 1).otherwise(0)).cast("bigint").alias("kept"),
-        F.sum(F.when(a == "unkeyed", 1).otherwise(0)).cast("bigint").alias("unkeyed"),
-        F.sum(F.when(a.isin("insert", "update"), 1).otherwise(0)).cast("bigint").alias("upserts_or_updates"))
+    n = lambda *of: F.sum(F.when(a.isin(*of), 1).otherwise(0)).cast("bigint")
+    return merged.agg(*[n(action).alias(name) for action, name in ACTIONS.items()],
+                      n("insert", "update").alias("upserts_or_updates"))
 
 
 def stored(merged: DataFrame) -> DataFrame:
     """The table to write back (the action column dropped)."""
     return merged.drop("_action")
-
-
-def merge_into_path(spark, table_path: str | None, incoming: DataFrame, keys: Sequence[str], now, out_path: str,
-                    order_cols: Sequence = (), fields_col: str | None = None, partition_by: Sequence[str] = ()):
-    """Merge a batch into the parquet table at ``table_path`` and write the result to ``out_path``.
-
-    Reading and overwriting one path in the same job is not possible (§9 T15),
-    so the new version goes to ``out_path`` (a fresh folder in the shared
-    checkpoint/warehouse location); the caller swaps its table pointer.
-    Returns the merge statistics.
-    """
-    if table_path:
-        existing = spark.read.parquet(table_path)
-    else:
-        existing = incoming.limit(0).drop(*([fields_col] if fields_col else []))
-    merged = keyed_merge(existing, incoming, keys, now, order_cols, fields_col).persist()
-    try:
-        w = stored(merged).write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(out_path)
-        return merge_stats(merged).first().asDict()
-    finally:
-        merged.unpersist()

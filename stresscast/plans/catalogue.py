@@ -6,6 +6,8 @@ same), so engines that sum in a different order still compare equal.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -97,7 +99,7 @@ QUERIES = {
 from stresscast.functions.scalar import to_date_lenient  # noqa: E402
 from stresscast.operators.dedupe import keep_last  # noqa: E402
 from stresscast.operators.joins import lookup, semi_filter, union_by_name  # noqa: E402
-from stresscast.operators.windows import add_lags, log_return, rolling  # noqa: E402
+from stresscast.operators.windows import add_lags, log_return, rolling, rolling_long  # noqa: E402
 from stresscast.operators.zscore import standardize  # noqa: E402
 from stresscast.plans.design import forecast_inputs, stress_design, vol_design  # noqa: E402
 from stresscast.plans.evaluate import alert_table, baseline_vs_model, reliability  # noqa: E402
@@ -142,7 +144,7 @@ def q_rolling_mean3_gated(spark, base):
 
 def q_rolling_mean1095_gated(spark, base):
     f = model_frame(spark, base)
-    return round_doubles(f.select("pipeline", "date", rolling("working_gas_bcf", 1095).alias("storage_mean_1095")))
+    return round_doubles(f.select("pipeline", "date", rolling_long("working_gas_bcf", 1095).alias("storage_mean_1095")))
 
 
 def q_stress_design(spark, base):
@@ -312,7 +314,33 @@ def q_score_stress_grid(spark, base):
                         keys=["pipeline"], id_cols=["date"], out_col="prob")
 
 
+def keyed_draws(spark, base):
+    """Fixed draws of every pipeline's own model, with a fixed variate per draw (quantiles of Student's t of 1 degree)."""
+    d, k = F.col("_d"), F.length("pipeline")
+    models = V.station_pipeline(spark, base).select("pipeline").distinct()
+    return models.select("pipeline", F.explode(F.sequence(F.lit(0), F.lit(999))).alias("_d")).select(
+        "pipeline", d.alias("draw"), ((d % 37 - 18 - k) / F.lit(1000.0)).alias("a"),
+        ((d % 7 - k) / F.lit(500.0)).alias("b_op"), ((d % 5 - 2) / F.lit(400.0)).alias("b_persist"),
+        ((d % 11 - 5) / F.lit(900.0)).alias("b_hdd"), ((d % 13 - 6) / F.lit(800.0)).alias("b_storage"),
+        ((d % 17 + 1) / F.lit(500.0)).alias("sigma"),
+        F.tan(math.pi * ((d * 7919 % 1000 + 0.5) / F.lit(1000.0) - 0.5)).alias("t"))
+
+
+def q_score_keyed_draws(spark, base):
+    """Every pipeline's points against its own model's draws."""
+    return score_points(scored_points(spark, base), keyed_draws(spark, base), ["op", "persist", "hdd", "storage"], "stress",
+                        0.4985, keys=["pipeline"], id_cols=["date"], out_col="prob")
+
+
+def q_score_vol_variates(spark, base):
+    """M8: predictive exceedance with the noise of fixed variates."""
+    return score_points(scored_points(spark, base), keyed_draws(spark, base), ["op", "persist", "hdd", "storage"], "vol",
+                        0.0213, keys=["pipeline"], id_cols=["date"], out_col="prob", variate="t")
+
+
 QUERIES.update({
+    "score_keyed_draws": q_score_keyed_draws,
+    "score_vol_variates": q_score_vol_variates,
     "log_return": q_log_return,
     "lag_features": q_lag_features,
     "rolling_sum7": q_rolling_sum7,
@@ -355,24 +383,22 @@ MERGE_EXISTING_AT = "2000-01-01 00:00:00"
 MERGE_NOW = "2001-01-01 00:00:00"
 
 
-def _price_by_status(spark, base, status_filter):
-    o = read_table(spark, base, "orders").select("o_orderdate", "o_totalprice", "o_orderstatus")
-    if status_filter is not None:
-        o = o.where(F.col("o_orderstatus") == status_filter)
-    g = o.groupBy(F.to_date("o_orderdate").alias("date")).agg((F.max("o_totalprice") / 1000.0).alias("_v"))
+def _prices_by_day(spark, base, pick):
+    o = read_table(spark, base, "orders").select("o_orderdate", "o_totalprice")
+    g = o.groupBy(F.to_date("o_orderdate").alias("date")).agg((pick("o_totalprice") / 1000.0).alias("_v"))
     return g.select(F.lit("RNGWHHD").alias("series"), "date",
                     F.when(F.dayofmonth("date") % 7 != 0, F.col("_v")).alias("henry_hub_usd_per_mmbtu"))
 
 
 def merged_prices(spark, base):
-    """Stored table = prices from fulfilled orders (first landing); batch = re-ingest of all orders
-    from 1998 on (corrections, new days; the ``units`` field is absent from the batch)."""
-    existing = (_price_by_status(spark, base, "F")
+    """Stored table = first prices (least of the day) up to 1999; batch = re-ingest of all days from 1998 on (corrections
+    by the largest of the day, new days; the ``units`` field is absent from the batch). Together they hold every order."""
+    existing = (_prices_by_day(spark, base, F.min).where(F.col("date") < F.lit("2000-01-01").cast("date"))
                 .withColumn("units", F.lit("$/MMBTU"))
                 .withColumn("created_at_utc", F.lit(MERGE_EXISTING_AT).cast("timestamp_ntz"))
                 .withColumn("updated_at", F.lit(MERGE_EXISTING_AT).cast("timestamp_ntz")))
-    batch = _price_by_status(spark, base, None).where(F.col("date") >= F.lit("1998-01-01").cast("date"))
-    return keyed_merge(existing, batch, ["series", "date"], MERGE_NOW)
+    batch = _prices_by_day(spark, base, F.max).where(F.col("date") >= F.lit("1998-01-01").cast("date"))
+    return keyed_merge(existing, batch, ["series", "date"], MERGE_NOW, [F.col("henry_hub_usd_per_mmbtu")])
 
 
 def q_keyed_merge(spark, base):
@@ -419,7 +445,7 @@ def q_normalize_storage(spark, base):
     rows = w.select(F.date_format("date", "yyyy-MM-dd").alias("period"),
                     F.coalesce(F.col("working_gas_bcf").cast("string"), F.lit("NA")).alias("value"),
                     F.lit("BCF").alias("units"), F.col("region").alias("area-name"))
-    return round_doubles(normalize_storage(rows, "lower48"))
+    return round_doubles(normalize_storage(rows, F.col("area-name")))
 
 
 def q_fit_stress(spark, base):
@@ -474,6 +500,22 @@ def q_page_detail_extract(spark, base):
     return detail_fields(extract_detail(pages, heading=Selector("article"), body=Selector("div", None)))
 
 
+#: The partition of a day's rows in the merged tables.
+MONTH = "substring(date, 1, 7)"
+
+
+def q_merge_touched_parts(spark, base):
+    """All prices as one commit, then corrections of spring 1998 as another: rows of each month and who wrote them."""
+    from stresscast.session import scratch_path
+    from stresscast.sources.manifest import merge_table, snapshot
+    root = scratch_path(spark, "parts")
+    rows = normalize_prices(energy_rows(spark, base, sequence=True), ["sequence"])
+    spring = rows.where(F.col("date").between("1998-03-01", "1998-05-31")).withColumn("sequence", F.col("sequence") + 1)
+    for at, batch in ((MERGE_EXISTING_AT, rows), (MERGE_NOW, spring)):
+        merge_table(spark, root, batch, ["series", "date"], at, ["sequence"], MONTH)
+    return snapshot(spark, root).files().groupBy("part", "version").agg(F.sum("rows").alias("rows"))
+
+
 def q_stream_ingest(spark, base):
     from stresscast.session import scratch_path
     from stresscast.streaming.ingest import ingest, read_current
@@ -484,7 +526,7 @@ def q_stream_ingest(spark, base):
     rows.withColumn("drop", F.col("sequence") % 12).write.partitionBy("drop").parquet(landing)
     schema = spark.read.parquet(landing).schema
     ingest(spark, landing, schema, lambda r: normalize_prices(r, ["sequence"]), table, ["series", "date"], ckpt, MERGE_NOW,
-           order_cols=["sequence"], max_files_per_trigger=4)
+           order_cols=["sequence"], partition_by=MONTH, max_files_per_trigger=4)
     return round_doubles(read_current(spark, table).select("series", "date", "henry_hub_usd_per_mmbtu", "sequence"))
 
 
@@ -504,6 +546,7 @@ QUERIES.update({
     "page_list_extract": q_page_list_extract,
     "page_detail_extract": q_page_detail_extract,
     "stream_ingest": q_stream_ingest,
+    "merge_touched_parts": q_merge_touched_parts,
 })
 
 
@@ -550,16 +593,6 @@ def q_region_documents(spark, base):
     return region_day_documents(region_daily(spark, base), MERGE_NOW)
 
 
-def q_run_manifest(spark, base):
-    from stresscast.sources.sinks import run_manifest
-    sd = station_day(spark, base).join(V.station_pipeline(spark, base).where(F.col("pipeline") == "europe"),
-                                       "ghcnd_station_id")
-    return run_manifest(spark, sd, pipeline="europe", region_id="r3", now=MERGE_NOW,
-                        outputs={"station_csv": "station_day.csv", "region_csv": "region_daily.csv"},
-                        date_filter={"start": None, "end": None},
-                        notes="median and mean across stations of station tavg and station HDD")
-
-
 QUERIES.update({
     "load_prices_range": q_load_prices_range,
     "load_storage_region": q_load_storage_region,
@@ -568,7 +601,6 @@ QUERIES.update({
     "load_notices_active": q_load_notices_active,
     "station_documents": q_station_documents,
     "region_documents": q_region_documents,
-    "run_manifest": q_run_manifest,
 })
 
 
@@ -725,3 +757,57 @@ QUERIES.update({
     "upsert_region_days": q_upsert_region_days,
     "upsert_storage": q_upsert_storage,
 })
+
+
+# ------------------------------------------------------ batch 7: stored documents merged by key
+def _merged_documents(stored, sent, key):
+    """Stored documents (two days of three) merged with re-sent ones (another two of three), flattened. The stored ones
+    know the provider's old name and an archive the sent ones do not speak of."""
+    from stresscast.operators.merge import flattened
+    from stresscast.sources.sinks import upsert_documents
+    day = F.dayofmonth(F.col("date").cast("date"))
+    archive = F.struct(F.lit("old").alias("provider"), F.lit("archive").alias("dataset"), F.lit("box 7").alias("shelf"))
+    existing = stored.where(day % 3 != 0).withColumn("source", archive)
+    batch = sent.where(day % 3 != 1).withColumn("source", F.struct(F.col("source.provider").alias("provider")))
+    out = upsert_documents(existing.drop("updated_at_utc"), batch, key, MERGE_NOW)
+    return round_doubles(flattened(out.withColumn("updated_at_utc", F.col("updated_at_utc").cast("timestamp_ntz"))))
+
+
+def q_merge_station_documents(spark, base):
+    from stresscast.sources.sinks import STATION_DAY_KEY, station_day_documents
+    sd = station_day(spark, base).join(V.station_pipeline(spark, base).select("ghcnd_station_id", "pipeline"),
+                                       "ghcnd_station_id")
+    meta = _station_meta_table(spark, base)
+    known = meta.where(F.col("ghcnd_station_id") > "ST5")  # the others are unknown when they are sent again
+    stored = station_day_documents(sd, meta, None, MERGE_EXISTING_AT).withColumn("tavg_c", F.col("tavg_c") + 1)
+    return _merged_documents(stored, station_day_documents(sd, known, None, MERGE_NOW), STATION_DAY_KEY)
+
+
+def q_merge_region_documents(spark, base):
+    from stresscast.sources.sinks import REGION_DAY_KEY, region_day_documents
+    rd = region_daily(spark, base)
+    stored = region_day_documents(rd, MERGE_EXISTING_AT).drop("tavg_f_mean")  # a field that came later
+    sent = region_day_documents(rd.withColumn("hdd_mean", F.col("hdd_mean") + 1), MERGE_NOW).drop("hdd_median")
+    return _merged_documents(stored, sent, REGION_DAY_KEY)
+
+
+def q_merge_price_documents(spark, base):
+    from stresscast.sources.sinks import PRICE_KEY, price_documents
+    prices = _prices_by_day(spark, base, F.max).withColumn("units", F.lit("$/MMBTU"))
+    gaps = prices.withColumn("series", F.when(F.dayofmonth("date") % 2 == 0, F.lit("")).otherwise(F.lit(None)))
+    return _merged_documents(price_documents(prices, MERGE_EXISTING_AT), price_documents(gaps.drop("units"), MERGE_NOW), PRICE_KEY)
+
+
+def q_merge_storage_documents(spark, base):
+    from stresscast.sources.sinks import STORAGE_KEY, storage_documents
+    st = V.storage_weekly(spark, base)
+    gaps = st.withColumn("series", F.when(F.dayofmonth("date") % 5 != 0, F.col("series")))  # no series, no key
+    return _merged_documents(storage_documents(st, MERGE_EXISTING_AT), storage_documents(gaps.drop("units"), MERGE_NOW), STORAGE_KEY)
+
+
+QUERIES.update({
+    "merge_station_documents": q_merge_station_documents,
+    "merge_region_documents": q_merge_region_documents,
+    "merge_price_documents": q_merge_price_documents,
+    "merge_storage_documents": q_merge_storage_documents,
+})

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stresscast.operators.joins import attach_row
-from stresscast.operators.windows import lag, rolling
+from stresscast.operators.windows import lag, rolling, rolling_long
 from stresscast.operators.zscore import scaler_std_b, z_policy_a, z_policy_b
 
 
@@ -162,7 +162,7 @@ def forecast_inputs(frame: DataFrame, keys: Sequence[str] = ("pipeline",), lates
         rolling("stress_event", 3, "mean", keys).alias("op"),
         rolling(F.abs("hh_ret"), 3, "mean", keys).alias("persist"),
         F.col("hdd_median").alias("hdd"),
-        (F.col("working_gas_bcf") - rolling("working_gas_bcf", 365 * 3, "mean", keys)).alias("storage"))
+        (F.col("working_gas_bcf") - rolling_long("working_gas_bcf", 365 * 3, "mean", keys)).alias("storage"))
     if latest_only:
         from stresscast.operators.dedupe import latest
         d = latest(d, keys, ["date"])

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from stresscast.operators.aggregates import crosstab_normalized, describe
 from stresscast.operators.auc import exact_auc
 from stresscast.operators.joins import attach_row
+from stresscast.operators.ranks import exact_quantiles, join_null_safe
 from stresscast.operators.windows import rolling
+from stresscast.session import staged
 
 
 def qcut_edges(df: DataFrame, score: str, q: int = 5, keys: Sequence[str] = ()) -> DataFrame:
     """F23 edges: linear-interpolated quantiles 0, 1/q, ..., 1 (one row per key), exact and distributed."""
-    from stresscast.operators.quantiles import exact_quantiles
     e = exact_quantiles(df, score, [i / q for i in range(q + 1)], keys, prefix="_e")
     return e.select(*keys, F.array(*[F.col(f"_e{i}") for i in range(q + 1)]).alias("_edges"))
 
@@ -67,9 +68,19 @@ def realized_exceed(ret_col: str, threshold: float = 0.02):
     return F.when(r.isNotNull(), (F.abs(r) > F.lit(threshold)).cast("int"))
 
 
-def discrimination(df: DataFrame, score: str, outcome: str, keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Grouped describe of the score by realized class, and the exact AUC."""
-    return describe(df, score, list(keys) + [outcome]), exact_auc(df, score, outcome, keys)
+def discrimination(scored: DataFrame, outcomes: DataFrame, score: str, outcome: str, keys: Sequence[str] = (),
+                   on: Sequence[str] = ("date",)) -> DataFrame:
+    """Scored rows joined to the realized outcomes, the score described per outcome, and the exact AUC beside it.
+
+    One row per key and outcome: count, mean, std, min, quartiles, max, ``auc``, ``n_pos``, ``n_neg``. Rows without a realized
+    outcome are in no class and not in the AUC, as in the source; rows without a score count in their class with
+    NULL statistics and are not in the AUC.
+    """
+    keys = list(keys)
+    known = outcomes.select(*keys, *on, outcome).where(F.col(outcome).isNotNull())
+    both = staged(scored.select(*keys, *on, score).join(known, [*keys, *on]), "scored")
+    classes = describe(both, score, [*keys, outcome])
+    return join_null_safe(classes, exact_auc(both, score, outcome, keys), keys)
 
 
 def naive_baseline(df: DataFrame, outcome: str, keys: Sequence[str] = ("pipeline",), order="date",

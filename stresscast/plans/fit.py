@@ -1,97 +1,133 @@
-"""Model fits as iterative Spark aggregations (M3, M5) and posterior draws.
+"""Model fits as iterative Spark plans (M3, M5) and posterior draws.
 
 The source draws posteriors with a single-machine NUTS sampler. Here the same
-likelihoods and priors are fitted to their posterior mode; every iteration is
-ONE grouped aggregate over the (checkpointed) design frame that returns, per
-model key, the gradient and the Hessian cells (p(p+1)/2 numbers). The driver
-only solves p x p systems per key. Posterior draws come from the Laplace
-(normal) approximation at the mode and are generated by Spark tasks, seeded
-per (key, chain).
+likelihoods and priors are fitted to their posterior mode, for all model keys
+at once, and the state of a fit is a table with one row per key:
+
+1. the design is packed once into blocks of rows of one key (``plans/blocks.py``);
+2. a pass joins the blocks to the state table by key (Spark broadcasts the state while it is small and sorts
+   both sides beyond that, splitting skewed keys), sums a vector of statistics per key, and solves each key's small
+   system in the task that holds its sums. The new state is written in the shared folder, so lineage does not
+   grow and a lost executor repeats one pass at most;
+3. the largest step is observed while the state is written; that one number is all that reaches the driver.
 
 * M3 stress: y ~ Bernoulli(sigmoid(a + b.x)), a ~ N(0, 1.5), b ~ N(0, 1); Newton.
 * M5 volatility: y ~ StudentT(nu, a + b.x, sigma), a, b ~ N(0, 0.5),
   sigma ~ HalfNormal(0.5), nu = 2 + Exponential(rate 1/10). For every nu of a
-  fixed grid, EM/IRLS steps (weights (nu+1)/(nu + r^2/sigma^2)) advance
-  together in the same aggregate; the grid's profile log posterior gives the
-  draw weights of nu. Draws carry the true nu (the +2 included, §8 Q4).
+  fixed grid, damped Newton steps in (a, b, log sigma) advance together in the
+  same pass; the grid's profile log posterior gives the draw weights of nu.
+  Draws carry the true nu (the +2 included, §8 Q4).
+
+Posterior draws come from the Laplace (normal) approximation at the mode and are
+generated by Spark tasks, seeded per (key, chain). Rows with a NULL target or
+feature are left out; a NULL key is a key of its own.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from stresscast.session import cut_lineage
+from stresscast.operators.ranks import join_null_safe
+from stresscast.plans.blocks import key_blocks, matrix
+from stresscast.session import staged
 
 # Support of nu = 2 + Exponential(0.1): the grid ends where the prior has e^-12 left beyond it.
 NU_GRID = (2.05, 2.5, 3.0, 4.0, 5.0, 7.0, 10.0, 15.0, 20.0, 30.0, 50.0, 80.0, 122.0)
-KEY_SEPARATOR = "\x1f"
 
 
-def _key_tuple(row, keys):
-    return tuple(row[k] for k in keys)
+class NotConverged(RuntimeError):
+    """A fit used up its passes; carries the number of passes and the last step."""
+
+    def __init__(self, passes: int, step: float) -> None:
+        super().__init__(f"no convergence after {passes} passes (last step {step:.3g})")
+        self.passes, self.step = passes, step
 
 
-def _key_code(kt) -> str:
-    return KEY_SEPARATOR.join("" if x is None else str(x) for x in kt)
+def _blocks(design: DataFrame, keys: Sequence[str], feats: Sequence[str], y: str) -> DataFrame:
+    """Target and features in blocks of one key; rows with a NULL are left out."""
+    d = design.select(*keys, F.col(y).cast("double").alias("_y"), *[F.col(f).cast("double").alias(f) for f in feats])
+    return staged(key_blocks(d.dropna(subset=["_y", *feats]), keys, ["_y", *feats]), "design")
 
 
-def _stats_pass(d: DataFrame, feats: Sequence[str], thetas: dict, fn, n_stats: int) -> dict:
-    """One pass over the prepared design: per-partition numpy partial sums per model key, then a sum per
-    (key, statistic) on the executors. Only keys x ``n_stats`` numbers come back.
+def iterate(blocks: DataFrame, keys: Sequence[str], start: DataFrame, width: int, n_stats: int, stats: Callable,
+            update: Callable, max_iter: int, tol: float) -> DataFrame:
+    """Passes over the blocks until no key's step exceeds ``tol``; returns the state table ``keys, state``.
 
-    ``fn(theta, Xa, y) -> 1-d array`` of additive statistics, with ``Xa`` the
-    design with a leading column of ones. ``thetas`` (one vector per key,
-    held by the driver) travels in the task closure.
+    ``start``: ``keys, state`` (array of doubles). ``stats(state, X, y)``: additive statistics of a block, with ``X`` led by a
+    column of ones. ``update(state, sums)``: the next state and the size of the step. ``width``: columns of a block.
     """
-    schema = StructType([StructField("_k", StringType()), StructField("_i", IntegerType()),
-                         StructField("_v", DoubleType())])
-    tk = {_key_code(k): np.asarray(v, float) for k, v in thetas.items()}
+    keys = list(keys)
+    kf = [blocks.schema[k] for k in keys]
+    sums_schema = StructType(kf + [StructField("i", IntegerType()), StructField("v", DoubleType())])
+    state_schema = StructType(kf + [StructField("state", ArrayType(DoubleType())), StructField("step", DoubleType())])
+
+    def block_sums(batches):
+        for batch in batches:
+            out = [stats(np.asarray(batch.column("state")[i].values, float), *_design(batch.column("block")[i], width))
+                   for i in range(batch.num_rows)]
+            row = pa.array(np.repeat(np.arange(batch.num_rows), n_stats))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k).take(row) for k in keys),
+                 pa.array(np.tile(np.arange(n_stats, dtype=np.int32), batch.num_rows)),
+                 pa.array(np.concatenate(out) if out else np.zeros(0))], names=sums_schema.names)
+
+    def solve(batches):
+        for batch in batches:
+            states, steps = [], []
+            for i in range(batch.num_rows):
+                index, value = (np.asarray(batch.column("_s")[i].values.field(f)) for f in ("i", "v"))
+                sums = np.zeros(n_stats)
+                sums[index[index >= 0]] = value[index >= 0]
+                held = index < 0  # the former state, last entry first
+                state, step = update(value[held][::-1], sums)
+                states.append(state)
+                steps.append(step)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in keys), pa.array(states, pa.list_(pa.float64())), pa.array(steps, pa.float64())],
+                names=state_schema.names)
+
+    state, step = staged(start, "fit"), math.inf
+    for _ in range(max_iter):
+        sums = join_null_safe(blocks, state.select(*keys, "state"), keys).mapInArrow(block_sums, sums_schema)
+        former = state.select(*keys, F.posexplode("state").alias("i", "v")).withColumn("i", -1 - F.col("i"))
+        total = sums.unionByName(former).groupBy(*keys, "i").agg(F.sum("v").alias("v"))
+        by_key = total.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("_s")).where("size(_s) > 0")
+        seen = Observation()
+        state = staged(by_key.mapInArrow(solve, state_schema).observe(seen, F.max("step").alias("step")), "fit")
+        step = seen.get["step"]
+        if step is None or step <= tol:  # no keys at all: nothing to fit
+            return state.select(*keys, "state")
+    raise NotConverged(max_iter, step)
 
-    def part(it):
-        acc: dict = {}
-        for pdf in it:
-            if pdf.empty:
-                continue
-            codes, names = pd.factorize(pdf["_k"])
-            Xa = np.column_stack([np.ones(len(pdf))] + [pdf[f].to_numpy(float) for f in feats])
-            y = pdf["_y"].to_numpy(float)
-            for i, k in enumerate(names):
-                at = codes == i
-                v = fn(tk[k], Xa[at], y[at])
-                acc[k] = acc[k] + v if k in acc else v
-        rows = [(k, i, float(x)) for k, v in acc.items() for i, x in enumerate(v)]
-        yield pd.DataFrame(rows, columns=["_k", "_i", "_v"])
-
-    partial = d.select("_k", "_y", *feats).mapInPandas(part, schema)
-    out: dict = {}
-    for r in partial.groupBy("_k", "_i").agg(F.sum("_v").alias("_v")).collect():
-        out.setdefault(r["_k"], np.zeros(n_stats))[r["_i"]] = r["_v"]
-    return {k: out.get(_key_code(k), np.zeros(n_stats)) for k in thetas}
-
-
-def _prepare(design: DataFrame, keys, feats, y):
-    """Target, features, keys and the key code, built once for all passes; rows with a NULL are left out."""
-    code = F.concat_ws(KEY_SEPARATOR, *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]) if keys else F.lit("")
-    d = design.select(*keys, code.alias("_k"), F.col(y).cast("double").alias("_y"),
-                      *[F.col(f).cast("double").alias(f) for f in feats])
-    d = d.dropna(subset=["_y", *feats])
-    return cut_lineage(d)
 
+def _design(block, width: int) -> tuple[np.ndarray, np.ndarray]:
+    m = matrix(block.as_py(), width)
+    return np.column_stack([np.ones(len(m)), m[:, 1:]]), m[:, 0]
 
-class NotConverged(RuntimeError):
-    """A fit used up its passes; carries the number of passes and the last step."""
 
-    def __init__(self, passes: int, step: float) -> None:
-        super().__init__(f"no convergence after {passes} passes (last step {step:.3g})")
-        self.passes, self.step = passes, step
+def _triangle(values: np.ndarray, p: int) -> np.ndarray:
+    """Symmetric matrix from its upper triangle."""
+    h = np.zeros((p, p))
+    h[np.triu_indices(p)] = values
+    return h + np.triu(h, 1).T
+
+
+def _params(posterior: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """One row per key and parameter: estimate and Laplace standard error."""
+    p = len(names)
+    rows = F.array(*[F.struct(F.lit(n).alias("param"), F.col("mode")[i].alias("estimate"),
+                              F.sqrt(F.greatest(F.col("cov")[i * (p + 1)], F.lit(0.0))).alias("std_error"))
+                     for i, n in enumerate(names)])
+    return posterior.select(*keys, F.inline(rows))
 
 
 def fit_logistic(design: DataFrame, features: Sequence[str], y: str = "y", keys: Sequence[str] = (),
@@ -101,62 +137,38 @@ def fit_logistic(design: DataFrame, features: Sequence[str], y: str = "y", keys:
     ``params``: keys, param, estimate, std_error (Laplace). ``posterior``:
     per key the mode and the covariance (for :func:`draws_from_posterior`).
     """
-    spark = design.sparkSession
     keys, feats = list(keys), list(features)
     names = ["a"] + [f"b_{f}" for f in feats]
     p = len(names)
-    d = _prepare(design, keys, feats, y)
-    key_types = [d.schema[k].dataType for k in keys]
-    key_rows = d.select(*keys).distinct().collect() if keys else [()]
-    thetas = {(_key_tuple(r, keys) if keys else ()): np.zeros(p) for r in key_rows}
     prec = np.diag([1.0 / prior_sd_a ** 2] + [1.0 / prior_sd_b ** 2] * len(feats))
-    iu = np.triu_indices(p)
-    hess = {}
+    upper = np.triu_indices(p)
 
-    def newton_stats(theta, Xa, y):
-        mu = 1.0 / (1.0 + np.exp(-(Xa @ theta)))
-        H = Xa.T @ (Xa * (mu * (1.0 - mu))[:, None])
-        return np.concatenate([Xa.T @ (y - mu), H[iu]])
+    def stats(state, X, y):
+        mu = 1.0 / (1.0 + np.exp(-(X @ state[:p])))
+        return np.concatenate([X.T @ (y - mu), (X.T @ (X * (mu * (1.0 - mu))[:, None]))[upper]])
 
-    for _ in range(max_iter):
-        stats = _stats_pass(d, feats, thetas, newton_stats, p + len(iu[0]))
-        step = 0.0
-        for kt, v in stats.items():
-            g = v[:p] - prec @ thetas[kt]
-            H = np.zeros((p, p))
-            H[iu] = v[p:]
-            H = H + np.triu(H, 1).T + prec
-            delta = np.linalg.solve(H, g)
-            thetas[kt] = thetas[kt] + delta
-            hess[kt] = H
-            step = max(step, float(np.max(np.abs(delta))))
-        if step < tol:
-            break
-    else:
-        raise NotConverged(max_iter, step)
-    return _outputs(spark, keys, key_types, names, thetas, {k: np.linalg.inv(h) for k, h in hess.items()})
-
-
-def _outputs(spark, keys, key_types, names, modes: dict, covs: dict, extra: dict | None = None):
-    prow, qrow = [], []
-    for kt, th in modes.items():
-        cov = covs[kt]
-        for i, n in enumerate(names):
-            prow.append(tuple(kt) + (n, float(th[i]), float(math.sqrt(max(cov[i, i], 0.0)))))
-        qrow.append(tuple(kt) + ([float(v) for v in th], [float(v) for v in np.asarray(cov).ravel()]) +
-                    tuple((extra or {}).get(kt, ())))
-    kf = [StructField(k, t) for k, t in zip(keys, key_types)]
-    from pyspark.sql.types import ArrayType, StringType
-    params = spark.createDataFrame(prow, StructType(kf + [StructField("param", StringType()),
-                                                          StructField("estimate", DoubleType()),
-                                                          StructField("std_error", DoubleType())]))
-    qf = kf + [StructField("mode", ArrayType(DoubleType())), StructField("cov", ArrayType(DoubleType()))]
-    if extra:
-        qf += [StructField("nu_grid", ArrayType(DoubleType())), StructField("nu_weight", ArrayType(DoubleType())),
-               StructField("nu_modes", ArrayType(ArrayType(DoubleType()))),
-               StructField("nu_covs", ArrayType(ArrayType(DoubleType())))]
-    posterior = spark.createDataFrame(qrow, StructType(qf))
-    return params, posterior.withColumn("names", F.array(*[F.lit(n) for n in names]))
+    def update(state, sums):
+        H = _triangle(sums[p:], p) + prec
+        delta = np.linalg.solve(H, sums[:p] - prec @ state[:p])
+        return np.concatenate([state[:p] + delta, H.ravel()]), float(np.abs(delta).max())
+
+    blocks = _blocks(design, keys, feats, y)
+    start = blocks.select(*keys).distinct() if keys else blocks.agg(F.count(F.lit(1)).alias("_n")).where("_n > 0")
+    start = start.select(*keys, F.array_repeat(F.lit(0.0), p + p * p).alias("state"))
+    state = iterate(blocks, keys, start, p, p + len(upper[0]), stats, update, max_iter, tol)
+    schema = StructType([state.schema[k] for k in keys] + [StructField("mode", ArrayType(DoubleType())),
+                                                           StructField("cov", ArrayType(DoubleType()))])
+
+    def finish(batches):
+        for batch in batches:
+            found = [np.asarray(s.values, float) for s in batch.column("state")]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in keys), pa.array([s[:p] for s in found], pa.list_(pa.float64())),
+                 pa.array([np.linalg.inv(s[p:].reshape(p, p)).ravel() for s in found], pa.list_(pa.float64()))],
+                names=schema.names)
+
+    posterior = state.mapInArrow(finish, schema).withColumn("names", F.array(*[F.lit(n) for n in names]))
+    return _params(posterior, keys, names), posterior
 
 
 def draws_from_posterior(posterior: DataFrame, keys: Sequence[str] = (), n_chains: int = 4, n_draws: int = 1500,
@@ -219,118 +231,126 @@ def draws_from_posterior(posterior: DataFrame, keys: Sequence[str] = (), n_chain
 
 def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys: Sequence[str] = (),
                   prior_sd: float = 0.5, sigma_scale: float = 0.5, nu_rate: float = 0.1,
-                  nu_grid: Sequence[float] = NU_GRID, max_iter: int = 500, tol: float = 1e-7):
-    """M5: robust regression MAP per key and per nu of the grid, by EM steps in one aggregate each.
+                  nu_grid: Sequence[float] = NU_GRID, max_iter: int = 100, tol: float = 1e-9):
+    """M5: robust regression MAP per key and per nu of the grid by damped Newton steps.
+
+    Per nu the state holds the best point so far with its objective, gradient and curvature, the damping and the point to
+    try next; a pass evaluates all points to try. A point that is no better is dropped and the damping grows. A key has
+    converged when no entry of its gradient exceeds ``tol`` per row, for every nu.
 
     Returns ``(params, posterior)`` like :func:`fit_logistic`; ``params`` reports
     the highest-posterior nu's mode with Laplace std errors, plus ``nu`` and
     ``sigma`` rows.
     """
-    spark = design.sparkSession
     keys, feats = list(keys), list(features)
     names = ["a"] + [f"b_{f}" for f in feats] + ["log_sigma"]
-    p = len(feats) + 1
-    G = len(nu_grid)
-    d = _prepare(design, keys, feats, y)
-    key_types = [d.schema[k].dataType for k in keys]
-    st = d.groupBy(*keys).agg(F.avg("_y").alias("m"), F.stddev_pop("_y").alias("s"), F.count(F.lit(1)).alias("n"))
-    init = {(_key_tuple(r, keys) if keys else ()): (r["m"], max(r["s"] or 0.0, 1e-6), r["n"]) for r in st.collect()}
-    state = {kt: [[np.r_[m, np.zeros(len(feats))], s * s] for _ in range(G)] for kt, (m, s, _) in init.items()}
+    p, G = len(feats) + 1, len(nu_grid)
+    q = p + 1
     prec = np.eye(p) / prior_sd ** 2
-    iu = np.triu_indices(p)
-    nq = len(iu[0])
-    per = p + nq + 3  # Xy, XX cells, sum w r^2, sum log1p, n
+    upper = np.triu_indices(p)
+    cells = len(upper[0])
+    per_stats = 3 + p + cells + p + 1  # rows, objective, d log sigma, gradient, curvature
+    # of one nu: rows, best (objective, point, gradient, curvature), damping, point to try
+    per_state = 2 + q + q + q * q + 1 + q
 
-    def em_stats(theta_all, Xa, y):
+    def stats(state, X, y):
         out = []
         for g, nu in enumerate(nu_grid):
-            th = theta_all[g * (p + 1): g * (p + 1) + p]
-            s2 = theta_all[g * (p + 1) + p]
-            r = y - Xa @ th
-            w = (nu + 1.0) / (nu + r * r / s2)
-            XX = Xa.T @ (Xa * w[:, None])
-            out += [Xa.T @ (w * y), XX[iu], [float(np.sum(w * r * r)), float(np.sum(np.log1p(r * r / (s2 * nu)))),
-                                            float(len(y))]]
+            point = state[(g + 1) * per_state - q:(g + 1) * per_state]
+            s2 = math.exp(2.0 * point[p])
+            r = y - X @ point[:p]
+            scale = nu * s2 + r * r
+            pull = (nu + 1.0) * r / scale
+            bend = (nu + 1.0) * (nu * s2 - r * r) / (scale * scale)
+            cross = (nu + 1.0) * 2.0 * nu * s2 * r / (scale * scale)
+            out += [[len(y), (nu + 1.0) / 2.0 * np.log1p(r * r / (nu * s2)).sum(), pull @ r], X.T @ pull,
+                    (X.T @ (X * bend[:, None]))[upper], X.T @ cross, [cross @ r]]
         return np.concatenate([np.asarray(o, float) for o in out])
 
-    def pack():
-        return {kt: np.concatenate([np.r_[st[0], st[1]] for st in v]) for kt, v in state.items()}
-
-    for it in range(max_iter):
-        stats = _stats_pass(d, feats, pack(), em_stats, G * per)
-        step = 0.0
-        for kt, v in stats.items():
-            for g, nu in enumerate(nu_grid):
-                blk = v[g * per:(g + 1) * per]
-                theta, s2 = state[kt][g]
-                XX = np.zeros((p, p))
-                XX[iu] = blk[p:p + nq]
-                XX = XX + np.triu(XX, 1).T
-                Xy = blk[:p]
-                S, n = blk[p + nq], blk[p + nq + 2]
-                new_theta = np.linalg.solve(XX / s2 + prec, Xy / s2)
-                new_s2 = _sigma2_update(n, S, sigma_scale)
-                step = max(step, float(np.max(np.abs(new_theta - theta))), abs(math.sqrt(new_s2) - math.sqrt(s2)))
-                state[kt][g] = [new_theta, new_s2]
-        if step < tol:
-            break
-    else:
-        raise NotConverged(max_iter, step)
-
-    # One more pass at the final state: the exact curvature in (a, b, log sigma) and the likelihood.
-    width = nq + p + 3
-
-    def curvature_stats(theta_all, Xa, y):
-        out = []
-        for g, nu in enumerate(nu_grid):
-            th, s2 = theta_all[g * (p + 1): g * (p + 1) + p], theta_all[g * (p + 1) + p]
-            r = y - Xa @ th
-            q = nu * s2 + r * r
-            h = (nu + 1.0) * (nu * s2 - r * r) / (q * q)
-            c = (nu + 1.0) * 2.0 * nu * s2 * r / (q * q)
-            out += [(Xa.T @ (Xa * h[:, None]))[iu], Xa.T @ c,
-                    [float(np.sum(c * r)), float(np.sum(np.log1p(r * r / (s2 * nu)))), float(len(y))]]
-        return np.concatenate([np.asarray(o, float) for o in out])
+    def posterior_at(point, sums):
+        """Objective (negative log posterior up to a constant of nu and n), gradient and curvature."""
+        n, fit, pull_r, pull_x = sums[0], sums[1], sums[2], sums[3:3 + p]
+        theta, ls = point[:p], point[p]
+        s2 = math.exp(2.0 * ls)
+        value = fit + (n - 1.0) * ls + 0.5 * theta @ prec @ theta + s2 / (2.0 * sigma_scale ** 2)
+        gradient = np.append(prec @ theta - pull_x, n - 1.0 - pull_r + s2 / sigma_scale ** 2)
+        H = np.zeros((q, q))
+        H[:p, :p] = _triangle(sums[3 + p:3 + p + cells], p) + prec
+        H[:p, p] = H[p, :p] = sums[3 + p + cells:3 + p + cells + p]
+        H[p, p] = sums[-1] + 2.0 * s2 / sigma_scale ** 2
+        return value, gradient, H
+
+    def advance(held, sums):
+        best, point, gradient, H = held[1], held[2:2 + q], held[2 + q:2 + 2 * q], held[2 + 2 * q:2 + 2 * q + q * q].reshape(q, q)
+        damping, tried = held[-q - 1], held[-q:]
+        value, new_gradient, new_H = posterior_at(tried, sums)
+        if value <= best + 1e-12 * (1.0 + abs(best)) or not math.isfinite(best):
+            best, point, gradient, H, damping = value, tried, new_gradient, new_H, damping / 10.0
+        else:
+            damping = max(damping, 1e-4) * 10.0
+        size = float(np.abs(gradient).max() / max(sums[0], 1.0))
+        step = np.zeros(q)
+        if size > tol:
+            weight = np.maximum(np.abs(np.diag(H)), 1e-8)
+            while True:
+                damped = H + damping * np.diag(weight)
+                try:
+                    np.linalg.cholesky(damped)
+                    break
+                except np.linalg.LinAlgError:
+                    damping = max(damping, 1e-4) * 10.0
+            step = np.clip(np.linalg.solve(damped, -gradient), -2.0, 2.0)
+        return np.concatenate([[sums[0], best], point, gradient, H.ravel(), [damping], point + step]), size
+
+    def update(state, sums):
+        both = [advance(state[g * per_state:(g + 1) * per_state], sums[g * per_stats:(g + 1) * per_stats]) for g in range(G)]
+        return np.concatenate([b[0] for b in both]), max(b[1] for b in both)
+
+    # start at the mean of y and its deviation, with no best point yet
+    blocks = _blocks(design, keys, feats, y)
+    d = design.select(*keys, F.col(y).cast("double").alias("_y"), *[F.col(f).cast("double") for f in feats])
+    moments = d.dropna(subset=["_y", *feats]).groupBy(*keys).agg(F.avg("_y").alias("m"), F.stddev_pop("_y").alias("s"))
+    zeros = lambda n: [F.lit(0.0)] * n
+    one_nu = F.array(F.lit(0.0), F.lit(math.inf), *zeros(q + q + q * q), F.lit(1e-3), F.col("m"), *zeros(p - 1),
+                     F.ln(F.greatest("s", F.lit(1e-6))))
+    start = moments.where("m is not null").select(*keys, F.flatten(F.array_repeat(one_nu, G)).alias("state"))
+    state = iterate(blocks, keys, start, p, G * per_stats, stats, update, max_iter, tol)
 
-    final = _stats_pass(d, feats, pack(), curvature_stats, G * width)
     spacing = np.gradient(np.asarray(nu_grid, float))
-    modes, covs, extra = {}, {}, {}
-    for kt, v in state.items():
-        lps, gm, gc = [], [], []
+    doubles, rows_of = ArrayType(DoubleType()), ArrayType(ArrayType(DoubleType()))
+    schema = StructType([state.schema[k] for k in keys] + [StructField(n, t) for n, t in (
+        ("mode", doubles), ("cov", doubles), ("nu_grid", doubles), ("nu_weight", doubles), ("nu_modes", rows_of),
+        ("nu_covs", rows_of))])
+
+    def summary(state):
+        weights, modes, covs = [], [], []
         for g, nu in enumerate(nu_grid):
-            theta, s2 = v[g]
-            blk = final[kt][g * width:(g + 1) * width]
-            H = np.zeros((p + 1, p + 1))
-            H[:p, :p][iu] = blk[:nq]
-            H[:p, :p] = H[:p, :p] + np.triu(H[:p, :p], 1).T + prec
-            H[:p, p] = H[p, :p] = blk[nq:nq + p]
-            H[p, p] = blk[nq + p] + 2.0 * s2 / sigma_scale ** 2
-            ll, n = blk[nq + p + 1], blk[nq + p + 2]
-            loglik = n * (math.lgamma((nu + 1) / 2) - math.lgamma(nu / 2) - 0.5 * math.log(nu * math.pi * s2)) \
-                - (nu + 1) / 2 * ll
+            held = state[g * per_state:(g + 1) * per_state]
+            n, H = held[0], held[2 + 2 * q:2 + 2 * q + q * q].reshape(q, q)
             # log posterior density of (a, b, log sigma, nu) at the mode ...
-            lp = loglik - 0.5 * float(theta @ prec @ theta) - s2 / (2 * sigma_scale ** 2) + 0.5 * math.log(s2) + \
-                math.log(nu_rate) - nu_rate * (nu - 2.0)
+            lp = -held[1] + n * (math.lgamma((nu + 1) / 2) - math.lgamma(nu / 2) - 0.5 * math.log(nu * math.pi)) \
+                + math.log(nu_rate) - nu_rate * (nu - 2.0)
             # ... times the volume of its normal approximation and the grid cell of nu
-            lps.append(lp - 0.5 * np.linalg.slogdet(H)[1] + math.log(spacing[g]))
-            gm.append([float(x) for x in np.r_[theta, 0.5 * math.log(s2)]])
-            gc.append([float(x) for x in np.linalg.inv(H).ravel()])
-        lps = np.array(lps)
-        wts = np.exp(lps - lps.max())
-        wts = wts / wts.sum()
-        best = int(np.argmax(lps))
-        modes[kt] = np.array(gm[best])
-        covs[kt] = np.array(gc[best]).reshape(p + 1, p + 1)
-        extra[kt] = ([float(x) for x in nu_grid], [float(x) for x in wts], gm, gc)
-    params, posterior = _outputs(spark, keys, key_types, names, modes, covs, extra)
-    nu_rows = [tuple(kt) + ("nu", float(nu_grid[int(np.argmax(extra[kt][1]))]), None) for kt in modes]
-    nu_rows += [tuple(kt) + ("sigma", float(math.exp(modes[kt][-1])), None) for kt in modes]
-    params = params.unionByName(spark.createDataFrame(nu_rows, params.schema))
-    return params, posterior
-
-
-def _sigma2_update(n: float, S: float, scale: float) -> float:
-    """argmax over log sigma, with s = sigma^2, of -(n - 1)/2 log s - S/(2 s) - s/(2 scale^2): the half-normal
-    density of sigma gains a factor sigma in log sigma. Root of s^2/scale^2 + (n - 1) s - S = 0."""
-    a, n = 1.0 / scale ** 2, n - 1.0
-    return (-n + math.sqrt(n * n + 4.0 * a * S)) / (2.0 * a)
+            weights.append(lp - 0.5 * np.linalg.slogdet(H)[1] + math.log(spacing[g]))
+            modes.append(held[2:2 + q].tolist())
+            covs.append(np.linalg.inv(H).ravel().tolist())
+        best = int(np.argmax(weights))
+        w = np.exp(np.array(weights) - max(weights))
+        return modes[best], covs[best], list(map(float, nu_grid)), (w / w.sum()).tolist(), modes, covs
+
+    def finish(batches):
+        for batch in batches:
+            found = [summary(np.asarray(s.values, float)) for s in batch.column("state")]
+            one, two = pa.list_(pa.float64()), pa.list_(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in keys),
+                 *(pa.array([f[j] for f in found], t) for j, t in enumerate((one, one, one, one, two, two)))], names=schema.names)
+
+    posterior = staged(state.mapInArrow(finish, schema), "posterior").withColumn("names", F.array(*[F.lit(n) for n in names]))
+    w = F.col("nu_weight")
+    more = posterior.select(*keys, F.inline(F.array(
+        F.struct(F.lit("nu").alias("param"), F.col("nu_grid")[F.array_position(w, F.array_max(w)).cast("int") - 1].alias("estimate"),
+                 F.lit(None).cast("double").alias("std_error")),
+        F.struct(F.lit("sigma").alias("param"), F.exp(F.col("mode")[p]).alias("estimate"),
+                 F.lit(None).cast("double").alias("std_error")))))
+    return _params(posterior, keys, names).unionByName(more), posterior

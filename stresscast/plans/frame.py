@@ -45,6 +45,8 @@ def build_model_frame(weather: DataFrame, price: DataFrame, storage_daily: DataF
                       keys: Sequence[str] = ("pipeline",), storage_key: str | None = "region") -> DataFrame:
     """Join the day-grain inputs onto the weather calendar of each pipeline.
 
+    A ``source`` column of the weather (its provenance) is carried to the last column of the frame.
+
     ``storage_daily`` has ``storage_key`` (matched to the pipeline) or no key
     (one series for every pipeline); ``None`` leaves the column NULL.
     """
@@ -53,7 +55,8 @@ def build_model_frame(weather: DataFrame, price: DataFrame, storage_daily: DataF
     base = weather.where(rng)
     if cfg.dedupe:
         base = ensure_daily(base, keys, "date", ["region_id"])
-    base = base.select(*keys, "region_id", "date", "hdd_mean", "hdd_median", "n_stations_used")
+    source = [c for c in ("source",) if c in weather.columns]
+    base = base.select(*keys, "region_id", "date", "hdd_mean", "hdd_median", "n_stations_used", *source)
 
     hh = price.where(rng)
     if cfg.dedupe:
@@ -80,4 +83,4 @@ def build_model_frame(weather: DataFrame, price: DataFrame, storage_daily: DataF
         "hh_log": safe_ln("henry_hub_usd_per_mmbtu"),
     })
     df = df.withColumn("hh_ret", F.col("hh_log") - F.lag("hh_log").over(series_window(keys, "date")))
-    return df.select(*keys, *[c for c in FRAME_COLS if c not in keys])
+    return df.select(*keys, *[c for c in FRAME_COLS if c not in keys], *source)

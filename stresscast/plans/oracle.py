@@ -136,8 +136,17 @@ STAGE_SQL.update({
                CAST(d % 11 - 5 AS DOUBLE) / CAST(20.0 AS DOUBLE) AS b_hdd,
                CAST(d % 13 - 6 AS DOUBLE) / CAST(25.0 AS DOUBLE) AS b_storage
         FROM (SELECT range AS d FROM range(6000))""",
+    "keyed_draws_v": """
+        SELECT pipeline, CAST(d % 37 - 18 - k AS DOUBLE) / CAST(1000.0 AS DOUBLE) AS a,
+               CAST(d % 7 - k AS DOUBLE) / CAST(500.0 AS DOUBLE) AS b_op,
+               CAST(d % 5 - 2 AS DOUBLE) / CAST(400.0 AS DOUBLE) AS b_persist,
+               CAST(d % 11 - 5 AS DOUBLE) / CAST(900.0 AS DOUBLE) AS b_hdd,
+               CAST(d % 13 - 6 AS DOUBLE) / CAST(800.0 AS DOUBLE) AS b_storage,
+               CAST(d % 17 + 1 AS DOUBLE) / CAST(500.0 AS DOUBLE) AS sigma,
+               tan(pi() * ((CAST(d * 7919 % 1000 AS DOUBLE) + 0.5) / CAST(1000.0 AS DOUBLE) - 0.5)) AS t
+        FROM (SELECT DISTINCT pipeline, length(pipeline) AS k FROM supplier_geo), (SELECT range AS d FROM range(1000))""",
 })
-STAGE_DEPS.update({"fi_v": ["model_frame_v"], "scored_points_v": ["fi_v"]})
+STAGE_DEPS.update({"fi_v": ["model_frame_v"], "scored_points_v": ["fi_v"], "keyed_draws_v": ["supplier_geo"]})
 ALL_SQL.update(STAGE_SQL)
 ALL_DEPS.update(STAGE_DEPS)
 
@@ -245,6 +254,20 @@ _GRID = """
                                              + d.b_storage * z.storage))) > 0.3 THEN 1.0 ELSE 0.0 END) AS prob
     FROM scored_points_v z, grid_draws_v d GROUP BY z.pipeline, z.date"""
 
+
+def _keyed(over: str) -> str:
+    """Share of a pipeline's draws for which ``over`` holds of the line ``l`` and the draw ``d``."""
+    return f"""
+    SELECT pipeline, date, avg(CASE WHEN l IS NULL THEN NULL WHEN {over} THEN 1.0 ELSE 0.0 END) AS prob
+    FROM (SELECT z.pipeline, z.date, d.sigma, d.t,
+                 (((d.a + d.b_op * z.op) + d.b_persist * z.persist) + d.b_hdd * z.hdd) + d.b_storage * z.storage AS l
+          FROM scored_points_v z LEFT JOIN keyed_draws_v d USING (pipeline)) GROUP BY pipeline, date"""
+
+
+ORACLE["score_keyed_draws"] = sql_with(_keyed("1.0 / (1.0 + exp(-l)) > 0.4985"), "scored_points_v", "keyed_draws_v",
+                                       round_cols=("prob",))
+ORACLE["score_vol_variates"] = sql_with(_keyed("l + sigma * t > 0.0213"), "scored_points_v", "keyed_draws_v",
+                                        round_cols=("prob",))
 ORACLE.update({
     "log_return": sql_with("""SELECT region, date, CASE WHEN working_gas_bcf > 0 THEN ln(working_gas_bcf) END
                               - lag(CASE WHEN working_gas_bcf > 0 THEN ln(working_gas_bcf) END)
@@ -350,9 +373,9 @@ ORACLE.update({
 
 
 # ------------------------------------------------------ batch 3
-def _price_status(where):
+def _prices_by_day(pick):
     return f"""SELECT 'RNGWHHD' AS series, date, CASE WHEN day(date) % 7 <> 0 THEN v END AS henry_hub_usd_per_mmbtu
-               FROM (SELECT CAST(o_orderdate AS DATE) AS date, max(o_totalprice) / 1000.0 AS v FROM orders {where}
+               FROM (SELECT CAST(o_orderdate AS DATE) AS date, {pick}(o_totalprice) / 1000.0 AS v FROM orders
                      GROUP BY CAST(o_orderdate AS DATE))"""
 
 
@@ -368,8 +391,8 @@ _MERGE = f"""
            CASE WHEN e.date IS NULL THEN 'insert' WHEN i.date IS NULL THEN 'keep'
                 WHEN e.henry_hub_usd_per_mmbtu IS NOT DISTINCT FROM i.henry_hub_usd_per_mmbtu THEN 'unchanged'
                 ELSE 'update' END AS _action
-    FROM (SELECT *, '$/MMBTU' AS units FROM ({_price_status("WHERE o_orderstatus = 'F'")})) e
-    FULL OUTER JOIN (SELECT * FROM ({_price_status("")}) WHERE date >= DATE '1998-01-01') i
+    FROM (SELECT *, '$/MMBTU' AS units FROM ({_prices_by_day("min")}) WHERE date < DATE '2000-01-01') e
+    FULL OUTER JOIN (SELECT * FROM ({_prices_by_day("max")}) WHERE date >= DATE '1998-01-01') i
       ON e.series = i.series AND e.date = i.date"""
 
 _ENERGY_ROWS = """
@@ -402,7 +425,7 @@ ORACLE.update({
         FROM (SELECT TRY_CAST(period AS DATE) AS d, * FROM ({_ENERGY_ROWS})) WHERE d IS NOT NULL""",
                                  round_cols=("henry_hub_usd_per_mmbtu",)),
     "normalize_storage": sql_with("""
-        SELECT strftime(date, '%Y-%m-%d') AS date, 'lower48' AS region, working_gas_bcf, 'BCF' AS units,
+        SELECT strftime(date, '%Y-%m-%d') AS date, region, working_gas_bcf, 'BCF' AS units,
                'NW2_EPG0_SWO_R48_BCF' AS series, CAST(NULL AS VARCHAR) AS series_description,
                CAST(NULL AS VARCHAR) AS duoarea, region AS area_name, CAST(NULL AS VARCHAR) AS product,
                CAST(NULL AS VARCHAR) AS product_name, CAST(NULL AS VARCHAR) AS process,
@@ -476,6 +499,12 @@ ORACLE["stream_ingest"] = sql_with("""
                row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) AS rn
         FROM orders WHERE o_orderkey % 13 <> 0) WHERE rn = 1""", round_cols=("henry_hub_usd_per_mmbtu",))
 
+ORACLE["merge_touched_parts"] = """
+    SELECT 'p-' || strftime(o_orderdate, '%Y-%m') AS part,
+           CAST(CASE WHEN strftime(o_orderdate, '%Y-%m') BETWEEN '1998-03' AND '1998-05' THEN 1 ELSE 0 END AS BIGINT) AS version,
+           CAST(count(DISTINCT CAST(o_orderdate AS DATE)) AS BIGINT) AS rows
+    FROM orders WHERE o_orderkey % 13 <> 0 GROUP BY ALL"""
+
 _DECODED = "regexp_replace(replace({}, '&quot;', '\"'), '&amp;?', '&', 'g')"
 ORACLE["page_list_extract"] = f"""
     SELECT page_id, CAST(i - 1 AS INTEGER) AS row_pos, {_DECODED.format("x[i]")} AS row_text, {_DECODED.format("h[i]")} AS href,
@@ -508,3 +537,67 @@ def _upsert_sql(table: str, keys: tuple[str, ...], values: tuple[str, ...]) -> s
 ORACLE["upsert_station_days"] = _upsert_sql("station_day", ("ghcnd_station_id", "date"), ("tavg_c", "hdd"))
 ORACLE["upsert_region_days"] = _upsert_sql("region_daily_v", ("pipeline", "date"), ("hdd_median", "n_stations_used"))
 ORACLE["upsert_storage"] = _upsert_sql("storage_weekly", ("region", "date"), ("working_gas_bcf",))
+
+
+# ------------------------------------------------------ batch 7: stored documents merged by key
+def _documents_sql(names, keys, stored, sent, values, provider, round_cols):
+    """``stored`` and ``sent``: SELECTs with the keys (date as DATE); ``values``: per column whether it is in the stored and in
+    the sent documents, and its type. Days of the month decide what is stored and what is sent."""
+    new = "TIMESTAMP '2001-01-01 00:00:00'"
+    text = lambda k: "strftime(CAST(date AS DATE), '%Y-%m-%d') AS date" if k == "date" else k
+    fields = ", ".join(
+        f"CASE WHEN i.hit THEN i.{c} ELSE e.{c} END AS {c}" if e and i else
+        f"CASE WHEN i.hit THEN i.{c} END AS {c}" if i else f"e.{c}" for c, (e, i) in values.items())
+    key = ", ".join(f"coalesce(e.{k}, i.{k}) AS {k}" for k in keys)
+    cols = ", ".join(text(k) for k in keys)
+    has = lambda side: ", ".join(c for c, v in values.items() if v[side])
+    bad = " OR ".join(f"{k} IS NULL" for k in keys)
+    lone = ", ".join(c if v[1] else f"NULL AS {c}" for c, v in values.items())
+    return sql_with(f"""SELECT * FROM (
+        WITH e AS (SELECT {cols}, {has(0)}, true AS hit FROM ({stored}) WHERE day(CAST(date AS DATE)) % 3 <> 0),
+        i AS (SELECT {cols}, {has(1)}, true AS hit FROM ({sent}) WHERE day(CAST(date AS DATE)) % 3 <> 1)
+        SELECT {key}, {fields},
+               CASE WHEN i.hit THEN '{provider}' ELSE 'old' END AS source_provider,
+               CASE WHEN e.hit THEN 'archive' END AS source_dataset, CASE WHEN e.hit THEN 'box 7' END AS source_shelf,
+               CASE WHEN i.hit THEN {new} END AS updated_at_utc,
+               CASE WHEN i.hit THEN {new} END AS created_at_utc,
+               CASE WHEN i.hit THEN {new} END AS updated_at,
+               CASE WHEN e.hit IS NULL THEN 'insert' WHEN i.hit IS NULL THEN 'keep' ELSE 'update' END AS _action
+        FROM e FULL OUTER JOIN (SELECT * FROM i WHERE NOT ({bad})) i ON {" AND ".join(f"e.{k} = i.{k}" for k in keys)}
+        UNION ALL BY NAME
+        SELECT {", ".join(keys)}, {lone}, '{provider}' AS source_provider, NULL AS source_dataset, NULL AS source_shelf,
+               {new} AS updated_at_utc, {new} AS created_at_utc, {new} AS updated_at, 'unkeyed' AS _action
+        FROM i WHERE {bad})""", *names, round_cols=round_cols)
+
+
+def _station_documents_sql(shift: str, known: str) -> str:
+    return f"""
+        SELECT p.pipeline, d.ghcnd_station_id, d.date, d.tavg_c {shift} AS tavg_c, d.tmin_c, d.tmax_c, d.hdd,
+               m.pipeline AS station_meta_pipeline, m.ghcnd_station_id AS station_meta_ghcnd_station_id,
+               m.station_name AS station_meta_station_name, m.state AS station_meta_state
+        FROM station_day d JOIN station_pipeline p ON d.ghcnd_station_id = p.ghcnd_station_id LEFT JOIN (
+          SELECT sp.pipeline, sp.ghcnd_station_id, s.s_name AS station_name, n.n_name AS state
+          FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+          JOIN station_pipeline sp ON sp.ghcnd_station_id = 'ST' || CAST(s.s_suppkey AS VARCHAR)
+          WHERE {known}) m ON d.ghcnd_station_id = m.ghcnd_station_id"""
+
+
+_BOTH, _OLD_ONLY, _NEW_ONLY = (True, True), (True, False), (False, True)
+ORACLE["merge_station_documents"] = _documents_sql(
+    ("station_day", "station_pipeline"), ("pipeline", "ghcnd_station_id", "date"),
+    _station_documents_sql("+ 1", "true"), _station_documents_sql("", "sp.ghcnd_station_id > 'ST5'"),
+    {c: _BOTH for c in ("tavg_c", "tmin_c", "tmax_c", "hdd", "station_meta_pipeline", "station_meta_ghcnd_station_id",
+                        "station_meta_station_name", "station_meta_state")}, "NOAA", ("tavg_c", "tmin_c", "tmax_c", "hdd"))
+_REGION_VALUES = ("tavg_c_median", "tavg_f_median", "tavg_c_mean")
+ORACLE["merge_region_documents"] = _documents_sql(
+    ("region_daily_v",), ("pipeline", "region_id", "date"), "SELECT * FROM region_daily_v",
+    "SELECT * REPLACE (hdd_mean + 1 AS hdd_mean) FROM region_daily_v",
+    {c: _BOTH for c in ("n_stations_used", *_REGION_VALUES, "hdd_mean")} | {"hdd_median": _OLD_ONLY, "tavg_f_mean": _NEW_ONLY},
+    "NOAA", (*_REGION_VALUES, "hdd_mean", "hdd_median", "tavg_f_mean"))
+_PRICES = f"""SELECT series, date, henry_hub_usd_per_mmbtu AS value, '$/MMBTU' AS units FROM ({_prices_by_day("max")})"""
+ORACLE["merge_price_documents"] = _documents_sql(
+    (), ("series", "date"), _PRICES, _PRICES, {"value": _BOTH, "units": _OLD_ONLY}, "EIA", ("value",))
+_STORAGE = "SELECT {} AS series, region, date, working_gas_bcf AS value, units FROM storage_weekly"
+ORACLE["merge_storage_documents"] = _documents_sql(
+    ("storage_weekly",), ("series", "region", "date"), _STORAGE.format("series"),
+    _STORAGE.format("CASE WHEN day(date) % 5 <> 0 THEN series END"), {"value": _BOTH, "units": _OLD_ONLY}, "EIA", ("value",))

@@ -20,6 +20,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rows that carry a model's draws are large: a batch for Python ends by its bytes
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 
@@ -83,3 +85,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared checkpoint folder for staged tables (not created here)."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared checkpoint folder; the plan runs once, every executor reads it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

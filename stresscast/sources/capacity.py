@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stresscast.functions.scalar import format_utc, strip_ws
+from stresscast.functions.scalar import format_utc
+from stresscast.sources.shapes import read_by_header
 
 # The 21 posting columns in source order; the unique key.
 CAPACITY_COLS = ("Cycle_Desc", "Post_Date", "Eff_Gas_Day", "Cap_Type_Desc", "Post_Time", "Eff_Time", "Loc",
@@ -28,17 +29,22 @@ def is_csv_response(content_type, disposition):
     return ct.contains("text/csv") | disp.contains("attachment")
 
 
+def _is_header(line: Column) -> Column:
+    """A line that names a key column of the postings."""
+    return line.contains(CAPACITY_KEY[0]) & line.contains(CAPACITY_KEY[1])
+
+
 def read_capacity_csv(spark: SparkSession, paths: str | Sequence[str], downloaded_at=None,
-                      encoding: str = "UTF-8") -> DataFrame:
+                      encoding: str = "UTF-8", line_breaks: bool = False) -> DataFrame:
     """Header row gives the fields; every string is stripped; source_url and
-    downloaded_at_utc are added. Unknown extra columns are kept (§8 Q18)."""
-    df = (spark.read.option("header", True).option("encoding", encoding)
-          .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-          .csv(paths if isinstance(paths, str) else list(paths)))
-    df = df.select(*[strip_ws(F.col(f"`{c}`")).alias(c) for c in df.columns],
-                   F.col("_metadata.file_path").alias("source_url"))
-    ts = F.lit(downloaded_at).cast("timestamp") if downloaded_at is not None else F.col("_metadata.file_modification_time")
-    return df.withColumn("downloaded_at_utc", format_utc(ts))
+    downloaded_at_utc are added. Unknown extra columns are kept (§8 Q18).
+
+    Each file is read by its own header (``sources/shapes.py``). Bytes that are no characters become U+FFFD (F34). A row that
+    is too short or too long is kept with the cells it has and its line in ``_corrupt_record``.
+    """
+    df = read_by_header(spark, paths, _is_header, encoding=encoding, line_breaks=line_breaks)
+    now = F.current_timestamp() if downloaded_at is None else F.lit(downloaded_at).cast("timestamp")
+    return df.withColumnRenamed("file", "source_url").withColumn("downloaded_at_utc", format_utc(now))
 
 
 def split_downloads(downloads: DataFrame) -> tuple[DataFrame, DataFrame]:

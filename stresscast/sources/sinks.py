@@ -1,8 +1,10 @@
-"""Sinks: stored documents (K3-K6 shapes), CSV output (K1), run manifest (K2).
+"""Sinks: stored documents (K3-K6), CSV output (K1), run manifest (K2).
 
 Documents are built with ``select(struct(...))`` instead of per-row loops: the
 station metadata is a left lookup join (J7; unknown stations get an empty
-struct), provenance is a constant struct, NaN never appears (NULL-only).
+struct, one whose fields are all NULL), provenance is a constant struct, NaN never
+appears (NULL-only). They are merged into a stored table by their key, nested
+fields included (:func:`upsert_documents`).
 """
 
 from __future__ import annotations
@@ -13,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stresscast.functions.scalar import format_utc
+from stresscast.operators.merge import keyed_merge
+from stresscast.operators.ranks import join_null_safe
+from stresscast.sources.energy import DEFAULT_PRICE_SERIES, META_COLS
 
 # Fixed provenance values of the stored documents.
 WEATHER_SOURCE = {"provider": "NOAA", "dataset": "GHCND", "access_base": ""}
@@ -20,6 +25,8 @@ PRICE_SOURCE = {"provider": "EIA", "endpoint": "natural_gas.spot_prices"}
 STORAGE_SOURCE = {"provider": "EIA", "endpoint": "natural_gas.storage"}
 STATION_DAY_KEY = ("pipeline", "ghcnd_station_id", "date")
 REGION_DAY_KEY = ("pipeline", "region_id", "date")
+PRICE_KEY = ("series", "date")
+STORAGE_KEY = ("series", "region", "date")
 
 
 def _struct(d: dict):
@@ -32,11 +39,12 @@ def station_day_documents(station_day: DataFrame, meta: DataFrame, pipeline: str
     ``pipeline`` None keeps the ``pipeline`` column of the input (many pipelines at once).
     """
     d = station_day if pipeline is None else station_day.withColumn("pipeline", F.lit(pipeline))
-    m = meta.select("ghcnd_station_id",
-                    F.struct("pipeline", "ghcnd_station_id", "station_name", "state").alias("station_meta"))
-    j = d.join(m, "ghcnd_station_id", "left")
+    fields = ("pipeline", "ghcnd_station_id", "station_name", "state")
+    m = meta.select(*[F.col(c).alias(f"_m_{c}") for c in fields])
+    j = d.join(m, F.col("ghcnd_station_id") == F.col("_m_ghcnd_station_id"), "left")
     return j.select("pipeline", "ghcnd_station_id", F.col("date").cast("string").alias("date"),
-                    "tavg_c", "tmin_c", "tmax_c", "hdd", "station_meta",
+                    "tavg_c", "tmin_c", "tmax_c", "hdd",
+                    F.struct(*[F.col(f"_m_{c}").alias(c) for c in fields]).alias("station_meta"),
                     F.lit(now).cast("timestamp").alias("updated_at_utc"), _struct(WEATHER_SOURCE).alias("source"))
 
 
@@ -50,24 +58,34 @@ def region_day_documents(region_daily: DataFrame, now) -> DataFrame:
 
 
 def price_documents(prices: DataFrame, now) -> DataFrame:
-    """K5: key (series, date); an empty series takes the default id; value = the price."""
+    """K5: key (series, date); an absent, NULL or empty series takes the default id; value = the price."""
     return prices.select(
-        F.coalesce(F.nullif(F.col("series"), F.lit("")), F.lit("RNGWHHD")).alias("series"), "date",
+        (F.coalesce(F.nullif(F.col("series"), F.lit("")), F.lit(DEFAULT_PRICE_SERIES)) if "series" in prices.columns
+         else F.lit(DEFAULT_PRICE_SERIES)).alias("series"), "date",
         F.col("henry_hub_usd_per_mmbtu").alias("value"),
-        *[c for c in ("units", "series_description", "duoarea", "area_name", "product", "product_name", "process",
-                      "process_name") if c in prices.columns],
+        *[c for c in META_COLS if c != "series" and c in prices.columns],
         F.lit(now).cast("timestamp").alias("updated_at_utc"), _struct(PRICE_SOURCE).alias("source"))
 
 
 def storage_documents(storage: DataFrame, now) -> DataFrame:
-    """K6: key (series, region, date) - the region is part of the key (§8 Q16)."""
+    """K6: key (series, region, date) - the region is part of the key (§8 Q16). The series has no default here: a row
+    without one has no key."""
     return storage.select(
         "series", "date", "region", F.col("working_gas_bcf").alias("value"),
-        *[c for c in ("units", "series_description", "duoarea", "area_name", "product", "product_name", "process",
-                      "process_name") if c in storage.columns],
+        *[c for c in META_COLS if c != "series" and c in storage.columns],
         F.lit(now).cast("timestamp").alias("updated_at_utc"), _struct(STORAGE_SOURCE).alias("source"))
 
 
+def upsert_documents(existing: DataFrame, documents: DataFrame, key: Sequence[str], now,
+                     order: Sequence = ("updated_at_utc",), fields_col: str | None = None) -> DataFrame:
+    """K3-K6: documents merged by key; a field that a document does not have, nested ones included, keeps its stored value.
+
+    Of several documents of a key the one latest by ``order`` wins (columns that stay in the document). The result has
+    ``_action`` per key (see :func:`keyed_merge`).
+    """
+    return keyed_merge(existing, documents, list(key), now, [F.col(c) if isinstance(c, str) else c for c in order], fields_col)
+
+
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """K1: CSV with a header; one folder, one file per partition (no single-file funnel)."""
     w = df.write.mode("overwrite").option("header", True)
@@ -76,20 +94,50 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     w.csv(path)
 
 
-def run_manifest(spark: SparkSession, station_day: DataFrame, *, pipeline: str, region_id: str, now,
-                 outputs: dict, date_filter: dict, notes: str = "") -> DataFrame:
-    """K2: one-row manifest: pipeline, region, UTC time, station count and list, source, outputs,
-    date filter and aggregation notes. The station list is one aggregate row (sorted, distinct)."""
-    st = station_day.agg(F.sort_array(F.collect_set("ghcnd_station_id")).alias("stations"))
-    return st.select(
-        F.lit(pipeline).alias("pipeline"), F.lit(region_id).alias("region_id"),
-        format_utc(F.lit(now).cast("timestamp")).alias("generated_at_utc"),
-        F.size("stations").cast("bigint").alias("n_stations"), "stations", _struct(WEATHER_SOURCE).alias("source"),
-        F.create_map(*[x for k, v in outputs.items() for x in (F.lit(k), F.lit(v))]).alias("outputs"),
-        _struct({k: (v or "") for k, v in date_filter.items()}).alias("date_filter"),
-        F.lit(notes).alias("aggregation_notes"))
+def row_checksum(columns: Sequence[str]):
+    """Sum over rows of the first 32 bits of a row's MD5: the same for any order and number of files."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+    return F.coalesce(F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")), F.lit(0)).cast("bigint")
 
 
-def write_manifest(manifest: DataFrame, path: str) -> None:
-    """K2: the manifest as JSON (one small file)."""
-    manifest.coalesce(1).write.mode("overwrite").json(path)
+#: Fields of a station's record in the manifest.
+STATION_FIELDS = ("pipeline", "region_id", "ghcnd_station_id", "station_name", "state")
+
+
+def write_run_manifest(stations: DataFrame, path: str, *, now, outputs: dict, date_filter: dict, aggregation: dict) -> None:
+    """K2: the manifest of a run over any number of pipelines, as a folder.
+
+    ``stations/``: the records of the stations that were used, once each, in as many JSON files as the data need, one folder a
+    pipeline. ``header/``: one record per pipeline and region with the time, the number of its stations and their checksum, the
+    source, the outputs, the date filter and notes on the aggregation. The header is written last, from the files that
+    were written: a manifest with a header is complete.
+    """
+    spark = stations.sparkSession
+    records = stations.groupBy("ghcnd_station_id", "pipeline", "region_id").agg(
+        *[F.min(c).alias(c) for c in STATION_FIELDS if c not in ("ghcnd_station_id", "pipeline", "region_id")])
+    records.select(*STATION_FIELDS, F.col("pipeline").alias("of")).write.partitionBy("of").json(f"{path}/stations")
+    header = _read_stations(spark, path).groupBy("pipeline", "region_id").agg(
+        F.count(F.lit(1)).alias("stations_count"), row_checksum(STATION_FIELDS).alias("stations_checksum")).select(
+        "pipeline", "region_id", format_utc(F.lit(now).cast("timestamp")).alias("generated_at_utc"), "stations_count",
+        "stations_checksum", _struct(WEATHER_SOURCE).alias("source"), _struct(outputs).alias("outputs"),
+        _struct({k: v or "" for k, v in date_filter.items()}).alias("date_filter"), _struct(aggregation).alias("aggregation"))
+    header.coalesce(1).write.json(f"{path}/header")
+
+
+def _read_stations(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(", ".join(f"{c} string" for c in STATION_FIELDS)).json(f"{path}/stations")
+
+
+def read_run_manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """K2: header and station records of a written manifest; raises if files are missing, doubled or changed."""
+    header, stations = spark.read.json(f"{path}/header"), _read_stations(spark, path)
+    found = stations.groupBy("pipeline", "region_id").agg(F.count(F.lit(1)).alias("_n"), row_checksum(STATION_FIELDS).alias("_sum"))
+    claimed = header.select("pipeline", "region_id", "stations_count", "stations_checksum")
+    wrong = join_null_safe(claimed.unionByName(found.select("pipeline", "region_id", F.lit(None).alias("stations_count"),
+                                                            F.lit(None).alias("stations_checksum"))).groupBy("pipeline", "region_id")
+                           .agg(F.max("stations_count").alias("n"), F.max("stations_checksum").alias("sum")), found,
+                           ["pipeline", "region_id"], "left").where(
+        ~F.col("n").eqNullSafe(F.col("_n")) | ~F.col("sum").eqNullSafe(F.col("_sum"))).limit(1).collect()
+    if wrong:
+        raise ValueError(f"the manifest of {wrong[0]['pipeline']} lists {wrong[0]['n']} stations, its files hold {wrong[0]['_n']}")
+    return header, stations

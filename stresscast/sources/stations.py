@@ -1,17 +1,16 @@
 """Weather station sources: raw station files (S7), station map.
 
-Station files differ in their columns (some lack TAVG). Instead of one
-positional multi-file CSV read (which applies the first header to every file),
-files are read as text with the file path from ``_metadata``; each file's
-header row is found, and every data row maps its cells by that header's
-positions. All of it is one distributed job; no file is opened on the driver.
+Station files differ in their columns (some lack TAVG), so they are read by
+header (``sources/shapes.py``): one reader call per distinct header, every row
+keeps its file's name for the station id. No file is opened on the driver and
+no row is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
@@ -19,42 +18,35 @@ from stresscast.functions.scalar import (
     hdd_from_tavg_c, strip_ws, tenths, to_date_lenient,
 )
 from stresscast.operators.dedupe import keep_first
+from stresscast.sources.shapes import read_by_header
 from stresscast.sources.tables import date_between
 
-# Split on commas outside double quotes.
-_CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 MEASURES = ("TAVG", "TMIN", "TMAX")
+#: The station id in a file's path: its name without ``.csv``.
+STATION_IN_PATH = r"([^/]+?)(\.csv)?$"
 
 
-def _cells(line_col):
-    return F.transform(F.split(line_col, _CSV_SPLIT),
-                       lambda s: F.regexp_replace(strip_ws(s), r'^"|"$', ""))
+def _is_header(line: Column) -> Column:
+    """A line with the cell DATE."""
+    return F.array_contains(F.transform(F.split(line, ","), lambda s: F.regexp_replace(strip_ws(s), r'^\uFEFF?"|"$|^\uFEFF', "")),
+                            "DATE")
 
 
-def read_station_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_station_files(spark: SparkSession, paths: str | Sequence[str], station: str = STATION_IN_PATH) -> DataFrame:
     """Raw rows of many station CSV files: ghcnd_station_id, DATE, TAVG, TMIN, TMAX.
 
-    The station id is the file name without ``.csv``. Files whose header has
+    ``station``: pattern whose first group is the station id in the file's path. Files whose header has
     no DATE column yield no rows (see :func:`station_files_without_date`).
     """
-    lines = (spark.read.text(paths if isinstance(paths, str) else list(paths))
-             .select(F.col("_metadata.file_path").alias("file"), _cells(F.col("value")).alias("cells")))
-    is_header = F.array_contains("cells", "DATE")
-    header = lines.where(is_header).groupBy("file").agg(F.first("cells").alias("header"))
-    data = lines.where(~is_header & (F.size("cells") > 1))
-    j = data.join(header, "file")
-    cols = [F.regexp_extract("file", r"([^/]+?)(\.csv)?$", 1).alias("ghcnd_station_id")]
-    for c in ("DATE",) + MEASURES:
-        cols.append(F.get(F.col("cells"), F.array_position("header", c).cast("int") - 1).alias(c))
-    return j.select(*cols)
+    rows = read_by_header(spark, paths, _is_header, ("DATE", *MEASURES))
+    return rows.select(F.regexp_extract("file", station, 1).alias("ghcnd_station_id"), "DATE", *MEASURES)
 
 
 def station_files_without_date(spark: SparkSession, paths) -> DataFrame:
     """Files that cannot be read as station files (P17: DATE is required)."""
-    lines = (spark.read.text(paths if isinstance(paths, str) else list(paths))
-             .select(F.col("_metadata.file_path").alias("file"), _cells(F.col("value")).alias("cells")))
-    return (lines.groupBy("file")
-            .agg(F.max(F.array_contains("cells", "DATE").cast("int")).alias("has_date"))
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
+    return (lines.groupBy(F.col("_metadata.file_path").alias("file"))
+            .agg(F.max(_is_header(F.col("value")).cast("int")).alias("has_date"))
             .where("has_date = 0").select("file"))
 
 
@@ -97,7 +89,7 @@ def load_station_meta(stations: DataFrame, pipeline: str | None,
     """
     missing = {"pipeline", "ghcnd_station_id"} - set(stations.columns)
     if missing:
-        raise ValueError(f"stations table missing columns: {sorted(missing)}")
+        raise ValueError(f"the station map needs the columns {sorted(missing)}")
     d = stations
     for c in ("station_name", "state"):
         if c not in d.columns:
@@ -113,5 +105,5 @@ def load_station_meta(stations: DataFrame, pipeline: str | None,
         d = d.where(F.col("pipeline") == pipeline.strip().lower())
     d = keep_first(d, ["pipeline", "ghcnd_station_id"], ["_pos"])
     if require_nonempty and d.limit(1).count() == 0:
-        raise ValueError(f"No stations found for pipeline == {pipeline!r}")
+        raise ValueError(f"the station map has no station of pipeline {pipeline!r}")
     return d.drop("_pos")

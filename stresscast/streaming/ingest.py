@@ -2,19 +2,16 @@
 
 The source re-reads the last N days every night and upserts by key, which is
 how late and corrected rows get in. Here: landed files are read with
-``readStream``; every micro-batch is normalized and merged by key into the
-table with ``foreachBatch``; ``trigger(availableNow=True)`` processes what has
-landed and stops (a scheduled job), and the stream checkpoint makes a rerun
-pick up only new files.
+``readStream``; every micro-batch is normalized and merged by key into a table
+with a manifest (``sources/manifest.py``) with ``foreachBatch``;
+``trigger(availableNow=True)`` processes what has landed and stops (a scheduled
+job), and the stream checkpoint makes a rerun pick up only new files.
 
-Table versions: each batch writes the merged table to a new folder
-``<root>/v=<version>_<stream>_<epoch>``, one more than the last version, and Spark
-marks it complete (``_SUCCESS``); the current table is the highest complete
-version. The commit key is the stream (the id that Spark keeps in the stream's
-checkpoint) with the epoch: a retried epoch of the same stream finds its folder
-and skips, so a batch is applied once even after a failure between write and
-commit, and another feed or a fresh checkpoint, whose epochs start at 0 again,
-is applied like any other batch.
+A batch reads and writes the partitions its keys fall into and no others. Its
+commit records the stream (the id that Spark keeps in the stream's checkpoint)
+with the epoch: a retried epoch of the same stream is skipped, so a batch is
+applied once even after a failure between write and commit, and another feed or
+a fresh checkpoint, whose epochs start at 0 again, is applied like any other.
 
 Which row of a key wins is decided by ``order_cols`` alone, within a batch and
 against the stored row, so the table does not depend on how files were dealt
@@ -26,70 +23,10 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from stresscast.operators.merge import keyed_merge, merge_stats, stored
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def complete_versions(spark: SparkSession, root: str) -> list[tuple[int, str, int, str]]:
-    """(version, stream, epoch, folder) of the complete versions in order."""
-    fs, p, jvm = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            version, stream, epoch = name[2:].split("_")
-            out.append((int(version), stream, int(epoch), name))
-    return sorted(out)
-
-
-def read_current(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame | None:
-    v = complete_versions(spark, root)
-    if not v:
-        return None
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(f"{root.rstrip('/')}/{v[-1][3]}")
-
-
-def merge_batch(spark: SparkSession, root: str, batch: DataFrame, epoch: int, keys: Sequence[str], now,
-                order_cols: Sequence[str], stream: str) -> dict | None:
-    """Apply one batch of a stream: merge into the current version, write the next one.
-
-    ``order_cols`` are columns of the batch, stored with it; the largest wins, and a stored row is not
-    replaced by one that comes before it. Returns None for a batch that is already in the table.
-    """
-    done = complete_versions(spark, root)
-    if any((s, e) == (stream, epoch) for _, s, e, _ in done):
-        return None
-    version = done[-1][0] + 1 if done else 0
-    current = read_current(spark, root)
-    rows, existing = batch, batch.limit(0)
-    if current is not None:
-        existing = current
-        held = current.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*order_cols).alias("_held"))
-        same = F.lit(True)
-        for k in keys:
-            same = same & (F.col(k) == F.col(f"_k_{k}"))
-        rows = (batch.join(held, same, "left").where(F.col("_held").isNull() | (F.struct(*order_cols) >= F.col("_held")))
-                .select(*batch.columns))
-    merged = keyed_merge(existing, rows, keys, now, [F.col(c) for c in order_cols]).persist()
-    try:
-        stored(merged).write.mode("overwrite").parquet(f"{root.rstrip('/')}/v={version:08d}_{stream}_{epoch}")
-        return merge_stats(merged).first().asDict()
-    finally:
-        merged.unpersist()
+from stresscast.sources.manifest import merge_table, read_current  # noqa: F401
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -99,13 +36,13 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def ingest(spark: SparkSession, source: str, schema: StructType, normalize: Callable[[DataFrame], DataFrame],
-           table_root: str, keys: Sequence[str], checkpoint: str, now, order_cols: Sequence[str], fmt: str = "parquet",
-           max_files_per_trigger: int | None = None,
+           table_root: str, keys: Sequence[str], checkpoint: str, now, order_cols: Sequence[str],
+           partition_by: Column | str, fmt: str = "parquet", max_files_per_trigger: int | None = None,
            event_time: str | None = None, lookback: str | None = None) -> list[dict]:
     """Run the stream until everything landed so far is merged; returns per-batch statistics.
 
-    With ``event_time`` and ``lookback`` (e.g. '60 days') a key re-sent within the
-    lookback is dropped instead of merged (``dropDuplicatesWithinWatermark``; use
+    ``partition_by`` is an expression over ``keys`` (a day or a month, say). With ``event_time`` and ``lookback`` (e.g.
+    '60 days') a key re-sent within the lookback is dropped instead of merged (``dropDuplicatesWithinWatermark``; use
     it when late rows must not overwrite: the default merge applies corrections).
     """
     stats: list[dict] = []
@@ -117,7 +54,8 @@ def ingest(spark: SparkSession, source: str, schema: StructType, normalize: Call
         rows = rows.withWatermark(event_time, lookback).dropDuplicatesWithinWatermark(list(keys))
 
     def each(batch: DataFrame, epoch: int):
-        s = merge_batch(spark, table_root, batch, epoch, keys, now, order_cols, stream_id(spark, checkpoint))
+        s = merge_table(spark, table_root, batch, keys, now, order_cols, partition_by,
+                        feed=stream_id(spark, checkpoint), epoch=epoch)
         if s is not None:
             stats.append({"epoch": epoch, **s})
 

@@ -25,6 +25,17 @@ def tmpdir_path():
     return tempfile.mkdtemp(prefix="stresscast-test-")
 
 
+@pytest.fixture(params=[1, 3, 40])
+def ranges(spark, request):
+    """So many tasks an exchange, none merged: small tables are cut into as many ranges as a large one."""
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    for k, v in keep.items():
+        spark.conf.set(k, v)
+
+
 def rows(df, *order):
     """Collect as a list of dicts sorted by ``order`` columns."""
     out = [r.asDict() for r in df.collect()]

@@ -63,17 +63,16 @@ def test_baseline_vs_model_common_rows(spark):
     assert 0.0 <= r["auc_baseline"] <= 1.0 and 0.0 <= r["auc_model"] <= 1.0
 
 
-@pytest.mark.parametrize("n_buckets", [1, 3, 256])
-def test_exact_quantiles_match_percentile(spark, n_buckets):
+def test_exact_quantiles_match_percentile(spark, ranges):
     from pyspark.sql import functions as F
-    from stresscast.operators.quantiles import exact_quantiles
+    from stresscast.operators.ranks import exact_quantiles
     rnd = random.Random(4)
     rows = [(rnd.choice(["a", "b", "c"]), float(rnd.randrange(40)) if rnd.random() > 0.05 else None)
             for _ in range(700)] + [("d", 5.0), ("e", None)]
     df = spark.createDataFrame(rows, "k string, x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     got = {r["k"]: [r[f"q{i}"] for i in range(len(probs))]
-           for r in exact_quantiles(df, "x", probs, ["k"], n_buckets).collect()}
+           for r in exact_quantiles(df, "x", probs, ["k"]).collect()}
     exp = {r["k"]: r["p"] for r in df.groupBy("k").agg(
         F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("p")).collect()}
     for k in ("a", "b", "c", "d"):

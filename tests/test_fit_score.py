@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from stresscast.plans.fit import draws_from_posterior, fit_logistic, fit_student_t
 from stresscast.plans.score import exceed_probs, score_points
@@ -148,3 +149,73 @@ def test_vol_backtest_both_input_modes(spark):
                        F.min("date").alias("first")).first()
         assert r["n"] > 0 and 0.0 <= r["lo"] <= r["hi"] <= 1.0, mode
         assert str(r["first"]) > TRAIN_END
+
+
+def test_null_and_empty_keys_are_models_of_their_own(spark):
+    rng = np.random.default_rng(11)
+    rows = [(k, float(x), int(rng.random() < 1 / (1 + np.exp(-s * x)))) for k, s in ((None, 2.0), ("", -2.0), ("p", 0.5))
+            for x in rng.normal(size=300)]
+    df = spark.createDataFrame(rows, "k string, x double, y int")
+    params, post = fit_logistic(df, ["x"], "y", ["k"])
+    est = {r["k"]: r["estimate"] for r in params.where("param = 'b_x'").collect()}
+    assert est[None] > 1 and est[""] < -1 and len(est) == 3
+    alone = {r["param"]: r["estimate"] for r in fit_logistic(df.where("k = ''"), ["x"])[0].collect()}
+    assert alone["b_x"] == pytest.approx(est[""], abs=1e-9)
+    draws = draws_from_posterior(post, ["k"], n_chains=1, n_draws=50)
+    scored = score_points(df.select("k", F.monotonically_increasing_id().alias("date"), "x"), draws, ["x"], keys=["k"])
+    assert scored.where("prob is not null").count() == 900
+
+
+def test_many_keys_and_a_hot_one(spark):
+    """3,000 models in one fit, one of them with a third of all rows; equal to fits of their own."""
+    rng = np.random.default_rng(12)
+    k = np.concatenate([np.repeat(np.arange(3000), 4), np.zeros(6000, int)])
+    x = rng.normal(size=len(k))
+    y = (rng.random(len(k)) < 1 / (1 + np.exp(-x))).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"k": k, "x": x, "y": y})).repartition(5)
+    params, _ = fit_logistic(df, ["x"], "y", ["k"])
+    est = {(r["k"], r["param"]): r["estimate"] for r in params.collect()}
+    assert len(est) == 6000
+    for key in (0, 17, 2999):
+        one = {r["param"]: r["estimate"] for r in fit_logistic(df.where(F.col("k") == key), ["x"])[0].collect()}
+        assert [one["a"], one["b_x"]] == pytest.approx([est[key, "a"], est[key, "b_x"]], abs=1e-8)
+
+
+def test_blocks_hold_every_row_once(spark):
+    from stresscast.plans.blocks import key_blocks, matrix
+    rows = [(k, i, float(i) if i % 7 else None) for i, k in enumerate(["a"] * 5000 + ["b", None] * 50)]
+    df = spark.createDataFrame(rows, "k string, i int, x double").repartition(3)
+    found = key_blocks(df, ["k"], ["x"], ["i", "k"]).collect()
+    assert max(len(r["_i"]) for r in found) <= 2048
+    got = {i: (r["k"], v) for r in found for i, v in zip(r["_i"], matrix(bytes(r["block"]), 1)[:, 0])}
+    assert len(got) == sum(len(r["_i"]) for r in found) == len(rows)
+    assert all(got[i][0] == k and (np.isnan(got[i][1]) if x is None else got[i][1] == x) for k, i, x in rows)
+    assert all(set(r["_k"]) == {r["k"]} for r in found)
+
+
+def test_student_t_variates_have_the_right_distribution():
+    from stresscast.plans.score import hashed_uniforms, student_t
+    seeds = np.random.default_rng(1).integers(-2**63, 2**63 - 1, 400)
+    u = hashed_uniforms(seeds, 500, 0)
+    assert abs(u.mean() - 0.5) < 0.003 and abs(u.var() - 1 / 12) < 0.001 and 0 < u.min() and u.max() < 1
+    assert abs(np.corrcoef(u[:, :-1].ravel(), u[:, 1:].ravel())[0, 1]) < 0.01
+    assert abs(np.corrcoef(u[:-1].ravel(), u[1:].ravel())[0, 1]) < 0.01
+    for nu in (2.1, 4.0, 30.0):
+        t = student_t(seeds, np.full(500, nu)).ravel()
+        want = np.random.default_rng(2).standard_t(nu, 2_000_000)
+        qs = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
+        assert np.allclose(np.quantile(t, qs), np.quantile(want, qs), atol=0.03 * (1 + np.abs(np.quantile(want, qs))))
+
+
+def test_vol_scores_against_the_normal_limit(spark):
+    """Points of one model: the share of draws above the threshold, with fixed variates exactly so."""
+    t = [(-1.5 + i / 100) for i in range(301)]
+    draws = spark.createDataFrame([("p", i, 0.1, 0.5, 0.2, v) for i, v in enumerate(t)],
+                                  "k string, draw int, a double, b_x double, sigma double, t double")
+    pts = spark.createDataFrame([("p", i, i / 10) for i in range(30)] + [("q", 1, 0.0), ("p", 99, None)],
+                                "k string, date int, x double")
+    got = {(r["k"], r["date"]): r["prob"] for r in
+           score_points(pts, draws, ["x"], "vol", 0.75, keys=["k"], variate="t").collect()}
+    for i in range(30):
+        assert got["p", i] == np.mean([0.1 + 0.5 * (i / 10) + 0.2 * v > 0.75 for v in t])
+    assert got["q", 1] is None and got["p", 99] is None and len(got) == 32

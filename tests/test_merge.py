@@ -1,6 +1,9 @@
 import datetime as dt
 
-from stresscast.operators.merge import keyed_merge, merge_into_path, merge_stats, stored
+import pytest
+from pyspark.sql import functions as F
+
+from stresscast.operators.merge import keyed_merge, merge_stats, stored
 from tests.conftest import rows
 
 NOW = "2024-06-01 00:00:00"
@@ -54,24 +57,17 @@ def test_merge_twice_is_idempotent(spark):
 def test_fields_col_per_row_absence(spark):
     inc = spark.createDataFrame([("s", "2024-01-01", 9.0, "x", ["series", "date", "units"])],
                                 "series string, date string, value double, units string, _fields array<string>")
-    m = keyed_merge(existing(spark), inc, ["series", "date"], NOW, fields_col="_fields")
+    m = keyed_merge(existing(spark), inc, ["series", "date"], NOW, [F.col("value")], fields_col="_fields")
     r = [x for x in m.collect() if x["date"] == "2024-01-01"][0]
     assert r["value"] == 1.0 and r["units"] == "x"
 
 
-def test_merge_into_path(spark, tmpdir_path):
-    out1 = f"{tmpdir_path}/v1"
-    s1 = merge_into_path(spark, None, batch(spark).where("series = 's'"), ["series", "date"], NOW, out1, ["seq"])
-    assert s1["inserted"] == 4
-    out2 = f"{tmpdir_path}/v2"
-    s2 = merge_into_path(spark, out1, batch(spark).where("series = 's'"), ["series", "date"], NOW, out2, ["seq"])
-    assert s2["inserted"] == 0 and s2["modified"] == 0
-    assert spark.read.parquet(out2).count() == 4
-
-
-def test_duplicate_keys_without_order_keep_one(spark):
+def test_the_order_is_required_and_decides(spark):
     inc = spark.createDataFrame([("s", "2024-01-09", 1.0), ("s", "2024-01-09", 2.0)],
-                                "series string, date string, value double").coalesce(1)
-    m = keyed_merge(existing(spark), inc, ["series", "date"], NOW)
-    got = [r for r in m.collect() if r["date"] == "2024-01-09"]
-    assert len(got) == 1 and got[0]["value"] == 2.0  # arrival order: the later row wins
+                                "series string, date string, value double")
+    with pytest.raises(ValueError):
+        keyed_merge(existing(spark), inc, ["series", "date"], NOW, [])
+    for part in (inc, inc.orderBy("value"), inc.orderBy(F.desc("value"))):
+        m = keyed_merge(existing(spark), part, ["series", "date"], NOW, [F.col("value")])
+        got = [r for r in m.collect() if r["date"] == "2024-01-09"]
+        assert len(got) == 1 and got[0]["value"] == 2.0

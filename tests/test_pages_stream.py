@@ -59,7 +59,7 @@ def test_stream_ingest_idempotent(spark, tmpdir_path):
     spark.createDataFrame(night1, schema).write.parquet(f"{land}/night=1")
     sch = spark.read.parquet(f"{land}/night=1").schema
     args = (spark, land, sch, lambda r: normalize_prices(r, ["seq"]), table, ["series", "date"], f"{tmpdir_path}/ck",
-            "2024-02-01 00:00:00", ["seq"])
+            "2024-02-01 00:00:00", ["seq"], "substring(date, 1, 7)")
     s1 = ingest(*args)
     assert sum(s["inserted"] for s in s1) == 2
     spark.createDataFrame(night2, schema).write.parquet(f"{land}/night=2")
@@ -92,7 +92,7 @@ def test_stream_lookback_drops_resent_keys(spark, tmpdir_path):
     land, table = f"{tmpdir_path}/landing", f"{tmpdir_path}/table"
     spark.createDataFrame([("2024-01-02", "2.0", "RNGWHHD", 2)], schema).write.parquet(f"{land}/night=1")
     sch = spark.read.parquet(f"{land}/night=1").schema
-    args = (spark, land, sch, typed, table, ["series", "date"], f"{tmpdir_path}/ck", "2024-02-01 00:00:00", ["seq"])
+    args = (spark, land, sch, typed, table, ["series", "date"], f"{tmpdir_path}/ck", "2024-02-01 00:00:00", ["seq"], "date")
     ingest(*args, event_time="_t", lookback="60 days")
     spark.createDataFrame([("2024-01-02", "9.0", "RNGWHHD", 9)], schema).write.parquet(f"{land}/night=2")
     ingest(*args, event_time="_t", lookback="60 days")

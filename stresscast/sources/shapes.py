@@ -24,9 +24,9 @@ def header_files(spark: SparkSession, paths: str | Sequence[str], is_header: Cal
                  encoding: str = "UTF-8") -> dict[str, list[str]]:
     """Files by header line. ``is_header`` recognizes the header among the lines of a file's first block.
 
-    Of several such lines the first counts; a file without one is left out.
+    Of several such lines the first counts; a file without one is left out. Folders are searched to any depth.
     """
-    lines = (spark.read.option("encoding", encoding).text([paths] if isinstance(paths, str) else list(paths))
+    lines = (spark.read.option("encoding", encoding).option("recursiveFileLookup", True).text([paths] if isinstance(paths, str) else list(paths))
              .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                      F.monotonically_increasing_id().alias("at")))
     found = (lines.where((F.col("block") == 0) & is_header(F.col("value")))

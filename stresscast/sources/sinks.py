@@ -61,7 +61,7 @@ def price_documents(prices: DataFrame, now) -> DataFrame:
     """K5: key (series, date); an absent, NULL or empty series takes the default id; value = the price."""
     return prices.select(
         (F.coalesce(F.nullif(F.col("series"), F.lit("")), F.lit(DEFAULT_PRICE_SERIES)) if "series" in prices.columns
-         else F.lit(DEFAULT_PRICE_SERIES)).alias("series"), "date",
+         else F.lit(DEFAULT_PRICE_SERIES)).alias("series"), F.col("date").cast("string").alias("date"),
         F.col("henry_hub_usd_per_mmbtu").alias("value"),
         *[c for c in META_COLS if c != "series" and c in prices.columns],
         F.lit(now).cast("timestamp").alias("updated_at_utc"), _struct(PRICE_SOURCE).alias("source"))
@@ -71,7 +71,7 @@ def storage_documents(storage: DataFrame, now) -> DataFrame:
     """K6: key (series, region, date) - the region is part of the key (§8 Q16). The series has no default here: a row
     without one has no key."""
     return storage.select(
-        "series", "date", "region", F.col("working_gas_bcf").alias("value"),
+        "series", F.col("date").cast("string").alias("date"), "region", F.col("working_gas_bcf").alias("value"),
         *[c for c in META_COLS if c != "series" and c in storage.columns],
         F.lit(now).cast("timestamp").alias("updated_at_utc"), _struct(STORAGE_SOURCE).alias("source"))
 
@@ -125,7 +125,7 @@ def write_run_manifest(stations: DataFrame, path: str, *, now, outputs: dict, da
 
 
 def _read_stations(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(", ".join(f"{c} string" for c in STATION_FIELDS)).json(f"{path}/stations")
+    return spark.read.option("recursiveFileLookup", True).schema(", ".join(f"{c} string" for c in STATION_FIELDS)).json(f"{path}/stations")
 
 
 def read_run_manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -44,7 +44,7 @@ def read_station_files(spark: SparkSession, paths: str | Sequence[str], station:
 
 def station_files_without_date(spark: SparkSession, paths) -> DataFrame:
     """Files that cannot be read as station files (P17: DATE is required)."""
-    lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
+    lines = spark.read.option("recursiveFileLookup", True).text(paths if isinstance(paths, str) else list(paths))
     return (lines.groupBy(F.col("_metadata.file_path").alias("file"))
             .agg(F.max(_is_header(F.col("value")).cast("int")).alias("has_date"))
             .where("has_date = 0").select("file"))

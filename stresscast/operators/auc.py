@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stresscast.operators.ranks import RANGE, counted_ranges, join_null_safe, range_totals, running_before
+from stresscast.operators.ranks import RANGE, counted_ranges, join_null_safe, range_totals
 
 
 def exact_auc(df: DataFrame, score: str = "score", label: str = "outcome", keys: Sequence[str] = ()) -> DataFrame:
@@ -24,10 +24,10 @@ def exact_auc(df: DataFrame, score: str = "score", label: str = "outcome", keys:
     """
     keys = list(keys)
     y = F.col(label).cast("long")
-    table = counted_ranges(df.where(F.col(label).isNotNull()), keys, score, {"_p": F.sum(y), "_n": F.sum(1 - y)})
+    table = counted_ranges(df.where(F.col(label).isNotNull()), keys, score, {"_p": F.sum(y), "_n": F.sum(1 - y)}, ["_n"])
     offsets = range_totals(table, keys, ["_n"]).select(*keys, RANGE, "_n_before")
-    rows = join_null_safe(table.withColumn("_below", running_before(keys, score, "_n")), offsets, [*keys, RANGE])
-    wins = F.col("_p") * (F.col("_n_before") + F.col("_below") + F.col("_n") * 0.5)
+    rows = join_null_safe(table, offsets, [*keys, RANGE])
+    wins = F.col("_p") * (F.col("_n_before") + F.col("_n_below") + F.col("_n") * 0.5)
     g = rows.groupBy(*keys).agg(F.sum(wins).alias("_u"), F.sum("_p").alias("n_pos"), F.sum("_n").alias("n_neg"))
     return g.select(*keys, F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
                                   F.col("_u") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"),

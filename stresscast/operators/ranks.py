@@ -4,12 +4,13 @@ An order statistic of a key needs the number of rows below each value. No key is
 
 1. rows are counted per (keys, value), so a value that a third of all rows hold is one row after the map side;
 2. the counts go through one range exchange by (keys, value): as many ranges as the exchange has tasks, cut where the
-   data lie, so a hot key is many ranges and many small keys are one. The result is written once in the shared folder;
-   the input is read once and a lost executor repeats single tasks;
-3. sums per (keys, range), one row for each key that a range touches, give every range's offset within its key;
-4. within a (key, range) cell a running sum over the values adds the rest of the rank.
+   data lie, so a hot key is many ranges and many small keys are one. Each task sorts its range and adds a running sum
+   per key as it streams by (Arrow batches; nothing is held but the last key). The result is written once in the shared
+   folder; the input is read once and a lost executor repeats single tasks;
+3. sums per (keys, range), one row for each key that a range touches, give every range's offset within its key. A value's
+   rank is that offset and its running sum.
 
-A rank is then found in the one cell whose offsets enclose it: :func:`exact_quantiles` looks at no other cell.
+After the range exchange only these small tables are exchanged, the counts stay where they are.
 NULL values have no rank; NULL keys are a key like any other.
 """
 
@@ -17,8 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from stresscast.operators.joins import attach_row
 from stresscast.session import staged
@@ -37,14 +42,54 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def counted_ranges(df: DataFrame, keys: Sequence[str], value: str, sums: Mapping[str, Column]) -> DataFrame:
+def counted_ranges(df: DataFrame, keys: Sequence[str], value: str, sums: Mapping[str, Column],
+                   running: Sequence[str] | None = None) -> DataFrame:
     """Sums per (keys, value), written with the number of the range (``_range``) each value fell into.
 
-    Ranges are disjoint and ordered: within a key every value of a lower range is lower.
+    Ranges are disjoint and ordered: within a key every value of a lower range is lower. For each of ``running`` (all
+    sums by default) ``<sum>_below`` is its total over the lower values of the same key and range. Sums that run are integers.
     """
+    running = list(sums) if running is None else list(running)
     counts = (df.where(F.col(value).isNotNull()).groupBy(*keys, value)
               .agg(*[s.alias(name) for name, s in sums.items()]))
-    return staged(counts.repartitionByRange(*keys, value).withColumn(RANGE, F.spark_partition_id()), "ranges")
+    schema = StructType([*counts.schema, *[StructField(f"{c}_below", LongType()) for c in running], StructField(RANGE, IntegerType())])
+
+    def run(batches):
+        from pyspark import TaskContext
+        number, last, before = TaskContext.get().partitionId(), None, dict.fromkeys(running, 0)
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            columns = [batch.column(k) for k in keys]
+            new = np.zeros(n, bool)
+            new[0] = [c[0].as_py() for c in columns] != last
+            for c in columns:
+                new[1:] |= _differs(c.slice(1), c.slice(0, n - 1))
+            first = np.maximum.accumulate(np.where(new, np.arange(n), 0))  # 0 too for rows that go on from the last batch
+            below = []
+            for c in running:
+                v = batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                total = np.cumsum(v)
+                since = total - v - np.concatenate([[0], total])[first]
+                if not new[0]:
+                    going_on = n if not new.any() else int(np.argmax(new))
+                    since[:going_on] += before[c]
+                below.append(pa.array(since))
+                before[c] = int(since[-1] + v[-1])
+            last = [c[n - 1].as_py() for c in columns]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *below, pa.array(np.full(n, number, np.int32))], names=schema.names)
+
+    ranged = counts.repartitionByRange(*keys, value).sortWithinPartitions(*keys, value)
+    return staged(ranged.mapInArrow(run, schema), "ranges")
+
+
+def _differs(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Whether two columns differ row by row; NULL is equal to NULL and NaN to NaN."""
+    differ = pc.fill_null(pc.not_equal(a, b), False)
+    if pa.types.is_floating(a.type):
+        differ = pc.and_not(differ, pc.and_(pc.fill_null(pc.is_nan(a), False), pc.fill_null(pc.is_nan(b), False)))
+    return pc.or_(differ, pc.xor(pc.is_null(a), pc.is_null(b))).to_numpy(zero_copy_only=False)
 
 
 def range_totals(table: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -59,12 +104,6 @@ def range_totals(table: DataFrame, keys: Sequence[str], sums: Sequence[str]) ->
                             | {f"{s}_all": F.sum(f"{s}_here").over(key) for s in sums})
 
 
-def running_before(keys: Sequence[str], value: str, name: str) -> Column:
-    """Sum of ``name`` over the lower values of the same cell."""
-    cell = Window.partitionBy(*keys, RANGE).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(name).over(cell), F.lit(0))
-
-
 def interpolated(lo: Column, hi: Column, position: Column) -> Column:
     """Value at a fractional position between the values at its floor and ceiling, as ``percentile`` computes it."""
     lo, hi = lo.cast("double"), hi.cast("double")
@@ -81,7 +120,7 @@ def quantiles_of(table: DataFrame, keys: Sequence[str], value: str, probs: Seque
     position = [(n - 1) * F.lit(float(p)) for p in probs]
     ranks = F.array_distinct(F.array(*[f(p) for p in position for f in (F.floor, F.ceil)]))
     cells = totals.where(F.exists(ranks, lambda r: (r >= before) & (r < before + here)))
-    rows = join_null_safe(table, cells, [*keys, RANGE]).withColumn("_start", before + running_before(keys, value, count))
+    rows = join_null_safe(table, cells, [*keys, RANGE]).withColumn("_start", before + F.col(f"{count}_below"))
     has = lambda rank: (F.col("_start") <= rank) & (rank < F.col("_start") + F.col(count))
     picked = rows.groupBy(*keys).agg(F.max(n).alias(f"{count}_all"), *[
         F.max(F.when(has(f(p)), F.col(value))).alias(f"_{side}{i}")

@@ -52,11 +52,17 @@ DATE_FORMATS = ("M/d/yyyy", "M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm", "yyyy/M/d", "
 
 
 def to_date_lenient(x) -> Column:
-    """lenient date parse (strings, timestamps, dates): ISO first, then ``DATE_FORMATS`` in order; bad gives NULL."""
+    """lenient date parse (strings, timestamps, dates): ISO first, then ``DATE_FORMATS`` in order; bad gives NULL.
+
+    A format is only tried on texts that could have it (a digit first, a slash where it has one): a parse that fails costs
+    far more than the test.
+    """
     v = _c(x)
     text = strip_ws(v.cast("string"))
-    return F.coalesce(v.try_cast("date"), F.to_date(F.try_to_timestamp(text)),
-                      *[F.to_date(F.try_to_timestamp(F.upper(text), F.lit(f))) for f in DATE_FORMATS])
+    digit = F.substring(text, 1, 1).between("0", "9")
+    could = lambda f: digit & (text.contains("/") if "/" in f else F.length(text) == len(f))
+    return F.coalesce(v.try_cast("date"), F.when(digit, F.to_date(F.try_to_timestamp(text))),
+                      *[F.when(could(f), F.to_date(F.try_to_timestamp(F.upper(text), F.lit(f)))) for f in DATE_FORMATS])
 
 
 def to_ts_lenient(x) -> Column:

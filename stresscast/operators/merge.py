@@ -65,6 +65,11 @@ def _same(old: DataType | None, new: DataType | None) -> bool:
     return old == new or not isinstance(old, StructType) and not isinstance(new, StructType)
 
 
+def _names(fields: Column, path: str) -> Column:
+    """Whether a row's field list has the field or one inside it."""
+    return F.exists(fields, lambda f: (f == path) | f.startswith(path + "."))
+
+
 def merged_field(path: str, old: Column, old_type: DataType | None, new: Column, new_type: DataType, matched: Column,
                  fields: Column | None) -> Column:
     """The stored value, or the incoming one where the row is matched and names the field; structs field by field."""
@@ -80,8 +85,7 @@ def merged_field(path: str, old: Column, old_type: DataType | None, new: Column,
         if name not in sent:
             parts.append(before.alias(name))
             continue
-        single = F.lit(False) if fields is None else matched & F.exists(
-            fields, lambda f, at=f"{path}.{name}": (f == at) | f.startswith(at + "."))  # noqa: B023
+        single = F.lit(False) if fields is None else matched & _names(fields, f"{path}.{name}")
         inner = None if fields is None else F.when(named, F.array_append(fields, f"{path}.{name}")).otherwise(fields)
         parts.append(merged_field(f"{path}.{name}", before, held.get(name), new[name], sent[name], matched, inner).alias(name))
         any_named = any_named | single

@@ -234,9 +234,9 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
                   nu_grid: Sequence[float] = NU_GRID, max_iter: int = 100, tol: float = 1e-9):
     """M5: robust regression MAP per key and per nu of the grid by damped Newton steps.
 
-    Per nu the state holds the best point so far with its objective, gradient and curvature, the damping and the point to
-    try next; a pass evaluates all points to try. A point that is no better is dropped and the damping grows. A key has
-    converged when no entry of its gradient exceeds ``tol`` per row, for every nu.
+    Per nu the state holds the best point so far with its objective, gradient and curvature, the length of the step and the
+    point to try next; a pass evaluates all points to try. A point that is no better is dropped and the step shortened. A key
+    has converged when no entry of its gradient exceeds ``tol`` per row, for every nu.
 
     Returns ``(params, posterior)`` like :func:`fit_logistic`; ``params`` reports
     the highest-posterior nu's mode with Laplace std errors, plus ``nu`` and
@@ -250,7 +250,7 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
     upper = np.triu_indices(p)
     cells = len(upper[0])
     per_stats = 3 + p + cells + p + 1  # rows, objective, d log sigma, gradient, curvature
-    # of one nu: rows, best (objective, point, gradient, curvature), damping, point to try
+    # of one nu: rows, best (objective, point, gradient, curvature), length of the step, point to try
     per_state = 2 + q + q + q * q + 1 + q
 
     def stats(state, X, y):
@@ -282,25 +282,21 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
 
     def advance(held, sums):
         best, point, gradient, H = held[1], held[2:2 + q], held[2 + q:2 + 2 * q], held[2 + 2 * q:2 + 2 * q + q * q].reshape(q, q)
-        damping, tried = held[-q - 1], held[-q:]
+        length, tried = held[-q - 1], held[-q:]
         value, new_gradient, new_H = posterior_at(tried, sums)
         if value <= best + 1e-12 * (1.0 + abs(best)) or not math.isfinite(best):
-            best, point, gradient, H, damping = value, tried, new_gradient, new_H, damping / 10.0
+            best, point, gradient, H, length = value, tried, new_gradient, new_H, min(1.0, 4.0 * length)
         else:
-            damping = max(damping, 1e-4) * 10.0
+            length = length / 4.0
         size = float(np.abs(gradient).max() / max(sums[0], 1.0))
         step = np.zeros(q)
         if size > tol:
-            weight = np.maximum(np.abs(np.diag(H)), 1e-8)
-            while True:
-                damped = H + damping * np.diag(weight)
-                try:
-                    np.linalg.cholesky(damped)
-                    break
-                except np.linalg.LinAlgError:
-                    damping = max(damping, 1e-4) * 10.0
-            step = np.clip(np.linalg.solve(damped, -gradient), -2.0, 2.0)
-        return np.concatenate([[sums[0], best], point, gradient, H.ravel(), [damping], point + step]), size
+            # Newton with every curvature taken as positive: downhill in all directions, full steps near the mode
+            unit = np.sqrt(np.maximum(np.abs(np.diag(H)), 1e-8))
+            curvature, axes = np.linalg.eigh(H / np.outer(unit, unit))
+            step = -(axes @ ((axes.T @ (gradient / unit)) / np.maximum(np.abs(curvature), 1e-12))) / unit
+            step[p] = min(max(step[p], -1.0), 1.0)
+        return np.concatenate([[sums[0], best], point, gradient, H.ravel(), [length], point + length * step]), size
 
     def update(state, sums):
         both = [advance(state[g * per_state:(g + 1) * per_state], sums[g * per_stats:(g + 1) * per_stats]) for g in range(G)]
@@ -311,7 +307,7 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
     d = design.select(*keys, F.col(y).cast("double").alias("_y"), *[F.col(f).cast("double") for f in feats])
     moments = d.dropna(subset=["_y", *feats]).groupBy(*keys).agg(F.avg("_y").alias("m"), F.stddev_pop("_y").alias("s"))
     zeros = lambda n: [F.lit(0.0)] * n
-    one_nu = F.array(F.lit(0.0), F.lit(math.inf), *zeros(q + q + q * q), F.lit(1e-3), F.col("m"), *zeros(p - 1),
+    one_nu = F.array(F.lit(0.0), F.lit(math.inf), *zeros(q + q + q * q), F.lit(1.0), F.col("m"), *zeros(p - 1),
                      F.ln(F.greatest("s", F.lit(1e-6))))
     start = moments.where("m is not null").select(*keys, F.flatten(F.array_repeat(one_nu, G)).alias("state"))
     state = iterate(blocks, keys, start, p, G * per_stats, stats, update, max_iter, tol)

@@ -71,3 +71,47 @@ def test_the_order_is_required_and_decides(spark):
         m = keyed_merge(existing(spark), part, ["series", "date"], NOW, [F.col("value")])
         got = [r for r in m.collect() if r["date"] == "2024-01-09"]
         assert len(got) == 1 and got[0]["value"] == 2.0
+
+
+DOC = "k string, n int, meta struct<name:string,geo:struct<state:string,zip:int>>"
+
+
+def docs(spark, rows, schema=DOC):
+    return spark.createDataFrame(rows, schema)
+
+
+def merged_docs(existing, incoming, **more):
+    out = keyed_merge(existing, incoming, ["k"], NOW, [F.col("n")], **more).collect()
+    return {r["k"]: (r["n"], r["meta"] and r["meta"].asDict(True), r["_action"]) for r in out}
+
+
+def test_nested_fields_are_merged_one_by_one(spark):
+    old = docs(spark, [("a", 1, ("A", ("MA", 1))), ("b", 1, None), ("c", 1, ("C", None)), ("d", 1, ("D", ("NY", 4)))])
+    sent = docs(spark, [("a", 1, (("NH",),)), ("b", 2, (("VT",),)), ("c", 1, (None,)), ("e", 5, (("ME",),))],
+                "k string, n int, meta struct<geo:struct<state:string>>")
+    got = merged_docs(old, sent)
+    assert got["a"] == (1, {"name": "A", "geo": {"state": "NH", "zip": 1}}, "update")
+    assert got["b"] == (2, {"name": None, "geo": {"state": "VT", "zip": None}}, "update")
+    assert got["c"] == (1, {"name": "C", "geo": None}, "unchanged")  # a struct that is sent as NULL
+    assert got["d"] == (1, {"name": "D", "geo": {"state": "NY", "zip": 4}}, "keep")
+    assert got["e"] == (5, {"name": None, "geo": {"state": "ME", "zip": None}}, "insert")
+
+
+def test_nested_fields_named_per_row(spark):
+    old = docs(spark, [(k, 1, ("A", ("MA", 1))) for k in "abcd"])
+    sent = docs(spark, [("a", 2, ("X", ("NH", 9)), ["k", "n", "meta.geo.state"]), ("b", 2, ("X", ("NH", 9)), ["k", "meta.name"]),
+                        ("c", 2, None, ["k", "meta"]), ("d", 2, ("X", None), ["k", "meta"])], DOC + ", f array<string>")
+    got = merged_docs(old, sent, fields_col="f")
+    assert got["a"][:2] == (2, {"name": "A", "geo": {"state": "NH", "zip": 1}})
+    assert got["b"][:2] == (1, {"name": "X", "geo": {"state": "MA", "zip": 1}})
+    assert got["c"][:2] == (1, None) and got["d"][:2] == (1, {"name": "X", "geo": None})
+
+
+def test_new_nested_fields_and_flattening(spark):
+    from stresscast.operators.merge import flattened
+    old = docs(spark, [("a", 1, ("A",)), ("b", 1, ("B",))], "k string, n int, meta struct<name:string>")
+    out = keyed_merge(old, docs(spark, [("a", 1, ("A2", ("MA", 2)))]), ["k"], NOW, [F.col("n")])
+    flat = {r["k"]: r for r in flattened(out).collect()}
+    assert flattened(out).columns[:5] == ["k", "n", "meta_name", "meta_geo_state", "meta_geo_zip"]
+    assert (flat["a"]["meta_name"], flat["a"]["meta_geo_zip"]) == ("A2", 2)
+    assert (flat["b"]["meta_name"], flat["b"]["meta_geo_zip"]) == ("B", None)

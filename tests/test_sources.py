@@ -94,15 +94,15 @@ def test_capacity_csv_and_median(spark, tmpdir_path):
 
 def test_sinks_documents_csv_manifest(spark, tmpdir_path):
     from stresscast.functions.scalar import parse_utc_strict
-    from stresscast.sources.sinks import (price_documents, run_manifest, station_day_documents, storage_documents,
-                                          write_csv, write_manifest)
+    from stresscast.sources.sinks import price_documents, station_day_documents, storage_documents, write_csv
     sd = spark.createDataFrame([("S1", dt.date(2024, 1, 1), 1.0, 0.0, 2.0, 30.0),
                                 ("S9", dt.date(2024, 1, 1), None, None, None, None)],
                                "ghcnd_station_id string, date date, tavg_c double, tmin_c double, tmax_c double, hdd double")
     meta = spark.createDataFrame([("p", "S1", "Boston", "MA")],
                                  "pipeline string, ghcnd_station_id string, station_name string, state string")
     docs = {r["ghcnd_station_id"]: r for r in station_day_documents(sd, meta, "p", "2024-02-01 00:00:00").collect()}
-    assert docs["S1"]["station_meta"]["station_name"] == "Boston" and docs["S9"]["station_meta"] is None
+    assert docs["S1"]["station_meta"]["station_name"] == "Boston" and docs["S9"]["station_meta"].asDict() == dict.fromkeys(
+        ("pipeline", "ghcnd_station_id", "station_name", "state"))  # unknown station: an empty document, not NULL
     assert docs["S1"]["source"]["provider"] == "NOAA" and docs["S1"]["date"] == "2024-01-01"
     pr = spark.createDataFrame([("2024-01-01", 2.5, "", "$/MMBTU")],
                                "date string, henry_hub_usd_per_mmbtu double, series string, units string")
@@ -113,11 +113,62 @@ def test_sinks_documents_csv_manifest(spark, tmpdir_path):
     write_csv(sd, f"{tmpdir_path}/csv")
     back = spark.read.option("header", True).csv(f"{tmpdir_path}/csv")
     assert back.count() == 2 and "tavg_c" in back.columns
-    m = run_manifest(spark, sd, pipeline="p", region_id="r", now="2024-02-01 00:00:00", outputs={"a": "b"},
-                     date_filter={"start": "2024-01-01", "end": None})
-    write_manifest(m, f"{tmpdir_path}/manifest")
-    got = spark.read.json(f"{tmpdir_path}/manifest").first()
-    assert got["n_stations"] == 2 and got["stations"] == ["S1", "S9"] and got["generated_at_utc"] == "2024-02-01T00:00:00Z"
     assert parse_utc_strict("2024-01-02").isoformat() == "2024-01-02T00:00:00+00:00"
     with pytest.raises(ValueError):
         parse_utc_strict("yesterday")
+
+
+def test_run_manifest_is_verified(spark, tmpdir_path):
+    import glob
+    import shutil
+    from stresscast.sources.sinks import read_run_manifest, write_run_manifest
+    days = spark.createDataFrame([("p", "r1", f"S{i % 40}", "name", None if i % 3 else "MA") for i in range(200)]
+                                 + [("q", "r2", "S1", None, None)],
+                                 "pipeline string, region_id string, ghcnd_station_id string, station_name string, state string")
+    path = f"{tmpdir_path}/manifest"
+    write_run_manifest(days.repartition(7), path, now="2024-02-01 00:00:00", outputs={"a": "b"}, aggregation={"tavg": "median"},
+                       date_filter={"start": "2024-01-01", "end": None})
+    header, stations = read_run_manifest(spark, path)
+    got = {r["pipeline"]: r for r in header.collect()}
+    assert got["p"]["stations_count"] == 40 and got["q"]["stations_count"] == 1
+    assert got["p"]["generated_at_utc"] == "2024-02-01T00:00:00Z" and got["p"]["outputs"]["a"] == "b"
+    assert got["p"]["date_filter"].asDict() == {"start": "2024-01-01", "end": ""}
+    assert {(r["pipeline"], r["ghcnd_station_id"]) for r in stations.collect()} == {("p", f"S{i}") for i in range(40)} | {("q", "S1")}
+    shutil.copy(glob.glob(f"{path}/stations/of=q/*.json")[0], f"{path}/stations/of=q/again.json")
+    with pytest.raises(ValueError, match="manifest of q"):
+        read_run_manifest(spark, path)
+    write_run_manifest(days.where("false"), f"{tmpdir_path}/none", now="2024-02-01", outputs={"a": ""}, aggregation={"a": ""},
+                       date_filter={"a": None})
+
+
+def test_capacity_files_with_damaged_rows_and_own_headers(spark, tmpdir_path):
+    os.makedirs(f"{tmpdir_path}/a b/c")
+    with open(f"{tmpdir_path}/a b/c/one.csv", "wb") as f:
+        f.write(b'Loc_Name,Post_Date,TSP\r\n"A, ""x""",2024-01-01,1\r\nB\xe9,2024-01-01,1\r\nshort,2024-01-01\r\n'
+                b'long,2024-01-01,1,2,3\r\n\r\nC\xc3\xa9, 2024-01-02 ,1\r\n')
+    with open(f"{tmpdir_path}/a b/two.csv", "wb") as f:
+        f.write(b"\xef\xbb\xbfTSP,Post_Date,Loc_Name,More\n2,2024-01-03,D,m\n")
+    with open(f"{tmpdir_path}/a b/three.csv", "wb") as f:
+        f.write(b"nothing here\n1,2\n")
+    got = {r["Loc_Name"]: r for r in read_capacity_csv(spark, f"{tmpdir_path}/a b").collect()}
+    assert set(got) == {'A, "x"', "B\ufffd", "short", "long", "Cé", "D"}
+    assert {k for k, r in got.items() if r["_corrupt_record"]} == {"short", "long"}
+    assert got["short"]["TSP"] is None and got["long"]["TSP"] == "1" and got["Cé"]["Post_Date"] == "2024-01-02"
+    assert got["D"]["TSP"] == "2" and got["D"]["More"] == "m" and got["Cé"]["More"] is None
+    assert got["D"]["source_url"].endswith("two.csv")
+
+
+def test_checks_raise_in_the_writing_job(spark):
+    from stresscast.operators.checks import FailedCheck, checked
+    df = spark.range(50).select(F.col("id"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("x"))
+    known = {"known x": (F.col("x").isNotNull(), 25)}
+    assert checked(df, "rows", 50, ["id", "x"], known).count() == 50
+    with pytest.raises(FailedCheck, match="50 rows of at least 51"):
+        checked(df, "rows", 51)
+    with pytest.raises(FailedCheck, match="25 known x of at least 26") as e:
+        checked(df, "rows", 1, at_least={"known x": (F.col("x").isNotNull(), 26)})
+    assert e.value.found == {"rows": 50, "known x": 25}
+    with pytest.raises(FailedCheck, match="no column y, z"):
+        checked(df, "rows", 1, ["z", "y"])
+    with pytest.raises(FailedCheck, match="0 rows"):
+        checked(df.where("false"), "rows")

@@ -304,8 +304,19 @@ def fit_student_t(design: DataFrame, features: Sequence[str], y: str = "y", keys
 
     # start at the mean of y and its deviation, with no best point yet
     blocks = _blocks(design, keys, feats, y)
-    d = design.select(*keys, F.col(y).cast("double").alias("_y"), *[F.col(f).cast("double") for f in feats])
-    moments = d.dropna(subset=["_y", *feats]).groupBy(*keys).agg(F.avg("_y").alias("m"), F.stddev_pop("_y").alias("s"))
+    sums_schema = StructType([blocks.schema[k] for k in keys] + [StructField(c, DoubleType()) for c in ("n", "s", "ss")])
+
+    def target_sums(batches):
+        for batch in batches:
+            ys = [matrix(b.as_py(), p)[:, 0] for b in batch.column("block")]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in keys), *(pa.array([float(f(v)) for v in ys], pa.float64())
+                                                     for f in (len, np.sum, lambda v: v @ v))], names=sums_schema.names)
+
+    moments = blocks.mapInArrow(target_sums, sums_schema).groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in ("n", "s", "ss")]).select(
+        *keys, (F.col("s") / F.col("n")).alias("m"),
+        F.sqrt(F.greatest(F.col("ss") / F.col("n") - F.pow(F.col("s") / F.col("n"), 2), F.lit(0.0))).alias("s"))
     zeros = lambda n: [F.lit(0.0)] * n
     one_nu = F.array(F.lit(0.0), F.lit(math.inf), *zeros(q + q + q * q), F.lit(1.0), F.col("m"), *zeros(p - 1),
                      F.ln(F.greatest("s", F.lit(1e-6))))

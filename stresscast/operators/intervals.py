@@ -5,8 +5,8 @@ Two plans with the same result:
 * :func:`stress_from_notices` (expand): one row per (notice, active day), then
   ``groupBy(keys, date)`` with a distinct count. Rows grow with interval
   length; good when notices are short.
-* :func:`stress_from_notices_sweep` (sweep): merge overlapping intervals of
-  each notice id (gaps and islands), emit +1 at the start and -1 the day after
+* :func:`stress_from_notices_sweep` (sweep): cut each interval to what no earlier
+  one of its notice id covers, emit +1 at its start and -1 the day after
   the end, pre-aggregate the deltas per (keys, date), take a running sum over
   event dates, and expand only the *active segments*. Work is O(notices +
   output days), independent of interval length, and the ordered window sees
@@ -61,47 +61,45 @@ def stress_from_notices(notices: DataFrame, keys: Sequence[str] = ("pipeline",),
     return _finish(out, keys)
 
 
-def _islands(n: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Merge overlapping or touching [s, e] day intervals of the same id.
+def _first_covered(n: DataFrame, keys: Sequence[str], ends: Sequence[str]) -> DataFrame:
+    """Per id and start day, and for each column of ``ends``: the first day (``<end>_from``) of [_s, end] that no
+    earlier interval of the id covers, NULL when there is none. The parts are disjoint and together cover the same days.
 
-    Copies of one id are first reduced to the latest end per start day (a
+    Copies of one id are first reduced to the latest ends per start day (a
     partial aggregation, so a notice re-posted millions of times is combined on
     the mappers); the ordered window then sees at most one row per start day
     of each id.
     """
-    n = n.groupBy(*keys, "_id", "_s").agg(F.max("_e").alias("_e"))
-    w = Window.partitionBy(*keys, "_id").orderBy("_s", "_e")
-    prev_end = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(prev_end.isNull() | (F.col("_s") > F.date_add(prev_end, 1)), 1).otherwise(0)
-    g = n.withColumn("_new", new).withColumn(
-        "_grp", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return g.groupBy(*keys, "_id", "_grp").agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"))
+    n = n.groupBy(*keys, "_id", "_s").agg(*[F.max(e).alias(e) for e in ends])
+    before = Window.partitionBy(*keys, "_id").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    n = n.select("*", *[F.max(e).over(before).alias(f"{e}_before") for e in ends])
+    return n.select(*keys, "_id", *ends, *[
+        F.when(F.col(e).isNotNull() & (F.col(f"{e}_before").isNull() | (F.col(e) > F.col(f"{e}_before"))),
+               F.greatest("_s", F.date_add(f"{e}_before", 1))).alias(f"{e}_from") for e in ends])
 
 
 def stress_from_notices_sweep(notices: DataFrame, keys: Sequence[str] = ("pipeline",), id_col: str = "notice_id",
                               critical_col: str | None = "critical") -> DataFrame:
     """A3 (sweep plan): same result as :func:`stress_from_notices`, O(n) rows.
 
-    One pass over the notices: every interval is tagged with kinds - 0: counts
-    toward distinct notices (non-NULL id), 1: critical, 2: covers the day at
-    all (a NULL-id notice adds a day and its critical flag but no count, as a
-    distinct count ignores NULLs); islands are merged per (keys, kind, id); each
-    island emits its +1/-1 pair through one explode (no union, so the input is
-    read once).
+    One pass over the notices, one row per (keys, id, start day) with its latest end
+    and its latest critical end; what no earlier interval of the id covers emits a
+    +1/-1 pair, once for all and once for the critical ones, through one explode. A
+    NULL-id notice adds a day and its critical flag but no count, as a distinct
+    count ignores NULLs.
     """
     keys = list(keys)
     n = _prepared(notices, keys, id_col, critical_col).where(F.col("_e") >= F.col("_s"))
-    kinds = F.filter(F.array(F.when(F.col("_id").isNotNull(), F.lit(0)), F.when(F.col("_crit"), F.lit(1)), F.lit(2)),
-                     lambda k: k.isNotNull())
-    tagged = n.select(*keys, F.explode(kinds).alias("_kind"), "_id", "_s", "_e")
-    isl = _islands(tagged, keys + ["_kind"])
-    ev = isl.select(*keys, "_kind", F.explode(F.array(
-        F.struct(F.col("_s").alias("date"), F.lit(1).alias("d")),
-        F.struct(F.date_add("_e", 1).alias("date"), F.lit(-1).alias("d")))).alias("_ev"))
+    parts = _first_covered(n.withColumn("_c", F.when(F.col("_crit"), F.col("_e"))), keys, ["_e", "_c"])
+    pair = lambda end, kind: [F.when(F.col(f"{end}_from").isNotNull(), F.struct(
+        day.alias("date"), F.lit(d).alias("d"), F.lit(kind).alias("kind")))
+        for day, d in ((F.col(f"{end}_from"), 1), (F.date_add(end, 1), -1))]
+    events = F.filter(F.array(*pair("_e", 0), *pair("_c", 1)), lambda e: e.isNotNull())
+    ev = parts.select(*keys, F.col("_id").isNotNull().alias("_named"), F.explode(events).alias("_ev"))
     ev = (ev.select(*keys, F.col("_ev.date").alias("date"),
-                    F.when(F.col("_kind") == 0, F.col("_ev.d")).otherwise(0).alias("_da"),
-                    F.when(F.col("_kind") == 1, F.col("_ev.d")).otherwise(0).alias("_dc"),
-                    F.when(F.col("_kind") == 2, F.col("_ev.d")).otherwise(0).alias("_dv"))
+                    F.when(F.col("_named") & (F.col("_ev.kind") == 0), F.col("_ev.d")).otherwise(0).alias("_da"),
+                    F.when(F.col("_ev.kind") == 1, F.col("_ev.d")).otherwise(0).alias("_dc"),
+                    F.when(F.col("_ev.kind") == 0, F.col("_ev.d")).otherwise(0).alias("_dv"))
           .groupBy(*keys, "date").agg(F.sum("_da").alias("_da"), F.sum("_dc").alias("_dc"),
                                       F.sum("_dv").alias("_dv")))
     w = Window.partitionBy(*keys).orderBy("date")

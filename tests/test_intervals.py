@@ -75,3 +75,9 @@ def test_driver_views_agree(spark):
     from stresscast.sources.driver_views import notice
     n = notice(spark, "/root/testdata/sf0.001")
     assert rows(stress_from_notices(n), "pipeline", "date") == rows(stress_from_notices_sweep(n), "pipeline", "date")
+
+
+def test_sweep_window_sees_a_notice_once(spark):
+    """One row per id and start day goes to the window, not one per kind: two explodes are left (deltas and days)."""
+    out = stress_from_notices_sweep(fixture(spark))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Generate ") == 2

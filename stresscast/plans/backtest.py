@@ -21,7 +21,7 @@ from stresscast.plans.design import VOL_FEATURES, storage_from_level, stress_des
 from stresscast.plans.evaluate import realized_exceed
 from stresscast.plans.fit import draws_from_posterior, fit_logistic, fit_student_t
 from stresscast.plans.score import score_points
-from stresscast.session import cut_lineage
+from stresscast.session import cut_lineage, staged
 
 
 def _apply_scalers(test: DataFrame, scalers: DataFrame, feats: Sequence[str], keys: Sequence[str],
@@ -43,6 +43,7 @@ def stress_backtest(frame: DataFrame, train_end, keys: Sequence[str] = ("pipelin
     only, as the source computes them. An unknown input gives a NULL score (0 with ``null_as_zero``, as there).
     """
     keys = list(keys)
+    frame = staged(frame, "frame")
     # the design is read by the fit, the test scoring and the outcome join: compute it once
     raw = cut_lineage(stress_design(frame, keys, scale_inputs=False, keep_nulls=True))
     feats = [c for c in raw.columns if c not in keys + ["date", "y"]]
@@ -85,6 +86,8 @@ def vol_backtest(frame: DataFrame, train_end, keys: Sequence[str] = ("pipeline",
     test rows, §8 Q6) gives a NULL score, or 0 with ``null_as_zero``, like NaN did.
     """
     keys = list(keys)
+    # the lagged features, the storage level of the train rows and the test inputs all read the frame: compute it once
+    frame = staged(frame, "frame")
     raw = cut_lineage(vol_lagged(frame, keys))
     train, test = time_split(raw, "date", train_end)
     train_frame, test_frame = time_split(frame, "date", train_end)

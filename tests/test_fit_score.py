@@ -219,3 +219,36 @@ def test_vol_scores_against_the_normal_limit(spark):
     for i in range(30):
         assert got["p", i] == np.mean([0.1 + 0.5 * (i / 10) + 0.2 * v > 0.75 for v in t])
     assert got["q", 1] is None and got["p", 99] is None and len(got) == 32
+
+
+def counted(spark, frame):
+    """A frame that counts its rows as they are computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+    return frame.mapInArrow(count, frame.schema), seen
+
+
+@pytest.mark.parametrize("mode", ["design", "forecast"])
+def test_vol_backtest_computes_the_frame_once(spark, mode):
+    from stresscast.plans.backtest import vol_backtest
+    from stresscast.plans.catalogue import TRAIN_END, model_frame
+    from stresscast.session import staged
+    rows = staged(model_frame(spark, "/root/testdata/sf0.001"), "frame")
+    frame, seen = counted(spark, rows)
+    vol_backtest(frame, TRAIN_END, n_chains=1, n_draws=10, inputs=mode)[1].collect()
+    assert seen.value == rows.count()
+
+
+@pytest.mark.parametrize("query", ["fit_stress_gradient", "fit_vol_gradient"])
+def test_gradients_compute_the_frame_once(spark, query, monkeypatch):
+    from stresscast.plans import catalogue
+    from stresscast.session import staged
+    rows = staged(catalogue.model_frame(spark, "/root/testdata/sf0.001"), "frame")
+    frame, seen = counted(spark, rows)
+    monkeypatch.setattr(catalogue, "model_frame", lambda *_: frame)
+    catalogue.QUERIES[query](spark, "/root/testdata/sf0.001").collect()
+    assert seen.value == rows.count()

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stresscast.operators.merge import ACTIONS, keyed_merge
+from stresscast.operators.merge import ACTIONS, bad_key, keyed_merge
 
 _ENTRY = "kind string, name string, path string, rows long, version long"
 
@@ -182,7 +182,8 @@ def merge_table(spark: SparkSession, root: str, batch: DataFrame, keys: Sequence
 
 def not_before(batch: DataFrame, stored: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """Rows of the batch that do not come before the stored row of their key."""
-    held = stored.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*order_cols).alias("_held"))
+    keyed = stored.where(~bad_key(keys, columns=stored.columns))  # the rows without a key are most of a table, and none can match
+    held = keyed.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*order_cols).alias("_held"))
     same = F.lit(True)
     for k in keys:
         same = same & (F.col(k) == F.col(f"_k_{k}"))

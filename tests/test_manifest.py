@@ -127,3 +127,11 @@ def test_empty_batch(spark, tmpdir_path):
     merge(spark, root, days(spark, [1], 1))
     assert merge(spark, root, days(spark, [], 2).where(F.lit(False)), feed="x", epoch=3)["parts_written"] == 0
     assert snapshot(spark, root).last_epoch("x") == 3 and len(held(spark, root)) == 2
+
+
+def test_rows_with_empty_keys_are_appended_once(spark, tmpdir_path):
+    """Stored rows without a key are not matched: neither do they multiply a new one nor hold an earlier one back."""
+    root = f"{tmpdir_path}/t"
+    for rows in ([("", "x", 1.0, 5), ("", "x", 2.0, 5)], [("", "x", 3.0, 5)], [("", "x", 4.0, 1)]):
+        assert merge(spark, root, spark.createDataFrame(rows, SCHEMA))["unkeyed"] == len(rows)
+    assert sorted(r["value"] for r in read_current(spark, root).collect()) == [1.0, 2.0, 3.0, 4.0]

@@ -27,8 +27,8 @@ STATION_IN_PATH = r"([^/]+?)(\.csv)?$"
 
 
 def _is_header(line: Column) -> Column:
-    """A line with the cell DATE."""
-    return F.array_contains(F.transform(F.split(line, ","), lambda s: F.regexp_replace(strip_ws(s), r'^\uFEFF?"|"$|^\uFEFF', "")),
+    """A line with the cell DATE (most lines are told by not having the letters)."""
+    return line.contains("DATE") & F.array_contains(F.transform(F.split(line, ","), lambda s: F.regexp_replace(strip_ws(s), r'^\uFEFF?"|"$|^\uFEFF', "")),
                             "DATE")
 
 

@@ -172,3 +172,12 @@ def test_checks_raise_in_the_writing_job(spark):
         checked(df, "rows", 1, ["z", "y"])
     with pytest.raises(FailedCheck, match="0 rows"):
         checked(df.where("false"), "rows")
+
+
+def test_station_header_test_is_cheap_for_data_lines(spark):
+    """Every line of a station file is asked whether it is the header: only lines with the letters are taken apart."""
+    from stresscast.sources.stations import _is_header
+    lines = spark.createDataFrame([("2024-01-01,50",), ('"STATION","DATE"',), ("UPDATE,x",), ("\ufeffDATE,TAVG",)], "value string")
+    assert [r[0] for r in lines.select(_is_header(F.col("value"))).collect()] == [False, True, False, True]
+    plan = lines.where(_is_header(F.col("value")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(value" in plan

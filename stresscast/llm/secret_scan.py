@@ -101,17 +101,20 @@ def _upper_tail(z: Column) -> Column:
 
 def _tested(spans: Column) -> Column:
     """The battery on each candidate: (start, end, n, encoding, p_random, p_text)."""
-    alphabet, encoding = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for name, pattern, letters in reversed(ENCODINGS):
-        fits = lambda x, p=pattern: x.rlike(f"^{p}=*$")
-        alphabet = (lambda rest, fits, letters: lambda x: F.when(fits(x), F.lit(letters)).otherwise(rest(x)))(
-            alphabet if callable(alphabet) else (lambda x: F.lit(None).cast("string")), fits, letters)
-        encoding = (lambda rest, fits, name: lambda x: F.when(fits(x), F.lit(name)).otherwise(rest(x)))(
-            encoding if callable(encoding) else (lambda x: F.lit(None).cast("string")), fits, name)
-
-    named = F.transform(spans, lambda s: F.struct(
+    def first_fitting(m: Column) -> Column:
+        number = F
+        for i, (_, pattern, _letters) in enumerate(ENCODINGS):
+            number = number.when(m.rlike(f"^{pattern}=*$"), F.lit(i))
+        return number
+
+    # every step is a struct of its own: a column used twice in one expression is planned (and computed) twice
+    numbered = F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), F.regexp_replace(s["m"], "=+$", "").alias("body"),
-        encoding(s["m"]).alias("encoding"), alphabet(s["m"]).alias("letters")))
+        first_fitting(s["m"]).alias("number")))
+    names, alphabets = (F.array(*[F.lit(e[j]) for e in ENCODINGS]) for j in (0, 2))
+    named = F.transform(numbered, lambda s: F.struct(
+        *[s[c].alias(c) for c in ("start", "end", "body")], F.get(names, s["number"]).alias("encoding"),
+        F.get(alphabets, s["number"]).alias("letters")))
     known = F.filter(named, lambda s: s["encoding"].isNotNull() & (s["encoding"] != "decimal"))
     coded = F.transform(known, lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["encoding"].alias("encoding"),
@@ -133,26 +136,30 @@ def _tested(spans: Column) -> Column:
         F.aggregate(F.transform(s["x"], lambda v, i: F.when(i > 0, (v - s["mean"]) * (F.get(s["x"], i - 1) - s["mean"]))
                                 .otherwise(F.lit(0.0))), F.lit(0.0), lambda acc, v: acc + v).alias("lagged")))
 
-    def tests(s: Column) -> Column:
+    def scores(s: Column) -> Column:
+        """Normal scores of the tests; NULL where a test cannot be passed."""
         n, df = s["n"], s["a"] - 1
-        uniform = _upper_tail((F.pow(s["chi"] / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df)))
+        uniform = (F.pow(s["chi"] / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
         expected = 2 * s["high"] * (n - s["high"]) / n + 1
         deviation = F.sqrt(F.greatest((expected - 1) * (expected - 2) / (n - 1), F.lit(1e-9)))
-        runs = F.when((s["high"] == 0) | (s["high"] == n), F.lit(0.0)).otherwise(
-            2 * _upper_tail(F.abs(s["runs"] - expected) / deviation))
-        serial = F.when(s["spread"] <= 0, F.lit(0.0)).otherwise(
-            2 * _upper_tail(F.abs(s["lagged"] / F.greatest(s["spread"], F.lit(1e-9)) + 1 / n) * F.sqrt(n)))
-        half = F.lit(0.0)
-        for p in (uniform, runs, serial):
-            half = half - F.log(F.greatest(p, F.lit(1e-300)))
+        runs = F.when((s["high"] != 0) & (s["high"] != n), F.abs(s["runs"] - expected) / deviation)
+        serial = F.when(s["spread"] > 0, F.abs(s["lagged"] / F.greatest(s["spread"], F.lit(1e-9)) + 1 / n) * F.sqrt(n))
         # Text has no digits: among the six letters of hex two are equal at least every sixth time.
         equal = F.when(s["encoding"].isin("hex", "hex_upper"), F.lit(1 / 6)).otherwise(F.lit(COINCIDENCE))
         excess = n * (s["a"] * equal - 1)
-        as_text = _upper_tail(-(s["chi"] - df - excess) / F.sqrt(2 * (df + 2 * excess)))
+        as_text = -(s["chi"] - df - excess) / F.sqrt(2 * (df + 2 * excess))
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), n.cast("int").alias("n"), s["encoding"].alias("encoding"),
-                        (F.exp(-half) * (1 + half + half * half / 2)).alias("p_random"), as_text.alias("p_text"))
+                        F.transform(F.array(uniform, runs, serial, as_text), _upper_tail).alias("p"))
 
-    return F.transform(moments, tests)
+    def fisher(s: Column) -> Column:
+        half = F.lit(0.0)
+        for p in (s["p"][0], F.coalesce(2 * s["p"][1], F.lit(0.0)), F.coalesce(2 * s["p"][2], F.lit(0.0))):
+            half = half - F.log(F.greatest(p, F.lit(1e-300)))
+        return F.struct(*[s[c].alias(c) for c in ("start", "end", "n", "encoding")], half.alias("half"), s["p"][3].alias("p_text"))
+
+    return F.transform(F.transform(F.transform(moments, scores), fisher), lambda s: F.struct(
+        *[s[c].alias(c) for c in ("start", "end", "n", "encoding")],
+        (F.exp(-s["half"]) * (1 + s["half"] + s["half"] * s["half"] / 2)).alias("p_random"), s["p_text"].alias("p_text")))
 
 
 def _base(text: Column) -> Column:
@@ -192,11 +199,11 @@ def thresholds(tested: DataFrame, rate: float) -> dict[int, float]:
 
 def _found(limits: dict[int, float], least_random: float) -> Column:
     """Spans of all kinds by start, from the columns ``base`` and ``tests``."""
-    limit = F.lit(0.0)
-    for k, p in limits.items():
-        limit = (lambda rest, k, p: lambda n: F.when(_length_class(n) == k, F.lit(p)).otherwise(rest(n)))(
-            limit if callable(limit) else (lambda n: F.lit(0.0)), k, p)
-    at = limit if callable(limit) else (lambda n: F.lit(0.0))
+    table = F.create_map(*[F.lit(v) for kp in limits.items() for v in kp]) if limits else None
+
+    def at(n: Column) -> Column:
+        return F.lit(0.0) if table is None else F.coalesce(F.try_element_at(table, _length_class(n)), F.lit(0.0))
+
     new = F.filter("tests", lambda c: (c["p_random"] >= least_random) & (c["p_text"] <= at(c["n"]))
                    & ~F.exists("base", lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"])))
     return F.array_sort(F.concat("base", F.transform(new, lambda c: F.struct(

@@ -114,3 +114,12 @@ def test_redact(make_docs):
 
 def test_empty_table(make_docs):
     assert secret_scan.scan(make_docs([(1, "x")]).where("doc_id < 0")).count() == 0
+
+
+def test_the_plan_of_the_battery_is_small(make_docs):
+    """The driver holds the plan of a scan several times over; steps that repeat their inputs had made it megabytes."""
+    docs = make_docs([(1, "x")], clash=False)
+    plan = docs.select(secret_scan._tested(secret_scan._candidates(F.col("text"))).alias("tests"))
+    limits = {k: 0.001 for k in range(8, 20)}
+    both = plan.withColumn("base", secret_scan._base(F.lit(""))).select(secret_scan._found(limits, 0.01))
+    assert len(both._jdf.queryExecution().analyzed().toString()) < 60_000

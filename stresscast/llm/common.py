@@ -30,14 +30,14 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/stresscast-{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+def staged(df: DataFrame, label: str, partition_by: str | None = None, options: dict | None = None) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared checkpoint folder; every executor can read it again.
 
-    The tables are the session's scratch data: the folder may be emptied when its results are written.
+    The tables are the session's scratch data: the folder may be emptied when its results are written. ``options`` go to the writer.
     """
     path = staging_path(df.sparkSession, label)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    writer.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,10 @@ shards; a word's global id is its bucket and its number in it. Each shard is the
 crosses the network once a shard, however often it occurs, and in one row with the others of its bucket. Row sums
 of the matrix are the numbers of words, the non-zeros of a row the numbers of distinct words.
 
-The number of buckets follows the bytes of text, so a bucket's dictionary stays in the megabytes at any size.
+The number of buckets follows the bytes of text, so a bucket's dictionary stays in the megabytes at any size. A shard is
+several rows, one for each block of its documents, and its global ids are a row for each bucket; they meet in the task that
+rewrites the shard. So no row is larger than a block, and a task holds a few rows of the table of shards at a time, not
+those of its whole split.
 
 The other flags are made in the same pass over the texts. What is left of a document is its id, part, text hash and
 flags; copies are found by hash without any pair, and the documents are counted by part, failures and labels. All orders
@@ -35,6 +38,13 @@ from stresscast.llm.common import docs_with, staged
 
 #: UTF-8 bytes of text in a shard before it is closed (a longer text is a shard of its own length).
 SHARD_BYTES = 4 << 20
+#: UTF-8 bytes of text in a block of a shard, which is one row (a longer text is a block of its own length).
+BLOCK_BYTES = 256 << 10
+#: What a document adds to both besides its text: its id, part, hash and numbers.
+DOC_BYTES = 64
+#: Rows of a row group of the table of shards. A page is not closed before its 100th row by its size, nor a group, so
+#: without this the writer and the readers hold what a whole task has written.
+GROUP_ROWS = 64
 #: UTF-8 bytes of text for each bucket of the dictionary.
 BUCKET_BYTES = 4 << 20
 #: The filters in the order of their bits.
@@ -45,25 +55,30 @@ UPPER = bytes(range(65, 91))
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Unsigned integers below 2^32, byte plane by byte plane: the high ones are mostly zeros and compress away."""
-    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Unsigned integers below 2^32, byte plane by byte plane: first the number of planes, the high ones of zeros are left out."""
+    planes = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([planes]) + values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :planes].T.tobytes()
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    planes = np.frombuffer(raw, np.uint8)[1:].reshape(raw[0], -1)
+    values = np.zeros((planes.shape[1], 4), np.uint8)
+    values[:, :raw[0]] = planes.T
+    return values.view("<u4").ravel().astype(np.int64)
 
 
-def _list(values: pa.Array) -> pa.ListArray:
-    """One row that holds all values."""
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+def _list(values: pa.Array, ends=None) -> pa.ListArray:
+    """One row that holds all values, or the rows that begin and end at ``ends``."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)] if ends is None else ends, pa.int32()), values)
 
 
 def local_shards(docs: DataFrame) -> DataFrame:
     """Rows of the matrix in shards, each with the words of its own columns: written once, in the shared folder.
 
-    Per shard: ``shard``, the arrays ``doc_id``, ``part``, ``text_hash``, ``flags`` (bits of C and D) and ``row_size``
-    (non-zeros of each row), ``indices`` and ``counts`` (packed integers), and ``words``: the column's words by bucket, in the
-    order of the columns, each bucket's as one text with a line feed between words (no word holds one).
+    A shard is a row for each block of its documents: ``shard``, the arrays ``doc_id``, ``part``, ``text_hash``, ``flags``
+    (bits of C and D) and ``row_size`` (non-zeros of each row), ``indices`` and ``counts`` (packed integers). Its words are dealt
+    over these rows, ``words``: by bucket, in the order of the columns, each bucket's as one text with a line feed between
+    words (no word holds one); ``n_words``: how many these are.
     """
     docs = docs_with(docs, "doc_id", "text", "lang")
     id_type = docs.schema["doc_id"].dataType
@@ -78,14 +93,17 @@ def local_shards(docs: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField(n, t) for n, t in (
         ("shard", T.LongType()), ("doc_id", array(id_type)), ("part", array(T.StringType())),
         ("text_hash", array(T.BinaryType())), ("flags", array(T.IntegerType())), ("row_size", array(T.LongType())),
-        ("indices", T.BinaryType()), ("counts", T.BinaryType()), ("words", array(bucket)))])
+        ("indices", T.BinaryType()), ("counts", T.BinaryType()), ("words", array(bucket)), ("n_words", T.LongType()))])
 
     def encode(batches):
         from pyspark import TaskContext
         shard = TaskContext.get().partitionId() << 33
-        kept, codes, bits, sizes, index, counts, held = [], {}, [], [], [], [], 0
+        kept, codes, bits, sizes, index, counts, held, ends, in_block = [], {}, [], [], [], [], 0, [0], 0
 
         def close():
+            if ends[-1] < len(bits):
+                ends.append(len(bits))
+            blocks = list(zip(ends, ends[1:]))
             rows = pa.Table.from_batches(kept).combine_chunks()
             flat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.uint32)
             words = list(codes)
@@ -97,11 +115,13 @@ def local_shards(docs: DataFrame) -> DataFrame:
             texts = [b"\n".join(words[k] for k in order[a:a + n]).decode() for a, n in zip(starts, ns)]
             by_bucket = pa.StructArray.from_arrays(
                 [pa.array(numbers, pa.int64()), pa.array(ns, pa.int32()), pa.array(texts, pa.string())], ["bucket", "n", "joined"])
+            deals = np.arange(len(ends)) * len(numbers) // len(blocks)
             return pa.RecordBatch.from_arrays(
-                [pa.array([shard]), *(_list(rows[c].combine_chunks()) for c in ("doc_id", "part", "text_hash")),
-                 _list(pa.array(bits, pa.int32())), _list(pa.array(sizes, pa.int64())),
-                 pa.array([_pack(column[flat(index)])], pa.binary()), pa.array([_pack(flat(counts))], pa.binary()),
-                 _list(by_bucket)], names=schema.names)
+                [pa.array([shard] * len(blocks)), *(_list(rows[c].combine_chunks(), ends) for c in ("doc_id", "part", "text_hash")),
+                 _list(pa.array(bits, pa.int32()), ends), _list(pa.array(sizes, pa.int64()), ends),
+                 pa.array([_pack(column[flat(index[a:b])]) for a, b in blocks], pa.binary()),
+                 pa.array([_pack(flat(counts[a:b])) for a, b in blocks], pa.binary()), _list(by_bucket, deals),
+                 pa.array([int(ns[a:b].sum()) for a, b in zip(deals, deals[1:])], pa.int64())], names=schema.names)
 
         for batch in batches:
             done = 0
@@ -114,18 +134,22 @@ def local_shards(docs: DataFrame) -> DataFrame:
                 sizes.append(len(found))
                 index.append(np.fromiter((codes.setdefault(w, len(codes)) for w in found), np.uint32, len(found)))
                 counts.append(np.fromiter(found.values(), np.uint32, len(found)))
-                held += len(raw)
+                held += len(raw) + DOC_BYTES
+                in_block += len(raw) + DOC_BYTES
+                if in_block >= BLOCK_BYTES:
+                    ends.append(len(bits))
+                    in_block = 0
                 if held >= SHARD_BYTES or i == batch.num_rows - 1:
                     kept.append(batch.select(["doc_id", "part", "text_hash"]).slice(done, i + 1 - done))
                     done = i + 1
                 if held >= SHARD_BYTES:
                     yield close()
                     shard += 1
-                    kept, codes, bits, sizes, index, counts, held = [], {}, [], [], [], [], 0
+                    kept, codes, bits, sizes, index, counts, held, ends, in_block = [], {}, [], [], [], [], 0, [0], 0
         if kept:
             yield close()
 
-    return staged(source.mapInArrow(encode, schema), "matrix")
+    return staged(source.mapInArrow(encode, schema), "matrix", options={"parquet.block.row.count.limit": GROUP_ROWS})
 
 
 def _by_bucket(shards: DataFrame) -> DataFrame:
@@ -152,46 +176,48 @@ def dictionary(shards: DataFrame) -> DataFrame:
     return _by_bucket(shards).applyInArrow(words, schema)
 
 
-def _with_ids(shards: DataFrame) -> DataFrame:
-    """The shards, each with the global ids of its columns by bucket in place of its words."""
-    schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("bucket", T.LongType()),
-                           T.StructField("ids", T.BinaryType())])
+def _in_global_ids(shards: DataFrame, rewrite, schema: T.StructType) -> DataFrame:
+    """The shards after ``rewrite``, a function of one shard's rows and the global ids of its words by bucket."""
+    numbered = T.StructType([T.StructField("shard", T.LongType()), T.StructField("bucket", T.LongType()),
+                             T.StructField("ids", T.BinaryType())])
 
     def number(key, rows):
         rows, numbers, _ = _numbered(rows)
-        return pa.table([rows["shard"], rows["bucket"], pa.array([_pack(n) for n in numbers], pa.binary())], names=schema.names)
+        return pa.table([rows["shard"], rows["bucket"], pa.array([_pack(n) for n in numbers], pa.binary())], names=numbered.names)
 
-    ids = _by_bucket(shards).applyInArrow(number, schema).groupBy("shard").agg(
-        F.sort_array(F.collect_list(F.struct("bucket", "ids"))).alias("ids"))
-    return shards.withColumn("n_words", F.aggregate("words", F.lit(0), lambda n, w: n + w["n"])).drop("words").join(
-        ids, "shard", "left")
+    ids = _by_bucket(shards).applyInArrow(number, numbered)
+    return shards.drop("words").groupBy("shard").cogroup(ids.groupBy("shard")).applyInArrow(rewrite, schema)
 
 
-def _entries(batch: pa.RecordBatch, row: int):
-    """One shard in global ids: non-zeros of each row, column ids and counts of all entries."""
-    get = lambda c: batch.column(c)[row]
-    buckets = get("ids").as_py() or []
-    ids = np.concatenate([(b["bucket"] << 32) + _unpack(b["ids"]) for b in buckets] or [np.zeros(0, np.int64)])
-    if len(ids) != get("n_words").as_py() or len(np.unique(ids)) != len(ids):
+def _entries(blocks: pa.Table, numbers: pa.Table):
+    """The rows of one shard in global ids: batch and place, non-zeros of each document, column ids and counts of all entries."""
+    numbers = numbers.sort_by("bucket")
+    ids = np.concatenate([np.zeros(0, np.int64), *((bucket << 32) + _unpack(raw) for bucket, raw in zip(
+        numbers["bucket"].to_pylist(), numbers["ids"].to_pylist()))])
+    if len(ids) != sum(blocks["n_words"].to_pylist()) or len(np.unique(ids)) != len(ids):
         raise ValueError("the words of a shard have no global ids of their own")
-    return np.asarray(get("row_size").values, np.int64), ids[_unpack(get("indices").as_py())], _unpack(get("counts").as_py())
+    for batch in blocks.to_batches():
+        get = lambda c, row: batch.column(c)[row]
+        for row in range(batch.num_rows):
+            yield (batch, row, np.asarray(get("row_size", row).values, np.int64),
+                   ids[_unpack(get("indices", row).as_py())], _unpack(get("counts", row).as_py()))
 
 
 def term_matrix(shards: DataFrame) -> DataFrame:
-    """The shards in global word ids: rows sorted by ``indices`` (array of word ids), ``counts`` beside them."""
+    """The blocks of the shards in global word ids: rows sorted by ``indices`` (array of word ids), ``counts`` beside them."""
     kept = ["shard", "doc_id", "part", "text_hash", "flags", "row_size"]
     schema = T.StructType([*(shards.schema[c] for c in kept), T.StructField("indices", T.ArrayType(T.LongType())),
                            T.StructField("counts", T.ArrayType(T.LongType()))])
 
-    def rewrite(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                sizes, columns, counts = _entries(batch, row)
-                order = np.lexsort((columns, np.repeat(np.arange(len(sizes)), sizes)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(row, 1) for c in kept),
-                                                  *(_list(pa.array(v[order])) for v in (columns, counts))], names=schema.names)
+    def rewrite(blocks, numbers):
+        out = []
+        for batch, row, sizes, columns, counts in _entries(blocks, numbers):
+            order = np.lexsort((columns, np.repeat(np.arange(len(sizes)), sizes)))
+            out.append(pa.RecordBatch.from_arrays([*(batch.column(c).slice(row, 1) for c in kept),
+                                                   *(_list(pa.array(v[order])) for v in (columns, counts))], names=schema.names))
+        return pa.Table.from_batches(out)
 
-    return _with_ids(shards).mapInArrow(rewrite, schema)
+    return _in_global_ids(shards, rewrite, schema)
 
 
 def row_totals(shards: DataFrame) -> DataFrame:
@@ -204,17 +230,17 @@ def row_totals(shards: DataFrame) -> DataFrame:
     schema = T.StructType([*(T.StructField(c, element(c)) for c in kept), T.StructField("n_words", T.LongType()),
                            T.StructField("n_distinct", T.LongType())])
 
-    def total(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                sizes, _, counts = _entries(batch, row)  # the columns of a row are different ones
-                ends = np.cumsum(sizes)
-                sums, nonzero = (np.concatenate([[0], np.cumsum(v)]) for v in (counts, counts > 0))
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c)[row].values for c in kept), pa.array(sums[ends] - sums[ends - sizes]),
-                     pa.array(nonzero[ends] - nonzero[ends - sizes])], names=schema.names)
+    def total(blocks, numbers):
+        out = []
+        for batch, row, sizes, _, counts in _entries(blocks, numbers):  # the columns of a row are different ones
+            ends = np.cumsum(sizes)
+            sums, nonzero = (np.concatenate([[0], np.cumsum(v)]) for v in (counts, counts > 0))
+            out.append(pa.RecordBatch.from_arrays(
+                [*(batch.column(c)[row].values for c in kept), pa.array(sums[ends] - sums[ends - sizes]),
+                 pa.array(nonzero[ends] - nonzero[ends - sizes])], names=schema.names))
+        return pa.Table.from_batches(out)
 
-    return _with_ids(shards).mapInArrow(total, schema)
+    return _in_global_ids(shards, total, schema)
 
 
 def failures(docs: DataFrame, min_words: int = 200, min_distinct: int = 50) -> DataFrame:
@@ -233,8 +259,10 @@ def failure_counts(found: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents by part and failures, copies (bit of E) included: ``part``, ``mask``, ``n``, ``good``, ``toxic``."""
     is_one = lambda c: F.max(F.coalesce(labels[c] == 1, F.lit(False)).cast("int")).alias(c)
     marks = labels.where(labels["doc_id"].isNotNull()).groupBy(labels["doc_id"]).agg(is_one("quality"), is_one("toxic"))
-    rows = found.groupBy("doc_id", "part", "text_hash", "mask").agg(F.count(F.lit(1)).alias("n"))
-    named = rows.where("doc_id is not null").join(marks, "doc_id", "left").fillna(0, ["quality", "toxic"])
+    # rows with an id are told by a count: a condition on the id would go below the exchange, and all before it run twice
+    rows = found.groupBy("doc_id", "part", "text_hash", "mask").agg(
+        F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("n_named"))
+    named = rows.where("n_named > 0").join(marks, "doc_id", "left").fillna(0, ["quality", "toxic"])
     # one row for each text, part and label: its documents, its smallest id and the rows of that id
     texts = named.groupBy("text_hash", "part", "mask", "quality", "toxic").agg(
         F.sum("n").alias("n"), F.min("doc_id").alias("first"), F.min_by("n", "doc_id").alias("n_first"))
@@ -243,7 +271,7 @@ def failure_counts(found: DataFrame, labels: DataFrame) -> DataFrame:
     cells = split.select("part", "quality", "toxic", F.inline(F.array(
         F.struct(F.col("mask").alias("mask"), F.col("originals").alias("n")),
         F.struct((F.col("mask") + 16).alias("mask"), (F.col("n") - F.col("originals")).alias("n")))))
-    nameless = rows.where("doc_id is null").select("part", F.lit(0).alias("quality"), F.lit(0).alias("toxic"), "mask", "n")
+    nameless = rows.where("n_named = 0").select("part", F.lit(0).alias("quality"), F.lit(0).alias("toxic"), "mask", "n")
     return cells.unionByName(nameless).where("n > 0").groupBy("part", "mask").agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("quality")).alias("good"),
         F.sum(F.col("n") * F.col("toxic")).alias("toxic"))

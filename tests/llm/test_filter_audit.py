@@ -3,8 +3,11 @@
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow.dataset as ds
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from stresscast.llm import filter_audit
@@ -136,3 +139,45 @@ def test_texts_never_cross_the_network(spark, make_docs):
     """After the matrix is written only words, shards and flags are exchanged."""
     plan = filter_audit.failures(make_docs([(1, "a b"), (2, "c")]))._jdf.queryExecution().toString()
     assert "text#" not in plan.split("Physical Plan")[1]
+
+
+def test_rows_of_the_matrix_are_blocks(spark, monkeypatch):
+    """However much one task writes: no row holds a shard, no row group a task's rows, and no task gathers a shard in one row."""
+    monkeypatch.setattr(filter_audit, "SHARD_BYTES", 20_000)
+    monkeypatch.setattr(filter_audit, "BLOCK_BYTES", 1000, raising=False)
+    monkeypatch.setattr(filter_audit, "BUCKET_BYTES", 5000)
+    texts = [(d, " ".join(f"w{d * k % 977}" for k in range(100))) for d in range(400)] + [(d, "") for d in range(400, 700)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").withColumn("lang", F.lit("en")).coalesce(1)
+    shards = filter_audit.local_shards(docs)
+    rows = shards.collect()
+    assert sorted(d for r in rows for d in r["doc_id"]) == [d for d, _ in texts]
+    assert max(len(r["doc_id"]) for r in rows) < 20 and max(len(r["indices"]) for r in rows) < 3000
+    assert len(rows) > 4 * len({r["shard"] for r in rows}) > 8
+    assert all(r["n_words"] == sum(w["n"] for w in r["words"]) for r in rows)
+    assert len({(r["shard"], w["bucket"]) for r in rows for w in r["words"]}) == sum(len(r["words"]) for r in rows)
+    files = ds.dataset([f.removeprefix("file://") for f in shards.inputFiles()]).files
+    groups = [m.row_group(g).num_rows for m in map(pq.read_metadata, files) for g in range(m.num_row_groups)]
+    assert sum(groups) == len(rows) and max(groups) <= 64 < len(rows)
+    totals = filter_audit.row_totals(shards)
+    assert "collect_list" not in totals._jdf.queryExecution().toString()
+    assert {r["doc_id"]: (r["n_words"], r["n_distinct"]) for r in totals.collect()} == {
+        d: (len(t.split()), len(set(t.split()))) for d, t in texts}
+
+
+def test_shards_meet_their_ids_once(spark, make_docs):
+    """Rows with and without an id are counted from one run of the steps before."""
+    docs = make_docs([(1, "a b"), (2, "c"), (None, "c")])
+    labels = spark.createDataFrame([(1, 1, 0), (3, 0, 1)], "doc_id long, quality int, toxic int")
+    cells = filter_audit.failure_counts(filter_audit.failures(docs), labels)
+    rows = cells.collect()
+    assert sorted((r["mask"] & 16, r["n"], r["good"], r["toxic"]) for r in rows) == [(0, 3, 1, 0)]
+    plan = cells._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    steps = Counter(re.findall(r"(\w+InArrow) ", plan))
+    assert steps and max(steps.values()) == 1
+
+
+def test_packed_integers():
+    for values in ([], [0], [0, 0, 0], [255, 0], [256], [1 << 16, 3], [(1 << 32) - 1, 0, 7]):
+        raw = filter_audit._pack(np.array(values, np.int64))
+        assert filter_audit._unpack(raw).tolist() == values
+    assert len(filter_audit._pack(np.arange(200))) == 201
